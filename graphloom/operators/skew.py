@@ -1,0 +1,55 @@
+"""Equi join for keys that may hold a large share of the left rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_SALT = "__salt"
+_SALTS = "__salts"
+
+
+def join_hot(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    hot_rows: int = 1_000_000,
+    hot_keys: int = 1_000,
+    salts: int = 256,
+) -> DataFrame:
+    """Join ``left`` to ``right`` with the hot left keys spread over ``salts`` tasks each.
+
+    The hot keys are at most ``hot_keys`` keys with at least ``hot_rows`` left rows, so
+    the list that is broadcast stays small. Right rows of these keys, and of no other, are
+    repeated once per salt. Keys past the list join unsalted, so the result is whole.
+    Left rows with a null key match nothing and are spread too.
+    """
+    on = list(on)
+    hot = (
+        left.groupBy(*on)
+        .count()
+        .where(F.col("count") >= hot_rows)
+        .orderBy(F.desc("count"))
+        .limit(hot_keys)
+        .select(*on, F.lit(salts).alias(_SALTS))
+    )
+    spread = F.col(_SALTS).isNotNull()
+    for key in on:
+        spread = spread | F.col(key).isNull()
+    salted_left = (
+        left.join(F.broadcast(hot), on, "left")
+        .withColumn(
+            _SALT,
+            F.when(spread, F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")).otherwise(0),
+        )
+        .drop(_SALTS)
+    )
+    salted_right = (
+        right.join(F.broadcast(hot), on, "left")
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
+        .drop(_SALTS)
+    )
+    return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)
