@@ -37,6 +37,11 @@ def clean(c: Column) -> Column:
     return F.when(not_blank(c), trim_control(c))
 
 
+def base64_text(c: Column) -> Column:
+    """Base64 on one line; by default Spark breaks it into lines of 76 characters."""
+    return F.replace(F.base64(c), F.lit("\r\n"), F.lit(""))
+
+
 def prefix(c: Column, text: str) -> Column:
     return F.concat(F.lit(text), c)
 

@@ -1,14 +1,16 @@
 """Date and time parsing by pattern lists, with ISO texts that keep the offset.
 
-A parsed value is a struct of two timestamps: ``wall``, the clock reading stored
-as if it were UTC, and ``instant``, the point in time. Their difference is the
-offset. None of it depends on the session time zone.
+A clock reading ("wall") is held as a timestamp as if it were UTC. A parsed value is a
+struct of a reading and the instant; their difference is the offset. None of it
+depends on the session time zone. Patterns are those of Spark's ``to_timestamp``,
+so ``MM`` wants two digits and ``M`` takes one or two.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,10 +19,23 @@ from graphloom.functions.text import not_blank
 
 DEFAULT_PIVOT_YEAR = 2068  # two-digit years run from 1969 to 2068
 
+_DAY = 86_400_000_000  # in microseconds
 _ZONE_LETTERS = "XxZzVO"
 _ZONE_AT_END = re.compile(rf"\s*[{_ZONE_LETTERS}]+$")
-_OFFSET_AT_END = r"\s*([+-]\d{2}(:?\d{2}){0,2}|Z)$"
-_ISO = ("yyyy-MM-dd'T'HH:mm[:ss[.SSSSSSSSS]]XXX", "yyyy-MM-dd'T'HH:mm[:ss[.SSSSSSSSS]]")
+_OFFSET_AT_END = r"\s*([+-]\d{2}(:?\d{2}){0,2}|[Zz])$"
+_ISO = (
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSSXXX",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "yyyy-MM-dd'T'HH:mmXXX",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSS",
+    "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy-MM-dd'T'HH:mm",
+)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
 
 
 def _unquoted(pattern: str) -> str:
@@ -35,118 +50,168 @@ def _has_short_year(pattern: str) -> bool:
     return re.search(r"(?<![yu])[yu]{2}(?![yu])", _unquoted(pattern)) is not None
 
 
-def _wall(c: Column, pattern: str, pivot_year: int) -> Column:
-    """Clock reading for a pattern without zone, as if the text were in UTC."""
-    ts = F.try_to_timestamp(F.concat(c, F.lit(" +00:00")), F.lit(f"{pattern} XXX"))
-    return _century(ts, pivot_year) if _has_short_year(pattern) else ts
+def _shape(pattern: str) -> str:
+    """Regular expression that every text of a pattern matches.
 
-
-def _century(ts: Column, pivot_year: int) -> Column:
+    It turns most other texts away before the far slower try at parsing them. Patterns
+    with optional or adjoining parts it cannot tell apart match any text.
+    """
+    if re.search(r"[\[\]]|''", pattern):
+        return "(?s).*"
+    pieces = re.findall(r"'([^']*)'|(([A-Za-z])\3*)|(.)", pattern, re.DOTALL)
+    return "(?is)^" + "".join(_piece(quoted, run, other) for quoted, run, _, other in pieces) + "$"
+
+
+def _piece(quoted: str, run: str, other: str) -> str:
+    if run:
+        letter, size = run[0], len(run)
+        if letter == "S":
+            return rf"\d{{1,{size}}}"
+        if letter in "yu":
+            return r"\d{2}" if size == 2 else r"[+-]?\d+"
+        if letter in "MdHhkKms" and size <= 2:
+            return r"\d{2}" if size == 2 else r"[+-]?\d+"
+        return ".+"  # names, zones and the like
+    return re.escape(quoted) if quoted else re.escape(other)
+
+
+def _century(wall: Column, pivot_year: int) -> Column:
     """Two-digit years come out as 20xx; those past the pivot belong to the century before."""
-    past = ts >= F.timestamp_micros(F.lit(_micros_of_year(pivot_year + 1)))
-    # The shift is in months so that 29 February stays a valid day.
-    shifted = F.timestamp_micros(
-        F.unix_date(F.add_months(F.date_from_unix_date(_days(ts)), -1200)).cast("bigint") * _DAY
-        + F.pmod(F.unix_micros(ts), F.lit(_DAY))
-    )
-    return F.when(past, shifted).otherwise(ts)
+    limit = (date(pivot_year + 1, 1, 1) - date(1970, 1, 1)).days * _DAY
 
+    def earlier(micros: Column) -> Column:
+        # The shift is in months so that 29 February stays a valid day.
+        day = F.add_months(F.date_from_unix_date(F.floor(micros / F.lit(_DAY)).cast("int")), -1200)
+        return F.unix_date(day).cast("bigint") * _DAY + F.pmod(micros, F.lit(_DAY))
 
-_DAY = 86_400_000_000
+    return F.timestamp_micros(
+        _let(F.unix_micros(wall), lambda m: F.when(m >= limit, earlier(m)).otherwise(m))
+    )
 
 
-def _days(ts: Column) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(_DAY)).cast("int")
+def _wall(c: Column, pattern: str, pivot_year: int) -> Column:
+    """Clock reading by one pattern; an offset at the end is read over."""
+    wall = _uncorrected_wall(c, pattern)
+    return _century(wall, pivot_year) if _has_short_year(pattern) else wall
 
 
-def _micros_of_year(year: int) -> int:
-    from datetime import date
+def _uncorrected_wall(c: Column, pattern: str) -> Column:
+    """Clock reading with two-digit years as 20xx.
 
-    return (date(year, 1, 1) - date(1970, 1, 1)).days * _DAY
+    The pattern is parsed as text in UTC, which keeps the session zone out of it.
+    """
+    bare = _ZONE_AT_END.sub("", pattern) if _has_zone(pattern) else pattern
+    if _has_zone(bare):  # the zone stands inside the text: read in UTC
+        return F.try_to_timestamp(c, F.lit(pattern))
+    if bare == pattern:
+        return F.try_to_timestamp(F.concat(c, F.lit(" +00:00")), F.lit(f"{bare} XXX"))
+    text = F.concat(F.regexp_replace(c, _OFFSET_AT_END, ""), F.lit(" +00:00"))
+    return F.when(c.rlike(_OFFSET_AT_END), F.try_to_timestamp(text, F.lit(f"{bare} XXX")))
 
 
-def _in_zone(wall: Column, tz: str) -> tuple[Column, Column]:
+def _in_zone(wall: Column, tz: str) -> Column:
     """A clock reading in a zone; readings skipped by the clock change move forward."""
-    instant = F.to_utc_timestamp(wall, tz)
-    return F.from_utc_timestamp(instant, tz), instant
+    return _let(
+        F.to_utc_timestamp(wall, tz),
+        lambda instant: _pair(F.from_utc_timestamp(instant, tz), instant),
+    )
 
 
 def _pair(wall: Column, instant: Column) -> Column:
-    return F.when(
-        wall.isNotNull() & instant.isNotNull(),
-        F.struct(wall.alias("wall"), instant.alias("instant")),
-    )
+    both = F.struct(wall.alias("wall"), instant.alias("instant"))
+    return F.when(wall.isNotNull() & instant.isNotNull(), both)
 
 
-def _parse_one(c: Column, pattern: str, tz: str, pivot_year: int) -> Column:
+def _moment(c: Column, pattern: str, tz: str, pivot_year: int) -> Column:
+    """Reading and instant by one pattern; the zone is for patterns without one."""
+    wall = _wall(c, pattern, pivot_year)
     if not _has_zone(pattern):
-        return _pair(*_in_zone(_wall(c, pattern, pivot_year), tz))
+        return _in_zone(wall, tz)
+    if _has_zone(_ZONE_AT_END.sub("", pattern)):
+        return _let(wall, lambda w: _pair(w, w))
+
+    def paired(p: Column) -> Column:
+        # The instant moves with the century of its reading.
+        offset = F.unix_micros(p["read"]) - F.unix_micros(p["instant"])
+        return _pair(p["wall"], F.timestamp_micros(F.unix_micros(p["wall"]) - offset))
+
     instant = F.try_to_timestamp(c, F.lit(pattern))
-    bare = _ZONE_AT_END.sub("", pattern)
-    if _has_zone(bare):  # the zone stands inside the text; shown in UTC
-        instant = _century(instant, pivot_year) if _has_short_year(pattern) else instant
-        return _pair(instant, instant)
-    wall = F.try_to_timestamp(
-        F.concat(F.regexp_replace(c, _OFFSET_AT_END, ""), F.lit(" +00:00")), F.lit(f"{bare} XXX")
+    read = _uncorrected_wall(c, pattern)
+    return _let(
+        F.struct(read.alias("read"), wall.alias("wall"), instant.alias("instant")), paired
     )
-    if _has_short_year(pattern):
-        fixed = _century(wall, pivot_year)
-        instant = F.timestamp_micros(F.unix_micros(instant) + F.unix_micros(fixed) - F.unix_micros(wall))
-        wall = fixed
-    return _pair(wall, instant)
 
 
-def _parse(c: Column, patterns: Sequence[str], tz: str, pivot_year: int) -> Column:
-    """First matching pattern; blank and the text NULL give null."""
+def _first(c: Column, patterns: Sequence[str], parsed: Callable[[Column, str], Column]) -> Column:
+    """What the first matching pattern gives; blank and the text NULL give null."""
     text = F.when(not_blank(c) & (c != "NULL"), c)
-    return F.coalesce(*[_parse_one(text, p, tz, pivot_year) for p in patterns])
+    return F.coalesce(*[F.when(text.rlike(_shape(p)), parsed(text, p)) for p in patterns])
+
+
+def _readings(c: Column, patterns: Sequence[str], pivot_year: int) -> Column:
+    return _first(c, patterns, lambda text, p: _wall(text, p, pivot_year))
+
+
+def _moments(c: Column, patterns: Sequence[str], tz: str, pivot_year: int) -> Column:
+    return _first(c, [*patterns, *_ISO], lambda text, p: _moment(text, p, tz, pivot_year))
 
 
 def _wall_text(wall: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss[.f]`` of a clock reading, whatever the session zone."""
+    """``yyyy-MM-ddTHH:mm:ss[.f]`` of a clock reading, whatever the session zone."""
     start = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    return F.timestamp_add("MICROSECOND", F.unix_micros(wall), start).cast("string")
+    text = F.timestamp_add("MICROSECOND", F.unix_micros(wall), start).cast("string")
+    return F.replace(text, F.lit(" "), F.lit("T"))
 
 
-def _offset_text(wall: Column, instant: Column) -> Column:
-    seconds = F.unix_seconds(wall) - F.unix_seconds(instant)
-    size = F.abs(seconds)
-    text = F.format_string(
-        "%s%02d:%02d",
-        F.when(seconds < 0, "-").otherwise("+"),
-        F.floor(size / 3600),
-        F.floor(size % 3600 / 60),
-    )
-    with_seconds = F.format_string("%s:%02d", text, size % 60)
-    return F.when(seconds == 0, "Z").when(size % 60 == 0, text).otherwise(with_seconds)
+def _short_text(wall: Column) -> Column:
+    """Reading whose seconds are left out when zero and whose fraction has 3 or 6 digits."""
+    text = F.regexp_replace(_wall_text(wall), r"(T\d\d:\d\d):00$", "$1")
+    text = F.regexp_replace(text, r"(\.(?:\d{3})?\d)$", "$100")
+    return F.regexp_replace(text, r"(\.(?:\d{3})?\d\d)$", "$10")
 
 
-def _short_iso(wall: Column, offset: Column) -> Column:
-    """ISO text whose seconds are left out when zero and whose fraction has 3 or 6 digits."""
-    text = F.replace(_wall_text(wall), F.lit(" "), F.lit("T"))
-    fraction = F.regexp_extract(text, r"\.(\d+)$", 1)
-    main = F.substring(text, 1, 19)
-    shown = F.when(fraction != "", F.concat(main, F.lit("."), F.rpad(
-        fraction, F.when(F.length(fraction) <= 3, 3).otherwise(6), "0")))
-    shown = shown.when(F.right(main, F.lit(3)) == ":00", F.substring(main, 1, 16)).otherwise(main)
-    return F.concat(shown, offset)
+def _millis_text(wall: Column) -> Column:
+    """Reading with exactly three digits of fraction."""
+    text = F.regexp_replace(_wall_text(wall), r"(T\d\d:\d\d:\d\d)$", "$1.000")
+    return F.substring(F.concat(text, F.lit("00")), 1, 23)
 
 
-def utc_text(ts: Column) -> Column:
-    """ISO offset text in UTC of a timestamp column."""
-    return _short_iso(ts, F.lit("Z"))
+def _offset_text(seconds: Column) -> Column:
+    """``Z`` or ``+hh:mm``, with seconds where there are any."""
+
+    def shown(s: Column) -> Column:
+        size = F.abs(s)
+        parts = [F.floor(size / 3600), F.floor(size % 3600 / 60), size % 60]
+        hh, mm, ss = [F.lpad(p.cast("string"), 2, "0") for p in parts]
+        text = F.concat(F.when(s < 0, "-").otherwise("+"), hh, F.lit(":"), mm)
+        text = F.when(size % 60 == 0, text).otherwise(F.concat(text, F.lit(":"), ss))
+        return F.when(s == 0, "Z").otherwise(text)
+
+    return _let(seconds, shown)
+
+
+def _offset(moment: Column) -> Column:
+    return F.unix_seconds(moment["wall"]) - F.unix_seconds(moment["instant"])
+
+
+def _iso_text(moment: Column) -> Column:
+    def shown(m: Column) -> Column:
+        text = F.concat(_short_text(m["wall"]), _offset_text(_offset(m)))
+        return F.when(m.isNotNull(), text)
 
+    return _let(moment, shown)
 
-def _iso_text(parsed: Column) -> Column:
-    wall, instant = parsed["wall"], parsed["instant"]
-    return F.when(parsed.isNotNull(), _short_iso(wall, _offset_text(wall, instant)))
+
+def utc_text(ts: Column) -> Column:
+    """ISO offset text in UTC of a timestamp column."""
+    return F.concat(_short_text(ts), F.lit("Z"))
 
 
 def datetime_instant(
     c: Column, patterns: Sequence[str], tz: str = "UTC", pivot_year: int = DEFAULT_PIVOT_YEAR
 ) -> Column:
     """Point in time by the first matching pattern, ISO input included."""
-    return _parse(c, [*patterns, *_ISO], tz, pivot_year)["instant"]
+    return _moments(c, patterns, tz, pivot_year)["instant"]
 
 
 def datetime_text(
@@ -156,30 +221,30 @@ def datetime_text(
 
     The zone is used for input without an offset.
     """
-    return _iso_text(_parse(c, [*patterns, *_ISO], tz, pivot_year))
+    return _iso_text(_moments(c, patterns, tz, pivot_year))
 
 
 def shift_offset(
     c: Column, patterns: Sequence[str], tz: str = "UTC", pivot_year: int = DEFAULT_PIVOT_YEAR
 ) -> Column:
     """Keep the clock reading and replace the offset by the zone's."""
-    parsed = _parse(c, [*patterns, *_ISO], tz, pivot_year)
-    return _iso_text(_pair(*_in_zone(parsed["wall"], tz)))
+    return _iso_text(_in_zone(_readings(c, [*patterns, *_ISO], pivot_year), tz))
 
 
 def shift_zone(
     c: Column, patterns: Sequence[str], tz: str = "UTC", pivot_year: int = DEFAULT_PIVOT_YEAR
 ) -> Column:
     """The same instant shown in another zone; input without an offset is in UTC."""
-    instant = _parse(c, [*patterns, *_ISO], "UTC", pivot_year)["instant"]
-    return _iso_text(_pair(F.from_utc_timestamp(instant, tz), instant))
+    instant = datetime_instant(c, patterns, "UTC", pivot_year)
+    return _iso_text(_let(instant, lambda i: _pair(F.from_utc_timestamp(i, tz), i)))
 
 
 def date_value(
     c: Column, patterns: Sequence[str], pivot_year: int = DEFAULT_PIVOT_YEAR
 ) -> Column:
     """Date by the first matching pattern."""
-    return F.date_from_unix_date(_days(_parse(c, patterns, "UTC", pivot_year)["wall"]))
+    micros = F.unix_micros(_readings(c, patterns, pivot_year))
+    return F.date_from_unix_date(F.floor(micros / F.lit(_DAY)).cast("int"))
 
 
 def date_text(c: Column, patterns: Sequence[str], pivot_year: int = DEFAULT_PIVOT_YEAR) -> Column:
@@ -191,17 +256,27 @@ def parse_local_datetime(
 ) -> Column:
     """Clock reading by the first matching pattern, placed in the zone, with milliseconds always
     shown. An offset in the text is read over; a reading the zone skips gives null."""
-    wall = _parse(c, patterns, "UTC", pivot_year)["wall"]
-    shown, instant = _in_zone(wall, tz)
-    text = F.concat(_millis_text(shown), _offset_text(shown, instant))
-    return F.when(wall == shown, text)
+
+    def shown(m: Column) -> Column:
+        text = F.concat(_millis_text(m["wall"]), _offset_text(_offset(m)))
+        return F.when(m["read"] == m["wall"], text)
+
+    def placed(wall: Column) -> Column:
+        instant = F.to_utc_timestamp(wall, tz)
+        return F.struct(
+            wall.alias("read"),
+            F.from_utc_timestamp(instant, tz).alias("wall"),
+            instant.alias("instant"),
+        )
+
+    return _let(_let(_readings(c, patterns, pivot_year), placed), shown)
 
 
 def parse_local_time(
     c: Column, patterns: Sequence[str], pivot_year: int = DEFAULT_PIVOT_YEAR
 ) -> Column:
     """``HH:mm:ss.SSS`` by the first matching pattern."""
-    return F.right(_millis_text(_parse(c, patterns, "UTC", pivot_year)["wall"]), F.lit(12))
+    return F.right(_millis_text(_readings(c, patterns, pivot_year)), F.lit(12))
 
 
 def parse_local_date(
@@ -209,9 +284,3 @@ def parse_local_date(
 ) -> Column:
     """Date by the first matching pattern, from text that may also hold a time."""
     return date_value(c, patterns, pivot_year)
-
-
-def _millis_text(wall: Column) -> Column:
-    text = F.replace(_wall_text(wall), F.lit(" "), F.lit("T"))
-    fraction = F.rpad(F.substring(F.regexp_extract(text, r"\.(\d+)$", 1), 1, 3), 3, "0")
-    return F.concat(F.substring(text, 1, 19), F.lit("."), fraction)

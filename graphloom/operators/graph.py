@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.functions.steps import Row, run_chain
-from graphloom.functions.text import is_blank, not_blank
+from graphloom.functions.text import base64_text, is_blank, not_blank
 from graphloom.functions.types import normal_text
 from graphloom.plans.catalog import ID_PROPERTY, Catalog
 from graphloom.plans.mapping import BINARIES, NO_OP, TABLES, Association, Entity, Mapping, Property
@@ -83,7 +84,7 @@ def _default_id(slots: Sequence[_Slot], key: Sequence[str]) -> Column:
 
 
 def _encoded(c: Column) -> Column:
-    return F.base64(c.cast("binary"))
+    return base64_text(c.cast("binary"))
 
 
 def _any_value(slots: Sequence[_Slot]) -> Column:
@@ -169,8 +170,8 @@ class _FanOut:
         return rows.where(F.col("__v").isNotNull()).select(*self.keep, "__v.*")
 
 
-def _text_or_null(c: Column, slot: _Slot) -> Column:
-    return normal_text(c, slot.datatype)
+def _is_wrong(datatype: str, value: Column) -> Column:
+    return value.isNotNull() & normal_text(value, datatype).isNull()
 
 
 def entity_values(
@@ -190,7 +191,7 @@ def entity_values(
 
     def struct(slot: _Slot, raw: Column) -> Column:
         binary = slot.datatype == "Binary"
-        value = F.lit(None).cast("string") if binary else _text_or_null(raw, slot)
+        value = F.lit(None).cast("string") if binary else normal_text(raw, slot.datatype)
         if fail_on_bad_value and not binary:
             message = F.concat(F.lit(f"property {slot.prop.type}: not a {slot.datatype}: "), raw)
             value = F.when(raw.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
@@ -208,7 +209,7 @@ def entity_values(
     for slot in (s for d in mapping.definitions for s in fan.slots[d.alias]):
         ok = fan.ok(slot.definition.alias) & slot.value.isNotNull()
         if slot.many:
-            made = F.transform(slot.value, lambda v, slot=slot: struct(slot, v))
+            made = F.transform(slot.value, partial(struct, slot))
             many.append(F.when(ok, made).otherwise(F.array().cast(_VALUE_ARRAY)))
         else:
             single.append(F.when(ok, struct(slot, slot.value)))
@@ -289,12 +290,11 @@ def rejects(
     for i, d in enumerate(mapping.definitions):
         slots = fan.slots[d.alias]
         for slot in (s for s in slots if s.datatype not in ("Binary", "String")):
-            bad = F.lit(slot.value) if not slot.many else None
             if slot.many:
-                wrong = F.filter(slot.value, lambda v, slot=slot: _text_or_null(v, slot).isNull())
+                wrong = F.filter(slot.value, partial(_is_wrong, slot.datatype))
                 bad, is_bad = F.array_join(wrong, ","), F.size(wrong) > 0
             else:
-                is_bad = slot.value.isNotNull() & _text_or_null(slot.value, slot).isNull()
+                bad, is_bad = slot.value, _is_wrong(slot.datatype, slot.value)
             is_bad = fan.ok(d.alias) & is_bad
             found.append(F.when(is_bad, struct(d, slot.prop.type, bad, f"not a {slot.datatype}")))
         no_id = _any_value(slots) & is_blank(F.col(f"__{i}_id"))
@@ -310,7 +310,7 @@ def rejects(
 def binary_envelope(c: Column) -> Column:
     """JSON text ``{"content-type": ..., "data": base64}`` of a binary value."""
     return F.to_json(
-        F.struct(F.lit("application/octet-stream").alias("content-type"), F.base64(c).alias("data"))
+        F.struct(F.lit("application/octet-stream").alias("content-type"), base64_text(c).alias("data"))
     )
 
 

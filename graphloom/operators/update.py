@@ -54,7 +54,7 @@ def tombstones(log: DataFrame, touched: DataFrame, version: int, salts: int = 32
         "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     met = salted_log.join(salted_keys, [*keys, "__salt"], "left_semi").drop("__salt")
-    return _stamped(current(met), version)
+    return _stamped(current(met), -version)
 
 
 def changes(

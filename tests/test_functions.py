@@ -243,7 +243,7 @@ def test_uuid_and_boolean(spark):
 
 
 def test_blank_and_clean(spark):
-    texts = [None, "", " \t\n", " ", " ", "a", " é "]
+    texts = [None, "", " \t\n", "\u2003", "\u00a0", "a", " é "]
     blank = [True, True, True, True, False, False, False]
     assert on_texts(spark, text.is_blank, *texts) == blank
     assert on_texts(spark, text.not_blank, *texts) == [not b for b in blank]
