@@ -5,26 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from graphloom.functions.once import once
 from graphloom.functions.text import clean
 
 _WHOLE = r"^[+-]?[0-9]+$"
-# Spark reads these words in any case; only the exact spellings are numbers here.
-_WORDS = r"(?i)^[+-]?(inf|infinity|nan)$"
-_EXACT_WORDS = r"^[+-]?(Infinity|NaN)$"
+# Every text that is a number: decimal, hexadecimal, or one of two words in this spelling.
+_NUMBER = (
+    r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?"
+    r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[fFdD]?)$"
+)
 
 
 def parse_double(c: Column) -> Column:
-    t = clean(c)
-    number = t.try_cast("double")
-    return F.when(~t.rlike(_WORDS) | t.rlike(_EXACT_WORDS), number)
+    return once(clean(c), _double)
+
+
+def _double(t: Column) -> Column:
+    return F.when(t.rlike(_NUMBER), t.try_cast("double"))
 
 
 def parse_int(c: Column) -> Column:
     """Whole numbers as they are; other numbers lose their fraction, and what does
     not fit in 32 bits keeps its low 32 bits."""
-    t = clean(c)
-    whole = F.when(t.rlike(_WHOLE), t.try_cast("int"))
-    return F.coalesce(whole, _low_32_bits(parse_double(c)))
+
+    def parsed(t: Column) -> Column:
+        whole = F.when(t.rlike(_WHOLE), t.try_cast("int"))
+        return F.coalesce(whole, once(_double(t), _low_32_bits))
+
+    return once(clean(c), parsed)
 
 
 def _low_32_bits(d: Column) -> Column:
@@ -32,12 +40,12 @@ def _low_32_bits(d: Column) -> Column:
         d.cast("string").try_cast("decimal(38,0)")
     )
     low = F.pmod(exact, F.lit(2**32).cast("decimal(38,0)")).cast("bigint")
-    return F.when(low >= 2**31, low - 2**32).otherwise(low).try_cast("int")
+    wrapped = F.when(low >= 2**31, low - 2**32).otherwise(low).try_cast("int")
+    return F.when(F.abs(d) < 2.0**31, d.try_cast("int")).otherwise(wrapped)
 
 
 def _parse_whole(c: Column, kind: str) -> Column:
-    t = clean(c)
-    return F.when(t.rlike(_WHOLE), t.try_cast(kind))
+    return once(clean(c), lambda t: F.when(t.rlike(_WHOLE), t.try_cast(kind)))
 
 
 def parse_short(c: Column) -> Column:
@@ -50,20 +58,26 @@ def parse_long(c: Column) -> Column:
 
 def parse_uuid(c: Column) -> Column:
     """Canonical lower-case UUID text. Short groups are filled with zeros, long ones keep their end."""
-    t = clean(c)
-    groups = F.split(F.lower(t), "-")
     widths = (8, 4, 4, 4, 12)  # fixed values: the group lengths of a UUID
-    shown = [
-        F.right(F.concat(F.lit("0" * w), F.get(groups, i)), F.lit(w)) for i, w in enumerate(widths)
-    ]
-    valid = t.rlike(r"^[0-9A-Fa-f]{1,16}(-[0-9A-Fa-f]{1,16}){4}$") & (F.length(t) <= 36)
-    return F.when(valid, F.concat_ws("-", *shown))
+
+    def shown(groups: Column) -> Column:
+        padded = [
+            F.right(F.concat(F.lit("0" * w), F.get(groups, i)), F.lit(w)) for i, w in enumerate(widths)
+        ]
+        return F.concat_ws("-", *padded)
+
+    def parsed(t: Column) -> Column:
+        exact = t.rlike(r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$")
+        valid = t.rlike(r"^[0-9A-Fa-f]{1,16}(-[0-9A-Fa-f]{1,16}){4}$") & (F.length(t) <= 36)
+        groups = F.split(F.lower(t), "-")
+        return F.when(exact, F.lower(t)).when(valid, once(groups, shown))
+
+    return once(clean(c), parsed)
 
 
 def parse_boolean(c: Column) -> Column:
     """``yes``/``true`` are true, every other text is false, blank is null."""
-    t = F.lower(clean(c))
-    return F.when(t.isNotNull(), t.isin("yes", "true"))
+    return F.lower(clean(c)).isin("yes", "true")
 
 
 def int_text(c: Column) -> Column:

@@ -1,0 +1,17 @@
+"""A value that an expression uses many times but computes once."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it.
+
+    Without it the expression of the value is repeated at every use, and nested uses
+    grow past what Spark compiles.
+    """
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))

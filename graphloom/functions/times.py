@@ -15,6 +15,7 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from graphloom.functions.once import once
 from graphloom.functions.text import not_blank
 
 DEFAULT_PIVOT_YEAR = 2068  # two-digit years run from 1969 to 2068
@@ -33,11 +34,6 @@ _ISO = (
 )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body uses it."""
-    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
-
-
 def _unquoted(pattern: str) -> str:
     return re.sub(r"'[^']*'", "", pattern)
 
@@ -85,7 +81,7 @@ def _century(wall: Column, pivot_year: int) -> Column:
         return F.unix_date(day).cast("bigint") * _DAY + F.pmod(micros, F.lit(_DAY))
 
     return F.timestamp_micros(
-        _let(F.unix_micros(wall), lambda m: F.when(m >= limit, earlier(m)).otherwise(m))
+        once(F.unix_micros(wall), lambda m: F.when(m >= limit, earlier(m)).otherwise(m))
     )
 
 
@@ -111,7 +107,7 @@ def _uncorrected_wall(c: Column, pattern: str) -> Column:
 
 def _in_zone(wall: Column, tz: str) -> Column:
     """A clock reading in a zone; readings skipped by the clock change move forward."""
-    return _let(
+    return once(
         F.to_utc_timestamp(wall, tz),
         lambda instant: _pair(F.from_utc_timestamp(instant, tz), instant),
     )
@@ -128,7 +124,7 @@ def _moment(c: Column, pattern: str, tz: str, pivot_year: int) -> Column:
     if not _has_zone(pattern):
         return _in_zone(wall, tz)
     if _has_zone(_ZONE_AT_END.sub("", pattern)):
-        return _let(wall, lambda w: _pair(w, w))
+        return once(wall, lambda w: _pair(w, w))
 
     def paired(p: Column) -> Column:
         # The instant moves with the century of its reading.
@@ -137,15 +133,18 @@ def _moment(c: Column, pattern: str, tz: str, pivot_year: int) -> Column:
 
     instant = F.try_to_timestamp(c, F.lit(pattern))
     read = _uncorrected_wall(c, pattern)
-    return _let(
+    return once(
         F.struct(read.alias("read"), wall.alias("wall"), instant.alias("instant")), paired
     )
 
 
 def _first(c: Column, patterns: Sequence[str], parsed: Callable[[Column, str], Column]) -> Column:
     """What the first matching pattern gives; blank and the text NULL give null."""
-    text = F.when(not_blank(c) & (c != "NULL"), c)
-    return F.coalesce(*[F.when(text.rlike(_shape(p)), parsed(text, p)) for p in patterns])
+
+    def tried(text: Column) -> Column:
+        return F.coalesce(*[F.when(text.rlike(_shape(p)), parsed(text, p)) for p in patterns])
+
+    return once(c, lambda v: once(F.when(not_blank(v) & (v != "NULL"), v), tried))
 
 
 def _readings(c: Column, patterns: Sequence[str], pivot_year: int) -> Column:
@@ -187,7 +186,7 @@ def _offset_text(seconds: Column) -> Column:
         text = F.when(size % 60 == 0, text).otherwise(F.concat(text, F.lit(":"), ss))
         return F.when(s == 0, "Z").otherwise(text)
 
-    return _let(seconds, shown)
+    return once(seconds, shown)
 
 
 def _offset(moment: Column) -> Column:
@@ -199,7 +198,7 @@ def _iso_text(moment: Column) -> Column:
         text = F.concat(_short_text(m["wall"]), _offset_text(_offset(m)))
         return F.when(m.isNotNull(), text)
 
-    return _let(moment, shown)
+    return once(moment, shown)
 
 
 def utc_text(ts: Column) -> Column:
@@ -236,7 +235,7 @@ def shift_zone(
 ) -> Column:
     """The same instant shown in another zone; input without an offset is in UTC."""
     instant = datetime_instant(c, patterns, "UTC", pivot_year)
-    return _iso_text(_let(instant, lambda i: _pair(F.from_utc_timestamp(i, tz), i)))
+    return _iso_text(once(instant, lambda i: _pair(F.from_utc_timestamp(i, tz), i)))
 
 
 def date_value(
@@ -269,7 +268,7 @@ def parse_local_datetime(
             instant.alias("instant"),
         )
 
-    return _let(_let(_readings(c, patterns, pivot_year), placed), shown)
+    return once(once(_readings(c, patterns, pivot_year), placed), shown)
 
 
 def parse_local_time(

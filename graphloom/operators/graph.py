@@ -110,23 +110,32 @@ class _FanOut:
         for i, d in enumerate(mapping.definitions):
             for j, p in enumerate(d.properties):
                 made[f"__{i}_p{j}"] = run_chain(p.chain, row)
-        kinds = df.select(*[c.alias(n) for n, c in made.items()]).schema
+        made |= {
+            f"__{i}_id": run_chain(d.generator, row).cast("string")
+            for i, d in enumerate(mapping.definitions)
+            if d.generator is not None
+        }
+        made |= {
+            f"__{i}_if": d.condition(row)
+            for i, d in enumerate(mapping.definitions)
+            if d.condition is not None
+        }
+        # Chains are computed in a select of their own, since the steps after it use them often.
+        raw = df.select(*kept, *[c.alias(n) for n, c in made.items()])
+        kinds = raw.schema
         first: list[Column] = []
         for i, d in enumerate(mapping.definitions):
             self.slots[d.alias] = []
             for j, p in enumerate(d.properties):
                 name, datatype = f"__{i}_p{j}", catalog.datatype(p.type)
                 kind = kinds[name].dataType
-                first.append(_property_value(made[name], kind, datatype, p.type).alias(name))
+                first.append(_property_value(F.col(name), kind, datatype, p.type).alias(name))
                 self.slots[d.alias].append(
                     _Slot(d, p, name, isinstance(kind, T.ArrayType) and datatype != "Binary", datatype,
                           destination_of(d, p, catalog))
                 )
-            if d.generator is not None:
-                first.append(run_chain(d.generator, row).cast("string").alias(f"__{i}_id"))
-            if d.condition is not None:
-                first.append(d.condition(row).alias(f"__{i}_if"))
-        values = df.select(*kept, *first)
+        given = [n for n in made if n.endswith(("_id", "_if"))]
+        values = raw.select(*self.keep, *given, *first)
         number = {d.alias: i for i, d in enumerate(mapping.definitions)}
 
         ids = [

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.hashes import key_id
 from graphloom.functions.numbers import parse_uuid
-from graphloom.operators.skew import join_hot
+from graphloom.operators.skew import hot_keys, join_hot
 from graphloom.plans.catalog import ID_PROPERTY
 
 KEY = ("entity_set", "entity_id")
@@ -40,6 +40,7 @@ def with_ids(
     entity_set: str = "entity_set",
     entity_id: str = "entity_id",
     out: str = "key_id",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add the id of an entity key.
 
@@ -54,7 +55,7 @@ def with_ids(
         F.col("entity_id").alias(entity_id),
         F.col("key_id").alias("__known"),
     )
-    joined = join_hot(rows, known, [entity_set, entity_id])
+    joined = join_hot(rows, known, [entity_set, entity_id], hot=hot)
     return joined.withColumn(out, F.coalesce("__known", assigned)).drop("__known")
 
 
@@ -76,13 +77,30 @@ def assign_ids(values: DataFrame, registry: DataFrame | None = None, explicit: b
 
 def edge_ids(edges: DataFrame, registry: DataFrame | None = None) -> DataFrame:
     """Edges with the ids of edge, source and destination; distinct when a registry is joined."""
+    hot = None
     if registry is not None:
         edges = edges.distinct()
+        # One look for hot keys serves the three joins.
+        hot = hot_keys(edges.select(_ends("edge", "src", "dst").alias("e")).select("e.*"), KEY)
     for end in ("edge", "src", "dst"):
-        edges = with_ids(edges, registry, f"{end}_set", f"{end}_id", f"{end}_key_id")
+        edges = with_ids(edges, registry, f"{end}_set", f"{end}_id", f"{end}_key_id", hot)
     return edges
 
 
+def _ends(*ends: str) -> Column:
+    """Rows (end, entity_set, entity_id) of the given ends of an edge."""
+    return F.explode(
+        F.array(*[
+            F.struct(
+                F.lit(end).alias("end"),
+                F.col(f"{end}_set").alias("entity_set"),
+                F.col(f"{end}_id").alias("entity_id"),
+            )
+            for end in ends
+        ])
+    )
+
+
 EDGE_KEY = ("edge_set", "edge_key_id", "src_set", "src_key_id", "dst_set", "dst_key_id")
 
 
@@ -95,17 +113,7 @@ def dangling_ends(edges: DataFrame, keys: DataFrame) -> DataFrame:
 
     Ends are made distinct before the join, so an end that many edges share is one row there.
     """
-    ends = F.explode(
-        F.array(*[
-            F.struct(
-                F.lit(end).alias("end"),
-                F.col(f"{end}_set").alias("entity_set"),
-                F.col(f"{end}_id").alias("entity_id"),
-            )
-            for end in ("src", "dst")
-        ])
-    )
-    found = edges.select(ends.alias("e")).select("e.*").distinct()
+    found = edges.select(_ends("src", "dst").alias("e")).select("e.*").distinct()
     return found.join(entity_keys(keys), list(KEY), "left_anti").select("end", *KEY)
 
 

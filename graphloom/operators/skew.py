@@ -4,11 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "__salt"
-_SALTS = "__salts"
+# A key with more left rows than this is spread, in parts of about this size.
+ROWS_PER_TASK = 1_000_000
+# How many hot keys are looked for, and how many a counter tracks on the way. A key
+# with more than about 1/1500 of the rows is always found.
+_LISTED, _TRACKED = 500, 2_000
+
+_KEY, _SALT, _SALTS = "__hot", "__salt", "__salts"
+
+
+def _hash(on: Sequence[str | Column]) -> Column:
+    return F.xxhash64(*on)
+
+
+def hot_keys(rows: DataFrame, on: Sequence[str | Column], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Hashes of the keys with many rows, and over how many tasks to spread each.
+
+    Every task counts its own frequent keys, and only these counts are brought together:
+    at most ``_LISTED`` rows come out, whatever the number of keys.
+    """
+    counted = rows.select(F.call_function("approx_top_k", _hash(on), F.lit(_LISTED), F.lit(_TRACKED)).alias("top"))
+    return (
+        counted.select(F.inline("top").alias(_KEY, "__count"))
+        .where(F.col("__count") > rows_per_task)
+        .select(_KEY, F.ceil(F.col("__count") / rows_per_task).cast("int").alias(_SALTS))
+    )
 
 
 def join_hot(
@@ -16,40 +39,36 @@ def join_hot(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    hot_rows: int = 1_000_000,
-    hot_keys: int = 1_000,
-    salts: int = 256,
+    hot: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join ``left`` to ``right`` with the hot left keys spread over ``salts`` tasks each.
+    """Join ``left`` to ``right`` with the left rows of each hot key spread over many tasks.
 
-    The hot keys are at most ``hot_keys`` keys with at least ``hot_rows`` left rows, so
-    the list that is broadcast stays small. Right rows of these keys, and of no other, are
-    repeated once per salt. Keys past the list join unsalted, so the result is whole.
-    Left rows with a null key match nothing and are spread too.
+    The right rows of a hot key, and of no other, are repeated once per part. What the
+    search for hot keys misses joins unsalted, so the result is whole in any case. Left rows
+    with a null key match nothing and are spread like a hot key. Spreading goes by the
+    whole left row: rows that may be equal in all columns should be made distinct first.
+
+    ``hot`` is the result of :func:`hot_keys` where it serves more than one join.
     """
     on = list(on)
-    hot = (
-        left.groupBy(*on)
-        .count()
-        .where(F.col("count") >= hot_rows)
-        .orderBy(F.desc("count"))
-        .limit(hot_keys)
-        .select(*on, F.lit(salts).alias(_SALTS))
-    )
-    spread = F.col(_SALTS).isNotNull()
+    if hot is None:
+        hot = hot_keys(left, on, rows_per_task)
+    spread = F.broadcast(hot)  # at most _LISTED rows
+    has_null = F.lit(False)
     for key in on:
-        spread = spread | F.col(key).isNull()
+        has_null = has_null | F.col(key).isNull()
+    parts = F.when(has_null, F.lit(10_000)).otherwise(F.coalesce(_SALTS, F.lit(1)))
     salted_left = (
-        left.join(F.broadcast(hot), on, "left")
-        .withColumn(
-            _SALT,
-            F.when(spread, F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")).otherwise(0),
-        )
-        .drop(_SALTS)
+        left.withColumn(_KEY, _hash(on))
+        .join(spread, _KEY, "left")
+        .withColumn(_SALT, F.pmod(F.xxhash64(*left.columns), parts).cast("int"))
+        .drop(_KEY, _SALTS)
     )
     salted_right = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
-        .drop(_SALTS)
+        right.withColumn(_KEY, _hash(on))
+        .join(spread, _KEY, "left")
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1)))
+        .drop(_KEY, _SALTS)
     )
     return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.hashes import value_hash
 from graphloom.operators.ids import EDGE_KEY
+from graphloom.operators.skew import join_hot
 
 VALUE_KEY = ("entity_set", "key_id", "property", "value_hash")
 LOG_SCHEMA = (
@@ -41,19 +42,14 @@ def _stamped(rows: DataFrame, version: int) -> DataFrame:
     return rows.withColumn("version", stamp).withColumn("versions", F.array(stamp)).select(*_COLUMNS)
 
 
-def tombstones(log: DataFrame, touched: DataFrame, version: int, salts: int = 32) -> DataFrame:
+def tombstones(log: DataFrame, touched: DataFrame, version: int) -> DataFrame:
     """Log rows that end the current values of the touched keys.
 
     ``touched`` has the columns entity_set and key_id, and property where only some
-    properties are ended. It is repeated once per salt, which spreads the values of an
-    entity over that many tasks.
+    properties are ended. The values of a hot entity are spread over many tasks.
     """
     keys = [c for c in ("entity_set", "key_id", "property") if c in touched.columns]
-    salted_log = log.withColumn("__salt", F.pmod(F.xxhash64("value_hash"), F.lit(salts)).cast("int"))
-    salted_keys = touched.select(*keys).distinct().withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    met = salted_log.join(salted_keys, [*keys, "__salt"], "left_semi").drop("__salt")
+    met = join_hot(log, touched.select(*keys).distinct(), keys, "left_semi")
     return _stamped(current(met), -version)
 
 
@@ -87,7 +83,7 @@ def state_of(log: DataFrame, unversioned: Iterable[str] = ()) -> DataFrame:
         F.max_by("version", F.abs("version")).alias("version"),
         F.flatten(F.collect_list("versions")).alias("versions"),
     )
-    ordered = _by_age(F.array_distinct("versions"))
+    ordered = _by_age(F.col("versions"))
     sets = list(unversioned)
     if sets:
         alone = F.array("version")
@@ -96,7 +92,9 @@ def state_of(log: DataFrame, unversioned: Iterable[str] = ()) -> DataFrame:
 
 
 def _by_age(versions: Column) -> Column:
-    return F.array_sort(versions, lambda a, b: F.signum(F.abs(a) - F.abs(b)).cast("int"))
+    aged = F.transform(versions, lambda v: F.struct(F.abs(v).alias("age"), v.alias("version")))
+    ordered = F.transform(F.array_sort(F.array_distinct(aged)), lambda a: a["version"])
+    return F.when(F.size(versions) == 1, versions).otherwise(ordered)
 
 
 def current(log: DataFrame) -> DataFrame:
