@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,7 +79,8 @@ def read_object_store(
 
     Empty objects are left out. An empty prefix reads all of the bucket.
     """
-    path = f"{root.rstrip('/')}/{prefix}*"
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", prefix)
+    path = f"{root.rstrip('/')}/{literal}*"
     reader = spark.read.format("xml").option("rowTag", row_tag)
     reader = reader.option("attributePrefix", "").option("inferSchema", False)
     # Keys have no folders: everything that starts with the prefix counts, at any depth.
