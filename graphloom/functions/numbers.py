@@ -5,47 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from graphloom.functions.once import once
-from graphloom.functions.text import clean
+from graphloom.functions.text import clean, trim_control
 
-_WHOLE = r"^[+-]?[0-9]+$"
+# Control characters and spaces around a number are read over, by these and by the casts.
+_WHOLE = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
 # Every text that is a number: decimal, hexadecimal, or one of two words in this spelling.
 _NUMBER = (
-    r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?"
-    r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[fFdD]?)$"
+    r"^[\x00-\x20]*[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?"
+    r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+[fFdD]?)[\x00-\x20]*$"
 )
 
 
 def parse_double(c: Column) -> Column:
-    return once(clean(c), _double)
-
-
-def _double(t: Column) -> Column:
-    return F.when(t.rlike(_NUMBER), t.try_cast("double"))
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
 def parse_int(c: Column) -> Column:
     """Whole numbers as they are; other numbers lose their fraction, and what does
     not fit in 32 bits keeps its low 32 bits."""
-
-    def parsed(t: Column) -> Column:
-        whole = F.when(t.rlike(_WHOLE), t.try_cast("int"))
-        return F.coalesce(whole, once(_double(t), _low_32_bits))
-
-    return once(clean(c), parsed)
+    whole = F.when(c.rlike(_WHOLE), c.try_cast("int"))
+    return F.coalesce(whole, _low_32_bits(parse_double(c)))
 
 
 def _low_32_bits(d: Column) -> Column:
     exact = F.when(F.abs(d) < 2.0**53, d.try_cast("bigint").cast("decimal(38,0)")).otherwise(
         d.cast("string").try_cast("decimal(38,0)")
     )
-    low = F.pmod(exact, F.lit(2**32).cast("decimal(38,0)")).cast("bigint")
-    wrapped = F.when(low >= 2**31, low - 2**32).otherwise(low).try_cast("int")
-    return F.when(F.abs(d) < 2.0**31, d.try_cast("int")).otherwise(wrapped)
+    # Moved by half the range, so that one remainder also gives the sign.
+    half = F.lit(2**31).cast("decimal(38,0)")
+    wrapped = F.pmod(exact + half, F.lit(2**32).cast("decimal(38,0)")) - half
+    return F.when(F.abs(d) < 2.0**31, d.try_cast("int")).otherwise(wrapped.try_cast("int"))
 
 
 def _parse_whole(c: Column, kind: str) -> Column:
-    return once(clean(c), lambda t: F.when(t.rlike(_WHOLE), t.try_cast(kind)))
+    return F.when(c.rlike(_WHOLE), c.try_cast(kind))
 
 
 def parse_short(c: Column) -> Column:
@@ -58,21 +51,15 @@ def parse_long(c: Column) -> Column:
 
 def parse_uuid(c: Column) -> Column:
     """Canonical lower-case UUID text. Short groups are filled with zeros, long ones keep their end."""
+    t = trim_control(c)
+    exact = t.rlike(r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$")
+    valid = t.rlike(r"^[0-9A-Fa-f]{1,16}(-[0-9A-Fa-f]{1,16}){4}$") & (F.length(t) <= 36)
+    groups = F.split(F.lower(t), "-")
     widths = (8, 4, 4, 4, 12)  # fixed values: the group lengths of a UUID
-
-    def shown(groups: Column) -> Column:
-        padded = [
-            F.right(F.concat(F.lit("0" * w), F.get(groups, i)), F.lit(w)) for i, w in enumerate(widths)
-        ]
-        return F.concat_ws("-", *padded)
-
-    def parsed(t: Column) -> Column:
-        exact = t.rlike(r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$")
-        valid = t.rlike(r"^[0-9A-Fa-f]{1,16}(-[0-9A-Fa-f]{1,16}){4}$") & (F.length(t) <= 36)
-        groups = F.split(F.lower(t), "-")
-        return F.when(exact, F.lower(t)).when(valid, once(groups, shown))
-
-    return once(clean(c), parsed)
+    padded = [
+        F.right(F.concat(F.lit("0" * w), F.get(groups, i)), F.lit(w)) for i, w in enumerate(widths)
+    ]
+    return F.when(exact, F.lower(t)).when(valid, F.concat_ws("-", *padded))
 
 
 def parse_boolean(c: Column) -> Column:

@@ -1,37 +1,33 @@
 """Date and time parsing by pattern lists, with ISO texts that keep the offset.
 
-A clock reading ("wall") is held as a timestamp as if it were UTC. A parsed value is a
-struct of a reading and the instant; their difference is the offset. None of it
-depends on the session time zone. Patterns are those of Spark's ``to_timestamp``,
-so ``MM`` wants two digits and ``M`` takes one or two.
+A clock reading ("wall") is held as a timestamp as if it were UTC, and an offset as its
+microseconds. None of it depends on the session time zone. Patterns are those of
+Spark's ``to_timestamp``, so ``MM`` wants two digits and ``M`` takes one or two.
+
+The expressions use each parsed value as few times as they can: what is repeated in an
+expression is repeated in the code that Spark compiles from it.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from graphloom.functions.once import once
-from graphloom.functions.text import not_blank
-
 DEFAULT_PIVOT_YEAR = 2068  # two-digit years run from 1969 to 2068
 
 _DAY = 86_400_000_000  # in microseconds
 _ZONE_LETTERS = "XxZzVO"
 _ZONE_AT_END = re.compile(rf"\s*[{_ZONE_LETTERS}]+$")
 _OFFSET_AT_END = r"\s*([+-]\d{2}(:?\d{2}){0,2}|[Zz])$"
-_ISO = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mmXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm",
-)
+# ISO input is read by a cast and not by a pattern; these stand for it in a list of patterns.
+_ISO, _ISO_WITH_OFFSET = "ISO", "ISO with offset"
+_ISO_TEXT = r"^\d{4}-\d\d-\d\dT\d\d:\d\d(:\d\d(\.\d{1,9})?)?"
+_SHAPES = {_ISO: _ISO_TEXT + "$", _ISO_WITH_OFFSET: _ISO_TEXT + r"(Z|[+-]\d\d:\d\d)$"}
 
 
 def _unquoted(pattern: str) -> str:
@@ -39,10 +35,14 @@ def _unquoted(pattern: str) -> str:
 
 
 def _has_zone(pattern: str) -> bool:
+    if pattern in _SHAPES:
+        return pattern == _ISO_WITH_OFFSET
     return any(letter in _unquoted(pattern) for letter in _ZONE_LETTERS)
 
 
 def _has_short_year(pattern: str) -> bool:
+    if pattern in _SHAPES:
+        return False
     return re.search(r"(?<![yu])[yu]{2}(?![yu])", _unquoted(pattern)) is not None
 
 
@@ -50,8 +50,10 @@ def _shape(pattern: str) -> str:
     """Regular expression that every text of a pattern matches.
 
     It turns most other texts away before the far slower try at parsing them. Patterns
-    with optional or adjoining parts it cannot tell apart match any text.
+    with optional parts match any text.
     """
+    if pattern in _SHAPES:
+        return _SHAPES[pattern]
     if re.search(r"[\[\]]|''", pattern):
         return "(?s).*"
     pieces = re.findall(r"'([^']*)'|(([A-Za-z])\3*)|(.)", pattern, re.DOTALL)
@@ -71,95 +73,81 @@ def _piece(quoted: str, run: str, other: str) -> str:
     return re.escape(quoted) if quoted else re.escape(other)
 
 
+def _ntz(ts: Column) -> Column:
+    """A clock reading as a timestamp without zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+
+
 def _century(wall: Column, pivot_year: int) -> Column:
     """Two-digit years come out as 20xx; those past the pivot belong to the century before."""
     limit = (date(pivot_year + 1, 1, 1) - date(1970, 1, 1)).days * _DAY
-
-    def earlier(micros: Column) -> Column:
-        # The shift is in months so that 29 February stays a valid day.
-        day = F.add_months(F.date_from_unix_date(F.floor(micros / F.lit(_DAY)).cast("int")), -1200)
-        return F.unix_date(day).cast("bigint") * _DAY + F.pmod(micros, F.lit(_DAY))
-
-    return F.timestamp_micros(
-        once(F.unix_micros(wall), lambda m: F.when(m >= limit, earlier(m)).otherwise(m))
+    # Counted without zone, and in months, so that 29 February stays a valid day.
+    earlier = F.timestamp_diff(
+        "MICROSECOND",
+        F.expr("timestamp_ntz'1970-01-01 00:00:00'"),
+        F.timestamp_add("MONTH", F.lit(-1200), _ntz(wall)),
     )
+    return F.when(F.unix_micros(wall) >= limit, F.timestamp_micros(earlier)).otherwise(wall)
 
 
-def _wall(c: Column, pattern: str, pivot_year: int) -> Column:
-    """Clock reading by one pattern; an offset at the end is read over."""
-    wall = _uncorrected_wall(c, pattern)
-    return _century(wall, pivot_year) if _has_short_year(pattern) else wall
+def _with_seconds(iso: Column) -> Column:
+    """ISO text with its seconds, which a cast asks for."""
+    return F.regexp_replace(iso, r"(T\d\d:\d\d)(?![:\d])", "$1:00")
 
 
-def _uncorrected_wall(c: Column, pattern: str) -> Column:
-    """Clock reading with two-digit years as 20xx.
-
-    The pattern is parsed as text in UTC, which keeps the session zone out of it.
-    """
-    bare = _ZONE_AT_END.sub("", pattern) if _has_zone(pattern) else pattern
-    if _has_zone(bare):  # the zone stands inside the text: read in UTC
-        return F.try_to_timestamp(c, F.lit(pattern))
-    if bare == pattern:
-        return F.try_to_timestamp(F.concat(c, F.lit(" +00:00")), F.lit(f"{bare} XXX"))
-    text = F.concat(F.regexp_replace(c, _OFFSET_AT_END, ""), F.lit(" +00:00"))
-    return F.when(c.rlike(_OFFSET_AT_END), F.try_to_timestamp(text, F.lit(f"{bare} XXX")))
+def _in_utc(text: Column, pattern: str) -> Column:
+    """A text without offset read as UTC, which keeps the session zone out of it."""
+    if pattern in _SHAPES:
+        return F.concat(_with_seconds(text), F.lit("Z")).try_cast("timestamp")
+    return F.try_to_timestamp(F.concat(text, F.lit(" +00:00")), F.lit(f"{pattern} XXX"))
 
 
-def _in_zone(wall: Column, tz: str) -> Column:
-    """A clock reading in a zone; readings skipped by the clock change move forward."""
-    return once(
-        F.to_utc_timestamp(wall, tz),
-        lambda instant: _pair(F.from_utc_timestamp(instant, tz), instant),
-    )
+def _instant(c: Column, pattern: str) -> Column:
+    """The instant of a text with offset."""
+    if pattern in _SHAPES:
+        return _with_seconds(c).try_cast("timestamp")
+    return F.try_to_timestamp(c, F.lit(pattern))
 
 
-def _pair(wall: Column, instant: Column) -> Column:
-    both = F.struct(wall.alias("wall"), instant.alias("instant"))
-    return F.when(wall.isNotNull() & instant.isNotNull(), both)
+def _read(c: Column, pattern: str) -> Column:
+    """Clock reading with two-digit years as 20xx; an offset at the end is read over."""
+    if not _has_zone(pattern):
+        return _in_utc(c, pattern)
+    bare = _ZONE_AT_END.sub("", pattern)
+    if pattern not in _SHAPES and _has_zone(bare):  # the zone stands inside the text: read in UTC
+        return _instant(c, pattern)
+    text = F.regexp_replace(c, _OFFSET_AT_END, "")
+    return F.when(c.rlike(_OFFSET_AT_END), _in_utc(text, bare))
 
 
-def _moment(c: Column, pattern: str, tz: str, pivot_year: int) -> Column:
-    """Reading and instant by one pattern; the zone is for patterns without one."""
-    wall = _wall(c, pattern, pivot_year)
-    if not _has_zone(pattern):
-        return _in_zone(wall, tz)
-    if _has_zone(_ZONE_AT_END.sub("", pattern)):
-        return once(wall, lambda w: _pair(w, w))
-
-    def paired(p: Column) -> Column:
-        # The instant moves with the century of its reading.
-        offset = F.unix_micros(p["read"]) - F.unix_micros(p["instant"])
-        return _pair(p["wall"], F.timestamp_micros(F.unix_micros(p["wall"]) - offset))
-
-    instant = F.try_to_timestamp(c, F.lit(pattern))
-    read = _uncorrected_wall(c, pattern)
-    return once(
-        F.struct(read.alias("read"), wall.alias("wall"), instant.alias("instant")), paired
-    )
+def _wall(c: Column, pattern: str, pivot_year: int) -> Column:
+    read = _read(c, pattern)
+    return _century(read, pivot_year) if _has_short_year(pattern) else read
 
 
-def _first(c: Column, patterns: Sequence[str], parsed: Callable[[Column, str], Column]) -> Column:
-    """What the first matching pattern gives; blank and the text NULL give null."""
+def _first(c: Column, patterns: Iterable[str], parsed: Callable[[str], Column]) -> Column:
+    """What the first matching pattern gives. Blank texts and words match none."""
+    return F.coalesce(*[F.when(c.rlike(_shape(p)), parsed(p)) for p in patterns])
 
-    def tried(text: Column) -> Column:
-        return F.coalesce(*[F.when(text.rlike(_shape(p)), parsed(text, p)) for p in patterns])
 
-    return once(c, lambda v: once(F.when(not_blank(v) & (v != "NULL"), v), tried))
+def _readings(c: Column, patterns: Iterable[str], pivot_year: int) -> Column:
+    return _first(c, patterns, lambda p: _wall(c, p, pivot_year))
 
 
-def _readings(c: Column, patterns: Sequence[str], pivot_year: int) -> Column:
-    return _first(c, patterns, lambda text, p: _wall(text, p, pivot_year))
+def _offsets(c: Column, patterns: Iterable[str]) -> Column:
+    """Offset of the first matching pattern, all of which have one."""
+    return _first(c, patterns, lambda p: F.unix_micros(_read(c, p)) - F.unix_micros(_instant(c, p)))
 
 
-def _moments(c: Column, patterns: Sequence[str], tz: str, pivot_year: int) -> Column:
-    return _first(c, [*patterns, *_ISO], lambda text, p: _moment(text, p, tz, pivot_year))
+def _runs(patterns: Sequence[str]) -> list[tuple[bool, list[str]]]:
+    """The patterns and ISO input, in order, cut where those with and without offset meet."""
+    every = [*patterns, _ISO_WITH_OFFSET, _ISO]
+    return [(zoned, list(run)) for zoned, run in groupby(every, _has_zone)]
 
 
 def _wall_text(wall: Column) -> Column:
-    """``yyyy-MM-ddTHH:mm:ss[.f]`` of a clock reading, whatever the session zone."""
-    start = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    text = F.timestamp_add("MICROSECOND", F.unix_micros(wall), start).cast("string")
-    return F.replace(text, F.lit(" "), F.lit("T"))
+    """``yyyy-MM-ddTHH:mm:ss[.f]`` of a clock reading."""
+    return F.replace(_ntz(wall).cast("string"), F.lit(" "), F.lit("T"))
 
 
 def _short_text(wall: Column) -> Column:
@@ -175,30 +163,25 @@ def _millis_text(wall: Column) -> Column:
     return F.substring(F.concat(text, F.lit("00")), 1, 23)
 
 
-def _offset_text(seconds: Column) -> Column:
+def _offset_text(micros: Column) -> Column:
     """``Z`` or ``+hh:mm``, with seconds where there are any."""
-
-    def shown(s: Column) -> Column:
-        size = F.abs(s)
-        parts = [F.floor(size / 3600), F.floor(size % 3600 / 60), size % 60]
-        hh, mm, ss = [F.lpad(p.cast("string"), 2, "0") for p in parts]
-        text = F.concat(F.when(s < 0, "-").otherwise("+"), hh, F.lit(":"), mm)
-        text = F.when(size % 60 == 0, text).otherwise(F.concat(text, F.lit(":"), ss))
-        return F.when(s == 0, "Z").otherwise(text)
-
-    return once(seconds, shown)
+    seconds = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
+    interval = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds).cast("string")
+    # An interval shows as INTERVAL '-0 08:00:00' DAY TO SECOND.
+    text = F.regexp_extract(interval, r"'(-?0 \d\d:\d\d(?::(?!00)\d\d)?)", 1)
+    text = F.replace(text, F.lit("-0 "), F.lit("-"))
+    text = F.replace(text, F.lit("0 "), F.lit("+"))
+    return F.replace(text, F.lit("+00:00"), F.lit("Z"))
 
 
-def _offset(moment: Column) -> Column:
-    return F.unix_seconds(moment["wall"]) - F.unix_seconds(moment["instant"])
+def _text_in_zone(instant: Column, tz: str) -> Column:
+    wall = F.from_utc_timestamp(instant, tz)
+    return F.concat(_short_text(wall), _offset_text(F.unix_micros(wall) - F.unix_micros(instant)))
 
 
-def _iso_text(moment: Column) -> Column:
-    def shown(m: Column) -> Column:
-        text = F.concat(_short_text(m["wall"]), _offset_text(_offset(m)))
-        return F.when(m.isNotNull(), text)
-
-    return once(moment, shown)
+def _placed_text(wall: Column, tz: str) -> Column:
+    """A clock reading in a zone; readings skipped by the clock change move forward."""
+    return utc_text(wall) if tz == "UTC" else _text_in_zone(F.to_utc_timestamp(wall, tz), tz)
 
 
 def utc_text(ts: Column) -> Column:
@@ -210,7 +193,14 @@ def datetime_instant(
     c: Column, patterns: Sequence[str], tz: str = "UTC", pivot_year: int = DEFAULT_PIVOT_YEAR
 ) -> Column:
     """Point in time by the first matching pattern, ISO input included."""
-    return _moments(c, patterns, tz, pivot_year)["instant"]
+
+    def of(zoned: bool, run: list[str]) -> Column:
+        wall = _readings(c, run, pivot_year)
+        if zoned:
+            return F.timestamp_micros(F.unix_micros(wall) - _offsets(c, run))
+        return wall if tz == "UTC" else F.to_utc_timestamp(wall, tz)
+
+    return F.coalesce(*[of(zoned, run) for zoned, run in _runs(patterns)])
 
 
 def datetime_text(
@@ -220,22 +210,28 @@ def datetime_text(
 
     The zone is used for input without an offset.
     """
-    return _iso_text(_moments(c, patterns, tz, pivot_year))
+
+    def of(zoned: bool, run: list[str]) -> Column:
+        wall = _readings(c, run, pivot_year)
+        if zoned:
+            return F.concat(_short_text(wall), _offset_text(_offsets(c, run)))
+        return _placed_text(wall, tz)
+
+    return F.coalesce(*[of(zoned, run) for zoned, run in _runs(patterns)])
 
 
 def shift_offset(
     c: Column, patterns: Sequence[str], tz: str = "UTC", pivot_year: int = DEFAULT_PIVOT_YEAR
 ) -> Column:
     """Keep the clock reading and replace the offset by the zone's."""
-    return _iso_text(_in_zone(_readings(c, [*patterns, *_ISO], pivot_year), tz))
+    return _placed_text(_readings(c, [*patterns, _ISO_WITH_OFFSET, _ISO], pivot_year), tz)
 
 
 def shift_zone(
     c: Column, patterns: Sequence[str], tz: str = "UTC", pivot_year: int = DEFAULT_PIVOT_YEAR
 ) -> Column:
     """The same instant shown in another zone; input without an offset is in UTC."""
-    instant = datetime_instant(c, patterns, "UTC", pivot_year)
-    return _iso_text(once(instant, lambda i: _pair(F.from_utc_timestamp(i, tz), i)))
+    return _text_in_zone(datetime_instant(c, patterns, "UTC", pivot_year), tz)
 
 
 def date_value(
@@ -255,20 +251,13 @@ def parse_local_datetime(
 ) -> Column:
     """Clock reading by the first matching pattern, placed in the zone, with milliseconds always
     shown. An offset in the text is read over; a reading the zone skips gives null."""
-
-    def shown(m: Column) -> Column:
-        text = F.concat(_millis_text(m["wall"]), _offset_text(_offset(m)))
-        return F.when(m["read"] == m["wall"], text)
-
-    def placed(wall: Column) -> Column:
-        instant = F.to_utc_timestamp(wall, tz)
-        return F.struct(
-            wall.alias("read"),
-            F.from_utc_timestamp(instant, tz).alias("wall"),
-            instant.alias("instant"),
-        )
-
-    return once(once(_readings(c, patterns, pivot_year), placed), shown)
+    read = _readings(c, patterns, pivot_year)
+    if tz == "UTC":
+        return F.concat(_millis_text(read), F.lit("Z"))
+    instant = F.to_utc_timestamp(read, tz)
+    wall = F.from_utc_timestamp(instant, tz)
+    offset = _offset_text(F.unix_micros(wall) - F.unix_micros(instant))
+    return F.when(read == wall, F.concat(_millis_text(wall), offset))
 
 
 def parse_local_time(
