@@ -58,18 +58,24 @@ def changes(
 ) -> DataFrame:
     """Log rows that an update adds. Entity sets without an update type merge."""
     incoming = incoming_rows(values, version)
-    added = incoming
-    replaced = [s for s, kind in update_types.items() if kind == "Replace"]
-    partly = [s for s, kind in update_types.items() if kind == "PartialReplace"]
-    if replaced:
-        ended = values.where(F.col("entity_set").isin(replaced)).select("entity_set", "key_id")
-        old = log.where(F.col("entity_set").isin(replaced))
-        added = added.unionByName(tombstones(old, ended, version))
-    if partly:
-        ended = values.where(F.col("entity_set").isin(partly)).select("entity_set", "key_id", "property")
-        old = log.where(F.col("entity_set").isin(partly))
-        added = added.unionByName(tombstones(old, ended, version))
-    return added
+    ended = endings(log, incoming, version, update_types)
+    return incoming if ended is None else incoming.unionByName(ended)
+
+
+def endings(
+    log: DataFrame, incoming: DataFrame, version: int, update_types: MappingType[str, str]
+) -> DataFrame | None:
+    """Tombstones for what the incoming rows replace; None where every set merges."""
+    scopes = {"Replace": ("entity_set", "key_id"), "PartialReplace": ("entity_set", "key_id", "property")}
+    found = None
+    for kind, scope in scopes.items():
+        sets = [s for s, given in update_types.items() if given == kind]
+        if not sets:
+            continue
+        of_sets = F.col("entity_set").isin(sets)
+        ended = tombstones(log.where(of_sets), incoming.where(of_sets).select(*scope), version)
+        found = ended if found is None else found.unionByName(ended)
+    return found
 
 
 def state_of(log: DataFrame, unversioned: Iterable[str] = ()) -> DataFrame:

@@ -47,11 +47,11 @@ class Store:
 
         return rows(table).join(rows("commits").select("batch"), "batch", "left_semi").drop("batch")
 
-    def _write(self, rows: DataFrame, table: str, version: int) -> None:
+    def _write(self, rows: DataFrame, table: str, version: int, mode: str = "overwrite") -> None:
         # Rebalancing cuts the files to size, also where one entity set holds most rows.
         partitions = _PARTITIONS.get(table, [])
         target = f"{self.path}/{table}/batch={version}"
-        rows.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(target)
+        rows.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).parquet(target)
 
     def _commit(self, version: int) -> None:
         done = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
@@ -84,12 +84,17 @@ class Store:
         and grow by at least 2."""
         if version < 1:
             raise ValueError("versions start at 1")
-        added = update.changes(self.log(before=version), values, version, update_types or {})
-        self._write(added, "values", version)
+        target = f"{self.path}/values/batch={version}"
+        self._write(update.incoming_rows(values, version), "values", version)
+        # From here on the written rows are read, so the source is mapped once.
+        incoming = self.spark.read.schema(update.LOG_SCHEMA).parquet(target)
+        ended = update.endings(self.log(before=version), incoming, version, update_types or {})
+        if ended is not None:
+            self._write(ended, "values", version, "append")
         if edges is not None:
             self._write(update.edge_rows(edges, version), "edges", version)
-        written = self.spark.read.schema(update.LOG_SCHEMA).parquet(f"{self.path}/values/batch={version}")
-        self._write(update.committed_entities(written), "entities", version)
+        written = update.committed_entities(self.spark.read.schema(update.LOG_SCHEMA).parquet(target))
+        self._write(written, "entities", version)
         self._commit(version)
 
     def compact(self, path: str, version: int) -> Store:

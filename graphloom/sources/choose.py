@@ -42,8 +42,7 @@ def read_source(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
         if kind == "S3":
             if len(rest) < 2:
                 raise ValueError("an S3 origin needs region, root and, if wanted, a prefix")
-            spark.conf.set("spark.hadoop.fs.s3a.endpoint.region", rest[0])
-            return read_object_store(spark, rest[1], spec["row_tag"], *rest[2:3])
+            return read_object_store(spark, rest[1], spec["row_tag"], *rest[2:3], region=rest[0])
         if kind == "local":
             if not rest:
                 raise ValueError("a local origin needs a path")

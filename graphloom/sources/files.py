@@ -74,10 +74,12 @@ def read_object_store(
     row_tag: str,
     prefix: str = "",
     schema: T.StructType | str | None = None,
+    region: str | None = None,
 ) -> DataFrame:
     """XML objects under ``root`` (such as ``s3a://bucket``) whose key starts with ``prefix``.
 
-    Empty objects are left out. An empty prefix reads all of the bucket.
+    Empty objects are left out. An empty prefix reads all of the bucket. Spark takes names
+    that start with a dot or an underscore as hidden and leaves them out too.
     """
     literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", prefix)
     path = f"{root.rstrip('/')}/{literal}*"
@@ -87,4 +89,6 @@ def read_object_store(
     reader = reader.option("recursiveFileLookup", True)
     if schema is not None:
         reader = reader.schema(schema)
+    if region is not None:
+        reader = reader.option("fs.s3a.endpoint.region", region)
     return flattened(reader.load(path).where(F.col("_metadata.file_size") > 0))

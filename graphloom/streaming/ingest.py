@@ -9,6 +9,7 @@ from graphloom.operators import graph, ids
 from graphloom.plans.catalog import ID_PROPERTY, Catalog
 from graphloom.plans.mapping import NO_OP, Mapping
 from graphloom.sinks.store import Store
+from graphloom.sources.scratch import written
 
 
 def integrate(
@@ -18,8 +19,16 @@ def integrate(
     store: Store,
     version: int,
     registry: DataFrame | None = None,
+    stage: bool = False,
 ) -> None:
-    """Map rows, give ids, and write values and edges as one batch of the store."""
+    """Map rows, give ids, and write values and edges as one batch of the store.
+
+    Values and edges are mapped from the rows one after the other. ``stage`` writes the rows
+    to a shared folder first, for sources that are slow to read or may change in between,
+    as a database does.
+    """
+    if stage:
+        rows = written(rows, "staged-rows")
     explicit = any(p.type == ID_PROPERTY for d in mapping.definitions for p in d.properties)
     values = graph.entity_values(rows, mapping, catalog)
     if explicit:
@@ -31,8 +40,8 @@ def integrate(
     if mapping.associations:
         mapped = graph.edges(rows, mapping, catalog)
         edges = ids.edge_ids(mapped.where(mapped.destination != NO_OP), registry)
-    written = with_ids.where(with_ids.destination != NO_OP)
-    store.write(version, written, edges, mapping.update_types())
+    to_write = with_ids.where(with_ids.destination != NO_OP)
+    store.write(version, to_write, edges, mapping.update_types())
 
 
 def stream_into(

@@ -118,7 +118,7 @@ def test_integrate_and_replay(spark, tmp_path):
     first = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a")], EVENTS)
     integrate(first, MAPPING, CATALOG, store, 10)
     once = shown(store.state())
-    integrate(first, MAPPING, CATALOG, store, 10)
+    integrate(first, MAPPING, CATALOG, store, 10, stage=True)
     assert shown(store.state()) == once
     second = spark.createDataFrame([("1", "c")], EVENTS)
     integrate(second, MAPPING, CATALOG, store, 20)
