@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.hashes import key_id
 from graphloom.functions.numbers import parse_uuid
-from graphloom.operators.skew import hot_keys, join_hot
+from graphloom.operators.skew import HotKeys, hot_keys, join_hot
 from graphloom.plans.catalog import ID_PROPERTY
 
 KEY = ("entity_set", "entity_id")
@@ -40,7 +40,7 @@ def with_ids(
     entity_set: str = "entity_set",
     entity_id: str = "entity_id",
     out: str = "key_id",
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add the id of an entity key.
 
@@ -80,13 +80,17 @@ def edge_ids(edges: DataFrame, registry: DataFrame | None = None) -> DataFrame:
     hot = None
     if registry is not None:
         edges = edges.distinct()
-        # One look for hot keys serves the three joins.
-        hot = hot_keys(edges.select(_ends("edge", "src", "dst").alias("e")).select("e.*"), KEY)
+        hot = _hot_ends(edges, "edge", "src", "dst")
     for end in ("edge", "src", "dst"):
         edges = with_ids(edges, registry, f"{end}_set", f"{end}_id", f"{end}_key_id", hot)
     return edges
 
 
+def _hot_ends(edges: DataFrame, *ends: str) -> HotKeys:
+    """Hot keys among the ends, found in one pass for all the joins on them."""
+    return hot_keys(edges.select(_ends(*ends).alias("e")).select("e.*"), KEY)
+
+
 def _ends(*ends: str) -> Column:
     """Rows (end, entity_set, entity_id) of the given ends of an edge."""
     return F.explode(
@@ -120,6 +124,7 @@ def dangling_ends(edges: DataFrame, keys: DataFrame) -> DataFrame:
 def dangling_edges(edges: DataFrame, keys: DataFrame) -> DataFrame:
     """Edges of which the source or the destination is no known entity."""
     lost = dangling_ends(edges, keys)
+    hot = _hot_ends(edges, "src", "dst")
     flagged = edges
     for end in ("src", "dst"):
         side = lost.where(F.col("end") == end).select(
@@ -127,7 +132,7 @@ def dangling_edges(edges: DataFrame, keys: DataFrame) -> DataFrame:
             F.col("entity_id").alias(f"{end}_id"),
             F.lit(True).alias(f"__{end}_lost"),
         )
-        flagged = join_hot(flagged, side, [f"{end}_set", f"{end}_id"])
+        flagged = join_hot(flagged, side, [f"{end}_set", f"{end}_id"], hot=hot)
     return flagged.where(F.col("__src_lost").isNotNull() | F.col("__dst_lost").isNotNull()).drop(
         "__src_lost", "__dst_lost"
     )

@@ -15,23 +15,26 @@ _LISTED, _TRACKED = 500, 2_000
 
 _KEY, _SALT, _SALTS = "__hot", "__salt", "__salts"
 
+# Hashes of hot keys, and over how many tasks to spread each.
+HotKeys = list[tuple[int, int]]
+
 
 def _hash(on: Sequence[str | Column]) -> Column:
     return F.xxhash64(*on)
 
 
-def hot_keys(rows: DataFrame, on: Sequence[str | Column], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Hashes of the keys with many rows, and over how many tasks to spread each.
+def hot_keys(rows: DataFrame, on: Sequence[str | Column], rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
+    """Keys with many rows, by one counting job over the key columns.
 
     Every task counts its own frequent keys, and only these counts are brought together:
-    at most ``_LISTED`` rows come out, whatever the number of keys.
+    at most ``_LISTED`` rows come to the driver, whatever the number of keys. They are
+    fetched so that both sides of a join are sure to use the same list.
     """
-    counted = rows.select(F.call_function("approx_top_k", _hash(on), F.lit(_LISTED), F.lit(_TRACKED)).alias("top"))
-    return (
-        counted.select(F.inline("top").alias(_KEY, "__count"))
-        .where(F.col("__count") > rows_per_task)
-        .select(_KEY, F.ceil(F.col("__count") / rows_per_task).cast("int").alias(_SALTS))
-    )
+    counter = F.call_function("approx_top_k", _hash(on), F.lit(_LISTED), F.lit(_TRACKED))
+    counted = rows.select(counter.alias("top")).select(F.inline("top").alias(_KEY, "n"))
+    parts = F.ceil(F.col("n") / rows_per_task).cast("int")
+    found = counted.where(F.col(_KEY).isNotNull() & (F.col("n") > rows_per_task)).select(_KEY, parts)
+    return [(key, salts) for key, salts in found.collect()]
 
 
 def join_hot(
@@ -39,36 +42,35 @@ def join_hot(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join ``left`` to ``right`` with the left rows of each hot key spread over many tasks.
 
-    The right rows of a hot key, and of no other, are repeated once per part. What the
-    search for hot keys misses joins unsalted, so the result is whole in any case. Left rows
-    with a null key match nothing and are spread like a hot key. Spreading goes by the
-    whole left row: rows that may be equal in all columns should be made distinct first.
+    The right rows of a hot key, and of no other, are repeated once per part. Keys that
+    the search does not list join unsalted, so the result is whole in any case, and without
+    a hot key this is a plain join. Null keys are spread like any other. Spreading goes by
+    the whole left row: rows that may be equal in all columns should be made distinct first.
 
     ``hot`` is the result of :func:`hot_keys` where it serves more than one join.
     """
     on = list(on)
     if hot is None:
         hot = hot_keys(left, on, rows_per_task)
-    spread = F.broadcast(hot)  # at most _LISTED rows
-    has_null = F.lit(False)
-    for key in on:
-        has_null = has_null | F.col(key).isNull()
-    parts = F.when(has_null, F.lit(10_000)).otherwise(F.coalesce(_SALTS, F.lit(1)))
+    if not hot:
+        return left.join(right, on, how)
+    listed = F.broadcast(left.sparkSession.createDataFrame(hot, f"{_KEY} bigint, {_SALTS} int"))
+    parts = F.coalesce(_SALTS, F.lit(1))
     salted_left = (
         left.withColumn(_KEY, _hash(on))
-        .join(spread, _KEY, "left")
+        .join(listed, _KEY, "left")
         .withColumn(_SALT, F.pmod(F.xxhash64(*left.columns), parts).cast("int"))
         .drop(_KEY, _SALTS)
     )
     salted_right = (
         right.withColumn(_KEY, _hash(on))
-        .join(spread, _KEY, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1)))
+        .join(listed, _KEY, "left")
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop(_KEY, _SALTS)
     )
     return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)

@@ -89,12 +89,13 @@ def test_join_with_hot_keys_equals_a_plain_join(spark, how):
 def test_hot_keys_are_found_and_spread(spark):
     left = spark.range(10_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    found = hot_keys(left, ["k"], rows_per_task=100).collect()
+    found = hot_keys(left, ["k"], rows_per_task=100)
     assert len(found) == 1 and found[0][1] == 34
     right = spark.createDataFrame([("hot", 1)], "k string, m int")
-    parts = join_hot(left, right, ["k"], "inner", rows_per_task=100)
-    assert parts.count() == 3334
-    assert hot_keys(left, ["k"]).count() == 0
+    spread = join_hot(left, right, ["k"], "inner", rows_per_task=100)
+    assert spread.count() == 3334 and "__salt" in spread._jdf.queryExecution().analyzed().toString()
+    assert "__salt" not in join_hot(left, right, ["k"])._jdf.queryExecution().analyzed().toString()
+    assert hot_keys(left, ["k"]) == []
 
 
 CATALOG = Catalog.of(
