@@ -122,7 +122,8 @@ def dangling_ends(edges: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def dangling_edges(edges: DataFrame, keys: DataFrame) -> DataFrame:
-    """Edges of which the source or the destination is no known entity."""
+    """Distinct edges of which the source or the destination is no known entity."""
+    edges = edges.distinct()
     lost = dangling_ends(edges, keys)
     hot = _hot_ends(edges, "src", "dst")
     flagged = edges

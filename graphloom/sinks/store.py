@@ -1,7 +1,7 @@
 """A property and edge store as append-only Parquet tables.
 
-``values``, ``edges`` and ``entities`` are each partitioned by batch, ``values`` also by
-entity set. A batch is written as a whole and replaces an earlier try of the same
+``values``, ``binaries``, ``edges`` and ``entities`` are each partitioned by batch, the first
+two also by entity set. A batch is written as a whole and replaces an earlier try of the same
 batch, so a replay gives the same store. Readers take the batches listed in ``commits``,
 which is written last: a batch that was cut short is not seen.
 """
@@ -15,16 +15,19 @@ from pyspark.sql import functions as F
 
 from graphloom.operators import update
 from graphloom.operators.ids import EDGE_KEY
+from graphloom.sinks.binaries import binary_rows
 
 _EDGE_SCHEMA = ", ".join(f"{c} string" for c in EDGE_KEY) + ", version bigint"
 _ENTITY_SCHEMA = "entity_set string, key_id string, version bigint"
+_BINARY_SCHEMA = "entity_set string, key_id string, property string, hash string, content binary"
 _SCHEMAS = {
     "values": update.LOG_SCHEMA,
+    "binaries": _BINARY_SCHEMA,
     "edges": _EDGE_SCHEMA,
     "entities": _ENTITY_SCHEMA,
     "commits": "version bigint",
 }
-_PARTITIONS = {"values": ["entity_set"]}
+_PARTITIONS = {"values": ["entity_set"], "binaries": ["entity_set"]}
 
 
 class Store:
@@ -37,12 +40,13 @@ class Store:
             writer = empty.write.mode("ignore").partitionBy(*_PARTITIONS.get(table, []))
             writer.parquet(f"{self.path}/{table}/batch=0")
 
-    def _read(self, table: str, before: int | None = None) -> DataFrame:
-        """Rows of committed batches below ``before``, or of all."""
+    def _read(self, table: str, before: int | None = None, since: int = 0) -> DataFrame:
+        """Rows of committed batches from ``since`` on and below ``before``, or of all."""
 
         def rows(name: str) -> DataFrame:
             schema = f"{_SCHEMAS[name]}, batch bigint"
             found = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+            found = found.where(F.col("batch") >= since)
             return found if before is None else found.where(F.col("batch") < before)
 
         return rows(table).join(rows("commits").select("batch"), "batch", "left_semi").drop("batch")
@@ -69,6 +73,10 @@ class Store:
     def edges(self) -> DataFrame:
         return update.edge_state(self._read("edges"))
 
+    def binaries(self) -> DataFrame:
+        """Each binary value of an entity and property once, with its hash."""
+        return self._read("binaries").dropDuplicates(["entity_set", "key_id", "property", "hash"])
+
     def entities(self) -> DataFrame:
         """Each entity with the version of its last write."""
         return self._read("entities").groupBy("entity_set", "key_id").agg(F.max("version").alias("version"))
@@ -79,9 +87,10 @@ class Store:
         values: DataFrame,
         edges: DataFrame | None = None,
         update_types: MappingType[str, str] | None = None,
+        binaries: DataFrame | None = None,
     ) -> None:
-        """Apply a batch of values and edges with ids. Versions of batches must be above 0
-        and grow by at least 2."""
+        """Apply a batch of values, edges and binary values with ids. Versions of batches must
+        be above 0 and grow by at least 2."""
         if version < 1:
             raise ValueError("versions start at 1")
         target = f"{self.path}/values/batch={version}"
@@ -93,15 +102,23 @@ class Store:
             self._write(ended, "values", version, "append")
         if edges is not None:
             self._write(update.edge_rows(edges, version), "edges", version)
+        if binaries is not None:
+            self._write(binary_rows(binaries), "binaries", version)
         written = update.committed_entities(self.spark.read.schema(update.LOG_SCHEMA).parquet(target))
         self._write(written, "entities", version)
         self._commit(version)
 
+    def batch_counts(self, version: int) -> tuple[int, int]:
+        """How many entities and edges a committed batch wrote."""
+        tables = [self._read(t, version + 1, version) for t in ("entities", "edges")]
+        return tables[0].count(), tables[1].count()
+
     def compact(self, path: str, version: int) -> Store:
         """A new store at ``path`` that holds the state of this one as one batch."""
         made = Store(self.spark, path)
         made._write(self.state(), "values", version)
         made._write(self.edges(), "edges", version)
+        made._write(self.binaries(), "binaries", version)
         made._write(self.entities(), "entities", version)
         made._commit(version)
         return made

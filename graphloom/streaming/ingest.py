@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from graphloom.operators import graph, ids
+from graphloom.operators.counts import earliest_reject
 from graphloom.plans.catalog import ID_PROPERTY, Catalog
-from graphloom.plans.mapping import NO_OP, Mapping
+from graphloom.plans.mapping import BINARIES, NO_OP, Mapping
 from graphloom.sinks.store import Store
+from graphloom.sinks.targets import append_log
 from graphloom.sources.scratch import written
 
 
@@ -29,19 +33,57 @@ def integrate(
     """
     if stage:
         rows = written(rows, "staged-rows")
-    explicit = any(p.type == ID_PROPERTY for d in mapping.definitions for p in d.properties)
+    properties = [p.type for d in mapping.definitions for p in d.properties]
     values = graph.entity_values(rows, mapping, catalog)
-    if explicit:
+    if ID_PROPERTY in properties:
         given = ids.explicit_ids(values)
         registry = given if registry is None else ids.registry_with(registry, given)
         values = values.where(values.property != ID_PROPERTY)
     with_ids = ids.assign_ids(values, registry, explicit=False)
-    edges = None
+    edges = binaries = None
     if mapping.associations:
         mapped = graph.edges(rows, mapping, catalog)
         edges = ids.edge_ids(mapped.where(mapped.destination != NO_OP), registry)
-    to_write = with_ids.where(with_ids.destination != NO_OP)
-    store.write(version, to_write, edges, mapping.update_types())
+    if any(catalog.datatype(p) == "Binary" for p in properties):
+        binaries = graph.to_destination(with_ids, BINARIES)
+    to_tables = with_ids.where(~with_ids.destination.isin(NO_OP, BINARIES))
+    store.write(version, to_tables, edges, mapping.update_types(), binaries)
+
+
+def run_all(
+    plan: Sequence[tuple[Mapping, DataFrame]],
+    catalog: Catalog,
+    store: Store,
+    version: int,
+    job_id: str,
+    log: str,
+    shown: Sequence[str] = (),
+    order: str | None = None,
+) -> int:
+    """Integrate several sources, one after the other, and log how it goes.
+
+    Returns how many entities and edges were written. A failure is logged, together
+    with the ``shown`` columns of the first rejected row by ``order`` where these are given,
+    and ends the run.
+    """
+    spark, total = store.spark, 0
+    for number, (mapping, rows) in enumerate(plan):
+        batch = version + 2 * number
+        append_log(spark, log, job_id, mapping.name, ["started"], "IN_PROGRESS")
+        try:
+            integrate(rows, mapping, catalog, store, batch)
+            entities, edges = store.batch_counts(batch)
+        except Exception as e:
+            lines = [f"{type(e).__name__}: {e}"]
+            if shown and order:
+                found = graph.rejects(rows, mapping, catalog, shown, keep=[order])
+                lines += [f"first rejected row: {r.row}" for r in earliest_reject(found, order).collect()]
+            append_log(spark, log, job_id, mapping.name, lines, "FAILED")
+            raise
+        done = f"integrated {entities} entities and {edges} edges"
+        append_log(spark, log, job_id, mapping.name, [done], "SUCCEEDED")
+        total += entities + edges
+    return total
 
 
 def stream_into(

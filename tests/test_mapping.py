@@ -289,3 +289,13 @@ def test_address_lookup(spark):
     assert sorted(tuple(r)[0:1] + tuple(r)[2:] for r in found.collect()) == [
         (1, "Scott Street", "556;560", "house", "37.77501855,-122.43594782088068"),
         (2, None, None, None, None), (3, None, None, None, None), (4, None, None, None, None)]
+
+
+def test_wide_mapping(spark):
+    names = [f"w.{i}" for i in range(150)]
+    catalog = Catalog.of([PropertyType(n, "Int32" if i % 2 else "String") for i, n in enumerate(names)],
+                         [EntityType("w", ("w.0",), tuple(names))], [EntitySet("ws", "w")])
+    df = spark.range(20).select(*[(F.col("id") + i).cast("string").alias(n) for i, n in enumerate(names)])
+    mapping = Mapping("wide", (Entity("w", "ws", tuple(prop(n) for n in names)),))
+    found = graph.entity_values(df, mapping, catalog).groupBy("property").agg(F.sum("value").alias("n")).collect()
+    assert {r.property: int(r.n) for r in found} == {n: sum(range(20)) + 20 * i for i, n in enumerate(names)}

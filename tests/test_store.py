@@ -13,7 +13,7 @@ from graphloom.plans.mapping import Association, Entity, Mapping, prop
 from graphloom.sinks.binaries import binary_rows, read_binaries, write_binaries
 from graphloom.sinks.store import Store
 from graphloom.sinks.targets import append_log, read_log, target_options, write_nothing, write_target
-from graphloom.streaming.ingest import integrate, stream_into
+from graphloom.streaming.ingest import integrate, run_all, stream_into
 
 VALUES = "entity_set string, key_id string, property string, value string, content binary"
 
@@ -207,3 +207,29 @@ def test_dangling_edges(spark):
     keys = spark.createDataFrame([("s", "a"), ("t", "x")], "entity_set string, entity_id string")
     assert sorted(r.edge_id for r in ids.dangling_edges(edges, keys).collect()) == ["2", "3"]
     assert sorted(tuple(r) for r in ids.dangling_ends(edges, keys).collect()) == [("dst", "t", "y"), ("src", "s", "b")]
+
+
+def test_run_of_several_sources(spark, tmp_path):
+    store, log = Store(spark, str(tmp_path / "store")), str(tmp_path / "log")
+    rows = spark.createDataFrame([("1", "a"), ("2", "b")], EVENTS)
+    more = spark.createDataFrame([("3", "a")], EVENTS)
+    assert run_all([(MAPPING, rows), (MAPPING, more)], CATALOG, store, 10, "job", log) == (2 + 2 + 2) + (1 + 1 + 1)
+    assert [r.status for r in read_log(spark, log).where("status = 'SUCCEEDED'").collect()] == ["SUCCEEDED"] * 2
+    broken = rows.select("user", F.when(F.col("user") == "9", "x").otherwise(F.raise_error(F.lit("broken source"))).cast("string").alias("did"))
+    with pytest.raises(Exception, match="broken source"):
+        run_all([(MAPPING, broken)], CATALOG, store, 20, "job", log)
+    failed = read_log(spark, log).where("status = 'FAILED'").collect()
+    assert len(failed) == 1 and "broken source" in failed[0].log[0]
+    assert {r.value for r in store.current().where("property = 'u.k'").collect()} == {"1", "2", "3"}
+
+
+def test_binaries_go_to_their_own_table(spark, tmp_path):
+    catalog = Catalog.of([PropertyType("d.k"), PropertyType("d.b", "Binary")],
+                         [EntityType("d", ("d.k",), ("d.k", "d.b"))], [EntitySet("ds", "d")])
+    mapping = Mapping("m", (Entity("d", "ds", (prop("d.k", "k"), prop("d.b", "b"))),))
+    store = Store(spark, str(tmp_path / "store"))
+    rows = spark.createDataFrame([("1", bytearray(b"x")), ("1", bytearray(b"x")), ("2", None)], "k string, b binary")
+    for version in (1, 3):
+        integrate(rows, mapping, catalog, store, version)
+    assert sorted(r.value for r in store.current().collect()) == ["1", "2"]
+    assert [(r.entity_set, bytes(r.content)) for r in store.binaries().collect()] == [("ds", b"x")]
