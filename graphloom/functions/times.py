@@ -1,7 +1,7 @@
 """Date and time parsing by pattern lists, with ISO texts that keep the offset.
 
 A clock reading ("wall") is held as a timestamp as if it were UTC, and an offset as its
-microseconds. None of it depends on the session time zone. Patterns are those of
+seconds. None of it depends on the session time zone. Patterns are those of
 Spark's ``to_timestamp``, so ``MM`` wants two digits and ``M`` takes one or two.
 
 The expressions use each parsed value as few times as they can: what is repeated in an
@@ -135,8 +135,8 @@ def _readings(c: Column, patterns: Iterable[str], pivot_year: int) -> Column:
 
 
 def _offsets(c: Column, patterns: Iterable[str]) -> Column:
-    """Offset of the first matching pattern, all of which have one."""
-    return _first(c, patterns, lambda p: F.unix_micros(_read(c, p)) - F.unix_micros(_instant(c, p)))
+    """Seconds of offset by the first matching pattern, all of which have one."""
+    return _first(c, patterns, lambda p: F.unix_seconds(_read(c, p)) - F.unix_seconds(_instant(c, p)))
 
 
 def _runs(patterns: Sequence[str]) -> list[tuple[bool, list[str]]]:
@@ -152,7 +152,7 @@ def _wall_text(wall: Column) -> Column:
 
 def _short_text(wall: Column) -> Column:
     """Reading whose seconds are left out when zero and whose fraction has 3 or 6 digits."""
-    text = F.regexp_replace(_wall_text(wall), r"(T\d\d:\d\d):00$", "$1")
+    text = F.regexp_replace(_ntz(wall).cast("string"), r"^(\S+) (\d\d:\d\d)(:00$)?", "$1T$2")
     text = F.regexp_replace(text, r"(\.(?:\d{3})?\d)$", "$100")
     return F.regexp_replace(text, r"(\.(?:\d{3})?\d\d)$", "$10")
 
@@ -163,10 +163,10 @@ def _millis_text(wall: Column) -> Column:
     return F.substring(F.concat(text, F.lit("00")), 1, 23)
 
 
-def _offset_text(micros: Column) -> Column:
+def _offset_text(seconds: Column) -> Column:
     """``Z`` or ``+hh:mm``, with seconds where there are any."""
-    seconds = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
-    interval = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds).cast("string")
+    exact = seconds.cast("decimal(18,6)")
+    interval = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), exact).cast("string")
     # An interval shows as INTERVAL '-0 08:00:00' DAY TO SECOND.
     text = F.regexp_extract(interval, r"'(-?0 \d\d:\d\d(?::(?!00)\d\d)?)", 1)
     text = F.replace(text, F.lit("-0 "), F.lit("-"))
@@ -176,7 +176,7 @@ def _offset_text(micros: Column) -> Column:
 
 def _text_in_zone(instant: Column, tz: str) -> Column:
     wall = F.from_utc_timestamp(instant, tz)
-    return F.concat(_short_text(wall), _offset_text(F.unix_micros(wall) - F.unix_micros(instant)))
+    return F.concat(_short_text(wall), _offset_text(F.unix_seconds(wall) - F.unix_seconds(instant)))
 
 
 def _placed_text(wall: Column, tz: str) -> Column:
@@ -197,7 +197,7 @@ def datetime_instant(
     def of(zoned: bool, run: list[str]) -> Column:
         wall = _readings(c, run, pivot_year)
         if zoned:
-            return F.timestamp_micros(F.unix_micros(wall) - _offsets(c, run))
+            return F.timestamp_micros(F.unix_micros(wall) - _offsets(c, run) * 1_000_000)
         return wall if tz == "UTC" else F.to_utc_timestamp(wall, tz)
 
     return F.coalesce(*[of(zoned, run) for zoned, run in _runs(patterns)])
@@ -256,7 +256,7 @@ def parse_local_datetime(
         return F.concat(_millis_text(read), F.lit("Z"))
     instant = F.to_utc_timestamp(read, tz)
     wall = F.from_utc_timestamp(instant, tz)
-    offset = _offset_text(F.unix_micros(wall) - F.unix_micros(instant))
+    offset = _offset_text(F.unix_seconds(wall) - F.unix_seconds(instant))
     return F.when(read == wall, F.concat(_millis_text(wall), offset))
 
 
