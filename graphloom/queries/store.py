@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import base64_text
+from graphloom.functions.times import utc_text
 from graphloom.operators import graph, ids, update
 from graphloom.plans.mapping import Entity, Mapping, prop
 from graphloom.queries.entities import (
@@ -14,10 +15,11 @@ from graphloom.queries.entities import (
     _USERS_CATALOG,
     residence_rows,
 )
-from graphloom.queries.shared import Registered, sql_base64, sql_key_id, table
+from graphloom.queries.shared import Registered, sql_base64, sql_iso, sql_key_id, table
 from graphloom.sinks.binaries import read_binaries, write_binaries
 from graphloom.sinks.store import Store
 from graphloom.sinks.targets import LOG_SCHEMA, log_rows, read_log, write_nothing, write_target
+from graphloom.sources.rows import as_utc
 from graphloom.sources.scratch import shared_folder
 from graphloom.streaming.ingest import integrate, stream_into
 
@@ -188,20 +190,20 @@ def no_op(spark, folder):
 
 @QUERIES.add(
     "snk_6_run_log",
-    """SELECT user_id::varchar AS job_id, 'events' AS name, unnest(list_distinct([event_type, props, event_type])) AS line,
-              strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS time_logged, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'IN_PROGRESS' END AS status
+    f"""SELECT user_id::varchar AS job_id, 'events' AS name, unnest(list_distinct([event_type, props, event_type])) AS line,
+              {sql_iso('ts')} AS time_logged, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'IN_PROGRESS' END AS status
        FROM events""",
 )
 def run_log(spark, folder):
     events = table(spark, folder, "events")
     status = F.when(F.col("event_type") == "error", "FAILED").otherwise("IN_PROGRESS")
     columns = log_rows(
-        F.col("user_id"), F.lit("events"), F.array("event_type", "props", "event_type"), F.col("ts"), status)
+        F.col("user_id"), F.lit("events"), F.array("event_type", "props", "event_type"), as_utc(F.col("ts")), status)
     path = shared_folder(spark, "run-log")
     events.select(*columns).write.mode("append").parquet(path)
     return read_log(spark, path).select(
         "job_id", "name", F.explode("log").alias("line"),
-        F.date_format("time_logged", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time_logged"), "status")
+        utc_text(F.col("time_logged")).alias("time_logged"), "status")
 
 
 @QUERIES.add(

@@ -27,13 +27,13 @@ def text_rows(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.TimestampType):
             return utc_text(c).alias(field.name)
         if isinstance(field.dataType, T.TimestampNTZType):
-            return utc_text(_as_utc(c)).alias(field.name)
+            return utc_text(as_utc(c)).alias(field.name)
         return c.cast("string").alias(field.name)
 
     return df.select(*[as_text(f) for f in df.schema.fields])
 
 
-def _as_utc(c: Column) -> Column:
+def as_utc(c: Column) -> Column:
     """The instant at which a UTC clock shows the given clock reading."""
     start = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
     return F.timestamp_micros(F.timestamp_diff("MICROSECOND", start, c))
