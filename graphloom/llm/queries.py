@@ -2,5 +2,12 @@
 
 from __future__ import annotations
 
-from graphloom.llm import decontaminate, line_dedup, url_filter  # noqa: F401
+from graphloom.llm import (  # noqa: F401
+    decontaminate,
+    line_dedup,
+    packing,
+    personal_data,
+    token_counts,
+    url_filter,
+)
 from graphloom.llm.common import QUERIES  # noqa: F401
