@@ -4,13 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
-_SLOTS = 4
-_MIX = np.uint64(0xBF58476D1CE4E5B9)
-
+from graphloom.llm.words import mixed
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX
-    return x ^ (x >> np.uint64(31))
+_SLOTS = 4
 
 
 class CuckooFilter:
@@ -38,11 +34,11 @@ class CuckooFilter:
     def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         fingerprint = (keys[:, 1] >> np.uint64(32)).astype(np.uint32)
         fingerprint[fingerprint == 0] = 1
-        bucket = (_mixed(keys[:, 0]) & np.uint64(len(self.table) - 1)).astype(np.int64)
+        bucket = (mixed(keys[:, 0]) & np.uint64(len(self.table) - 1)).astype(np.int64)
         return fingerprint, bucket
 
     def _other(self, fingerprint: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        step = (_mixed(fingerprint.astype(np.uint64)) & np.uint64(len(self.table) - 1)).astype(np.int64)
+        step = (mixed(fingerprint.astype(np.uint64)) & np.uint64(len(self.table) - 1)).astype(np.int64)
         return bucket ^ step
 
     def insert(self, keys: np.ndarray, rounds: int = 500) -> bool:

@@ -17,100 +17,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import ASCII_LOWER, QUERIES, groups, mapped, table, text_bytes
+from graphloom.llm.common import QUERIES, groups, mapped, table
+from graphloom.llm.words import ALPHANUMERIC, Words
 
 #: Words of a window.
 WINDOW = 10
 #: Windows of the benchmark that are sent to the tasks at once: some 100 MB at most.
 MOST_WINDOWS = 500_000
 
-#: Bytes of words: digits, lower-case letters, and all bytes beyond ASCII.
-_WORD = np.zeros(256, bool)
-_WORD[0x30:0x3A] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
-_LOWER = np.frombuffer(ASCII_LOWER, np.uint8)
-
-_BASE, _STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95  # odd, so that they have an inverse modulo 2^64
-
-
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of ``base`` and of its inverse modulo 2^64."""
-
-    def run(b: int) -> np.ndarray:
-        steps = np.full(n, b, np.uint64)
-        steps[:1] = 1
-        return np.cumprod(steps, dtype=np.uint64)
-
-    return run(base), run(pow(base, -1, 1 << 64))
-
-
-class Powers:
-    """Powers for arrays of growing length."""
-
-    def __init__(self, base: int):
-        self.base, self.of, self.inverse = base, *_powers(base, 1)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.of):
-            self.of, self.inverse = _powers(self.base, max(n, 1 << 16))
-        return self.of, self.inverse
-
-
-class Words:
-    """The words of some texts: where they start and end, which text has them, and hashes of windows."""
-
-    def __init__(self, column: pa.Array, byte_powers: Powers, word_powers: Powers):
-        data, bounds = text_bytes(column)
-        self.data = _LOWER[data]
-        inside = np.zeros(len(data) + 1, bool)
-        inside[:-1] = _WORD[self.data]
-        before = np.zeros(len(data) + 1, bool)
-        before[1:] = inside[:-1]
-        before[bounds] = False  # words don't go on in the next text
-        starts = inside & ~before
-        after = np.zeros(len(data) + 1, bool)
-        after[:-1] = inside[1:]
-        after[bounds[1:] - 1] = False
-        self.starts = np.flatnonzero(starts)
-        self.ends = np.flatnonzero(inside & ~after) + 1
-        self.text = np.searchsorted(bounds, self.starts, side="right") - 1
-        self.first = np.searchsorted(self.text, np.arange(len(column) + 1))
-        self.bounds = bounds
-        of, inverse = byte_powers.upto(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * of[: len(data)], out=sums[1:], dtype=np.uint64)
-        words = (sums[self.ends] - sums[self.starts]) * inverse[self.starts]
-        words ^= words >> np.uint64(29)
-        words *= np.uint64(0xBF58476D1CE4E5B9)
-        words ^= words >> np.uint64(32)
-        of, self._inverse = word_powers.upto(len(words) + 1)
-        self._sums = np.zeros(len(words) + 1, np.uint64)
-        np.cumsum(words * of[: len(words)], out=self._sums[1:], dtype=np.uint64)
-
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """First words and hashes of all windows of ``size`` words within one text."""
-        n = len(self.starts) - size + 1
-        if n <= 0:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        firsts = np.flatnonzero(self.text[:n] == self.text[size - 1 :])
-        hashes = (self._sums[firsts + size] - self._sums[firsts]) * self._inverse[firsts]
-        return firsts, hashes ^ (hashes >> np.uint64(31))
-
-    def joined(self, first: int, size: int) -> bytes:
-        return b" ".join([self.data[s:e].tobytes() for s, e in zip(self.starts[first : first + size], self.ends[first : first + size])])
-
-
 class WindowSet:
     """Normalised windows with the items that hold them, for lookup by hash."""
 
     def __init__(self, windows: dict[tuple[int, bytes], list[str | None]]):
-        byte_powers, word_powers = Powers(_BASE), Powers(_STEP)
         by_size: dict[int, list[bytes]] = defaultdict(list)
         for size, text in windows:
             by_size[size].append(text)
         self.items = windows
         self.hashes, self.seen = {}, {}
         for size, texts in by_size.items():
-            words = Words(pa.array([t.decode() for t in texts], pa.string()), byte_powers, word_powers)
+            words = Words(pa.array([t.decode() for t in texts], pa.string()), ALPHANUMERIC)
             _, hashes = words.windows(size)
             self.hashes[size] = np.unique(hashes)
             self.seen[size] = np.zeros(1 << 22, bool)
@@ -153,9 +78,9 @@ def _scan(docs: DataFrame, part: DataFrame) -> DataFrame:
     columns = docs.columns
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, byte_powers, word_powers = shared.value, Powers(_BASE), Powers(_STEP)
+        known = shared.value
         for batch in (g for b in batches for g in groups(b)):
-            words = Words(batch.column("text"), byte_powers, word_powers)
+            words = Words(batch.column("text"), ALPHANUMERIC)
             hit = batch.column("hits").to_pylist()
             items = batch.column("items").to_pylist()
             marks = [set(h) for h in hit]
@@ -215,7 +140,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, drop: str = "documents"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (g for b in batches for g in groups(b)):
-            words = Words(batch.column("text"), Powers(_BASE), Powers(_STEP))
+            words = Words(batch.column("text"), ALPHANUMERIC)
             texts = batch.column("text").to_pylist()
             for i, hits in enumerate(batch.column("hits").to_pylist()):
                 if not hits:
