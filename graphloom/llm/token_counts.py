@@ -1,13 +1,16 @@
 """Token counts without token ids.
 
 A text's tokens are those of its pre-tokens, so a pre-token is counted once for the whole corpus.
-A task turns its documents, block by block, into frequencies: a row for each pre-token of the block,
-with the documents that hold it and how often. These rows are joined with the counts of the distinct
-pre-tokens, multiplied, and summed by document. No text is shuffled.
+A task turns its documents, block by block, into frequencies: the block's distinct pre-tokens, dealt
+into shards by hash, and for each of them the documents that hold it and how often. A shard
+brings together the pre-tokens of all blocks and counts each distinct one once; the counts go back to
+the blocks, are joined with the frequencies there and summed by document. Neither texts nor ids are
+shuffled, and a block's pre-tokens travel as one compressed list for each shard.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -17,23 +20,39 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import QUERIES, mapped, table
-from graphloom.llm.pieces import vocabulary, vocabulary_path
+from graphloom.llm.common import QUERIES, mapped, on_workers, table
+from graphloom.llm.pieces import Vocabulary, vocabulary, vocabulary_path
 from graphloom.sources.scratch import written
 
-#: Texts of a block end after so many bytes or documents, whichever comes first.
-BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 8192
-#: Documents whose sums a task holds before it passes them on.
-HELD_DOCS = 1 << 21
+#: A block ends after so many bytes of text or documents, whichever comes first.
+BLOCK_BYTES, BLOCK_DOCS = 32 << 20, 32768
+#: Documents for each shard of pre-tokens, and the most shards.
+SHARD_DOCS, MOST_SHARDS = 1024, 16384
+#: Pre-tokens that the library counts in one call.
+_AT_ONCE = 20_000
 
-_FREQUENCIES = "block bigint, piece string, docs binary, times binary, doc int, doc_id {id}, n_bytes bigint, whole bigint"
 
+def _packed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
-def _cells(sizes: np.ndarray, data: np.ndarray) -> pa.Array:
-    """Consecutive slices of an array as binary values."""
-    offsets = np.zeros(len(sizes) + 1, np.int32)
-    np.cumsum(sizes * data.itemsize, out=offsets[1:])
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+def _unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _pack_texts(texts: list[str]) -> bytes:
+    """Texts as their lengths in bytes and the bytes themselves."""
+    raw = [t.encode() for t in texts]
+    sizes = np.fromiter(map(len, raw), np.uint32, len(raw))
+    return _packed(len(raw).to_bytes(4, "little") + sizes.tobytes() + b"".join(raw))
+
+
+def _unpack_texts(data: bytes) -> list[str]:
+    data = _unpacked(data)
+    n = int.from_bytes(data[:4], "little")
+    ends = np.frombuffer(data, np.uint32, n, 4).cumsum() + 4 + 4 * n
+    starts = [4 + 4 * n, *ends[:-1].tolist()]
+    return [data[a:b].decode() for a, b in zip(starts, ends.tolist())]
 
 
 class _Block:
@@ -44,125 +63,103 @@ class _Block:
         self.index.default_factory = self.index.__len__
         self.pieces: list[np.ndarray] = []
         self.times: list[np.ndarray] = []
-        self.docs: list[tuple[int | None, int, int]] = []
+        self.doc_ids: list = []
+        self.n_bytes: list[int] = []
+        self.whole: list[int] = []
         self.bytes = 0
 
-    def add(self, doc_id: int | None, text: str, vocab) -> None:
-        n_bytes, whole = len(text.encode()), 0
+    def add(self, doc_id, text: str, vocab: Vocabulary) -> None:
         counted: Counter[str] = Counter()
+        whole = 0
         if vocab.irregular(text):
             whole = len(vocab.library_ids(text))
         else:
             counted.update(vocab.split(text))
         self.pieces.append(np.fromiter(map(self.index.__getitem__, counted), np.int32, len(counted)))
-        self.times.append(np.fromiter(counted.values(), np.int64, len(counted)))
-        self.docs.append((doc_id, n_bytes, whole))
-        self.bytes += n_bytes
-
-    def rows(self, number: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        piece, times = np.concatenate(self.pieces), np.concatenate(self.times)
-        doc = np.repeat(np.arange(len(self.docs), dtype=np.uint16), [len(p) for p in self.pieces])
-        # A byte for each count; larger ones take several entries.
-        entries = -(-times // 255)
-        if entries.max(initial=1) > 1:
-            last = np.cumsum(entries) - 1
-            rest = times - 255 * (entries - 1)
-            piece, doc = np.repeat(piece, entries), np.repeat(doc, entries)
-            times = np.full(len(piece), 255, np.int64)
-            times[last] = rest
-        order = np.argsort(piece, kind="stable")
-        sizes = np.bincount(piece, minlength=len(self.index))
-        n = len(self.index)
-        none = {f.name: pa.nulls(n, f.type) for f in schema}
-        yield pa.RecordBatch.from_arrays(
-            list((none | {
-                "block": pa.array(np.full(n, number)),
-                "piece": pa.array(list(self.index), pa.string()),
-                "docs": _cells(sizes, doc[order]),
-                "times": _cells(sizes, times[order].astype(np.uint8)),
-            }).values()), schema=schema)
-        n = len(self.docs)
-        ids, n_bytes, whole = zip(*self.docs)
-        none = {f.name: pa.nulls(n, f.type) for f in schema}
-        yield pa.RecordBatch.from_arrays(
-            list((none | {
-                "block": pa.array(np.full(n, number)),
-                "doc": pa.array(np.arange(n, dtype=np.int32)),
-                "doc_id": pa.array(ids, schema.field("doc_id").type),
-                "n_bytes": pa.array(n_bytes, pa.int64()),
-                "whole": pa.array(whole, pa.int64()),
-            }).values()), schema=schema)
-
-
-def piece_frequencies(docs: DataFrame, path: str) -> DataFrame:
-    """A row for each block and pre-token, and a row without pre-token for each document."""
+        self.times.append(np.fromiter(counted.values(), np.uint32, len(counted)))
+        self.doc_ids.append(doc_id)
+        self.n_bytes.append(len(text.encode()))
+        self.whole.append(whole)
+        self.bytes += self.n_bytes[-1]
+
+    def rows(self, number: int, shards: int, schema: pa.Schema) -> pa.RecordBatch:
+        """A row for each shard with its pre-tokens, and one with the documents and frequencies."""
+        pieces = list(self.index)
+        shard = np.fromiter((zlib.crc32(p.encode()) % shards for p in pieces), np.int64, len(pieces))
+        # Pre-tokens lie by shard and then by text, which also makes the lists small.
+        by_text = sorted(range(len(pieces)), key=pieces.__getitem__)
+        order = np.array(by_text, np.int64)[np.argsort(shard[by_text], kind="stable")]
+        place = np.empty(len(pieces), np.int32)
+        place[order] = np.arange(len(pieces), dtype=np.int32)
+        piece, times = place[np.concatenate(self.pieces)], np.concatenate(self.times)
+        doc = np.repeat(np.arange(len(self.doc_ids), dtype=np.uint16), [len(p) for p in self.pieces])
+        by_piece = np.argsort(piece, kind="stable")
+        sizes = np.bincount(piece, minlength=len(pieces)).astype(np.uint32)
+        numbers, starts = np.unique(shard[order], return_index=True)
+        rows = [
+            {"block": number, "shard": int(n), "pieces": _pack_texts([pieces[i] for i in own])}
+            for n, own in zip(numbers, np.split(order, starts[1:]))
+        ]
+        rows.append({
+            "block": number, "doc_ids": self.doc_ids, "n_bytes": self.n_bytes, "whole": self.whole,
+            "sizes": _packed(sizes.tobytes()), "docs": _packed(doc[by_piece].tobytes()),
+            "times": _packed(times[by_piece].tobytes()),
+        })
+        return pa.RecordBatch.from_pylist(rows, schema)
+
+
+def piece_frequencies(docs: DataFrame, path: str, shards: int) -> DataFrame:
+    """Blocks of documents with their frequencies, and for each shard a block's pre-tokens."""
     kind = docs.schema[0].dataType.simpleString()
+    columns = (
+        f"block bigint, shard bigint, pieces binary, doc_ids array<{kind}>, n_bytes array<bigint>, "
+        "whole array<bigint>, sizes binary, docs binary, times binary"
+    )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, block = vocabulary(path), _Block()
+        vocab, block, schema = vocabulary(path), _Block(), None
         number = TaskContext.get().partitionId() << 32
-        schema = None
         for batch in batches:
             if schema is None:
+                long, data = pa.int64(), pa.binary()
                 schema = pa.schema([
-                    ("block", pa.int64()), ("piece", pa.string()), ("docs", pa.binary()), ("times", pa.binary()),
-                    ("doc", pa.int32()), ("doc_id", batch.schema.field(0).type), ("n_bytes", pa.int64()), ("whole", pa.int64()),
+                    ("block", long), ("shard", long), ("pieces", data), ("doc_ids", pa.list_(batch.schema.field(0).type)),
+                    ("n_bytes", pa.list_(long)), ("whole", pa.list_(long)), ("sizes", data), ("docs", data), ("times", data),
                 ])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 block.add(doc_id, text.as_py() or "", vocab)
-                if block.bytes >= BLOCK_BYTES or len(block.docs) >= BLOCK_DOCS:
-                    yield from block.rows(number, schema)
+                if block.bytes >= BLOCK_BYTES or len(block.doc_ids) >= BLOCK_DOCS:
+                    yield block.rows(number, shards, schema)
                     block, number = _Block(), number + 1
-        if block.docs:
-            yield from block.rows(number, schema)
+        if block.doc_ids:
+            yield block.rows(number, shards, schema)
 
-    return mapped(docs, count, _FREQUENCIES.format(id=kind))
+    return mapped(docs, count, columns)
 
 
-def piece_counts(pieces: DataFrame, path: str) -> DataFrame:
-    """``piece`` and the number of its tokens, ``n``."""
+def piece_counts(lists: DataFrame, path: str) -> DataFrame:
+    """For each block and shard the token counts of its pre-tokens, each distinct one counted once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, at, known = vocabulary(path), None, {}
         for batch in batches:
-            counts = vocabulary(path).count(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["piece", "n"])
-
-    return mapped(pieces, count, "piece string, n bigint")
-
-
-def _sums(joined: DataFrame) -> DataFrame:
-    """Tokens by ``block`` and ``doc``, once for each task that has some of them."""
-
-    def flush(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for block, sums in held.items():
-            doc = np.flatnonzero(sums)
-            arrays = [pa.array(np.full(len(doc), block)), pa.array(doc.astype(np.int32)), pa.array(sums[doc])]
-            yield pa.RecordBatch.from_arrays(arrays, names=["block", "doc", "n"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            blocks = np.asarray(batch.column(0))
-            tokens = np.asarray(batch.column(3))
-            sizes = np.asarray(pa.compute.binary_length(batch.column(2)))
-            entry = np.repeat(np.arange(len(blocks)), sizes)
-            doc = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16)
-            times = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8)
-            amount = times * tokens[entry]
-            own = blocks[entry]
-            for block in np.unique(blocks):
-                if block not in held:
-                    if len(held) * BLOCK_DOCS >= HELD_DOCS:
-                        yield from flush(held)
-                        held = {}
-                    held[block] = np.zeros(BLOCK_DOCS, np.int64)
-                at = own == block
-                # Sums stay exact: a batch has far fewer than 2^53 tokens.
-                held[block] += np.bincount(doc[at], weights=amount[at], minlength=BLOCK_DOCS).astype(np.int64)
-        yield from flush(held)
-
-    rows = mapped(joined.select("block", "docs", "times", "n"), add, "block bigint, doc int, n bigint")
-    return rows.groupBy("block", "doc").agg(F.sum("n").alias("n"))
+            counts = []
+            for shard, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if shard != at:  # rows come by shard
+                    at, known = shard, {}
+                pieces = _unpack_texts(data)
+                new = [p for p in pieces if p not in known]
+                for start in range(0, len(new), _AT_ONCE):
+                    part = new[start : start + _AT_ONCE]
+                    known.update(zip(part, vocab.count(part)))
+                found = np.fromiter(map(known.__getitem__, pieces), np.uint32, len(pieces))
+                counts.append(_packed(found.tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(counts, pa.binary())], names=["block", "shard", "counts"]
+            )
+
+    dealt = lists.repartition("shard").sortWithinPartitions("shard")
+    return mapped(dealt, count, "block bigint, shard bigint, counts binary")
 
 
 def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -173,14 +170,29 @@ def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     are counted one by one, repeated and null keys included. Texts with special strings or with
     characters on whose class libraries differ are counted whole by the library.
     """
+    shards = min(MOST_SHARDS, max(1, docs.count() // SHARD_DOCS))
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = written(piece_frequencies(rows, path), "piece-frequencies")
-    pieces = found.where(F.col("piece").isNotNull())
-    counts = piece_counts(pieces.select("piece").distinct(), path)
-    sums = _sums(pieces.join(counts, "piece"))
-    of = found.where(F.col("piece").isNull()).select("block", "doc", "doc_id", "n_bytes", "whole")
-    total = F.coalesce("n", F.lit(0).cast("long")) + F.col("whole")
-    return of.join(sums, ["block", "doc"], "left").select(F.col("doc_id").alias(key), "n_bytes", total.alias("n_tokens"))
+    found = written(piece_frequencies(rows, path, shards), "piece-frequencies")
+    lists = found.where(F.col("shard").isNotNull()).select("block", "shard", "pieces")
+    blocks = found.where(F.col("shard").isNull()).drop("shard", "pieces")
+    on_workers(docs.sparkSession)
+
+    def total(block: pa.Table, counted: pa.Table) -> pa.Table:
+        own = {c: block.column(c)[0] for c in block.column_names}
+        lists = counted.sort_by("shard").column("counts")
+        counts = np.frombuffer(b"".join(_unpacked(c.as_py()) for c in lists), np.uint32).astype(np.int64)
+        kinds = {"sizes": np.uint32, "docs": np.uint16, "times": np.uint32}
+        sizes, docs, times = (np.frombuffer(_unpacked(own[c].as_py()), k) for c, k in kinds.items())
+        # The sums stay exact as doubles: a block has far fewer than 2^53 tokens.
+        sums = np.bincount(docs, weights=np.repeat(counts, sizes) * times, minlength=len(own["n_bytes"]))
+        tokens = sums.astype(np.int64) + np.asarray(own["whole"].values)
+        return pa.table({"doc_id": own["doc_ids"].values, "n_bytes": own["n_bytes"].values, "n_tokens": tokens})
+
+    kind = docs.schema[key].dataType.simpleString()
+    counted = blocks.groupBy("block").cogroup(piece_counts(lists, path).groupBy("block")).applyInArrow(
+        total, f"doc_id {kind}, n_bytes bigint, n_tokens bigint"
+    )
+    return counted.withColumnRenamed("doc_id", key)
 
 
 @QUERIES.add("op9_token_counts")
