@@ -7,6 +7,7 @@ from graphloom.llm import (  # noqa: F401
     line_dedup,
     packing,
     personal_data,
+    shingle_join,
     token_counts,
     url_filter,
 )
