@@ -10,5 +10,6 @@ from graphloom.llm import (  # noqa: F401
     shingle_join,
     token_counts,
     url_filter,
+    vector_search,
 )
 from graphloom.llm.common import QUERIES  # noqa: F401
