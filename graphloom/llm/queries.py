@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from graphloom.llm import (  # noqa: F401
     decontaminate,
+    language_id,
     line_dedup,
     packing,
     personal_data,
