@@ -1,10 +1,85 @@
-"""A corpus pipeline over ``documents``: each stage works on what the one before has kept."""
+"""A corpus pipeline over ``documents``: each stage works on what the one before has kept.
+
+Stages get the session, the documents so far and the folder of tables, and return the columns of
+``documents``, but for the last, which returns the pieces of packed sequences.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from graphloom.llm.common import table
+from graphloom.llm.decontaminate import decontaminate
+from graphloom.llm.language_id import UNKNOWN, fit, held_out, identify
+from graphloom.llm.line_dedup import dedup_lines
+from graphloom.llm.packing import pack
+from graphloom.llm.pieces import vocabulary_path
+from graphloom.llm.shingle_join import near_duplicates
+from graphloom.sources.scratch import shared_folder
+
+#: Documents whose language the network is less sure of are rejected.
+MIN_SCORE = 0.4
+#: Near duplicates share this many percent of their shingles of so many words.
+PERCENT, SHINGLE_WORDS = 80, 5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language that the network recognises; texts without letters go."""
+    found = identify(docs, fit(docs, ~held_out()))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select("row.*")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat in later ones; a document that had nothing else goes."""
+    kept = dedup_lines(docs)
+    rest = (F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\s]")
+    columns = [F.col("text") if c == "text" else _length(c) if c == "n_chars" else F.col(f"row.{c}").alias(c) for c in docs.columns]
+    return kept.where(rest).select(*columns)
+
+
+def _length(name: str):
+    """The recorded length, or that of the text where lines were dropped."""
+    return F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col(f"row.{name}").cast("long")).alias(name)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates; texts without words stay."""
+    groups = near_duplicates(docs, SHINGLE_WORDS, PERCENT)
+    first = groups.where((F.col("doc_id") == F.col("component_id")) | F.col("doc_id").isNull()).select("doc_id").distinct()
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of sequences of 2048 tokens that all documents are packed into."""
+    return pack(docs, vocabulary_path("byte_bpe_50k.json")).drop("ids")
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
+    ("jaccard_join", drop_near_duplicates),
+    ("decontamination", drop_benchmark),
+    ("packing", pack_sequences),
+]
+
+#: No SQL runs a trained network; each stage is tested against a plain version on small tables.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = shared_folder(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -8,6 +8,7 @@ from graphloom.llm import (  # noqa: F401
     line_dedup,
     packing,
     personal_data,
+    secret_scan,
     shingle_join,
     token_counts,
     url_filter,
