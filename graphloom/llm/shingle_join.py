@@ -40,7 +40,6 @@ BLOCK = 1024
 MOST_FILTERED = 10_000_000
 
 _INDEX, _PROBE = 1, 2
-_GROWTH = 3, 2  # of the largest sizes of the bands
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,7 +50,8 @@ class Bands:
         self.percent = percent
         tops = [1]
         while tops[-1] < 1 << 40:
-            tops.append(max(tops[-1] + 1, tops[-1] * _GROWTH[0] // _GROWTH[1]))
+            # So wide that linked sets never lie more than one band apart.
+            tops.append(max(tops[-1] + 1, -(-tops[-1] * max(150, -(-10_000 // percent)) // 100)))
         self.tops = np.array(tops, np.int64)
         self.segments = self.differ(self.tops, self.tops * 100 // percent) + 1
 
