@@ -5,7 +5,8 @@ import os
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from graphloom.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the tables are not here")
@@ -16,13 +17,16 @@ def con():
     return check.database(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+QUERIES, SQL = all_queries()
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert check.compare(spark, con, name, FOLDER) is None
+    assert check.compare(spark, con, name, FOLDER, QUERIES, SQL) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
