@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from graphloom.functions.conditions import matches
-from graphloom.functions.text import is_blank
-
 
 def branch(condition: Column, if_true: Column | None, if_false: Column | None) -> Column:
     nothing = F.lit(None).cast("string")
@@ -26,28 +23,6 @@ def starts_with(c: Column, text: str, ignore_case: bool = False) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
-def branch_contains(
-    c: Column, text: str, ignore_case: bool, if_true: Column | None, if_false: Column | None
-) -> Column:
-    return branch(contains(c, text, ignore_case), if_true, if_false)
-
-
-def branch_blank(c: Column, if_true: Column | None, if_false: Column | None) -> Column:
-    return branch(is_blank(c), if_true, if_false)
-
-
-def branch_prefix(
-    c: Column, text: str, ignore_case: bool, if_true: Column | None, if_false: Column | None
-) -> Column:
-    return branch(starts_with(c, text, ignore_case), if_true, if_false)
-
-
-def branch_regex(
-    c: Column, pattern: str, if_true: Column | None, if_false: Column | None
-) -> Column:
-    return branch(matches(c, pattern), if_true, if_false)
-
-
 def point(lat: Column, lon: Column) -> Column:
     """``"lat,lon"``, null when either part is null."""
     return F.concat(lat.cast("string"), F.lit(","), lon.cast("string"))

@@ -121,11 +121,15 @@ def replace_values(
 def _replace_within(
     c: Column, targets: Sequence[str], goals: Sequence[str], ignore_case: bool
 ) -> Column:
+    if not targets:
+        return c
     goal_of: dict[str, str] = {}
     for target, goal in zip(targets, goals):
         goal_of.setdefault(target.lower() if ignore_case else target, goal)
     wanted = "|".join(re.escape(t) for t in targets)
-    pieces = F.regexp_extract_all(c, F.lit(f"(?s{'i' if ignore_case else ''})(?:{wanted})|."), F.lit(0))
+    # A target, or the run up to the next one: as many pieces as targets, not as characters.
+    pattern = f"(?s{'i' if ignore_case else ''})(?:{wanted})|(?:(?!{wanted}).)++"
+    pieces = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
     lookup = F.create_map(*[F.lit(x) for pair in goal_of.items() for x in pair])
     return F.array_join(
         F.transform(

@@ -49,8 +49,3 @@ def normal_text(c: Column, datatype: str) -> Column:
             return whole[datatype](c).cast("string")
         return F.when(c.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(c).try_cast("int")).cast("string")
     return c.try_cast(SPARK_TYPES[datatype]).cast("string")
-
-
-def typed(c: Column, datatype: str) -> Column:
-    """A normal text as a value of its Spark type."""
-    return c.try_cast(SPARK_TYPES[datatype])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping as MappingType
+from collections.abc import Mapping as MappingType, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -15,14 +17,19 @@ def distinct_values(values: DataFrame) -> DataFrame:
     return values.select(*KEY, "property", "destination", "value", "content").distinct()
 
 
-def last_row_wins(values: DataFrame, order: str) -> DataFrame:
-    """Of each entity keep the values of its last row by the column ``order``.
+def last_row_wins(values: DataFrame, order: str | Sequence[str]) -> DataFrame:
+    """Of each entity keep the values of its last row by the columns of ``order``.
 
-    The order should tell the rows of an entity apart; rows that tie for last are all kept.
+    The columns are compared one after the other, and a null comes before any value, so an entity
+    without an order keeps its values. Rows that tie in all of them count as one row: to have one
+    of several rows win, let the last columns be ones that tell rows apart, in the end all of a row's.
     The join is on key and order, which spreads the rows of a hot entity.
     """
-    last = values.groupBy(*KEY).agg(F.max(order).alias(order))
-    return values.join(last, [*KEY, order], "left_semi")
+    columns = [order] if isinstance(order, str) else list(order)
+    last = values.groupBy(*KEY).agg(F.max(F.struct(*columns)).alias("last"))
+    ends = last.select(*[F.col(c).alias(f"__{c}") for c in KEY], *[F.col("last").getField(c).alias(f"__{c}") for c in columns])
+    same = [values[c].eqNullSafe(ends[f"__{c}"]) for c in (*KEY, *columns)]
+    return values.join(ends, reduce(and_, same), "left_semi")
 
 
 def counts_by_destination(values: DataFrame, edges: DataFrame | None = None) -> DataFrame:

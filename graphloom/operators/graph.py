@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from graphloom.functions.steps import Row, run_chain
 from graphloom.functions.text import base64_text, is_blank, not_blank
 from graphloom.functions.types import normal_text
-from graphloom.plans.catalog import ID_PROPERTY, Catalog
+from graphloom.plans.catalog import Catalog
 from graphloom.plans.mapping import BINARIES, NO_OP, TABLES, Association, Entity, Mapping, Property
 
 EDGE_COLUMNS = ("edge_set", "edge_id", "src_set", "src_id", "dst_set", "dst_id")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.hashes import key_id
 from graphloom.functions.numbers import parse_uuid
-from graphloom.operators.skew import HotKeys, hot_keys, join_hot
 from graphloom.plans.catalog import ID_PROPERTY
 
 KEY = ("entity_set", "entity_id")
@@ -40,12 +39,12 @@ def with_ids(
     entity_set: str = "entity_set",
     entity_id: str = "entity_id",
     out: str = "key_id",
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add the id of an entity key.
 
     The id is a hash of the key, which takes no shuffle. Keys of a registry
-    (entity_set, entity_id, key_id) keep the id they have there.
+    (entity_set, entity_id, key_id), one row each, keep the id they have there. The rows of a hot key
+    are on the left of a left join, where adaptive execution splits them between tasks.
     """
     assigned = key_id(F.col(entity_set), F.col(entity_id))
     if registry is None:
@@ -55,16 +54,15 @@ def with_ids(
         F.col("entity_id").alias(entity_id),
         F.col("key_id").alias("__known"),
     )
-    joined = join_hot(rows, known, [entity_set, entity_id], hot=hot)
+    joined = rows.join(known, [entity_set, entity_id], "left")
     return joined.withColumn(out, F.coalesce("__known", assigned)).drop("__known")
 
 
 def assign_ids(values: DataFrame, registry: DataFrame | None = None, explicit: bool = True) -> DataFrame:
     """Values with ``key_id``. Explicit ids win, and their property is taken out of the data.
 
-    ``explicit=False`` saves the shuffles where the mapping has no explicit ids. With a
-    registry or explicit ids the values are made distinct first, so that copies of a
-    row for one hot key do not meet in one task of the join.
+    ``explicit=False`` saves the shuffles where the mapping has no explicit ids. With
+    explicit ids or a registry each value comes out once.
     """
     if explicit or registry is not None:
         values = values.distinct()
@@ -76,19 +74,20 @@ def assign_ids(values: DataFrame, registry: DataFrame | None = None, explicit: b
 
 
 def edge_ids(edges: DataFrame, registry: DataFrame | None = None) -> DataFrame:
-    """Edges with the ids of edge, source and destination; distinct when a registry is joined."""
-    hot = None
-    if registry is not None:
-        edges = edges.distinct()
-        hot = _hot_ends(edges, "edge", "src", "dst")
-    for end in ("edge", "src", "dst"):
-        edges = with_ids(edges, registry, f"{end}_set", f"{end}_id", f"{end}_key_id", hot)
-    return edges
+    """Edges with the ids of edge, source and destination; distinct when a registry is joined.
 
-
-def _hot_ends(edges: DataFrame, *ends: str) -> HotKeys:
-    """Hot keys among the ends, found in one pass for all the joins on them."""
-    return hot_keys(edges.select(_ends(*ends).alias("e")).select("e.*"), KEY)
+    The registry is joined once, with the three ends of every edge as rows.
+    """
+    ends = ("edge", "src", "dst")
+    if registry is None:
+        for end in ends:
+            edges = with_ids(edges, None, f"{end}_set", f"{end}_id", f"{end}_key_id")
+        return edges
+    columns = edges.columns
+    rows = edges.distinct().select(*columns, _ends(*ends).alias("e")).select(*columns, "e.*")
+    found = with_ids(rows, registry)
+    ids = [F.max(F.when(F.col("end") == end, F.col("key_id"))).alias(f"{end}_key_id") for end in ends]
+    return found.groupBy(*columns).agg(*ids)
 
 
 def _ends(*ends: str) -> Column:
@@ -123,20 +122,14 @@ def dangling_ends(edges: DataFrame, keys: DataFrame) -> DataFrame:
 
 def dangling_edges(edges: DataFrame, keys: DataFrame) -> DataFrame:
     """Distinct edges of which the source or the destination is no known entity."""
-    edges = edges.distinct()
-    lost = dangling_ends(edges, keys)
-    hot = _hot_ends(edges, "src", "dst")
-    flagged = edges
+    known, flagged = entity_keys(keys), edges.distinct()
     for end in ("src", "dst"):
-        side = lost.where(F.col("end") == end).select(
-            F.col("entity_set").alias(f"{end}_set"),
-            F.col("entity_id").alias(f"{end}_id"),
-            F.lit(True).alias(f"__{end}_lost"),
+        side = known.select(
+            F.col("entity_set").alias(f"{end}_set"), F.col("entity_id").alias(f"{end}_id"), F.lit(True).alias(f"__{end}")
         )
-        flagged = join_hot(flagged, side, [f"{end}_set", f"{end}_id"], hot=hot)
-    return flagged.where(F.col("__src_lost").isNotNull() | F.col("__dst_lost").isNotNull()).drop(
-        "__src_lost", "__dst_lost"
-    )
+        flagged = flagged.join(side, [f"{end}_set", f"{end}_id"], "left")
+    lost = F.col("__src").isNull() | F.col("__dst").isNull()
+    return flagged.where(lost).select(*edges.columns)
 
 
 def normal_address(c: Column) -> Column:
@@ -157,7 +150,7 @@ def look_up_address(
         .groupBy(normal_address(F.col("address")).alias("__address"))
         .agg(F.min(F.struct(*fields)).alias("__entry"))
     )
-    # An empty address is null here: it matches nothing and its rows are spread.
+    # An empty address is null here and matches nothing.
     wanted = F.nullif(normal_address(F.col(address)), F.lit(""))
-    joined = join_hot(rows.withColumn("__address", wanted), entries, ["__address"])
+    joined = rows.withColumn("__address", wanted).join(entries, "__address", "left")
     return joined.select(*rows.columns, *[F.col(f"__entry.{f}").alias(f) for f in fields])

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.hashes import value_hash
 from graphloom.operators.ids import EDGE_KEY
-from graphloom.operators.skew import join_hot
 
 VALUE_KEY = ("entity_set", "key_id", "property", "value_hash")
 LOG_SCHEMA = (
@@ -46,10 +45,10 @@ def tombstones(log: DataFrame, touched: DataFrame, version: int) -> DataFrame:
     """Log rows that end the current values of the touched keys.
 
     ``touched`` has the columns entity_set and key_id, and property where only some
-    properties are ended. The values of a hot entity are spread over many tasks.
+    properties are ended. The values of a hot entity are on the left, where they can be split.
     """
     keys = [c for c in ("entity_set", "key_id", "property") if c in touched.columns]
-    met = join_hot(log, touched.select(*keys).distinct(), keys, "left_semi")
+    met = log.join(touched.select(*keys).distinct(), keys, "left_semi")
     return _stamped(current(met), -version)
 
 
@@ -81,19 +80,16 @@ def endings(
 def state_of(log: DataFrame, unversioned: Iterable[str] = ()) -> DataFrame:
     """One row per value with its version and all its versions, oldest first.
 
-    Entity sets in ``unversioned`` keep the last version only.
+    Entity sets in ``unversioned`` keep the last version only, and no list is gathered for them.
     """
-    state = log.groupBy(*VALUE_KEY).agg(
-        F.any_value("value").alias("value"),
-        F.any_value("content").alias("content"),
+    sets = list(unversioned)
+    of_sets = F.col("entity_set").isin(sets) if sets else F.lit(False)
+    # Equal hashes mean equal values, so grouping by these too costs no group and keeps them out of buffers.
+    state = log.groupBy(*VALUE_KEY, "value", "content").agg(
         F.max_by("version", F.abs("version")).alias("version"),
-        F.flatten(F.collect_list("versions")).alias("versions"),
+        F.flatten(F.collect_list(F.when(~of_sets, F.col("versions")))).alias("versions"),
     )
-    ordered = _by_age(F.col("versions"))
-    sets = list(unversioned)
-    if sets:
-        alone = F.array("version")
-        ordered = F.when(F.col("entity_set").isin(sets), alone).otherwise(ordered)
+    ordered = F.when(of_sets, F.array("version")).otherwise(_by_age(F.col("versions")))
     return state.withColumn("versions", ordered).select(*_COLUMNS)
 
 

@@ -9,14 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
-from typing import TYPE_CHECKING, Any
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from graphloom.functions.types import SPARK_TYPES
-
-if TYPE_CHECKING:
-    from graphloom.plans.mapping import Mapping
+from graphloom.plans.mapping import BINARIES, Mapping
 
 ID_PROPERTY = "@id"
 
@@ -140,6 +138,9 @@ class Catalog:
             foreign = [n for n in names if n not in allowed]
             if foreign:
                 raise ValueError(f"properties {foreign} are not defined for entity set {d.entity_set}")
+            texts = [p.type for p in d.properties if p.destination == BINARIES and self.datatype(p.type) != "Binary"]
+            if texts:
+                raise ValueError(f"properties {texts} are not binary and cannot go to {BINARIES}")
 
     def missing_sets(self, mapping: Mapping, contacts: Iterable[str] = ()) -> list[EntitySet]:
         """Entity sets the mapping needs and the catalog lacks, ready to be added."""

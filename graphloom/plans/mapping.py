@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping as MappingType
+from collections.abc import Mapping as MappingType
 from dataclasses import dataclass
 from typing import Any
 
 from graphloom.functions import steps
 from graphloom.functions.conditions import AND, OR
-from graphloom.functions.steps import Chain, Condition, Row, Step
+from graphloom.functions.steps import Chain, Condition, Step
 
 # Update types, property update types and destinations.
 UPDATE_TYPES = ("Merge", "Replace", "PartialReplace")
+REPLACING = ("Replace", "PartialReplace")
 PROPERTY_UPDATE_TYPES = ("Versioned", "Unversioned")
 NO_OP, TABLES, BINARIES = "NO_OP", "POSTGRES", "S3"
 DESTINATIONS = ("NO_OP", "POSTGRES", "REST", "S3")

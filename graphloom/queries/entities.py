@@ -13,7 +13,7 @@ from graphloom.operators import counts, graph, ids
 from graphloom.plans.catalog import ID_PROPERTY, Catalog, EntitySet, EntityType, PropertyType
 from graphloom.plans.mapping import Association, Entity, Mapping, prop
 from graphloom.queries.shared import Registered, sql_base64, sql_key_id, table, texts
-from graphloom.sources.rows import kept, text_rows
+from graphloom.sources.rows import text_rows
 
 QUERIES = Registered()
 
@@ -224,22 +224,29 @@ _BUYERS_CATALOG = _catalog(
 )
 
 
-@QUERIES.add(
-    "map_9_explicit_id",
-    f"""SELECT DISTINCT 'buyers' AS entity_set, entity_id, CASE WHEN filled THEN given ELSE assigned END AS key_id, property, value
+GIVEN_IDS_CATALOG = _BUYERS_CATALOG
+GIVEN_IDS = Mapping("buyers", (Entity("buyer", "buyers", (
+    prop("person.key", "o_custkey"), prop("person.status", "o_orderstatus"), prop(ID_PROPERTY, "given"))),))
+_GIVEN_ROWS_SQL = f"""SELECT DISTINCT 'buyers' AS entity_set, entity_id, CASE WHEN filled THEN given ELSE assigned END AS key_id, property, value
         FROM (SELECT {sql_base64('o_custkey')} AS entity_id, {_sql_uuid("'given ' || o_custkey::varchar")} AS given,
                      {sql_key_id('buyers', sql_base64('o_custkey'))} AS assigned,
                      bool_or(o_orderstatus = 'F') OVER (PARTITION BY o_custkey) AS filled,
                      unnest(['person.key', 'person.status']) AS property, unnest([o_custkey::varchar, o_orderstatus]) AS value
-              FROM orders)""",
-)
-def explicit_id(spark, folder):
+              FROM orders)"""
+GIVEN_IDS_SQL = f"SELECT entity_set, key_id, property, value FROM ({_GIVEN_ROWS_SQL})"
+
+
+def given_id_rows(spark, folder):
+    """Orders as text, filled ones with an id for their customer."""
     orders = table(spark, folder, "orders")
     given = F.when(F.col("o_orderstatus") == "F", _uuid_of(F.concat(F.lit("given "), F.col("o_custkey").cast("string"))))
-    rows = text_rows(orders.select("o_custkey", "o_orderstatus", given.alias("given")))
-    mapping = Mapping("buyers", (Entity("buyer", "buyers", (
-        prop("person.key", "o_custkey"), prop("person.status", "o_orderstatus"), prop(ID_PROPERTY, "given"))),))
-    values = ids.assign_ids(graph.entity_values(rows, mapping, _BUYERS_CATALOG))
+    return text_rows(orders.select("o_custkey", "o_orderstatus", given.alias("given")))
+
+
+@QUERIES.add("map_9_explicit_id", _GIVEN_ROWS_SQL)
+def explicit_id(spark, folder):
+    rows = given_id_rows(spark, folder)
+    values = ids.assign_ids(graph.entity_values(rows, GIVEN_IDS, GIVEN_IDS_CATALOG))
     return values.select("entity_set", "entity_id", "key_id", "property", "value")
 
 
@@ -462,11 +469,19 @@ def union_of_rows(spark, folder):
 
 @QUERIES.add(
     "agg_2_last_wins",
-    f"""SELECT {_U} AS entity_id, property, value FROM {_USER_SQL}
-        WHERE event_id IN (SELECT max(event_id) FROM events GROUP BY user_id)""",
+    f"""SELECT {_U} AS entity_id, property, value FROM {_USER_SQL} WHERE event_id IN (
+          SELECT event_id FROM (SELECT event_id, row_number() OVER (
+            PARTITION BY user_id ORDER BY CASE WHEN event_id % 3 <> 0 AND user_id % 5 <> 0 THEN event_id // 100 END DESC NULLS LAST, event_id DESC
+          ) AS n FROM events) WHERE n = 1)""",
 )
 def last_wins(spark, folder):
-    return counts.last_row_wins(_user_values(spark, folder), "event_id").select("entity_id", "property", "value")
+    # An order with ties, without a value for some rows and for all rows of some users.
+    ordered = (F.col("event_id") % 3 != 0) & (F.col("user_id") % 5 != 0)
+    rows = table(spark, folder, "events").select(
+        "event_id", F.col("user_id").cast("string").alias("user_id"), "event_type", "props",
+        F.when(ordered, F.floor(F.col("event_id") / 100)).alias("at"))
+    values = graph.entity_values(rows, _USERS, _USERS_CATALOG, keep=["at", "event_id"])
+    return counts.last_row_wins(values, ["at", "event_id"]).select("entity_id", "property", "value")
 
 
 @QUERIES.add(

@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import base64_text
 from graphloom.functions.times import utc_text
-from graphloom.operators import graph, ids, update
+from graphloom.operators import ids, update
+from graphloom.plans.catalog import Catalog, EntitySet, EntityType, PropertyType
 from graphloom.plans.mapping import Entity, Mapping, prop
 from graphloom.queries.entities import (
+    GIVEN_IDS,
+    GIVEN_IDS_CATALOG,
+    GIVEN_IDS_SQL,
     RESIDENCE,
     RESIDENCE_CATALOG,
     _USERS,
     _USERS_CATALOG,
+    given_id_rows,
     residence_rows,
 )
 from graphloom.queries.shared import Registered, sql_base64, sql_iso, sql_key_id, table
 from graphloom.sinks.binaries import read_binaries, write_binaries
 from graphloom.sinks.store import Store
-from graphloom.sinks.targets import LOG_SCHEMA, log_rows, read_log, write_nothing, write_target
+from graphloom.sinks.targets import log_rows, read_log, write_nothing, write_target
 from graphloom.sources.rows import as_utc
 from graphloom.sources.scratch import shared_folder
 from graphloom.streaming.ingest import integrate, stream_into
@@ -249,3 +256,65 @@ def replay(spark, folder):
     for _ in range(2):
         integrate(events, _USERS, _USERS_CATALOG, store, 2)
     return _shown(store.state())
+
+
+_SCORES_CATALOG = Catalog.of(
+    [PropertyType("event.key", "Int64"), PropertyType("event.score", "Int32"), PropertyType("event.day", "Date")],
+    [EntityType("event", ("event.key",), ("event.key", "event.score", "event.day"))],
+    [EntitySet("events", "event")],
+)
+_SCORES = Mapping("events", (Entity("event", "events", (
+    prop("event.key", "event_id"), prop("event.score", "score"), prop("event.day", "day"))),))
+
+
+@QUERIES.add(
+    "str_1_rejects",
+    """SELECT 'rejected' AS outcome, 'event.score' AS property, event_type || event_id::varchar AS value FROM events WHERE event_type = 'error'
+       UNION ALL SELECT 'rejected', 'event.day', 'someday' FROM events WHERE event_type = 'click'
+       UNION ALL SELECT 'kept', 'event.score', event_id::varchar FROM events WHERE event_type <> 'error'
+       UNION ALL SELECT 'kept', 'event.day', strftime(ts, '%Y-%m-%d') FROM events WHERE event_type <> 'click'
+       UNION ALL SELECT 'kept', 'event.key', event_id::varchar FROM events""",
+)
+def rejected(spark, folder):
+    events, kind, number = table(spark, folder, "events"), F.col("event_type"), F.col("event_id").cast("string")
+    rows = events.select(
+        number.alias("event_id"),
+        F.when(kind == "error", F.concat(kind, number)).otherwise(number).alias("score"),
+        F.when(kind == "click", "someday").otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("day"))
+    store = _store(spark, "scores-store")
+    integrate(rows, _SCORES, _SCORES_CATALOG, store, 1, on_bad_value="reject", shown=["event_id"])
+    kept = store.current().select(F.lit("kept").alias("outcome"), "property", "value")
+    return kept.unionByName(store.rejects().select(F.lit("rejected").alias("outcome"), "property", "value"))
+
+
+@QUERIES.add(
+    "upd_5_ingest_unversioned",
+    f"""SELECT key_id, property, value, 21::bigint AS version, '21' AS versions FROM ({_USERS_SQL})""",
+)
+def ingest_unversioned(spark, folder):
+    events = table(spark, folder, "events").select(F.col("user_id").cast("string").alias("user_id"), "event_type", "props")
+    alone = replace(_USERS, entities=tuple(replace(e, property_update_type="Unversioned") for e in _USERS.entities))
+    store = _store(spark, "unversioned-store")
+    for version in (10, 20):
+        integrate(events, alone, _USERS_CATALOG, store, version)
+    return _shown(store.state())
+
+
+@QUERIES.add("str_3_given_ids", GIVEN_IDS_SQL)
+def given_ids(spark, folder):
+    # Ids come with the filled orders, in the first batch only; the keys keep them in the second.
+    rows, store = given_id_rows(spark, folder), _store(spark, "given-store")
+    for version, filled in ((1, True), (3, False)):
+        integrate(rows.where((F.col("o_orderstatus") == "F") == filled), GIVEN_IDS, GIVEN_IDS_CATALOG, store, version)
+    return store.current().select("entity_set", "key_id", "property", "value")
+
+
+@QUERIES.add("snk_8_compaction", _REPLACED_SQL)
+def compaction(spark, folder):
+    store = _store(spark, "compacted-store")
+    store.write(100, _first(spark, folder))
+    store.compact()
+    store.write(200, _second(spark, folder), update_types={"orders": "Replace"})
+    store.compact()
+    store.remove_dead()
+    return _shown(store.state())

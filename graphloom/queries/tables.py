@@ -22,6 +22,16 @@ def _csv_of(spark, df, name):
     return path
 
 
+# Amounts are read as text and compared as numbers, since engines write doubles differently.
+_MONEY_SQL = "{}::decimal(18, 2)"
+_SUPPLIER_SQL = f"""SELECT s_suppkey::varchar AS s_suppkey, s_name, s_nationkey::varchar AS s_nationkey,
+                           {_MONEY_SQL.format('s_acctbal')} AS s_acctbal FROM supplier"""
+
+
+def _money(name):
+    return F.col(name).cast("decimal(18, 2)").alias(name)
+
+
 def _xml_of(df, path, row_tag):
     df.write.format("xml").option("rowTag", row_tag).option("rootTag", f"{row_tag}s").save(path)
     return path
@@ -29,41 +39,41 @@ def _xml_of(df, path, row_tag):
 
 @QUERIES.add(
     "src_1_csv",
-    "SELECT doc_id::varchar AS doc_id, text, lang FROM documents",
+    """SELECT doc_id::varchar AS doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+              n_chars::varchar AS n_chars FROM documents""",
 )
 def csv(spark, folder):
-    rows = table(spark, folder, "documents").select("doc_id", "text", "lang")
-    return read_csv(spark, _csv_of(spark, rows, "documents-csv"))
+    # Texts hold line breaks, so each file is read as a whole.
+    return read_csv(spark, _csv_of(spark, table(spark, folder, "documents"), "documents-csv"), multi_line=True)
 
 
 @QUERIES.add(
     "src_2_filtered_csv",
-    """SELECT c_custkey::varchar AS c_custkey, c_name, c_nationkey::varchar AS c_nationkey
+    f"""SELECT c_custkey::varchar AS c_custkey, c_name, c_nationkey::varchar AS c_nationkey, {_MONEY_SQL.format('c_acctbal')} AS c_acctbal
        FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey <> 3""",
 )
 def filtered_csv(spark, folder):
-    rows = table(spark, folder, "customer").drop("c_acctbal")
     found = read_csv(
         spark,
-        _csv_of(spark, rows, "customer-csv"),
+        _csv_of(spark, table(spark, folder, "customer"), "customer-csv"),
         steps.equals("c_mktsegment", "BUILDING"),
         steps.not_equals("c_nationkey", "3"),
-        multi_line=False,
     )
-    return found.select("c_custkey", "c_name", "c_nationkey")
+    return found.select("c_custkey", "c_name", "c_nationkey", _money("c_acctbal"))
 
 
 @QUERIES.add(
     "src_3_rows_as_text",
     f"""SELECT event_id::varchar AS event_id, {sql_iso('ts')} AS ts, user_id::varchar AS user_id,
-               event_type, props FROM events""",
+               event_type, value::decimal(20, 6) AS value, props FROM events""",
 )
 def rows_as_text(spark, folder):
-    return text_rows(table(spark, folder, "events").drop("value"))
+    # Texts of doubles differ between engines where their values don't.
+    return text_rows(table(spark, folder, "events")).withColumn("value", F.col("value").cast("decimal(20, 6)"))
 
 
 _PART_SQL = """SELECT p_partkey::varchar AS id, p_name AS name, p_brand AS brand, p_type AS type,
-                      p_size::varchar AS size FROM part"""
+                      p_size::varchar AS size, {} AS price FROM part""".format(_MONEY_SQL.format("p_retailprice"))
 
 
 @QUERIES.add("src_4_xml", _PART_SQL)
@@ -75,9 +85,10 @@ def xml(spark, folder):
             F.struct(F.col("p_brand").alias("brand"), F.col("p_type").alias("type")).alias("kind"),
         ).alias("label"),
         F.col("p_size").alias("size"),
+        F.col("p_retailprice").alias("price"),
     )
     path = _xml_of(rows, shared_folder(spark, "part-xml"), "part")
-    schema = "id string, label struct<name string, kind struct<brand string, type string>>, size string"
+    schema = "id string, label struct<name string, kind struct<brand string, type string>>, size string, price string"
     found = read_xml(spark, path, "part", only="part-*", schema=schema)
     return found.select(
         "id",
@@ -85,18 +96,17 @@ def xml(spark, folder):
         F.col("`label.kind.brand`").alias("brand"),
         F.col("`label.kind.type`").alias("type"),
         "size",
+        _money("price"),
     )
 
 
 @QUERIES.add(
     "src_5_local_files",
-    """SELECT s_suppkey::varchar AS s_suppkey, s_name, s_nationkey::varchar AS s_nationkey
-       FROM supplier""",
+    _SUPPLIER_SQL,
 )
 def local_files(spark, folder):
-    rows = table(spark, folder, "supplier").drop("s_acctbal")
-    path = _xml_of(rows, shared_folder(spark, "supplier-xml"), "supplier")
-    return read_local(spark, path, "supplier")
+    path = _xml_of(table(spark, folder, "supplier"), shared_folder(spark, "supplier-xml"), "supplier")
+    return read_local(spark, path, "supplier").withColumn("s_acctbal", _money("s_acctbal"))
 
 
 @QUERIES.add(
@@ -116,11 +126,11 @@ def object_prefix(spark, folder):
 
 @QUERIES.add(
     "src_7_source_choice",
-    "SELECT s_suppkey::varchar AS s_suppkey, s_name FROM supplier",
+    _SUPPLIER_SQL,
 )
 def source_choice(spark, folder):
-    rows = table(spark, folder, "supplier").select("s_suppkey", "s_name")
-    return read_source(spark, {"csv": _csv_of(spark, rows, "supplier-csv"), "multi_line": False})
+    path = _csv_of(spark, table(spark, folder, "supplier"), "supplier-csv")
+    return read_source(spark, {"csv": path}).withColumn("s_acctbal", _money("s_acctbal"))
 
 
 @QUERIES.add(

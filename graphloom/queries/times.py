@@ -13,18 +13,22 @@ _ZONE = "America/Los_Angeles"
 _US, _DAY_FIRST, _WITH_OFFSET = "MM/dd/yy HH:mm", "dd.MM.yyyy HH:mm", "yyyy-MM-dd HH:mm:ss.SSS XXX"
 _PATTERNS = [_US, _DAY_FIRST, _WITH_OFFSET]
 
+# Events, every other one half a year later, so that there are winter and summer times.
+_SEASONS_SQL = """(SELECT event_id, event_type, ts + CASE WHEN event_id % 2 = 1 THEN interval 182 day ELSE interval 0 day END AS ts
+  FROM events)"""
 # Minutes of events with a text that differs by event type; errors have no time.
 _TEXTS_SQL = f"""(SELECT event_id, event_type, date_trunc('minute', ts) AS minute, date_trunc('millisecond', ts) AS ms,
-  event_type IN ('view', 'click') AS zoneless FROM events) written"""
+  event_type IN ('view', 'click') AS zoneless FROM {_SEASONS_SQL}) written"""
 _OFFSET_SQL = (
-    "CASE WHEN timezone('UTC', timezone('America/Los_Angeles', {0})) - {0} = interval 7 hour "
-    "THEN '-07:00' ELSE '-08:00' END"
+    "(CASE WHEN timezone('UTC', timezone('America/Los_Angeles', {0})) - {0} = interval 7 hour "
+    "THEN '-07:00' ELSE '-08:00' END)"
 )
 
 
 def _written(spark, folder):
     """Events with their time as text: two patterns without zone, one with, ISO, and junk."""
-    ts, kind = F.col("ts"), F.col("event_type")
+    summer = F.when(F.col("event_id") % 2 == 1, F.expr("interval 182 days")).otherwise(F.expr("interval 0 days"))
+    ts, kind = F.col("ts") + summer, F.col("event_type")
     return table(spark, folder, "events").select(
         "event_id",
         "event_type",
@@ -61,10 +65,10 @@ def date(spark, folder):
 
 @QUERIES.add(
     "fn_16_datetime",
-    f"""SELECT event_id, CASE WHEN zoneless THEN {sql_iso('minute', "'-08:00'")}
+    f"""SELECT event_id, CASE WHEN zoneless THEN {sql_iso('minute', _OFFSET_SQL.format('minute'))}
           WHEN event_type = 'purchase' THEN {sql_iso('ms', "'+05:30'")}
           WHEN event_type = 'signup' THEN full_iso END AS made
-        FROM {_TEXTS_SQL} JOIN (SELECT event_id, {sql_iso('ts')} AS full_iso FROM events) USING (event_id)""",
+        FROM {_TEXTS_SQL} JOIN (SELECT event_id, {sql_iso('ts')} AS full_iso FROM {_SEASONS_SQL}) USING (event_id)""",
 )
 def datetime(spark, folder):
     rows = _written(spark, folder)
@@ -98,8 +102,8 @@ def shift_zone(spark, folder):
 
 @QUERIES.add(
     "fn_24_local_datetime",
-    f"""SELECT event_id, CASE WHEN zoneless THEN strftime(minute, '%Y-%m-%dT%H:%M:00.000-08:00')
-          WHEN event_type = 'purchase' THEN strftime(ms, '%Y-%m-%dT%H:%M:%S.%g-08:00') END AS made
+    f"""SELECT event_id, CASE WHEN zoneless THEN strftime(minute, '%Y-%m-%dT%H:%M:00.000') || {_OFFSET_SQL.format('minute')}
+          WHEN event_type = 'purchase' THEN strftime(ms, '%Y-%m-%dT%H:%M:%S.%g') || {_OFFSET_SQL.format('ms')} END AS made
         FROM {_TEXTS_SQL}""",
 )
 def local_datetime(spark, folder):

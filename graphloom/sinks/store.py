@@ -1,71 +1,115 @@
 """A property and edge store as append-only Parquet tables.
 
-``values``, ``binaries``, ``edges`` and ``entities`` are each partitioned by batch, the first
-two also by entity set. A batch is written as a whole and replaces an earlier try of the same
-batch, so a replay gives the same store. Readers take the batches listed in ``commits``,
-which is written last: a batch that was cut short is not seen.
+Each write of a batch is an attempt with folders of its own, ``batch=v/attempt=u`` below each table; the
+commit, one row that is written last, names the attempt that counts. So a batch that was cut short is not
+seen, and one that is written again takes the place of its first try as a whole, tables that are not
+written again included. ``values`` are also partitioned by entity set and by a bucket of
+the key, so a replacing update reads the buckets that it touches.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable, Mapping as MappingType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.operators import update
+from graphloom.operators.counts import observed
 from graphloom.operators.ids import EDGE_KEY
+from graphloom.plans.mapping import REPLACING
 from graphloom.sinks.binaries import binary_rows
+from graphloom.sources.scratch import discard, exists, found_by
+
+#: Buckets of keys in an entity set.
+BUCKETS = 16
 
-_EDGE_SCHEMA = ", ".join(f"{c} string" for c in EDGE_KEY) + ", version bigint"
-_ENTITY_SCHEMA = "entity_set string, key_id string, version bigint"
-_BINARY_SCHEMA = "entity_set string, key_id string, property string, hash string, content binary"
 _SCHEMAS = {
-    "values": update.LOG_SCHEMA,
-    "binaries": _BINARY_SCHEMA,
-    "edges": _EDGE_SCHEMA,
-    "entities": _ENTITY_SCHEMA,
-    "commits": "version bigint",
+    "values": f"{update.LOG_SCHEMA}, bucket int",
+    "binaries": "entity_set string, key_id string, property string, hash string, content binary",
+    "edges": ", ".join(f"{c} string" for c in EDGE_KEY) + ", version bigint",
+    "entities": "entity_set string, key_id string, version bigint",
+    "given_ids": "entity_set string, entity_id string, key_id string",
+    "rejects": "row string, alias string, property string, value string, reason string",
 }
-_PARTITIONS = {"values": ["entity_set"], "binaries": ["entity_set"]}
+_COMMITS = (
+    "version bigint, attempt string, at bigint, tables array<string>, replaces array<bigint>, "
+    "unversioned array<string>, versioned array<string>, counts map<string, bigint>"
+)
+_PARTITIONS = {"values": ["entity_set", "bucket"], "binaries": ["entity_set"]}
 
 
 class Store:
+    """The store at a path. Nothing is written before the first batch."""
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-        for table, schema in _SCHEMAS.items():
-            empty = spark.createDataFrame([], schema)
-            writer = empty.write.mode("ignore").partitionBy(*_PARTITIONS.get(table, []))
-            writer.parquet(f"{self.path}/{table}/batch=0")
-
-    def _read(self, table: str, before: int | None = None, since: int = 0) -> DataFrame:
-        """Rows of committed batches from ``since`` on and below ``before``, or of all."""
-
-        def rows(name: str) -> DataFrame:
-            schema = f"{_SCHEMAS[name]}, batch bigint"
-            found = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-            found = found.where(F.col("batch") >= since)
-            return found if before is None else found.where(F.col("batch") < before)
-
-        return rows(table).join(rows("commits").select("batch"), "batch", "left_semi").drop("batch")
-
-    def _write(self, rows: DataFrame, table: str, version: int, mode: str = "overwrite") -> None:
+    def _live(self) -> dict[int, Row]:
+        """The commit that counts of each batch. There is one small row for each write."""
+        if not exists(self.spark, f"{self.path}/commits"):
+            return {}
+        live: dict[int, Row] = {}
+        for commit in sorted(self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits").collect(), key=lambda c: c["at"]):
+            for version in commit["replaces"]:
+                live.pop(version, None)
+            live[commit["version"]] = commit
+        return live
+
+    def _folder(self, table: str, commit: Row | tuple[int, str]) -> str:
+        return f"{self.path}/{table}/batch={commit[0]}/attempt={commit[1]}"
+
+    def _read(self, table: str, before: int | None = None, only: int | None = None) -> DataFrame:
+        """Rows of committed batches, of those below ``before``, or of one only."""
+        folders = [
+            self._folder(table, c)
+            for v, c in sorted(self._live().items())
+            if table in c["tables"] and (before is None or v < before) and (only is None or v == only)
+        ]
+        schema = _SCHEMAS[table]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{table}").parquet(*folders)
+
+    def _write(self, rows: DataFrame, table: str, version: int, attempt: str, mode: str = "error") -> int:
+        """Write rows of an attempt; the number of rows."""
         # Rebalancing cuts the files to size, also where one entity set holds most rows.
         partitions = _PARTITIONS.get(table, [])
-        target = f"{self.path}/{table}/batch={version}"
-        rows.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).parquet(target)
+        counted, counter = observed(rows.hint("rebalance", *partitions), f"{table}-{uuid.uuid4().hex}")
+        counted.write.mode(mode).partitionBy(*partitions).parquet(self._folder(table, (version, attempt)))
+        return int(counter.get["rows"])
 
-    def _commit(self, version: int) -> None:
-        done = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
-        done.write.mode("overwrite").parquet(f"{self.path}/commits/batch={version}")
+    def _commit(
+        self,
+        version: int,
+        attempt: str,
+        counts: MappingType[str, int],
+        kinds: MappingType[str, str] | None = None,
+        replaces: Iterable[int] = (),
+    ) -> None:
+        kinds = kinds or {}
+        row = (
+            version, attempt, time.time_ns(), list(counts), list(replaces),
+            [s for s, k in kinds.items() if k == "Unversioned"], [s for s, k in kinds.items() if k != "Unversioned"], dict(counts),
+        )
+        self.spark.createDataFrame([row], _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
     def log(self, before: int | None = None) -> DataFrame:
-        return self._read("values", before)
+        return self._read("values", before).drop("bucket")
 
-    def state(self, unversioned: Iterable[str] = ()) -> DataFrame:
-        return update.state_of(self.log(), unversioned)
+    def unversioned_sets(self) -> list[str]:
+        """Entity sets of which only the last version of a value is kept, by their last write."""
+        kind: dict[str, bool] = {}
+        for _, commit in sorted(self._live().items()):
+            kind.update(dict.fromkeys(commit["versioned"] or (), False) | dict.fromkeys(commit["unversioned"] or (), True))
+        return sorted(s for s, alone in kind.items() if alone)
+
+    def state(self, unversioned: Iterable[str] | None = None) -> DataFrame:
+        """Each value with its versions; sets that were written as unversioned have the last one."""
+        return update.state_of(self.log(), self.unversioned_sets() if unversioned is None else unversioned)
 
     def current(self) -> DataFrame:
         return update.current(self.log())
@@ -81,6 +125,16 @@ class Store:
         """Each entity with the version of its last write."""
         return self._read("entities").groupBy("entity_set", "key_id").agg(F.max("version").alias("version"))
 
+    def given_ids(self, before: int | None = None) -> DataFrame | None:
+        """Ids that came with the data, one row for each key; None where no batch had any."""
+        if not any("given_ids" in c["tables"] and (before is None or v < before) for v, c in self._live().items()):
+            return None
+        return self._read("given_ids", before).groupBy("entity_set", "entity_id").agg(F.min("key_id").alias("key_id"))
+
+    def rejects(self, version: int | None = None) -> DataFrame:
+        """What could not be integrated, of one batch or of all."""
+        return self._read("rejects", only=version)
+
     def write(
         self,
         version: int,
@@ -88,37 +142,92 @@ class Store:
         edges: DataFrame | None = None,
         update_types: MappingType[str, str] | None = None,
         binaries: DataFrame | None = None,
-    ) -> None:
-        """Apply a batch of values, edges and binary values with ids. Versions of batches must
-        be above 0 and grow by at least 2."""
-        if version < 1:
-            raise ValueError("versions start at 1")
-        target = f"{self.path}/values/batch={version}"
-        self._write(update.incoming_rows(values, version), "values", version)
+        property_update_types: MappingType[str, str] | None = None,
+        given_ids: DataFrame | None = None,
+        rejects: DataFrame | None = None,
+    ) -> dict[str, int]:
+        """Apply a batch of values, edges and binary values with ids; the rows written by table.
+
+        Versions of batches must be above 0 and at least 2 apart. A batch that a compaction has taken
+        up is in already, and is not written again.
+        """
+        live = self._live()
+        self._check(version, live)
+        done = next((c for c in live.values() if version in c["replaces"]), None)
+        if done is not None:
+            return {}
+        attempt, counts = uuid.uuid4().hex, {}
+        incoming = update.incoming_rows(values, version).withColumn("bucket", _bucket())
+        counts["values"] = self._write(incoming, "values", version, attempt)
         # From here on the written rows are read, so the source is mapped once.
-        incoming = self.spark.read.schema(update.LOG_SCHEMA).parquet(target)
-        ended = update.endings(self.log(before=version), incoming, version, update_types or {})
-        if ended is not None:
-            self._write(ended, "values", version, "append")
+        own = self.spark.read.schema(_SCHEMAS["values"]).parquet(self._folder("values", (version, attempt)))
+        replacing = {s: k for s, k in (update_types or {}).items() if k in REPLACING}
+        if replacing:
+            of_sets = own.where(F.col("entity_set").isin(list(replacing)))
+            touched = [r[0] for r in of_sets.select("bucket").distinct().collect()]  # at most BUCKETS
+            log = self._read("values", before=version).where(F.col("bucket").isin(touched)).drop("bucket")
+            ended = update.endings(log, own.drop("bucket"), version, replacing)
+            if ended is not None:
+                self._write(ended.withColumn("bucket", _bucket()), "values", version, attempt, "append")
         if edges is not None:
-            self._write(update.edge_rows(edges, version), "edges", version)
+            counts["edges"] = self._write(update.edge_rows(edges, version), "edges", version, attempt)
         if binaries is not None:
-            self._write(binary_rows(binaries), "binaries", version)
-        written = update.committed_entities(self.spark.read.schema(update.LOG_SCHEMA).parquet(target))
-        self._write(written, "entities", version)
-        self._commit(version)
+            counts["binaries"] = self._write(binary_rows(binaries), "binaries", version, attempt)
+        if given_ids is not None:
+            counts["given_ids"] = self._write(given_ids.select("entity_set", "entity_id", "key_id"), "given_ids", version, attempt)
+        if rejects is not None:
+            counts["rejects"] = self._write(rejects.select("row", "alias", "property", "value", "reason"), "rejects", version, attempt)
+        counts["entities"] = self._write(update.committed_entities(own), "entities", version, attempt)
+        self._commit(version, attempt, counts, property_update_types)
+        return counts
+
+    def _check(self, version: int, live: MappingType[int, Row]) -> None:
+        if version < 1:
+            raise ValueError("versions start at 1")
+        for other, commit in live.items():
+            if commit["replaces"]:
+                if version < other and version not in commit["replaces"]:
+                    raise ValueError(f"version {version} is older than the compaction of batches up to {other - 1}")
+            elif other != version and abs(other - version) < 2:
+                raise ValueError(f"version {version} overlaps with that of batch {other}")
 
     def batch_counts(self, version: int) -> tuple[int, int]:
         """How many entities and edges a committed batch wrote."""
-        tables = [self._read(t, version + 1, version) for t in ("entities", "edges")]
-        return tables[0].count(), tables[1].count()
-
-    def compact(self, path: str, version: int) -> Store:
-        """A new store at ``path`` that holds the state of this one as one batch."""
-        made = Store(self.spark, path)
-        made._write(self.state(), "values", version)
-        made._write(self.edges(), "edges", version)
-        made._write(self.binaries(), "binaries", version)
-        made._write(self.entities(), "entities", version)
-        made._commit(version)
-        return made
+        counts = self._live()[version]["counts"]
+        return counts.get("entities", 0), counts.get("edges", 0)
+
+    def compact(self) -> int | None:
+        """Write all batches as one, whose commit takes their place; its number, or None without a batch.
+
+        Readers and a running stream see it with their next read, and plans made before keep reading the old
+        folders until :meth:`remove_dead`.
+        """
+        live = self._live()
+        if not live:
+            return None
+        version, attempt, counts = max(live) + 1, uuid.uuid4().hex, {}
+        unversioned = self.unversioned_sets()
+        counts["values"] = self._write(self.state(unversioned).withColumn("bucket", _bucket()), "values", version, attempt)
+        others = {"edges": self.edges(), "binaries": self.binaries(), "entities": self.entities(), "rejects": self.rejects()}
+        for table, rows in others.items():
+            if any(table in c["tables"] for c in live.values()):
+                counts[table] = self._write(rows, table, version, attempt)
+        given = self.given_ids()
+        if given is not None:
+            counts["given_ids"] = self._write(given, "given_ids", version, attempt)
+        replaced = {v for c in live.values() for v in c["replaces"]} | set(live)
+        self._commit(version, attempt, counts, dict.fromkeys(unversioned, "Unversioned"), sorted(replaced))
+        return version
+
+    def remove_dead(self) -> int:
+        """Delete the folders of attempts that no commit names any more. No write may be under way."""
+        kept = {c["attempt"] for c in self._live().values()}
+        there = (p for t in _SCHEMAS for p in found_by(self.spark, f"{self.path}/{t}/batch=*/attempt=*"))
+        dead = [p for p in there if p.rpartition("attempt=")[2] not in kept]
+        for path in dead:
+            discard(self.spark, path)
+        return len(dead)
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("key_id"), F.lit(BUCKETS)).cast("int")

@@ -16,15 +16,19 @@ def read_csv(
     spark: SparkSession,
     path: str | list[str],
     *conditions: Condition,
-    multi_line: bool = True,
+    multi_line: bool = False,
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """CSV with a header row; every value is text, an empty field is the empty text.
 
-    A quoted field may hold line breaks. Where none does, ``multi_line=False`` lets
-    Spark split large files between tasks.
+    Rows with more or fewer fields than the header end the query, and so does a file whose
+    header differs from that of the first one. Spark splits large files between tasks; where a
+    quoted field holds line breaks, ``multi_line`` has to be set, and a file is one task.
     """
     reader = spark.read.option("header", True).option("inferSchema", False)
+    reader = reader.option("mode", "FAILFAST").option("enforceSchema", False)
+    # Only a parser that looks at all fields sees that a row has too many.
+    reader = reader.option("columnPruning", False)
     reader = reader.option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
@@ -34,6 +38,44 @@ def read_csv(
     return kept(texts, *conditions)
 
 
+def _xml_reader(spark: SparkSession, row_tag: str, schema: T.StructType | str | None):
+    """A reader that a broken file ends, and that knows no column but the elements'."""
+    reader = spark.read.format("xml").option("rowTag", row_tag)
+    reader = reader.option("attributePrefix", "").option("inferSchema", False).option("mode", "FAILFAST")
+    return reader if schema is None else reader.schema(schema)
+
+
+def _refuse_hidden(spark: SparkSession, pattern: str, below: bool, region: str | None = None) -> None:
+    """Raise where Spark would pass over a file because a part of its name starts with a dot or underscore.
+
+    Markers and checksums that writers leave are no data and may be there.
+    """
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    if region is not None:
+        conf.set("fs.s3a.endpoint.region", region)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(conf)
+
+    def own(name: str) -> bool:
+        return name[:1] in ("_", ".") and name != "_SUCCESS" and not (name[0] == "." and name.endswith(".crc"))
+
+    def refuse(found) -> None:
+        raise ValueError(f"{found.toString()}: names that start with a dot or an underscore are not read; rename it")
+
+    for status in fs.globStatus(path) or ():
+        there = status.getPath()
+        if own(there.getName()):
+            refuse(there)
+        if not status.isDirectory():
+            continue
+        depth = len(there.toUri().getPath().rstrip("/"))
+        files = fs.listFiles(there, below)
+        while files.hasNext():
+            name = files.next().getPath()
+            if any(own(part) for part in name.toUri().getPath()[depth:].split("/") if part):
+                refuse(name)
+
+
 def read_xml(
     spark: SparkSession,
     path: str | list[str],
@@ -46,15 +88,14 @@ def read_xml(
 
     A folder gives its own files that match ``only``, not those in folders below. Nested
     elements become columns with dotted names. Without a schema the files are read
-    twice, the first time for the names of their elements.
+    twice, the first time for the names of their elements. A file that is no XML ends the query, and so
+    does a data file with a name that Spark takes as hidden.
     """
-    reader = spark.read.format("xml").option("rowTag", row_tag)
-    reader = reader.option("attributePrefix", "").option("inferSchema", False)
-    reader = reader.option("recursiveFileLookup", False)
+    for one in [path] if isinstance(path, str) else path:
+        _refuse_hidden(spark, one, below=False)
+    reader = _xml_reader(spark, row_tag, schema).option("recursiveFileLookup", False)
     if only is not None:
         reader = reader.option("pathGlobFilter", only)
-    if schema is not None:
-        reader = reader.schema(schema)
     rows = reader.load(path)
     if not keep_empty_files:
         rows = rows.where(F.col("_metadata.file_size") > 0)
@@ -64,7 +105,7 @@ def read_xml(
 def read_local(
     spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
-    """A file, or all files right in a folder whatever their names, as XML."""
+    """A file, or all files right in a folder whatever their endings, as XML."""
     return read_xml(spark, path, row_tag, only=None, schema=schema)
 
 
@@ -78,17 +119,14 @@ def read_object_store(
 ) -> DataFrame:
     """XML objects under ``root`` (such as ``s3a://bucket``) whose key starts with ``prefix``.
 
-    Empty objects are left out. An empty prefix reads all of the bucket. Spark takes names
-    that start with a dot or an underscore as hidden and leaves them out too.
+    Empty objects are left out. An empty prefix reads all of the bucket. An object that is no XML, or
+    whose key has a part that Spark takes as hidden, ends the query.
     """
     literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", prefix)
     path = f"{root.rstrip('/')}/{literal}*"
-    reader = spark.read.format("xml").option("rowTag", row_tag)
-    reader = reader.option("attributePrefix", "").option("inferSchema", False)
+    _refuse_hidden(spark, path, below=True, region=region)
     # Keys have no folders: everything that starts with the prefix counts, at any depth.
-    reader = reader.option("recursiveFileLookup", True)
-    if schema is not None:
-        reader = reader.schema(schema)
+    reader = _xml_reader(spark, row_tag, schema).option("recursiveFileLookup", True)
     if region is not None:
         reader = reader.option("fs.s3a.endpoint.region", region)
     return flattened(reader.load(path).where(F.col("_metadata.file_size") > 0))

@@ -9,15 +9,46 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; a local one only where that is not set."""
+    """A new path below ``spark.checkpoint.dir``.
+
+    Only a session in one process may do without that setting: its tasks share the driver's disk.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="graphloom-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(rows: DataFrame, name: str) -> DataFrame:
     """The rows as a table in a shared folder, which outlives the loss of executors."""
-    path = shared_folder(rows.sparkSession, name)
+    return written_to(rows, shared_folder(rows.sparkSession, name))
+
+
+def written_to(rows: DataFrame, path: str) -> DataFrame:
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    there, fs = _file_system(spark, path)
+    return fs.exists(there)
+
+
+def found_by(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with wildcards."""
+    there, fs = _file_system(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(there) or ()]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    there, fs = _file_system(spark, path)
+    fs.delete(there, True)

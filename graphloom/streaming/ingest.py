@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -10,10 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 from graphloom.operators import graph, ids
 from graphloom.operators.counts import earliest_reject
 from graphloom.plans.catalog import ID_PROPERTY, Catalog
-from graphloom.plans.mapping import BINARIES, NO_OP, Mapping
+from graphloom.plans.mapping import BINARIES, NO_OP, TABLES, Mapping
 from graphloom.sinks.store import Store
 from graphloom.sinks.targets import append_log
-from graphloom.sources.scratch import written
+from graphloom.sources.scratch import discard, shared_folder, written_to
+
+# What becomes of values that are not of their datatype: they end the run, or are listed with the batch.
+FAIL, REJECT = "fail", "reject"
 
 
 def integrate(
@@ -24,30 +27,64 @@ def integrate(
     version: int,
     registry: DataFrame | None = None,
     stage: bool = False,
-) -> None:
-    """Map rows, give ids, and write values and edges as one batch of the store.
+    on_bad_value: str = FAIL,
+    shown: Sequence[str] = (),
+) -> dict[str, int]:
+    """Map rows, give ids, and write values and edges as one batch of the store; rows written by table.
 
-    Values and edges are mapped from the rows one after the other. ``stage`` writes the rows
-    to a shared folder first, for sources that are slow to read or may change in between,
-    as a database does.
+    A value that is not of its datatype, a bad explicit id included, ends the run. With
+    ``on_bad_value="reject"`` it is left out and listed in the batch's ``rejects``, with the ``shown``
+    columns of its row, all without any; so are rows whose id is blank.
+
+    Ids that came with the data stay those of their keys in all later batches. Values and edges are
+    mapped from the rows one after the other. ``stage`` writes the rows to a shared folder
+    first, for sources that are slow to read or may change in between, as a database does.
     """
-    if stage:
-        rows = written(rows, "staged-rows")
+    if on_bad_value not in (FAIL, REJECT):
+        raise ValueError(f"on_bad_value is {FAIL!r} or {REJECT!r}")
+    if not stage:
+        return _integrate(rows, mapping, catalog, store, version, registry, on_bad_value, shown)
+    path = shared_folder(store.spark, "staged-rows")
+    try:
+        return _integrate(written_to(rows, path), mapping, catalog, store, version, registry, on_bad_value, shown)
+    finally:
+        discard(store.spark, path)
+
+
+def _integrate(
+    rows: DataFrame,
+    mapping: Mapping,
+    catalog: Catalog,
+    store: Store,
+    version: int,
+    registry: DataFrame | None,
+    on_bad_value: str,
+    shown: Sequence[str],
+) -> dict[str, int]:
     properties = [p.type for d in mapping.definitions for p in d.properties]
-    values = graph.entity_values(rows, mapping, catalog)
+    values = graph.entity_values(rows, mapping, catalog, fail_on_bad_value=on_bad_value == FAIL)
+    known, given = store.given_ids(before=version), None
     if ID_PROPERTY in properties:
         given = ids.explicit_ids(values)
-        registry = given if registry is None else ids.registry_with(registry, given)
+        if known is not None:
+            given = given.join(known, list(ids.KEY), "left_anti")
         values = values.where(values.property != ID_PROPERTY)
+    for more in (given, known):
+        if more is not None:
+            registry = more if registry is None else ids.registry_with(registry, more)
     with_ids = ids.assign_ids(values, registry, explicit=False)
-    edges = binaries = None
+    edges = binaries = rejects = None
     if mapping.associations:
         mapped = graph.edges(rows, mapping, catalog)
         edges = ids.edge_ids(mapped.where(mapped.destination != NO_OP), registry)
     if any(catalog.datatype(p) == "Binary" for p in properties):
         binaries = graph.to_destination(with_ids, BINARIES)
+    if on_bad_value == REJECT:
+        rejects = graph.rejects(rows, mapping, catalog, list(shown) or rows.columns)
     to_tables = with_ids.where(~with_ids.destination.isin(NO_OP, BINARIES))
-    store.write(version, to_tables, edges, mapping.update_types(), binaries)
+    return store.write(
+        version, to_tables, edges, mapping.update_types(), binaries, mapping.property_update_types(), given, rejects
+    )
 
 
 def run_all(
@@ -59,29 +96,46 @@ def run_all(
     log: str,
     shown: Sequence[str] = (),
     order: str | None = None,
+    stage: bool = False,
+    on_bad_value: str = FAIL,
+    contacts: Iterable[str] = (),
 ) -> int:
     """Integrate several sources, one after the other, and log how it goes.
 
-    Returns how many entities and edges were written. A failure is logged, together
-    with the ``shown`` columns of the first rejected row by ``order`` where these are given,
-    and ends the run.
+    Entity sets that a mapping needs and the catalog lacks are added before its run. A run logs what it wrote to each
+    destination. Returns how many entities and edges were written. A failure ends the run and is logged;
+    then, and where rows were rejected, the ``shown`` columns of the first rejected row by ``order`` are
+    logged as well, if these are given. The rejects themselves are in the store.
     """
     spark, total = store.spark, 0
     for number, (mapping, rows) in enumerate(plan):
         batch = version + 2 * number
-        append_log(spark, log, job_id, mapping.name, ["started"], "IN_PROGRESS")
+        missing = catalog.missing_sets(mapping, contacts)
+        catalog = catalog.with_sets(missing)
+        lines = ["started", *[f"added entity set {s.name}" for s in missing]]
+        append_log(spark, log, job_id, mapping.name, lines, "IN_PROGRESS")
+
+        def first_reject(mapping: Mapping = mapping, rows: DataFrame = rows, catalog: Catalog = catalog) -> list[str]:
+            if not (shown and order):
+                return []
+            found = graph.rejects(rows, mapping, catalog, shown, keep=[order])
+            return [f"first rejected row: {r.row}" for r in earliest_reject(found, order).collect()]
+
         try:
-            integrate(rows, mapping, catalog, store, batch)
-            entities, edges = store.batch_counts(batch)
+            counts = integrate(rows, mapping, catalog, store, batch, stage=stage, on_bad_value=on_bad_value, shown=shown)
         except Exception as e:
-            lines = [f"{type(e).__name__}: {e}"]
-            if shown and order:
-                found = graph.rejects(rows, mapping, catalog, shown, keep=[order])
-                lines += [f"first rejected row: {r.row}" for r in earliest_reject(found, order).collect()]
-            append_log(spark, log, job_id, mapping.name, lines, "FAILED")
+            append_log(spark, log, job_id, mapping.name, [f"{type(e).__name__}: {e}", *first_reject()], "FAILED")
             raise
-        done = f"integrated {entities} entities and {edges} edges"
-        append_log(spark, log, job_id, mapping.name, [done], "SUCCEEDED")
+        entities, edges = counts.get("entities", 0), counts.get("edges", 0)
+        done = [
+            f"integrated {entities} entities and {edges} edges",
+            f"{TABLES}: {entities} entities, {counts.get('values', 0)} property values, {edges} edges",
+        ]
+        if "binaries" in counts:
+            done.append(f"{BINARIES}: {counts['binaries']} property values")
+        if counts.get("rejects"):
+            done += [f"rejected {counts['rejects']} values and rows", *first_reject()]
+        append_log(spark, log, job_id, mapping.name, done, "SUCCEEDED")
         total += entities + edges
     return total
 
@@ -95,16 +149,19 @@ def stream_into(
     first_version: int = 1,
     registry: DataFrame | None = None,
     available_now: bool = True,
+    stage: bool = False,
+    on_bad_value: str = FAIL,
 ) -> StreamingQuery:
     """Start a query that integrates each batch of a streaming source.
 
     The version of a batch follows from its number, so a batch that is run again after a
     failure writes the same rows in the same place. How large a batch gets is set at
-    the source, as with ``maxFilesPerTrigger``.
+    the source, as with ``maxFilesPerTrigger``. ``stage`` and ``on_bad_value`` are those of
+    :func:`integrate`.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        integrate(batch, mapping, catalog, store, first_version + 2 * number, registry)
+        integrate(batch, mapping, catalog, store, first_version + 2 * number, registry, stage, on_bad_value)
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:

@@ -9,6 +9,7 @@ from graphloom.functions import branches, hashes, numbers, steps, text, times, t
 from graphloom.functions.steps import Row, run_chain
 from tests.helpers import evaluate, on_texts
 
+# The texts for which results are agreed.
 PERSON = {
     "FirstName": "John",
     "LastName": "Doe",

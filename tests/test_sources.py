@@ -9,36 +9,77 @@ from graphloom.sources.files import read_csv, read_local, read_object_store, rea
 from graphloom.sources.jdbc import jdbc_options
 from graphloom.sources.rows import flattened, text_rows
 
-CIPHERS = """algo,mode,keySize,id
-AES,CTR,128,0
-AES,GCM,"2
-56",1
-DES,,"a ""quoted"" word",2
+LOANS = """tool,days,note,no
+saw,3,,7
+plane,"1
+4",late,8
+file,2,"said ""so"" twice",9
 """
 
 
 @pytest.fixture
-def ciphers(tmp_path):
-    path = tmp_path / "ciphers.csv"
-    path.write_text(CIPHERS)
+def loans(tmp_path):
+    path = tmp_path / "loans.csv"
+    path.write_text(LOANS)
     return str(path)
 
 
-def test_csv(spark, ciphers):
-    rows = read_csv(spark, ciphers)
+def test_csv(spark, loans):
+    rows = read_csv(spark, loans, multi_line=True)
     assert {f.dataType.simpleString() for f in rows.schema} == {"string"}
     assert sorted(tuple(r) for r in rows.collect()) == [
-        ("AES", "CTR", "128", "0"), ("AES", "GCM", "2\n56", "1"), ("DES", "", 'a "quoted" word', "2")]
+        ("file", "2", 'said "so" twice', "9"), ("plane", "1\n4", "late", "8"), ("saw", "3", "", "7")]
 
 
-def test_csv_with_conditions(spark, ciphers):
-    rows = read_csv(spark, ciphers, steps.equals("algo", "AES"), steps.not_equals("mode", "GCM"))
-    assert [r.id for r in rows.collect()] == ["0"]
+def test_csv_with_conditions(spark, loans):
+    rows = read_csv(spark, loans, steps.not_equals("days", "2"), steps.equals("note", "late"), multi_line=True)
+    assert [r.no for r in rows.collect()] == ["8"]
+
+
+@pytest.mark.parametrize("text", ["id,name\n1,amy\n2,bob,EXTRA\n", "id,name\n1,amy\n3\n"])
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_rows_have_as_many_fields_as_the_header(spark, tmp_path, text, multi_line):
+    (tmp_path / "bad.csv").write_text(text)
+    for columns in (["id", "name"], ["id"]):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_csv(spark, str(tmp_path / "bad.csv"), multi_line=multi_line).select(*columns).collect()
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_files_have_one_header(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text("id,name\n1,amy\n")
+    (tmp_path / "b.csv").write_text("name,id\nbob,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path), multi_line=multi_line).collect()
+
+
+def test_broken_xml_ends_the_query(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<r><id>1</id></r>")
+    (tmp_path / "b.xml").write_text("<r><id>2</id")
+    for schema in (None, "id string"):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_xml(spark, str(tmp_path), "r", schema=schema).collect()
+
+
+def test_hidden_names_are_refused(spark, tmp_path):
+    (tmp_path / "k" / "part").mkdir(parents=True)
+    (tmp_path / "k" / "a.xml").write_text("<r><id>1</id></r>")
+    (tmp_path / "k" / "_SUCCESS").write_text("")
+    (tmp_path / "k" / ".a.xml.crc").write_text("")
+    assert read_local(spark, str(tmp_path / "k"), "r").count() == 1
+    (tmp_path / "k" / "part" / "_c.xml").write_text("<r><id>2</id></r>")
+    assert read_local(spark, str(tmp_path / "k"), "r").count() == 1  # not in this folder
+    with pytest.raises(ValueError, match="_c.xml"):
+        read_object_store(spark, str(tmp_path), "r", "k")
+    (tmp_path / "k" / ".hidden.xml").write_text("<r><id>3</id></r>")
+    for read in (read_xml, read_local):
+        with pytest.raises(ValueError, match="hidden.xml"):
+            read(spark, str(tmp_path / "k"), "r")
 
 
 def test_csv_reads_only_the_columns_asked_for(spark, tmp_path):
     spark.range(5).select("id", F.lit("x").alias("a"), F.lit("y").alias("b")).write.option("header", True).csv(str(tmp_path / "c"))
-    plan = read_csv(spark, str(tmp_path / "c"), multi_line=False).select("a")._jdf.queryExecution().executedPlan().toString()
+    plan = read_csv(spark, str(tmp_path / "c")).select("a")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<a:string>" in plan
 
 
@@ -58,6 +99,8 @@ def test_xml(spark, tmp_path):
     assert [r.id for r in read_xml(spark, str(folder / "one.xml"), "record").collect()] == ["1"]
     by_spec = read_source(spark, {"xml": True, "row_tag": "record", "origin": ["local", str(folder)]})
     assert by_spec.count() == 3
+    chosen = read_source(spark, {"xml": str(folder), "row_tag": "record", "schema": "id string"})
+    assert chosen.columns == ["id"] and chosen.count() == 2
 
 
 def test_object_store_prefix(spark, tmp_path):
@@ -97,6 +140,16 @@ def test_jdbc_options():
         jdbc_options(connection, "SELECT 1", split_on="id")
 
 
+def test_splits_reach_the_reader(spark, monkeypatch):
+    from graphloom.sources import choose
+
+    asked = {}
+    monkeypatch.setattr(choose, "read_jdbc", lambda spark, connection, sql, **options: asked.update(options))
+    spec = {"datasource": {"url": "jdbc:x"}, "sql": "SELECT id FROM t", "fetch_size": 5, "split_on": "id", "lower": 0, "upper": 9, "splits": 3}
+    read_source(spark, spec)
+    assert asked == {k: spec[k] for k in ("fetch_size", "split_on", "lower", "upper", "splits")}
+
+
 @pytest.mark.parametrize("spec", [
     {}, {"sql": "SELECT 1"}, {"datasource": {"url": "x"}}, {"datasource": {"url": "x"}, "sql": "q", "csv": "c"},
     {"datasource": {"url": "x"}, "sql": "q", "xml": "c"}, {"datasource": {"url": "x"}, "sql": "q", "origin": ["S3"]},

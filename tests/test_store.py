@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from graphloom.operators import ids, update
-from graphloom.operators.skew import hot_keys, join_hot
 from graphloom.plans.catalog import Catalog, EntitySet, EntityType, PropertyType
 from graphloom.plans.mapping import Association, Entity, Mapping, prop
 from graphloom.sinks.binaries import binary_rows, read_binaries, write_binaries
 from graphloom.sinks.store import Store
 from graphloom.sinks.targets import append_log, read_log, target_options, write_nothing, write_target
+from graphloom.sources.scratch import discard, shared_folder
 from graphloom.streaming.ingest import integrate, run_all, stream_into
 
 VALUES = "entity_set string, key_id string, property string, value string, content binary"
@@ -76,26 +76,21 @@ def test_value_hash_tells_values_apart(spark):
     assert {bytes(r.value_hash) for r in rows} == {hashlib.sha256(v).digest() for v in (b"1", b"2")}
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_join_with_hot_keys_equals_a_plain_join(spark, how):
-    rows = [(None if i % 7 == 0 else "hot" if i % 3 == 0 else f"k{i % 20}", i) for i in range(600)]
-    left = spark.createDataFrame(rows, "k string, n int")
-    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k5", 4), ("none", 5)], "k string, m int")
-    salted = join_hot(left, right, ["k"], how, rows_per_task=20)
-    plain = left.join(right, ["k"], how)
-    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.select(*salted.columns).collect()))
-
-
-def test_hot_keys_are_found_and_spread(spark):
-    left = spark.range(10_000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    found = hot_keys(left, ["k"], rows_per_task=100)
-    assert len(found) == 1 and found[0][1] == 34
-    right = spark.createDataFrame([("hot", 1)], "k string, m int")
-    spread = join_hot(left, right, ["k"], "inner", rows_per_task=100)
-    assert spread.count() == 3334 and "__salt" in spread._jdf.queryExecution().analyzed().toString()
-    assert "__salt" not in join_hot(left, right, ["k"])._jdf.queryExecution().analyzed().toString()
-    assert hot_keys(left, ["k"]) == []
+def test_joins_are_planned_without_a_job(spark):
+    """Hot keys are left to adaptive execution: nothing runs before the result is asked for."""
+    rows = spark.range(9_000).select(
+        F.lit("s").alias("entity_set"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 3000).cast("string")).alias("entity_id"),
+        F.lit("p").alias("property"), F.col("id").cast("string").alias("value"), F.lit(None).cast("binary").alias("content"))
+    registry = spark.createDataFrame([("s", "hot", "given"), ("s", "1", "one")], "entity_set string, entity_id string, key_id string")
+    spark.sparkContext.setJobGroup("planning", "joins")
+    joined = ids.assign_ids(rows, registry)
+    edges = rows.select(*[c.alias(f"{e}_{n}") for e in ("edge", "src", "dst") for n, c in (("set", F.col("entity_set")), ("id", F.col("entity_id")))])
+    with_ends = ids.edge_ids(edges, registry)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup(None, None)
+    assert joined.where("key_id = 'given'").count() == 3_000 and joined.count() == 9_000
+    assert with_ends.where("src_key_id = 'given' and dst_key_id = 'given' and edge_key_id = 'given'").count() == 1
+    assert with_ends.count() == 2_001
 
 
 CATALOG = Catalog.of(
@@ -133,13 +128,134 @@ def test_integrate_and_replay(spark, tmp_path):
     versions = {r.version for r in store.entities().where("entity_set = 'users'").collect()}
     assert versions == {11, 21}
     # A batch without a commit is not seen.
-    store._write(update.incoming_rows(frame(spark, [("users", "k", "u.did", "lost")]), 30), "values", 30)
+    lost = update.incoming_rows(frame(spark, [("users", "k", "u.did", "lost")]), 30).withColumn("bucket", F.lit(1))
+    store._write(lost, "values", 30, "cut-short")
     assert not store.state().where("value = 'lost'").count()
-    compacted = store.compact(str(tmp_path / "compact"), 40)
-    assert shown(compacted.state()) == shown(store.state())
-    assert compacted.edges().count() == 4 and compacted.entities().count() == store.entities().count()
+    for bad in (0, 19, 21):
+        with pytest.raises(ValueError):
+            store.write(bad, frame(spark, []))
+    before = shown(store.state()), store.edges().count(), sorted(map(str, store.entities().collect()))
+    assert store.compact() == 21 and store.remove_dead() > 0
+    again = Store(spark, str(tmp_path / "store"))
+    assert (shown(again.state()), again.edges().count(), sorted(map(str, again.entities().collect()))) == before
+    # What a compaction has taken up is in already; older batches can't come any more.
+    assert store.write(10, frame(spark, [])) == {} and shown(store.state()) == before[0]
+    with pytest.raises(ValueError, match="compaction"):
+        store.write(15, frame(spark, []))
+    integrate(second.withColumn("did", F.lit("d")), MAPPING, CATALOG, store, 22)
+    assert {r.value for r in store.current().where("entity_set = 'users'").collect()} == {"1", "d", "2", "a"}
+
+
+def test_a_replay_that_fails_leaves_the_first_try(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    rows = spark.createDataFrame([("1", "a")], EVENTS)
+    integrate(rows, MAPPING, CATALOG, store, 10)
+    before = shown(store.state()), store.edges().count(), store.entities().count()
+    values = frame(spark, [("users", "k", "u.did", "new")])
+    broken = store.edges().withColumn("edge_set", F.raise_error(F.lit("lost executor")).cast("string"))
+    with pytest.raises(Exception, match="lost executor"):
+        store.write(10, values, broken)
+    assert (shown(store.state()), store.edges().count(), store.entities().count()) == before
+    store.write(10, values)  # a whole second try, without edges
+    assert set(shown(store.state())) == {("users", "k", "u.did", "new")} and store.edges().count() == 0
+
+
+def test_replacing_reads_the_touched_buckets(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    store.write(10, frame(spark, [("users", f"k{i}", "u.did", "1") for i in range(50)]))
+    plans = []
+    endings = update.endings
+
+    def watched(log, *rest):
+        plans.append(log._jdf.queryExecution().executedPlan().toString())
+        return endings(log, *rest)
+
+    update.endings = watched
+    try:
+        store.write(20, frame(spark, [("users", "k7", "u.did", "2")]), update_types={"users": "Replace"})
+    finally:
+        update.endings = endings
+    assert len(plans) == 1 and "PartitionFilters" in plans[0] and "bucket" in plans[0].split("PartitionFilters")[1].split("]")[0]
+    assert shown(store.state())[("users", "k7", "u.did", "1")] == [11, -20]
+
+
+def test_bad_values_end_the_run_or_are_listed(spark, tmp_path):
+    catalog = Catalog.of([PropertyType("u.k"), PropertyType("u.day", "Date")], [EntityType("user", ("u.k",), ("u.k", "u.day"))], [EntitySet("users", "user")])
+    mapping = Mapping("m", (Entity("user", "users", (prop("u.k", "user"), prop("u.day", "day"), prop("@id", "given"))),))
+    good = ("1", "2020-01-02", "00000000-0000-0000-0000-00000000000a")
+    schema = "user string, day string, given string"
+    store = Store(spark, str(tmp_path / "store"))
+    for bad in (("2", "not a day", None), ("3", None, "no id")):
+        rows = spark.createDataFrame([good, bad], schema)
+        with pytest.raises(Exception, match="not a (Date|Guid)"):
+            integrate(rows, mapping, catalog, store, 10)
+        assert not store.state().count()
+    rows = spark.createDataFrame([good, ("2", "not a day", None), ("3", None, "no id"), (" ", "2020-01-01", None)], schema)
+    log = str(tmp_path / "log")
+    run_all([(mapping, rows)], catalog, store, 10, "job", log, ["user"], "user", stage=True, on_bad_value="reject")
+    found = {(r.row, r.property, r.value, r.reason) for r in store.rejects(10).collect()}
+    assert found == {("2", "u.day", "not a day", "not a Date"), ("3", "@id", "no id", "not a Guid"), (" ", None, None, "blank id")}
+    lines = [line for r in read_log(spark, log).where("status = 'SUCCEEDED'").collect() for line in r.log]
+    assert "rejected 3 values and rows" in lines and "POSTGRES: 3 entities, 4 property values, 0 edges" in lines
+    assert "first rejected row:  " in lines
     with pytest.raises(ValueError):
-        store.write(0, frame(spark, []))
+        integrate(rows, mapping, catalog, store, 20, on_bad_value="ignore")
+
+
+def test_text_cannot_be_routed_to_the_binary_store(spark, tmp_path):
+    mapping = Mapping("m", (Entity("user", "users", (prop("u.k", "user"), prop("u.did", "did", destination="S3"))),))
+    with pytest.raises(ValueError, match="not binary"):
+        integrate(spark.createDataFrame([("1", "a")], EVENTS), mapping, CATALOG, Store(spark, str(tmp_path / "store")), 10)
+
+
+def test_given_ids_stay_given(spark, tmp_path):
+    given, other = "00000000-0000-0000-0000-00000000000a", "00000000-0000-0000-0000-00000000000b"
+    mapping = Mapping("m", (Entity("user", "users", (prop("u.k", "user"), prop("@id", "did"))),))
+    store = Store(spark, str(tmp_path / "store"))
+    for version, did in ((1, given), (3, None), (5, other)):
+        integrate(spark.createDataFrame([("1", did), ("2", None)], EVENTS), mapping, CATALOG, store, version)
+        store.compact() if version == 3 else None
+    keys = {(r.value, r.key_id) for r in store.current().collect()}
+    assert ("1", given) in keys and len(keys) == 2
+
+
+def test_unversioned_sets_are_kept_by_the_store(spark, tmp_path):
+    mapping = Mapping("m", (Entity("user", "users", (prop("u.k", "user"),), property_update_type="Unversioned"),
+                            Entity("thing", "things", (prop("t.k", "did"),))))
+    store = Store(spark, str(tmp_path / "store"))
+    for version in (10, 20):
+        integrate(spark.createDataFrame([("1", "a")], EVENTS), mapping, CATALOG, store, version)
+    expected = {"1": [21], "a": [11, 21]}
+    assert {r.value: list(r.versions) for r in store.state().collect()} == expected
+    store.compact()
+    assert {r.value: list(r.versions) for r in store.state().collect()} == expected
+
+
+def test_missing_sets_are_added_before_a_run(spark, tmp_path):
+    mapping = Mapping("m", (Entity("user", "guests", (prop("u.k", "user"),), entity_type="user"),), organization_id="org")
+    store, log = Store(spark, str(tmp_path / "store")), str(tmp_path / "log")
+    assert run_all([(mapping, spark.createDataFrame([("1", "a")], EVENTS))], CATALOG, store, 10, "job", log) == 1
+    assert any("added entity set guests" in r.log for r in read_log(spark, log).collect())
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, tmp_path):
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = Conf(conf)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session(master), "x")
+        assert shared_folder(Session(master, **{"spark.checkpoint.dir": "hdfs:///d/"}), "x").startswith("hdfs:///d/x-")
+    staged = tmp_path / "local"
+    spark.range(1).write.parquet(str(staged))
+    discard(spark, str(staged))
+    assert not staged.exists()
 
 
 def test_stream_equals_batches(spark, tmp_path):
