@@ -21,7 +21,7 @@ from graphloom.operators.counts import observed
 from graphloom.operators.ids import EDGE_KEY
 from graphloom.plans.mapping import REPLACING
 from graphloom.sinks.binaries import binary_rows
-from graphloom.sources.scratch import discard, exists, found_by
+from graphloom.sources.scratch import discard, found_by
 
 #: Buckets of keys in an entity set.
 BUCKETS = 16
@@ -47,16 +47,20 @@ class Store:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._known: tuple[list[str], dict[int, Row]] = ([], {})
 
     def _live(self) -> dict[int, Row]:
-        """The commit that counts of each batch. There is one small row for each write."""
-        if not exists(self.spark, f"{self.path}/commits"):
-            return {}
+        """The commit that counts of each batch. There is one small row for each write, and they are
+        read anew when there are other files than last time."""
+        files = sorted(found_by(self.spark, f"{self.path}/commits/part-*"))
+        if files == self._known[0]:
+            return self._known[1]
         live: dict[int, Row] = {}
         for commit in sorted(self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits").collect(), key=lambda c: c["at"]):
             for version in commit["replaces"]:
                 live.pop(version, None)
             live[commit["version"]] = commit
+        self._known = files, live
         return live
 
     def _folder(self, table: str, commit: Row | tuple[int, str]) -> str:

@@ -37,11 +37,6 @@ def _file_system(spark: SparkSession, path: str):
     return there, there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    there, fs = _file_system(spark, path)
-    return fs.exists(there)
-
-
 def found_by(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a pattern with wildcards."""
     there, fs = _file_system(spark, pattern)
