@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm.common import QUERIES, groups, mapped, table
+from graphloom.sources.scratch import written
 
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{16,}")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -33,7 +34,7 @@ _RUNS = re.compile(r"[A-Za-z]+")
 #: A dictionary word is in at least this share of the documents; a document has a bounded number of
 #: different words, so their number has a bound as well, whatever the number of documents.
 DICTIONARY_SHARE = 0.002
-#: Labelled findings of each label that a forest is fitted on, at most.
+#: About how many labelled findings of each label a forest is fitted on.
 FIT_FINDINGS = 4000
 FEATURES = (
     "length", "digits", "capitals", "signs", "class_changes", "vowel_changes", "entropy", "hex",
@@ -223,17 +224,20 @@ def candidates(docs: DataFrame, words: frozenset[str], forest: Forest | None, th
 
 
 def fit_forest(findings: DataFrame, most: int = FIT_FINDINGS) -> Forest | None:
-    """A forest fitted on at most ``most`` findings of each ``label``, drawn by hash; None without both labels."""
-    parts = []
-    draw = F.xxhash64("token_sha256", "start", "doc_id")
-    for label in (0, 1):
-        drawn = findings.where(F.col("label") == label).select("features", draw.alias("draw"))
-        rows = drawn.orderBy("draw").limit(most).collect()
-        if not rows:
-            return None
-        parts.append(np.array([r["features"] for r in rows]))
-    y = np.concatenate([np.zeros(len(parts[0])), np.ones(len(parts[1]))])
-    return Forest(np.concatenate(parts), y)
+    """A forest fitted on about ``most`` findings of each ``label``, drawn by hash; None without both labels.
+
+    Every task sends only its drawn findings to the driver, twice ``most`` of a label at the very most.
+    """
+    findings = written(findings.where(F.col("label").isin(0, 1)).select("label", "features", "token_sha256", "start", "doc_id"), "findings")
+    held = {r["label"]: r["n"] for r in findings.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(held) < 2:
+        return None
+    draw = F.pmod(F.xxhash64("token_sha256", "start", "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    share = F.when(F.col("label") == 0, most / held[0]).otherwise(most / held[1])
+    drawn = findings.select("label", "features", draw.alias("draw")).where(F.col("draw") < share)
+    rows = sorted((r["label"], r["draw"], r["features"]) for r in drawn.limit(4 * most).collect())
+    x, y = np.array([r[2] for r in rows]), np.array([r[0] for r in rows], float)
+    return Forest(x, y) if len(set(y)) == 2 else None
 
 
 def scan(docs: DataFrame, learn_from: Column | None = None, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:

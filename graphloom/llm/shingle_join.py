@@ -417,6 +417,26 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     return found.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-@QUERIES.add("op5_jaccard_join")
+_ORACLE = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM words
+  UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other)
+SELECT doc_id, coalesce(n, 0)::bigint AS n_shingles, component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+
+@QUERIES.add("op5_jaccard_join", _ORACLE)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
