@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm.common import table
@@ -36,13 +36,18 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents without the lines that repeat in later ones; a document that had nothing else goes."""
     kept = dedup_lines(docs)
     rest = (F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\s]")
-    columns = [F.col("text") if c == "text" else _length(c) if c == "n_chars" else F.col(f"row.{c}").alias(c) for c in docs.columns]
+    columns = [_after_dedup(c) for c in docs.columns]
     return kept.where(rest).select(*columns)
 
 
-def _length(name: str):
-    """The recorded length, or that of the text where lines were dropped."""
-    return F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col(f"row.{name}").cast("long")).alias(name)
+def _after_dedup(name: str) -> Column:
+    """A column of the documents; text and, where lines were dropped, its length are those after dedup."""
+    before = F.col("row").getField(name)
+    if name == "text":
+        return F.col("text")
+    if name == "n_chars":
+        return F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(before.cast("long")).alias(name)
+    return before.alias(name)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 ASCII_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 #: Texts are worked on in groups of about this many bytes, which bounds a worker's memory.
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

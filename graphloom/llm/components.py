@@ -16,31 +16,33 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     its neighbours, first from above and then from below, which halves distances. Only the least
     neighbour of a node is ever gathered, so a hub costs no task more than its share.
     """
-
-    def least(pairs: DataFrame) -> DataFrame:
-        """Each node with its least neighbour or itself."""
-        both = pairs.union(pairs.select("b", "a"))
-        low = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-        return low.select("node", F.least("node", "low").alias("low"))
-
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    count = None
+    edges = written(
+        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
+    )
     for step in range(most_rounds):
-        # Larger neighbours, and then the node with all its smaller ones, go to the least.
-        large = edges.union(edges.select("b", "a")).join(least(edges).withColumnRenamed("node", "a"), "a")
-        large = large.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
-        large = written(large, f"large-star-{step}")
+        # Larger neighbours go to the least of a node's neighbours and itself.
+        both = edges.union(edges.select("b", "a"))
+        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        above = both.where(F.col("b") > F.col("a")).join(low, "a")
+        large = written(
+            above.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct(), f"large-star-{step}"
+        )
+        # Then a node and all its smaller neighbours go to the least of these.
         low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low.select("a", F.col("low").alias("b")))
-        after = written(small.where("a <> b").distinct(), f"small-star-{step}")
-        # Done when no node has two links downwards and none that is linked to has one of its own.
-        now = (after.count(), after.select("a").distinct().count(), after.select(F.col("b").alias("a")).intersect(after.select("a")).count())
-        edges = after
-        if now[0] == now[1] and now[2] == 0:
-            break
-        count = now
-    else:
-        raise RuntimeError(f"components don't settle: {count}")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+        below = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        small = below.union(low.select("a", F.col("low").alias("b")))
+        edges = written(small.where("a <> b").distinct(), f"small-star-{step}")
+        if _is_settled(edges):
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+                edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+            )
+    raise RuntimeError(f"components are not settled after {most_rounds} rounds")
+
+
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether every node has one link down at most, and none where another one ends."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
     )
+    counted = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return not counted.where("down > 1 OR (down = 1 AND up = 1)").take(1)

@@ -155,7 +155,9 @@ class Network:
         logits /= logits.sum(axis=1, keepdims=True)
         return logits, ahead, back
 
-    def train(self, rows: np.ndarray, label: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = 0.02, seed: int = 5) -> float:
+    def train(
+        self, rows: np.ndarray, label: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = 0.02, seed: int = 5
+    ) -> float:
         """Fit to stretches and their languages by Adam; returns the last mean loss."""
         rng = np.random.default_rng(seed)
         self._moments = [(np.zeros_like(w), np.zeros_like(w)) for w in self._weights()]
@@ -319,7 +321,5 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     network = fit(docs, ~held_out())
     found = identify(docs.select("doc_id", "text"), network)
-    key = F.col("row.doc_id").alias("doc_id")
-    return found.select(
-        key, F.coalesce(F.crc32(F.col("row.doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "n_letters", "n_agree"
-    )
+    apart = F.coalesce(held_out("row.doc_id"), F.lit(False)).alias("held_out")
+    return found.select(F.col("row.doc_id").alias("doc_id"), apart, "lang_pred", "score", "n_letters", "n_agree")

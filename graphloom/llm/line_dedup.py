@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import ASCII_LOWER, QUERIES, mapped, on_workers, table
+from graphloom.llm.common import ASCII_LOWER, QUERIES, groups, mapped, on_workers, table
 from graphloom.llm.cuckoo import CuckooFilter
 from graphloom.sources.scratch import shared_folder, written
 
@@ -57,7 +57,7 @@ def line_references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """
 
     def refer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (g for b in batches for g in groups(b)):
             count: dict[bytes, int] = {}
             last: dict[bytes, int | None] = {}
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -125,7 +125,7 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS, filters: DataFrame |
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value if shared else None
-        for batch in batches:
+        for batch in (g for b in batches for g in groups(b)):
             ids: list[int | None] = []
             keys: list[bytes] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -156,12 +156,14 @@ def drop_lines(docs: DataFrame, lost: DataFrame, min_chars: int = MIN_CHARS) ->
     """All rows as a struct ``row`` with ``text`` without its lost lines, ``n_lines`` and ``n_dropped``."""
     # The keys of a document are gathered as one binary: bounded by its own lines.
     keys = lost.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("key_high", "key_low"))).alias("lost"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
     joined = rows.join(keys.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left")
     flat = joined.select("row", "text", F.col("lost.key_high").alias("high"), F.col("lost.key_low").alias("low"))
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (g for b in batches for g in groups(b)):
             texts, lines, dropped = [], [], []
             columns = (batch.column(i).to_pylist() for i in (1, 2, 3))
             for text, high, low in zip(*columns):

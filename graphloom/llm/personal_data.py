@@ -115,7 +115,8 @@ def instances(text: str, base: list[Span]) -> list[tuple[str, str, str | None, i
 def found_in(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows of ``docs`` without their text, as ``row``, with a number, base spans and instances."""
     rest = [F.col(c) for c in docs.columns if c != text]
-    rows = docs.select(F.monotonically_increasing_id().alias("number"), F.struct(*rest).alias("row"), F.col(text).cast("string").alias("text"))
+    number = F.monotonically_increasing_id().alias("number")
+    rows = docs.select(number, F.struct(*rest).alias("row"), F.col(text).cast("string").alias("text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -188,7 +189,8 @@ def personal_data(docs: DataFrame, text: str = "text", min_score: float = MIN_SC
     )
     new = seen.where(F.col("kind").isNull()).join(trusted, "pattern")
     # The spans of one document are bounded by its text.
-    by_row = new.groupBy("number").agg(F.sort_array(F.collect_list(F.struct(F.col("as_kind").alias("kind"), "start", "end"))).alias("new"))
+    span = F.struct(F.col("as_kind").alias("kind"), "start", "end")
+    by_row = new.groupBy("number").agg(F.sort_array(F.collect_list(span)).alias("new"))
     joined = found.select("number", "row", "spans").join(by_row, "number", "left")
     none = F.array().cast(joined.schema["new"].dataType)
     return joined.select("row", F.col("spans").alias("base"), F.coalesce("new", none).alias("discovered"))
@@ -196,7 +198,13 @@ def personal_data(docs: DataFrame, text: str = "text", min_score: float = MIN_SC
 
 def _digest(spans: Column) -> Column:
     """Spans as kind:start:end, by kind as listed and then by start."""
-    ranked = F.transform(spans, lambda s: F.struct(F.array_position(F.array(*map(F.lit, KINDS)), s["kind"]).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    order = F.array(*map(F.lit, KINDS))
+    ranked = F.transform(
+        spans,
+        lambda s: F.struct(
+            F.array_position(order, s["kind"]).alias("rank"), *[s[c].alias(c) for c in ("start", "end", "kind")]
+        ),
+    )
     return F.array_join(F.transform(F.array_sort(ranked), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 

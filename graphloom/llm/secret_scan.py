@@ -219,8 +219,12 @@ def candidates(docs: DataFrame, words: frozenset[str], forest: Forest | None, th
                 names=["doc_id", "start", "end", "token_sha256", "label", "features", "probability", "is_secret"],
             )
 
-    columns = "start bigint, `end` bigint, token_sha256 string, label bigint, features array<double>, probability double, is_secret boolean"
-    return mapped(docs.select("doc_id", F.col("text").cast("string").alias("text")), find, f"doc_id {kind}, {columns}")
+    columns = (
+        "start bigint, `end` bigint, token_sha256 string, label bigint, features array<double>, "
+        "probability double, is_secret boolean"
+    )
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return mapped(rows, find, f"doc_id {kind}, {columns}")
 
 
 def fit_forest(findings: DataFrame, most: int = FIT_FINDINGS) -> Forest | None:
@@ -228,7 +232,8 @@ def fit_forest(findings: DataFrame, most: int = FIT_FINDINGS) -> Forest | None:
 
     Every task sends only its drawn findings to the driver, twice ``most`` of a label at the very most.
     """
-    findings = written(findings.where(F.col("label").isin(0, 1)).select("label", "features", "token_sha256", "start", "doc_id"), "findings")
+    chosen = findings.where(F.col("label").isin(0, 1))
+    findings = written(chosen.select("label", "features", "token_sha256", "start", "doc_id"), "findings")
     held = {r["label"]: r["n"] for r in findings.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(held) < 2:
         return None
@@ -240,7 +245,9 @@ def fit_forest(findings: DataFrame, most: int = FIT_FINDINGS) -> Forest | None:
     return Forest(x, y) if len(set(y)) == 2 else None
 
 
-def scan(docs: DataFrame, learn_from: Column | None = None, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
+def scan(
+    docs: DataFrame, learn_from: Column | None = None, labelled: DataFrame | None = None, threshold: float = 0.5
+) -> DataFrame:
     """Every candidate of ``docs`` (``doc_id``, ``text``) with the forest's verdict, as in :func:`candidates`.
 
     The forest learns from ``labelled`` findings (``features``, ``label``, ``token_sha256``, ``start``,

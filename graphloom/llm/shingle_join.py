@@ -93,7 +93,9 @@ class Shingles:
 
     def keys(self) -> list[bytes | None]:
         """128 bits that stand for the whole set; None for an empty one."""
-        return [hashlib.md5(self.of(i).tobytes(), usedforsecurity=False).digest() if n else None for i, n in enumerate(self.sizes)]
+        return [
+            hashlib.md5(self.of(i).tobytes(), usedforsecurity=False).digest() if n else None for i, n in enumerate(self.sizes)
+        ]
 
 
 def _ragged(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -293,8 +295,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                         seen.add(keys[i])
                         chosen.append(i)
                 picked = [keys[i] for i in chosen]
+                members = [shingles.of(i).tobytes() for i in chosen]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_handles(picked)), pa.array(picked, pa.binary()), pa.array([shingles.of(i).tobytes() for i in chosen], pa.binary())],
+                    [pa.array(_handles(picked)), pa.array(picked, pa.binary()), pa.array(members, pa.binary())],
                     names=["handle", "key", "members"],
                 )
 
@@ -367,10 +370,11 @@ def verified_links(grouped: DataFrame, sets: DataFrame, percent: int = PERCENT,
     number = F.pmod(F.xxhash64("handle"), F.col("blocks")).cast("int")
     placed = grouped.join(size, "leader").withColumn("own", number)
     # With itself and with every other block; the smaller number comes first.
-    pairs = placed.select(
-        "leader", "handle", "own",
-        F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least("own", i).alias("x"), F.greatest("own", i).alias("y")))).alias("pair"),
-    )
+    with_each = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda i: F.struct(F.least("own", i).alias("x"), F.greatest("own", i).alias("y")),
+    )
+    pairs = placed.select("leader", "handle", "own", F.explode(with_each).alias("pair"))
     rows = pairs.join(sets, "handle").select("leader", "pair.x", "pair.y", "own", "key", "members")
 
     def link(group: tuple, part: pa.Table) -> pa.Table:
@@ -385,7 +389,8 @@ def verified_links(grouped: DataFrame, sets: DataFrame, percent: int = PERCENT,
             names += [key[i] for i in second]
             right = [members[i] for i in second]
         links = link_block([members[i] for i in first], right, percent) if len(names) > 1 and len(first) else []
-        return pa.table({"a": pa.array([names[i] for i, _ in links], pa.binary()), "b": pa.array([names[j] for _, j in links], pa.binary())})
+        ends = zip(("a", "b"), ([names[pair[k]] for pair in links] for k in (0, 1)))
+        return pa.table({name: pa.array(keys, pa.binary()) for name, keys in ends})
 
     return rows.groupBy("leader", "x", "y").applyInArrow(link, "a binary, b binary")
 

@@ -130,7 +130,9 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def top_k(
+    rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, key: str = "vec_id", vector: str = "embedding"
+) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id`` and ``score`` of each query's ``k`` best other rows.
 
     ``is_query`` is a condition on ``vec_id``. Scores are inner products of the integer vectors, and ties

@@ -91,4 +91,5 @@ class Words:
         return firsts, mixed(hashes + np.uint64(size))
 
     def joined(self, first: int, size: int) -> bytes:
-        return b" ".join([self.data[s:e].tobytes() for s, e in zip(self.starts[first : first + size], self.ends[first : first + size])])
+        chosen = slice(first, first + size)
+        return b" ".join([self.data[s:e].tobytes() for s, e in zip(self.starts[chosen], self.ends[chosen])])
