@@ -104,10 +104,9 @@ def contamination(
     text: str = "text",
     size: int = WINDOW,
     most_windows: int = MOST_WINDOWS,
-    keep_text: bool = False,
 ) -> DataFrame:
-    """All rows of ``docs`` as a struct ``row`` with ``n_words``, ``hits`` (numbers of the words
-    that lie in a benchmark window) and ``items`` (ids of the items, as sorted strings).
+    """All rows of ``docs``: their other columns as a struct ``row``, ``text``, ``n_words``, ``hits`` (numbers of
+    the words that lie in a benchmark window) and ``items`` (ids of the items, as sorted strings).
 
     Null and empty texts have no words and no hits. Repeated rows are judged one by one. An item
     with a null id still marks words, but is not listed. The benchmark is counted first: up to
@@ -116,9 +115,9 @@ def contamination(
     """
     windows = benchmark_windows(benchmark, size)
     parts = max(1, -(-windows.count() // most_windows))
-    kept = F.struct("*") if keep_text else F.struct(*[F.col(c) for c in docs.columns if c != text])
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != text])
     rows = docs.select(
-        kept.alias("row"), F.col(text).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
+        rest.alias("row"), F.col(text).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"),
     )
     for part in range(parts):
@@ -134,9 +133,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, drop: str = "documents"
     """
     if drop not in ("documents", "spans"):
         raise ValueError("drop is documents or spans")
-    found = contamination(docs, benchmark, size=size, keep_text=True)
+    found = contamination(docs, benchmark, size=size)
+    columns = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
     if drop == "documents":
-        return found.where(F.size("hits") == 0).select("row.*")
+        return found.where(F.size("hits") == 0).select(*columns)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (g for b in batches for g in groups(b)):
@@ -156,7 +156,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, drop: str = "documents"
 
     schema = f"row {found.schema['row'].dataType.simpleString()}, text string"
     cleaned = mapped(found.select("row", "text", "hits"), cut, schema)
-    return cleaned.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
+    return cleaned.select(*columns)
 
 
 _ORACLE = r"""

@@ -287,10 +287,15 @@ def identify(docs: DataFrame, network: Network | None, text: str = "text") -> Da
     have no letter get ``und`` and a score of 0, and so do all where there is no network. Ties go to
     the language that comes first in the alphabet. Rows are judged one by one; no other column is read.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
+    place = docs.columns.index(text)
+
+    def with_text(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = batch.column(0).field(place).cast(pa.string())
+        return pa.RecordBatch.from_arrays([batch.column(0), own], names=["row", "text"])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (g for b in batches for g in groups(b)):
+        for batch in (g for b in batches for g in groups(with_text(b))):
             texts = batch.column("text")
             known = np.array([has_letter(t.as_py()) for t in texts], bool)
             if network is None:

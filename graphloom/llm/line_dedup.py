@@ -153,11 +153,12 @@ def repeated_lines(docs: DataFrame, repeated: DataFrame, filters: DataFrame | No
 
 
 def drop_lines(docs: DataFrame, lost: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """All rows as a struct ``row`` with ``text`` without its lost lines, ``n_lines`` and ``n_dropped``."""
+    """All rows: their other columns as a struct ``row``, ``text`` without its lost lines, ``n_lines`` and ``n_dropped``."""
     # The keys of a document are gathered as one binary: bounded by its own lines.
     keys = lost.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("key_high", "key_low"))).alias("lost"))
+    rest = F.struct(*[c for c in docs.columns if c != "text"])
     rows = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+        rest.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     joined = rows.join(keys.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left")
     flat = joined.select("row", "text", F.col("lost.key_high").alias("high"), F.col("lost.key_low").alias("low"))
@@ -193,7 +194,7 @@ def _dedup(docs: DataFrame, counts: DataFrame, min_chars: int, min_docs: int) ->
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Every row as ``row``, with its ``text`` after dedup, ``n_lines`` and ``n_dropped``.
+    """Every row: its other columns as ``row``, its ``text`` after dedup, ``n_lines`` and ``n_dropped``.
 
     A line is what stands between ``\\n``; its key has white space stripped and A-Z lowered.
     Keys of at least ``min_chars`` code points in at least ``min_docs`` documents lose
