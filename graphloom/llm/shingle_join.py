@@ -10,8 +10,9 @@ missing from the sum then is made up by 2 on segments whose deletion neighbourho
 
 Sets come in bands of sizes; a set is indexed in its own band, and probes there and, where its size
 allows, in the band below. Equal sets are one class from the start. Classes that share a
-signature are candidates; they are brought together by the class that shares most with the others
-and verified exactly, block by block.
+signature are candidates; they are brought together by the class that shares most with the others.
+Outlines, which hold how many members fall in each of a few cells, rule out most of them, since two sets
+differ in no fewer members than their outlines do; the rest is verified exactly, block by block.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ from graphloom.sources.scratch import written
 WORDS, PERCENT = 4, 85
 #: The first segments of a band, whose one-deletion neighbourhoods are indexed.
 DELETION_SEGMENTS = 2
-#: Classes of a block when candidates are verified.
+#: Cells of an outline.
+CELLS = 64
+#: Classes of a block when candidates are compared.
 BLOCK = 1024
 #: Candidate classes up to which a filter of them is sent to all tasks, at up to 12 bytes each.
 MOST_FILTERED = 10_000_000
@@ -91,6 +94,13 @@ class Shingles:
     def of(self, i: int) -> np.ndarray:
         return self.members[self.bounds[i] : self.bounds[i + 1]]
 
+    def outlines(self) -> np.ndarray:
+        """For each set how many of its members fall in each cell, as far as 16 bits count."""
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        cell = (mixed(self.members + _SALT) % np.uint64(CELLS)).astype(np.int64)
+        counts = np.bincount(owner * CELLS + cell, minlength=len(self.sizes) * CELLS)
+        return np.minimum(counts, 65_535).astype(np.uint16).reshape(-1, CELLS)
+
     def keys(self) -> list[bytes | None]:
         """128 bits that stand for the whole set; None for an empty one."""
         return [
@@ -171,17 +181,24 @@ def signatures(shingles: Shingles, chosen: np.ndarray, bands: Bands) -> tuple[np
 
 
 def classes(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and the ``key`` of the set (null if it is empty) of every row."""
+    """``doc_id``, ``n_shingles``, and the ``key``, ``handle`` and ``outline`` of the set (null if it is empty) of every row."""
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (g for b in batches for g in groups(b)):
             shingles = Shingles(batch.column("text"), size)
+            keys = shingles.keys()
+            outlines = [o.tobytes() if k else None for o, k in zip(shingles.outlines(), keys)]
+            handles = [int.from_bytes(k[:8], "little", signed=True) if k else None for k in keys]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(shingles.sizes), pa.array(shingles.keys(), pa.binary())],
-                names=["doc_id", "n_shingles", "key"],
-            )
+                [
+                    batch.column(0), pa.array(shingles.sizes), pa.array(keys, pa.binary()),
+                    pa.array(handles, pa.int64()), pa.array(outlines, pa.binary()),
+                ],
+                names=["doc_id", "n_shingles", "key", "handle", "outline"],
+            )
 
-    return mapped(docs.select("doc_id", "text"), classify, "doc_id bigint, n_shingles bigint, key binary")
+    schema = "doc_id bigint, n_shingles bigint, key binary, handle bigint, outline binary"
+    return mapped(docs.select("doc_id", "text"), classify, schema)
 
 
 def _handles(keys: list[bytes]) -> np.ndarray:
@@ -359,13 +376,12 @@ def link_block(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
     return links
 
 
-def verified_links(grouped: DataFrame, sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """``a`` and ``b``, keys of linked classes, enough to connect all that are linked within a group.
+def in_blocks(grouped: DataFrame, classes: DataFrame, block: int) -> DataFrame:
+    """The members of each group with the columns of their classes, by ``leader`` and a pair of blocks ``x`` and ``y``.
 
-    A group of many classes is cut into blocks by hash, and each pair of blocks is a task of
-    its own, so no task holds more than two blocks.
+    A group of many classes is cut into blocks by hash (``own``), and each pair of blocks is a group of
+    its own, so no task holds more than two blocks at once.
     """
-    on_workers(grouped.sparkSession)
     size = grouped.groupBy("leader").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     number = F.pmod(F.xxhash64("handle"), F.col("blocks")).cast("int")
     placed = grouped.join(size, "leader").withColumn("own", number)
@@ -375,7 +391,35 @@ def verified_links(grouped: DataFrame, sets: DataFrame, percent: int = PERCENT,
         lambda i: F.struct(F.least("own", i).alias("x"), F.greatest("own", i).alias("y")),
     )
     pairs = placed.select("leader", "handle", "own", F.explode(with_each).alias("pair"))
-    rows = pairs.join(sets, "handle").select("leader", "pair.x", "pair.y", "own", "key", "members")
+    return pairs.join(classes, "handle").select("leader", "pair.x", "pair.y", "own", *classes.columns)
+
+
+def possible(grouped: DataFrame, outlines: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """``leader`` and ``handle`` of the members that may be linked within their group by sizes and outlines."""
+    on_workers(grouped.sparkSession)
+
+    def narrow(group: tuple, part: pa.Table) -> pa.Table:
+        own, size = np.asarray(part.column("own")), np.asarray(part.column("n_shingles"))
+        outline = np.frombuffer(b"".join(part.column("outline").to_pylist()), np.uint16).reshape(-1, CELLS).astype(np.int32)
+        leader, x, y = (g.as_py() for g in group)
+        first, second = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        bands, kept = Bands(percent), np.zeros(len(own), bool)
+        for i in first:
+            apart = np.abs(outline[second] - outline[i]).sum(axis=1)
+            near = second[apart <= bands.differ(size[i], size[second])]
+            near = near[near != i]
+            kept[near] = True
+            kept[i] |= len(near) > 0
+        handles = np.asarray(part.column("handle"))[kept]
+        return pa.table({"leader": pa.array(np.full(len(handles), leader, np.int64)), "handle": pa.array(handles)})
+
+    rows = in_blocks(grouped, outlines, block)
+    return rows.groupBy("leader", "x", "y").applyInArrow(narrow, "leader bigint, handle bigint").distinct()
+
+
+def verified_links(grouped: DataFrame, sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """``a`` and ``b``, keys of linked classes, enough to connect all that are linked within a group."""
+    on_workers(grouped.sparkSession)
 
     def link(group: tuple, part: pa.Table) -> pa.Table:
         part = part.sort_by("key")
@@ -392,6 +436,7 @@ def verified_links(grouped: DataFrame, sets: DataFrame, percent: int = PERCENT,
         ends = zip(("a", "b"), ([names[pair[k]] for pair in links] for k in (0, 1)))
         return pa.table({name: pa.array(keys, pa.binary()) for name, keys in ends})
 
+    rows = in_blocks(grouped, sets, block)
     return rows.groupBy("leader", "x", "y").applyInArrow(link, "a binary, b binary")
 
 
@@ -408,7 +453,10 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     rows = written(classes(docs, size), "shingle-classes")
     shared = written(shared_signatures(signature_rows(docs, size, percent)), "shared-signatures")
-    grouped = written(candidate_groups(shared), "candidate-groups")
+    outlines = rows.where(F.col("key").isNotNull()).groupBy("handle", "key").agg(
+        F.any_value("n_shingles").alias("n_shingles"), F.any_value("outline").alias("outline")
+    )
+    grouped = written(possible(candidate_groups(shared), outlines, percent), "candidate-groups")
     sets = written(_sets(docs, grouped.select("handle").distinct(), size), "candidate-sets")
     roots = components(verified_links(grouped, sets, percent))
     first = rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("first"))

@@ -75,7 +75,8 @@ def family_rows(seed=5):
 
 @pytest.mark.parametrize(("size", "percent", "block"), [(4, 85, 1024), (5, 80, 7)])
 def test_join_of_families(spark, size, percent, block, monkeypatch):
-    monkeypatch.setattr(shingle_join.verified_links, "__defaults__", (85, block))
+    for step in (shingle_join.verified_links, shingle_join.possible):
+        monkeypatch.setattr(step, "__defaults__", (85, block))
     made = family_rows()
     rows = spark.createDataFrame(made, "doc_id bigint, text string").repartition(4)
     expected, links = plain_components(made, size, percent)
