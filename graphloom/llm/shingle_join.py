@@ -35,8 +35,8 @@ from graphloom.sources.scratch import written
 WORDS, PERCENT = 4, 85
 #: The first segments of a band, whose one-deletion neighbourhoods are indexed.
 DELETION_SEGMENTS = 2
-#: Cells of an outline.
-CELLS = 64
+#: Members for each cell of an outline, about: so few that unlike sets of any size show.
+CELL_MEMBERS = 8
 #: Classes of a block when candidates are compared.
 BLOCK = 1024
 #: Candidate classes up to which a filter of them is sent to all tasks, at up to 12 bytes each.
@@ -94,12 +94,15 @@ class Shingles:
     def of(self, i: int) -> np.ndarray:
         return self.members[self.bounds[i] : self.bounds[i + 1]]
 
-    def outlines(self) -> np.ndarray:
-        """For each set how many of its members fall in each cell, as far as 16 bits count."""
+    def outlines(self) -> list[bytes]:
+        """For each set how many of its members fall in each cell, as far as a byte counts. The number
+        of cells is a power of two, so an outline with more cells folds into one with fewer."""
+        cells = 1 << np.ceil(np.log2(np.maximum(self.sizes / CELL_MEMBERS, 1))).astype(np.int64)
+        base = np.cumsum(cells) - cells
         owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        cell = (mixed(self.members + _SALT) % np.uint64(CELLS)).astype(np.int64)
-        counts = np.bincount(owner * CELLS + cell, minlength=len(self.sizes) * CELLS)
-        return np.minimum(counts, 65_535).astype(np.uint16).reshape(-1, CELLS)
+        cell = base[owner] + (mixed(self.members + _SALT) & (cells[owner] - 1).astype(np.uint64)).astype(np.int64)
+        data = np.minimum(np.bincount(cell, minlength=int(cells.sum())), 255).astype(np.uint8).tobytes()
+        return [data[a : a + n] for a, n in zip(base.tolist(), cells.tolist())]
 
     def keys(self) -> list[bytes | None]:
         """128 bits that stand for the whole set; None for an empty one."""
@@ -187,7 +190,7 @@ def classes(docs: DataFrame, size: int = WORDS) -> DataFrame:
         for batch in (g for b in batches for g in groups(b)):
             shingles = Shingles(batch.column("text"), size)
             keys = shingles.keys()
-            outlines = [o.tobytes() if k else None for o, k in zip(shingles.outlines(), keys)]
+            outlines = [o if k else None for o, k in zip(shingles.outlines(), keys)]
             handles = [int.from_bytes(k[:8], "little", signed=True) if k else None for k in keys]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -400,16 +403,30 @@ def possible(grouped: DataFrame, outlines: DataFrame, percent: int = PERCENT, bl
 
     def narrow(group: tuple, part: pa.Table) -> pa.Table:
         own, size = np.asarray(part.column("own")), np.asarray(part.column("n_shingles"))
-        outline = np.frombuffer(b"".join(part.column("outline").to_pylist()), np.uint16).reshape(-1, CELLS).astype(np.int32)
+        outlines = [np.frombuffer(o, np.uint8).astype(np.int16) for o in part.column("outline").to_pylist()]
+        cells = np.fromiter(map(len, outlines), np.int64, len(outlines))
         leader, x, y = (g.as_py() for g in group)
         first, second = np.flatnonzero(own == x), np.flatnonzero(own == y)
         bands, kept = Bands(percent), np.zeros(len(own), bool)
-        for i in first:
-            apart = np.abs(outline[second] - outline[i]).sum(axis=1)
-            near = second[apart <= bands.differ(size[i], size[second])]
-            near = near[near != i]
-            kept[near] = True
-            kept[i] |= len(near) > 0
+        for many in np.unique(cells[second]).tolist():
+            against = second[cells[second] == many]
+            stack = np.stack([outlines[j] for j in against])
+            folded = {many: stack}
+            for i in first:
+                # Linked sets have sizes, and so numbers of cells, that are close to each other.
+                likely = (size[against] * 100 >= size[i] * percent) & (size[i] * 100 >= size[against] * percent)
+                if not likely.any():
+                    continue
+                fewer = min(many, int(cells[i]))
+                if fewer not in folded:
+                    folded[fewer] = stack.reshape(len(stack), -1, fewer).sum(axis=1, dtype=np.int16)
+                outline = outlines[i].reshape(-1, fewer).sum(axis=0, dtype=np.int16)
+                chosen = np.flatnonzero(likely)
+                apart = np.abs(folded[fewer][chosen] - outline).sum(axis=1, dtype=np.int64)
+                near = against[chosen[apart <= bands.differ(size[i], size[against[chosen]])]]
+                near = near[near != i]
+                kept[near] = True
+                kept[i] |= len(near) > 0
         handles = np.asarray(part.column("handle"))[kept]
         return pa.table({"leader": pa.array(np.full(len(handles), leader, np.int64)), "handle": pa.array(handles)})
 
