@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, and identifiers that bootstrapped contexts discover.
 
 What the fixed patterns find are the seeds. Every token that looks like an identifier, seed or not, is an
-instance; the words around it and its own shape are the lexical pattern it stands in. Patterns and
-instances form a graph that Spark scores round by round: a pattern is as sure as the instances in it,
-an instance as sure as the patterns it stands in. Patterns that many documents hold and that
-score high discover the other identifiers in them.
+instance; the word before it, the word after it, and both together are the lexical patterns it stands in,
+each scored on its own. How an instance is written plays no part but for one coarse class: whether it has
+an at sign, in any writing. Patterns and instances form a graph that Spark scores round by round: a pattern
+is as sure as the instances in it, an instance as sure as the patterns it stands in. Patterns that many
+documents hold and that score high discover the other identifiers in them.
 """
 
 from __future__ import annotations
@@ -32,8 +33,15 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
-#: Identifier-like tokens: no white space, a digit, and at least six characters.
-_RUN = re.compile(r"[A-Za-z0-9][A-Za-z0-9@._%+-]{4,}[A-Za-z0-9]")
+# Identifier-like tokens. An address has an at sign, also a spelled one, and needs no digit; a number may
+# hold blanks, brackets and a leading plus; any other run has a digit, and all have at least six characters.
+_HOST = r"[\w-]++(?:\.[\w-]++|\s?[(\[{]\s?dot\s?[)\]}]\s?[\w-]++|\sdot\s[\w-]++)"
+_TOKEN = re.compile(
+    rf"(?P<mail>(?<![\w.%+-])[\w.%+-]++(?:(?:@|\s?[(\[{{]\s?at\s?[)\]}}]\s?){_HOST}*+|\sat\s{_HOST}++))"
+    r"|(?<![^\W_])[+(]{0,2}[0-9](?:[ \u00a0().\u2011\u2013/-]*+[0-9])++(?![-._%+@]*[^\W_])"
+    r"|[A-Za-z0-9][A-Za-z0-9@._%+-]{4,}[A-Za-z0-9]",
+    re.IGNORECASE,
+)
 _WORD_BEFORE = re.compile(r"([^\W\d_]+)\W*$")
 _WORD_AFTER = re.compile(r"\W*([^\W\d_]+)")
 _DIGITS = re.compile("[^0-9]+")
@@ -83,32 +91,34 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def _shape(token: str) -> str:
-    """Runs of letters, digits and signs, with the length class of each."""
-    runs = re.findall(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]", token)
-    return "".join(("a" if r[0].isalpha() else "0" if r[0].isdigit() else r) for r in runs)[:40]
+def _tokens(text: str, base: list[Span]) -> Iterator[tuple[int, int, str]]:
+    """Identifier-like tokens that lie between the base spans, with their class."""
+    begin = 0
+    for start, end in [*sorted((s.start, s.end) for s in base), (len(text), len(text))]:
+        if begin < start:
+            for m in _TOKEN.finditer(text, begin, start):
+                token = m.group()
+                # What touches a base span is a part of a longer run.
+                apart = (m.start() > begin or not begin) and (m.end() < start or start == len(text))
+                mail = m["mail"] is not None or "@" in token
+                if apart and len(token) >= 6 and (mail or any(c.isdigit() for c in token)):
+                    yield m.start(), m.end(), "@" if mail else "#"
+        begin = max(begin, end)
 
 
 def instances(text: str, base: list[Span]) -> list[tuple[str, str, str | None, int, int]]:
-    """Identifier-like tokens as (pattern, instance, kind of a seed or None, start, end)."""
-    found = [(s.start, s.end, s.kind) for s in base]
-    taken = sorted((s.start, s.end) for s in base)
-    position = 0
-    for m in _RUN.finditer(text):
-        while position < len(taken) and taken[position][1] <= m.start():
-            position += 1
-        clear = position == len(taken) or taken[position][0] >= m.end()
-        if clear and any(c.isdigit() for c in m.group()):
-            found.append((m.start(), m.end(), None))
+    """Identifier-like tokens as (pattern, instance, kind of a seed or None, start, end), once for each pattern."""
+    found = [(s.start, s.end, "@" if s.kind == "email" else "#", s.kind) for s in base]
+    found += [(*t, None) for t in _tokens(text, base)]
     out = []
-    for start, end, kind in found:
-        # A pattern is the words beside the instance and its shape; words are short, so the
-        # neighbourhood that is looked at is as well.
-        left = _WORD_BEFORE.search(text, max(0, start - 40), start)
-        right = _WORD_AFTER.match(text, end, end + 40)
-        token = text[start:end]
-        pattern = f"{left[1].lower() if left else ''}|{_shape(token)}|{right[1].lower() if right else ''}"
-        out.append((pattern, token.lower(), kind, start, end))
+    for start, end, sign, kind in found:
+        # Words are short, so the neighbourhood that is looked at is as well.
+        before = _WORD_BEFORE.search(text, max(0, start - 40), start)
+        after = _WORD_AFTER.match(text, end, end + 40)
+        left, right = before[1].lower() if before else "", after[1].lower() if after else ""
+        token = text[start:end].lower()
+        contexts = [f"{left}|"] * bool(left) + [f"|{right}"] * bool(right) + [f"{left}|{right}"] * bool(left and right)
+        out += [(f"{sign} {context}", token, kind, start, end) for context in contexts]
     return out
 
 
@@ -179,18 +189,18 @@ def personal_data(docs: DataFrame, text: str = "text", min_score: float = MIN_SC
     """
     found = written(found_in(docs, text), "personal-data")
     seen = found.select("number", F.inline("instances"))
-    # A pattern without a word beside the instance is no context.
-    lexical = ~F.col("pattern").rlike(r"^\|.*\|$")
     trusted = (
-        score_patterns(seen.where(lexical))
+        score_patterns(seen)
         .where((F.col("score") >= min_score) & (F.col("docs") >= min_docs))
         .groupBy("pattern")
-        .agg(F.max_by("kind", F.struct("score", "kind")).alias("as_kind"))
+        .agg(F.max(F.struct("score", "kind")).alias("best"))
     )
-    new = seen.where(F.col("kind").isNull()).join(trusted, "pattern")
+    # Of the patterns that a token stands in the surest gives the kind.
+    new = seen.where(F.col("kind").isNull()).select("pattern", "number", "start", "end").join(trusted, "pattern")
+    of_token = new.groupBy("number", "start", "end").agg(F.max("best")["kind"].alias("as_kind"))
     # The spans of one document are bounded by its text.
     span = F.struct(F.col("as_kind").alias("kind"), "start", "end")
-    by_row = new.groupBy("number").agg(F.sort_array(F.collect_list(span)).alias("new"))
+    by_row = of_token.groupBy("number").agg(F.sort_array(F.collect_list(span)).alias("new"))
     joined = found.select("number", "row", "spans").join(by_row, "number", "left")
     none = F.array().cast(joined.schema["new"].dataType)
     return joined.select("row", F.col("spans").alias("base"), F.coalesce("new", none).alias("discovered"))

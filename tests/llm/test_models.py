@@ -209,6 +209,50 @@ def test_contexts_discover_identifiers(spark):
         assert own == ([("ip", f"300.{i - 200}.1.7")] if 200 <= i < 300 else [])
 
 
+def test_contexts_discover_all_kinds(spark):
+    rng = random.Random(10)
+
+    def card():
+        body = f"4{rng.randrange(10**14):014d}"
+        return next(body + str(d) for d in range(10) if luhn(body + str(d)))
+
+    seeds = {
+        "email": ("write", lambda i: f"{passage(i, 1)}{i}@mail.example", "soon"),
+        "ip": ("server", lambda i: f"10.{i}.{rng.randint(0, 255)}.7", "answered"),
+        "card": ("card", lambda i: card(), "charged"),
+        "phone": ("call", lambda i: f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}", "now"),
+    }
+    rows, other = [], iter(range(1000, 2000))
+    for left, seed, right in seeds.values():
+        rows += [(next(other), f"{passage(i, 9)} {left} {seed(i)} {right} {passage(i + 3, 9)}") for i in range(100)]
+    hidden = {
+        "email": ["alice@localhost", "bob (at) mail.example", "eve [at] mail [dot] example", "jürgen@müller.de"],
+        "ip": ["300.4.1.7", "10-0-0-77x"],
+        "card": ["4111 1111 1111 1112", "4111-1111-1111-1113"],
+        "phone": ["(743) 555-3824", "030 1234567", "0049/30 77 66 55", "743.555.3824"],
+    }
+    expected = {}
+    for kind, (left, _, right) in seeds.items():
+        for value in hidden[kind]:
+            # Between both words, and with one of them alone.
+            for text in (f"pf {left} {value} {right} pf", f"pf {left} {value}", f"{value} {right} pf"):
+                expected[len(expected)] = [(kind, value)]
+                rows.append((len(expected) - 1, text))
+    for value in ("(743) 555-3824", "alice@localhost", "030 1234567"):
+        expected[len(expected)] = []
+        rows.append((len(expected) - 1, f"pf invoice {value} paid pf"))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    texts = dict(rows)
+    found = {r[0]: r for r in personal_data.personal_data(table).select("row.doc_id", "base", "discovered").collect()}
+    for i, known in expected.items():
+        assert [(s["kind"], texts[i][s["start"] : s["end"]]) for s in found[i][2]] == known, texts[i]
+    for i, r in found.items():
+        assert [tuple(s) for s in r[1]] == plain_spans(texts[i])
+        spans = sorted((s["start"], s["end"]) for s in [*r[1], *r[2]])
+        assert i in expected or not r[2]
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_personal_data_of_awkward_texts(docs, no_docs, texts):
     assert personal_data.personal_data(no_docs).count() == 0
     found = personal_data.personal_data(docs).select("row.doc_id", "base").collect()
