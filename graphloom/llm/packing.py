@@ -1,7 +1,11 @@
 """Lexical retrieval packing: windows are filled with the documents that are most like each other.
 
-Documents are dealt by hash into shards of bounded size, and each shard gets a BM25 inverted index
-over its token ids. A window starts with a seed document; the index ranks the documents that are still
+Documents are dealt by likeness into shards of bounded size, and each shard gets a BM25 inverted index
+over its token ids, with the document frequencies and the mean length of all documents. For dealing, the
+weights of a document's terms are projected to a short vector, and a tree of cuts, each along the main
+direction of a drawn sample, leads the vector to its leaf. Leaves that hold too many documents are cut by
+a hash of the terms that near copies share, and groups of copies that are still too large
+by row. A window starts with a seed document; the index ranks the documents that are still
 unused by their score for the seed, and the best fill the window one after the other. What
 does not fit of the last one starts the next window and is its seed, so every token
 lies in exactly one window and only a shard's last window has room left.
@@ -11,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -18,8 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import QUERIES, mapped, on_workers, table
+from graphloom.llm.common import QUERIES, mapped, table
 from graphloom.llm.pieces import vocabulary, vocabulary_path
+from graphloom.sources.scratch import discard, shared_folder, written, written_to
 
 #: Tokens of a window and the id that ends a document.
 WINDOW, END_ID = 2048, 1
@@ -27,12 +33,28 @@ WINDOW, END_ID = 2048, 1
 SHARD_DOCS = 512
 #: BM25's usual constants.
 _K1, _B = 1.2, 0.75
+#: Length of the vectors that documents are dealt by, about how many documents the tree is fitted on, and
+#: the least of them in a leaf.
+DIRECTIONS, FIT_DOCS, LEAF_DOCS = 64, 1 << 16, 8
+
+
+def _idf(n: int, held: np.ndarray) -> np.ndarray:
+    # A term that most documents have tells nothing: its weight is 0, and it is left out.
+    return np.maximum(0, np.log((n - held + 0.5) / (held + 0.5)))
+
+
+class Corpus(NamedTuple):
+    """What BM25 has to know of all documents: their number, their mean length, and the idf of each id."""
+
+    n: int
+    mean: float
+    idf: np.ndarray
 
 
 class InvertedIndex:
-    """BM25 over the token ids of a shard's documents."""
+    """BM25 over the token ids of a shard's documents, which are all there are unless ``corpus`` tells of more."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
         terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs)) if docs else ((), ())
         sizes = np.fromiter(map(len, terms), np.int64, len(terms))
         term = np.concatenate([*terms, np.empty(0, np.int64)]).astype(np.int64)
@@ -40,10 +62,12 @@ class InvertedIndex:
         doc = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
         length = np.fromiter(map(len, docs), np.float64, len(docs))
         known, number = np.unique(term, return_inverse=True)
-        held = np.bincount(number, minlength=len(known))
-        # A term that most documents have tells nothing: its weight is 0, and it is left out.
-        idf = np.maximum(0, np.log((len(docs) - held + 0.5) / (held + 0.5)))
-        norm = _K1 * (1 - _B + _B * length / max(length.mean(), 1)) if len(docs) else length
+        if corpus is None:
+            idf = _idf(len(docs), np.bincount(number, minlength=len(known)))
+            mean = length.mean() if len(docs) else 1
+        else:
+            idf, mean = corpus.idf[known], corpus.mean
+        norm = _K1 * (1 - _B + _B * length / max(mean, 1))
         weight = idf[number] * count * (_K1 + 1) / (count + norm[doc])
         useful = np.flatnonzero(weight > 0)
         order = useful[np.argsort(number[useful], kind="stable")]
@@ -71,9 +95,9 @@ class InvertedIndex:
         return np.bincount(self.postings[places], weights=self.weights[places], minlength=self.n)
 
 
-def fill(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
+def fill(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:
     """Pieces as (document, start, length, sequence, offset) for the documents of a shard."""
-    index = InvertedIndex(docs)
+    index = InvertedIndex(docs, corpus)
     free = np.ones(len(docs), bool)
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence = offset = 0
@@ -126,38 +150,189 @@ def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     return mapped(docs, encode, f"{kinds}, tokens binary")
 
 
+def corpus_of(tokens: DataFrame, dtype: np.dtype) -> Corpus:
+    """Number, mean length and idf over all rows of ``tokens``."""
+    ids = 1 << (8 * dtype.itemsize if dtype.itemsize < 4 else 20)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, docs, length = np.zeros(ids, np.int64), 0, 0
+        for batch in batches:
+            for cell in batch.column(0):
+                doc = np.frombuffer(cell.as_py(), dtype)
+                known = np.unique(doc)
+                if len(known) and known[-1] >= len(held):
+                    held = np.concatenate([held, np.zeros(int(known[-1]) + 1 - len(held), np.int64)])
+                held[known] += 1
+                docs, length = docs + 1, length + len(doc)
+        term = np.flatnonzero(held)
+        # The number and the length of documents travel under ids that no token has.
+        arrays = [np.concatenate([term, [-1, -2]]), np.concatenate([held[term], [docs, length]])]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], names=["term", "n"])
+
+    counts = mapped(tokens.select("tokens"), count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    by_term = {r["term"]: r["n"] for r in counts.collect()}
+    docs, length = by_term.pop(-1, 0), by_term.pop(-2, 0)
+    held = np.zeros(max([ids - 1, *by_term]) + 1, np.int64)
+    held[list(by_term)] = list(by_term.values())
+    return Corpus(docs, length / max(docs, 1), _idf(docs, held))
+
+
+def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
+    """A fixed hash of numbers, as 64 bits."""
+    x = (x.astype(np.uint64) + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+class Sketches:
+    """Projected weights of documents, and the least hash of the terms of each."""
+
+    def __init__(self, corpus: Corpus):
+        self.corpus = corpus
+        signs = np.random.default_rng(5).integers(0, 2, (len(corpus.idf), DIRECTIONS), np.int8)
+        self.weights = (2 * signs - 1) * corpus.idf[:, None].astype(np.float32)
+        self.hashes = _mixed(np.arange(len(corpus.idf)), 11)
+        # Terms without weight are in nearly all documents and would make all of these alike.
+        self.hashes[corpus.idf == 0] = np.iinfo(np.uint64).max
+
+    def of(self, doc: np.ndarray) -> tuple[np.ndarray, int]:
+        terms, counts = np.unique(doc, return_counts=True)
+        norm = _K1 * (1 - _B + _B * len(doc) / max(self.corpus.mean, 1))
+        vector = (counts / (counts + norm)).astype(np.float32) @ self.weights[terms]
+        least = int(self.hashes[terms].min()) >> 1 if len(terms) else 0
+        return vector / max(float(np.linalg.norm(vector)), 1e-9), least
+
+
+class Cuts:
+    """A tree of cuts: each node parts its sample along its main direction where the halves differ most, among
+    the places that give the leaves below about equal shares."""
+
+    def __init__(self, sample: np.ndarray, leaves: int):
+        self.direction: list[np.ndarray] = []
+        self.threshold: list[float] = []
+        self.follow: list[tuple[int, int]] = []
+        self.leaves = 0
+        self._root = self._grow(sample, max(1, min(leaves, len(sample) // LEAF_DOCS)))
+        self.arrays = (
+            np.array(self.direction, np.float32).reshape(-1, DIRECTIONS), np.array(self.threshold),
+            np.array(self.follow, np.int64).reshape(-1, 2),
+        )
+
+    def _grow(self, x: np.ndarray, leaves: int) -> int:
+        """The number of a node, or of a leaf as -1 - leaf."""
+        if leaves > 1 and len(x) > 1:
+            centred = x - x.mean(axis=0)
+            along = np.linalg.eigh(centred.T @ centred)[1][:, -1].astype(np.float32)
+            at = x @ along
+            order = np.sort(at).astype(float)
+            size = np.arange(1, len(x))
+            below = np.clip(np.rint(leaves * size / len(x)), 1, leaves - 1)
+            total = np.cumsum(order)[:-1]
+            apart = (total / size - (order.sum() - total) / (len(x) - size)) ** 2 * size * (len(x) - size)
+            apart[order[1:] <= order[:-1]] = -1
+            # Where copies leave no place that gives equal shares, any place between them does.
+            equal = np.where(np.abs(leaves * size / len(x) - below) > 0.25, -1, apart)
+            best = int((equal if equal.max() >= 0 else apart).argmax())
+            below, threshold = int(below[best]), float(order[best] + order[best + 1]) / 2
+            left = at <= threshold
+            if 0 < left.sum() < len(x):
+                node = len(self.threshold)
+                self.direction.append(along)
+                self.threshold.append(threshold)
+                self.follow.append((0, 0))
+                self.follow[node] = self._grow(x[left], below), self._grow(x[~left], leaves - below)
+                return node
+        self.leaves += 1
+        return -self.leaves
+
+    def leaf(self, x: np.ndarray) -> np.ndarray:
+        direction, threshold, follow = self.arrays
+        at = np.full(len(x), self._root)
+        while len(inner := np.flatnonzero(at >= 0)):
+            node = at[inner]
+            right = np.einsum("ij,ij->i", x[inner], direction[node]) > threshold[node]
+            at[inner] = follow[node, right.astype(int)]
+        return -1 - at
+
+
+def _sketched(tokens: DataFrame, corpus, cuts, dtype: np.dtype) -> DataFrame:
+    """The rows with ``leaf`` and ``least``; without cuts, the vectors alone."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketches = Sketches(corpus.value)
+        for batch in batches:
+            found = [sketches.of(np.frombuffer(t.as_py(), dtype)) for t in batch.column("tokens")]
+            x = np.array([v for v, _ in found], np.float32).reshape(len(found), DIRECTIONS)
+            if cuts is None:
+                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in x], pa.binary())], names=["vector"])
+                continue
+            made = [pa.array(cuts.value.leaf(x), pa.int64()), pa.array([h for _, h in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*made, *batch.columns], names=["leaf", "least", *batch.schema.names])
+
+    return mapped(tokens, sketch, "vector binary" if cuts is None else "leaf bigint, least bigint, doc_id bigint, tokens binary")
+
+
+def dealt(tokens: DataFrame, corpus: Corpus, dtype: np.dtype, shard_docs: int = SHARD_DOCS) -> DataFrame:
+    """``doc_id`` and ``tokens`` with the number of their ``shard``, whose documents are alike."""
+    context = tokens.sparkSession.sparkContext
+    shared = context.broadcast(corpus)
+    share = min(1.0, FIT_DOCS / max(corpus.n, 1))
+    drawn = tokens.where(F.pmod(F.xxhash64("doc_id", "tokens"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    vectors = [r["vector"] for r in _sketched(drawn, shared, None, dtype).limit(2 * FIT_DOCS).collect()]
+    # In an order of their own, so that the tree doesn't depend on that of the tasks.
+    sample = np.frombuffer(b"".join(sorted(vectors)), np.float32).reshape(-1, DIRECTIONS)
+    cuts = Cuts(sample, -(-corpus.n // shard_docs))
+    rows = written(_sketched(tokens, shared, context.broadcast(cuts), dtype), "packing-leaves")
+
+    def cut(counts: DataFrame, name: str) -> DataFrame:
+        return counts.withColumn(name, F.greatest(F.lit(1), F.round(F.col("count") / shard_docs).cast("long"))).drop("count")
+
+    def small(rows: DataFrame) -> DataFrame:
+        # A row for hundreds of documents; from the driver it is joined without a shuffle of the tokens.
+        return rows.sparkSession.createDataFrame(rows.toPandas(), rows.schema)
+
+    parts = small(cut(rows.groupBy("leaf").count(), "parts"))
+    rows = rows.join(parts, "leaf").withColumn("part", F.pmod("least", "parts")).drop("least", "parts")
+    pieces = cut(rows.groupBy("leaf", "part").count(), "pieces")
+    row = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.col("pieces"))
+    # A number for each shard: the pieces of a part stand one after the other.
+    known = pieces.orderBy("leaf", "part").toPandas()
+    known["first"] = known["pieces"].cumsum() - known["pieces"]
+    numbered = tokens.sparkSession.createDataFrame(known, "leaf bigint, part bigint, pieces bigint, first bigint")
+    return rows.join(numbered, ["leaf", "part"]).select((F.col("first") + row).alias("shard"), "doc_id", "tokens")
+
+
 def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_docs: int = SHARD_DOCS, end_id: int = END_ID) -> DataFrame:
     """The pieces of all documents (``doc_id``, ``text``): ``doc_id``, ``start``, ``length``, ``ids_crc32``,
     ``doc_tokens``, ``sequence_id``, ``offset`` and the piece's ``ids`` as little-endian 32-bit numbers.
 
     A null or empty text is its end id alone. Repeated rows are packed as often as they are
     there, and equal scores go to the document with the smaller id. Documents are dealt to shards by
-    row, so no id and no group of copies makes a shard large. A text longer than the window
+    likeness, and large groups of copies by row, so none makes a shard large. A text longer than the window
     fills several.
     """
-    shards = max(1, -(-docs.count() // shard_docs))
-    rows = docs.select(
-        F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(shards)).alias("shard"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-    )
-    tokens = token_ids(rows, path, end_id)
-    on_workers(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    dtype = vocabulary(path).dtype
+    folder = shared_folder(docs.sparkSession, "packing-tokens")
+    tokens = written_to(token_ids(rows, path, end_id), folder)
+    corpus = corpus_of(tokens, dtype)
+    shared = docs.sparkSession.sparkContext.broadcast(corpus)
 
     def pack_shard(part: pd.DataFrame) -> pd.DataFrame:
-        dtype = vocabulary(path).dtype
         part = part.sort_values(["doc_id", "tokens"], na_position="last")
         ids = [np.frombuffer(t, dtype) for t in part["tokens"]]
         doc_ids = part["doc_id"].tolist()
         base = int(part["shard"].iloc[0]) << 32
         made = []
-        for doc, start, size, sequence, offset in fill(ids, window):
+        for doc, start, size, sequence, offset in fill(ids, window, shared.value):
             piece = ids[doc][start : start + size].astype("<u4").tobytes()
             made.append((doc_ids[doc], start, size, zlib.crc32(piece), len(ids[doc]), base + sequence, offset, piece))
         out = pd.DataFrame(made, columns=_PIECES)
         return out.astype({"doc_id": "Int64"})
 
-    return tokens.groupBy("shard").applyInPandas(pack_shard, _PIECE_SCHEMA)
+    shards = dealt(tokens, corpus, dtype, shard_docs)
+    discard(docs.sparkSession, folder)
+    return shards.groupBy("shard").applyInPandas(pack_shard, _PIECE_SCHEMA)
 
 
 _PIECES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]

@@ -142,5 +142,43 @@ def test_scores_are_bm25():
             assert abs(index.scores(q)[d] - total) < 1e-9
 
 
+def topical(n, topics=8):
+    """Texts of many topics, each with words of its own, and their topics."""
+    rng = np.random.default_rng(7)
+    words = [passage(1000 + k, 60).split() for k in range(topics)]
+    common = passage(999, 40).split()
+    return [(i, " ".join([*rng.choice(words[i % topics], 30), *rng.choice(common, 10)])) for i in range(n)]
+
+
+def test_shards_hold_what_is_alike(spark, path):
+    rows = topical(640)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    tokens = packing.written(packing.token_ids(docs, path), "test-tokens")
+    dtype = pieces.vocabulary(path).dtype
+    corpus = packing.corpus_of(tokens, dtype)
+    ids = [pieces.vocabulary(path).ids(t) for _, t in rows]
+    held = np.bincount(np.concatenate([np.unique([*x, 1]) for x in ids]), minlength=len(corpus.idf))
+    assert corpus.n == 640 and abs(corpus.mean - np.mean([len(x) + 1 for x in ids])) < 1e-9
+    assert np.allclose(corpus.idf, np.maximum(0, np.log((640 - held + 0.5) / (held + 0.5))))
+    shard = {r["doc_id"]: r["shard"] for r in packing.dealt(tokens, corpus, dtype, 80).collect()}
+    assert len(shard) == 640 and len(set(shard.values())) >= 6
+    index = packing.InvertedIndex(ids, corpus)
+    kept = []
+    for i in range(0, 640, 4):
+        scores = index.scores(i)
+        scores[i] = -1
+        kept += [shard[j] == shard[i] for j in np.argsort(-scores)[:5].tolist()]
+    assert np.mean(kept) > 0.7  # of an eighth by chance
+
+
+def test_copies_make_no_large_shard(spark, path):
+    rows = [(i, passage(5, 30)) for i in range(300)] + topical(100)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    tokens = packing.written(packing.token_ids(docs, path), "test-tokens")
+    dtype = pieces.vocabulary(path).dtype
+    sizes = packing.dealt(tokens, packing.corpus_of(tokens, dtype), dtype, 20).groupBy("shard").count().collect()
+    assert sum(r["count"] for r in sizes) == 400 and max(r["count"] for r in sizes) < 60
+
+
 def test_packing_of_nothing(no_docs, path):
     assert packing.pack(no_docs, path).count() == 0
