@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from graphloom.llm import (  # noqa: F401
+    bpe_trie,
+    centroids,
     decontaminate,
+    hard_negatives,
     language_id,
     line_dedup,
     packing,
