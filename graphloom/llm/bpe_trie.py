@@ -13,6 +13,7 @@ A task keeps one trie and the ids of its words until they are many, and then sta
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import math
 import re
@@ -31,6 +32,8 @@ from graphloom.llm.pieces import _PIECE, _byte_of, odd, vocabulary_path
 MOST_NODES, MOST_WORDS, LONG_WORD = 600_000, 300_000, 512
 #: Boundaries between tokens that are remembered at once.
 _MOST_PAIRS = 1_000_000
+#: Rows that are decoded at once.
+_DECODED_ROWS = 500
 
 
 class Merges:
@@ -67,13 +70,14 @@ class Merges:
                 raise ValueError(f"{path} makes {left + right!r} by two merges")
             self.rank[pair], self.halves[made] = rank, pair
             self.id_of[self.bytes_of[made]] = made
-        # Token sizes by the last two bytes, longest first: what to try at a node.
+        # Sizes of the tokens of three bytes and more by their last three, longest first: what to try at a node.
         sizes: dict[bytes, set[int]] = {}
         for data in self.id_of:
-            sizes.setdefault(data[-2:], set()).add(len(data))
+            if len(data) > 2:
+                sizes.setdefault(data[-3:], set()).add(len(data))
         self.sizes = {end: tuple(sorted(found, reverse=True)) for end, found in sizes.items()}
         self._sound: dict[int, bool] = {}
-        self._pairs: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
         self._ends: dict[int, list[tuple[int, float]]] = {}
         self._starts: dict[int, list[tuple[int, float]]] = {}
 
@@ -122,11 +126,11 @@ class Merges:
     def follows(self, left: int, right: int) -> bool:
         """:meth:`apart`, remembered."""
         key = left * self.size + right
-        known = self._pairs.get(key)
+        known = self.pairs.get(key)
         if known is None:
-            if len(self._pairs) >= _MOST_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[key] = self.apart(left, right)
+            if len(self.pairs) >= _MOST_PAIRS:
+                self.pairs.clear()
+            known = self.pairs[key] = self.apart(left, right)
         return known
 
 
@@ -145,25 +149,27 @@ class Trie:
         self.last = array("i", [-1])
         self.before = array("i", [-1])
 
-    def ids(self, words: list[bytes]) -> Iterator[list[int]]:
+    def ids(self, words: list[bytes]) -> Iterator[array]:
         """The ids of words, which come in order: the nodes of the part shared with the word before are at hand."""
-        children, last, before = self.children, self.last, self.before
+        children, last, before, state = self.children, self.last, self.before, self._state
+        child = children.get
         path, previous = [0], b""
         for word in words:
             shared, most = 0, min(len(word), len(previous))
             while shared < most and word[shared] == previous[shared]:
                 shared += 1
             del path[shared + 1 :]
+            node = path[-1]
             for depth in range(shared, len(word)):
-                key = path[-1] << 8 | word[depth]
-                node = children.get(key)
+                key = node << 8 | word[depth]
+                node = child(key)
                 if node is None:
+                    token, start = state(word, depth + 1, path)
                     node = children[key] = len(last)
-                    token, start = self._state(word, depth + 1, path)
                     last.append(token)
                     before.append(start)
                 path.append(node)
-            previous, node, found = word, path[-1], []
+            previous, found = word, array("i")
             while node:
                 found.append(last[node])
                 node = before[node]
@@ -173,14 +179,22 @@ class Trie:
     def _state(self, word: bytes, end: int, path: list[int]) -> tuple[int, int]:
         """The last token of a prefix and the node before it; ``path`` has the nodes of all shorter prefixes."""
         vocab, last = self.vocab, self.last
-        for size in vocab.sizes[word[end - 2 : end]] if end > 1 and word[end - 2 : end] in vocab.sizes else ():
+        id_of, pairs, whole = vocab.id_of, vocab.pairs, vocab.size
+        for size in vocab.sizes.get(word[end - 3 : end], ()) if end > 2 else ():
             if size <= end:
-                token = vocab.id_of.get(word[end - size : end])
+                token = id_of.get(word[end - size : end])
                 if token is not None and vocab.sound(token):
                     start = path[end - size]
-                    if size == end or vocab.follows(last[start], token):
+                    if size == end:
                         return token, start
-        return vocab.id_of[word[end - 1 : end]], path[end - 1]
+                    key = last[start] * whole + token
+                    if pairs[key] if key in pairs else vocab.follows(last[start], token):
+                        return token, start
+        if end > 1:
+            token = id_of.get(word[end - 2 : end])
+            if token is not None and vocab.sound(token) and (end == 2 or vocab.follows(last[path[end - 2]], token)):
+                return token, path[end - 2]
+        return id_of[word[end - 1 : end]], path[end - 1]
 
     def __len__(self) -> int:
         return len(self.last)
@@ -221,19 +235,56 @@ class Encoder:
         known = self.known
         for token, number in self.vocab.special.items():
             known[token] = array("i", [number]).tobytes()
-        new = {w.encode(): w for words in cut for w in words if w not in known}
+        new = {w.encode(): w for w in set(itertools.chain.from_iterable(cut)).difference(known)}
         short = sorted(w for w in new if len(w) <= LONG_WORD)
         for word, ids in zip(short, self.trie.ids(short)):
-            known[new[word]] = array("i", ids).tobytes()
+            known[new[word]] = ids.tobytes()
         long = [w for w in new if len(w) > LONG_WORD]
         for word in long:
-            known[new[word]] = array("i", next(Trie(self.vocab).ids([word]))).tobytes()
+            known[new[word]] = next(Trie(self.vocab).ids([word])).tobytes()
         found = [b"".join(map(known.__getitem__, words)) for words in cut]
         for word in long:
             del known[new[word]]
         return found
 
 
+    def lists(self, texts: pa.Array) -> pa.ListArray:
+        """:meth:`encode` for a column of texts, null ones as empty."""
+        found = self.encode([t or "" for t in texts.to_pylist()])
+        offsets = np.cumsum([0, *(len(f) // 4 for f in found)], dtype=np.int32)
+        return pa.ListArray.from_arrays(offsets, pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(found))]))
+
+
+class Decoder:
+    """Texts of ids."""
+
+    def __init__(self, vocab: Merges):
+        self.size = vocab.size
+        self.tokens = pa.array([*vocab.bytes_of, b""], pa.large_binary())
+
+    def texts(self, lists: pa.ListArray) -> pa.Array:
+        numbers = np.array(lists.flatten().fill_null(-1), np.int64)
+        numbers[(numbers < 0) | (numbers >= self.size)] = self.size
+        sizes = np.asarray(pa.compute.list_value_length(lists).fill_null(0), np.int64)
+        data, bounds = _joined(self.tokens.take(pa.array(numbers)))
+        ends = bounds[np.cumsum([0, *sizes])].tolist()
+        whole = memoryview(data)
+        return pa.array([str(whole[a:b], "utf-8", "replace") for a, b in zip(ends, ends[1:])], pa.string())
+
+
+def _joined(values: pa.Array) -> tuple[bytes | pa.Buffer, np.ndarray]:
+    """All bytes of an array one after the other, and where each value starts and the last ends."""
+    _, offsets, data = values.buffers()
+    if offsets is None or not len(values):
+        return b"", np.zeros(len(values) + 1, np.int64)
+    return data or b"", np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1]
+
+
+def _rows(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    return rows, rows.schema["key"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``ids`` of every row of ``docs``, as the library gives them without a post-processor.
 
@@ -241,17 +292,13 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     tokens inside texts are taken as such, as is the library's default. Null and empty texts have no ids. Rows are encoded
     one by one, repeated and null keys included, whole however long they are, and an empty table gives no rows.
     """
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
+    rows, kind = _rows(docs, key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(merges(path))
         for batch in batches:
             for part in groups(batch):
-                found = encoder.encode([t or "" for t in part.column("text").to_pylist()])
-                offsets = np.cumsum([0, *(len(f) // 4 for f in found)], dtype=np.int32)
-                values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(found))])
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.ListArray.from_arrays(offsets, values)], names=["key", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column("key"), encoder.lists(part.column("text"))], names=["key", "ids"])
 
     return mapped(rows, run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
@@ -259,39 +306,38 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """The rows with the text of their ids in ``out``: added tokens are kept, ids that the vocabulary lacks are left out, and
     bytes that are no text become replacement characters. Null or no ids give an empty text."""
-    kept = [c for c in rows.columns if c != out]
-    columns = rows.select(F.struct(*kept).alias("row"), F.col(ids).cast("array<int>").alias("ids"))
-    # The vocabulary and its texts stay in the workers, the other columns go past them as they are.
+    kept = [F.col(c) if c != ids else F.col(ids).cast("array<int>").alias(ids) for c in rows.columns if c != out]
+    columns = rows.select(F.struct(*kept).alias("row"))
     kind = columns.schema["row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = merges(path)
-        tokens = pa.array([*vocab.bytes_of, b""], pa.large_binary())
+        decoder = Decoder(merges(path))
         for batch in batches:
-            lists = batch.column("ids")
-            numbers = np.asarray(lists.flatten().fill_null(-1), np.int64)
-            numbers[(numbers < 0) | (numbers >= vocab.size)] = vocab.size
-            sizes = np.asarray(pa.compute.list_value_length(lists).fill_null(0), np.int64)
-            data, bounds = _joined(tokens.take(pa.array(numbers)))
-            ends = bounds[np.cumsum([0, *sizes])]
-            texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+            for start in range(0, batch.num_rows, _DECODED_ROWS):
+                row = batch.column("row").slice(start, _DECODED_ROWS)
+                yield pa.RecordBatch.from_arrays([row, decoder.texts(row.field(ids))], names=["row", "text"])
 
-    found = mapped(columns, run, f"row {kind}, text string")
-    return found.select("row.*", F.col("text").alias(out))
+    return mapped(columns, run, f"row {kind}, text string").select("row.*", F.col("text").alias(out))
 
 
-def _joined(values: pa.Array) -> tuple[bytes, np.ndarray]:
-    """All bytes of an array one after the other, and where each value starts and the last ends."""
-    _, offsets, data = values.buffers()
-    bounds = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1] if offsets else np.zeros(1, np.int64)
-    return (data.to_pybytes() if data is not None else b""), bounds
+def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, ``ids`` and ``text`` after :func:`encode` and :func:`decode`, in one go between Spark and its workers."""
+    rows, kind = _rows(docs, key, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(merges(path)), Decoder(merges(path))
+        for batch in batches:
+            for part in groups(batch):
+                ids = encoder.lists(part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column("key"), ids, decoder.texts(ids)], names=["key", "ids", "text"])
+
+    return mapped(rows, run, f"key {kind}, ids array<int>, text string").withColumnRenamed("key", key)
 
 
 @QUERIES.add("op12_bpe_round_trip")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     path = vocabulary_path("byte_bpe_50k.json")
-    found = decode(encode(table(spark, folder, "documents"), path), path)
+    found = round_trip(table(spark, folder, "documents"), path)
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
