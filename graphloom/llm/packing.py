@@ -3,9 +3,9 @@
 Documents are dealt by likeness into shards of bounded size, and each shard gets a BM25 inverted index
 over its token ids, with the document frequencies and the mean length of all documents. For dealing, the
 weights of a document's terms are projected to a short vector, and a tree of cuts, each along the main
-direction of a drawn sample, leads the vector to its leaf. Leaves that hold too many documents are cut by
-a hash of the terms that near copies share, and groups of copies that are still too large
-by row. A window starts with a seed document; the index ranks the documents that are still
+direction of a drawn sample, leads the vector to its leaf. Leaves that hold many documents are parted by
+a hash of the terms that near copies share, and groups of copies that are still large by row; a part is sorted by
+that hash and cut into shards. A window starts with a seed document; the index ranks the documents that are still
 unused by their score for the seed, and the best fill the window one after the other. What
 does not fit of the last one starts the next window and is its seed, so every token
 lies in exactly one window and only a shard's last window has room left.
@@ -14,23 +14,24 @@ lies in exactly one window and only a shard's last window has room left.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm.common import QUERIES, mapped, table
 from graphloom.llm.pieces import vocabulary, vocabulary_path
-from graphloom.sources.scratch import discard, shared_folder, written, written_to
+from graphloom.sources.scratch import written
 
 #: Tokens of a window and the id that ends a document.
 WINDOW, END_ID = 2048, 1
-#: Documents of a shard, on average.
-SHARD_DOCS = 512
+#: Documents of a shard, on average, and about how many shards' documents are sorted by one key.
+SHARD_DOCS, PART_SHARDS = 512, 16
 #: BM25's usual constants.
 _K1, _B = 1.2, 0.75
 #: Length of the vectors that documents are dealt by, about how many documents the tree is fitted on, and
@@ -255,84 +256,141 @@ class Cuts:
         return -1 - at
 
 
-def _sketched(tokens: DataFrame, corpus, cuts, dtype: np.dtype) -> DataFrame:
-    """The rows with ``leaf`` and ``least``; without cuts, the vectors alone."""
+class Deal(NamedTuple):
+    """How documents are dealt: the leaf of each by cuts, leaves in so many parts, and large groups of copies, by leaf and
+    hash, in further parts, from the first on."""
+
+    cuts: Cuts
+    parts: np.ndarray
+    copies: dict[tuple[int, int], tuple[int, int]]
+
+
+def _sketches(tokens: DataFrame, corpus, dtype: np.dtype) -> DataFrame:
+    """``vector`` and ``least`` of each row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketches = Sketches(corpus.value)
         for batch in batches:
-            found = [sketches.of(np.frombuffer(t.as_py(), dtype)) for t in batch.column("tokens")]
-            x = np.array([v for v, _ in found], np.float32).reshape(len(found), DIRECTIONS)
-            if cuts is None:
-                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in x], pa.binary())], names=["vector"])
-                continue
-            made = [pa.array(cuts.value.leaf(x), pa.int64()), pa.array([h for _, h in found], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*made, *batch.columns], names=["leaf", "least", *batch.schema.names])
+            found = [sketches.of(np.frombuffer(t.as_py(), dtype)) for t in batch.column(0)]
+            arrays = [pa.array([v.tobytes() for v, _ in found], pa.binary()), pa.array([h for _, h in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["vector", "least"])
 
-    return mapped(tokens, sketch, "vector binary" if cuts is None else "leaf bigint, least bigint, doc_id bigint, tokens binary")
+    return mapped(tokens.select("tokens"), sketch, "vector binary, least bigint")
 
 
-def dealt(tokens: DataFrame, corpus: Corpus, dtype: np.dtype, shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """``doc_id`` and ``tokens`` with the number of their ``shard``, whose documents are alike."""
-    context = tokens.sparkSession.sparkContext
-    shared = context.broadcast(corpus)
+def _deal(tokens: DataFrame, corpus: Corpus, shared, dtype: np.dtype, shard_docs: int) -> Deal:
+    """Cuts and parts by a bounded sample. It only decides which documents meet, and how evenly tasks are filled."""
     share = min(1.0, FIT_DOCS / max(corpus.n, 1))
     drawn = tokens.where(F.pmod(F.xxhash64("doc_id", "tokens"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    vectors = [r["vector"] for r in _sketched(drawn, shared, None, dtype).limit(2 * FIT_DOCS).collect()]
     # In an order of their own, so that the tree doesn't depend on that of the tasks.
-    sample = np.frombuffer(b"".join(sorted(vectors)), np.float32).reshape(-1, DIRECTIONS)
+    rows = sorted((r["vector"], r["least"]) for r in _sketches(drawn, shared, dtype).limit(2 * FIT_DOCS).collect())
+    sample = np.frombuffer(b"".join(v for v, _ in rows), np.float32).reshape(-1, DIRECTIONS)
     cuts = Cuts(sample, -(-corpus.n // shard_docs))
-    rows = written(_sketched(tokens, shared, context.broadcast(cuts), dtype), "packing-leaves")
+    leaf, stands_for, most = cuts.leaf(sample), corpus.n / max(len(rows), 1), PART_SHARDS * shard_docs
+    parts = np.maximum(1, np.rint(np.bincount(leaf, minlength=cuts.leaves) * stands_for / most)).astype(np.int64)
+    copies, after = {}, parts.tolist()
+    for (of, least), n in Counter(zip(leaf.tolist(), (h for _, h in rows))).items():
+        own = int(n * stands_for / most)
+        if own > 1:
+            copies[of, least] = after[of], own
+            after[of] += own
+    return Deal(cuts, parts, copies)
+
+
+def _placed(tokens: DataFrame, shared, deal, dtype: np.dtype) -> DataFrame:
+    """The rows with their ``leaf``, ``part`` and ``least``."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketches, (cuts, parts, copies), row = Sketches(shared.value), deal.value, 0
+        for batch in batches:
+            found = [sketches.of(np.frombuffer(t.as_py(), dtype)) for t in batch.column("tokens")]
+            leaf = cuts.leaf(np.array([v for v, _ in found], np.float32).reshape(len(found), DIRECTIONS))
+            least = np.array([h for _, h in found], np.int64)
+            part = least % parts[leaf] if len(found) else least
+            if copies:
+                for i, place in enumerate(zip(leaf.tolist(), least.tolist())):
+                    if place in copies:
+                        first, n = copies[place]
+                        part[i] = first + (row + i) % n
+            row += len(found)
+            arrays = [pa.array(x, pa.int64()) for x in (leaf, part, least)]
+            yield pa.RecordBatch.from_arrays([*arrays, *batch.columns], names=["leaf", "part", "least", *batch.schema.names])
+
+    return mapped(tokens, place, "leaf bigint, part bigint, least bigint, doc_id bigint, tokens binary")
+
+
+def _shards(batches: Iterator[pa.RecordBatch], shard_docs: int) -> Iterator[list[tuple[int | None, bytes]]]:
+    """Shards of sorted rows: the rows of a part are cut where they are many, and the last two cuts are of like size."""
+    at, held = None, []
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("leaf", "part", "doc_id", "tokens")]
+        for leaf, part, doc_id, tokens in zip(*columns):
+            if (leaf, part) != at:
+                yield from _last(held, shard_docs)
+                at, held = (leaf, part), []
+            elif len(held) >= 2 * shard_docs:
+                yield held[:shard_docs]
+                del held[:shard_docs]
+            held.append((doc_id, tokens))
+    yield from _last(held, shard_docs)
+
+
+def _last(held: list, shard_docs: int) -> Iterator[list]:
+    half = len(held) if 2 * len(held) <= 3 * shard_docs else -(-len(held) // 2)
+    for start in range(0, len(held), half or 1):
+        yield held[start : start + half]
+
+
+def _sorted_parts(tokens: DataFrame, corpus: Corpus, shared, dtype: np.dtype, shard_docs: int) -> DataFrame:
+    """All rows dealt to tasks by part, like ones next to each other. The tokens are shuffled this once."""
+    deal = tokens.sparkSession.sparkContext.broadcast(_deal(tokens, corpus, shared, dtype, shard_docs))
+    placed = _placed(tokens, shared, deal, dtype)
+    return placed.repartition("leaf", "part").sortWithinPartitions("leaf", "part", "least", "doc_id", "tokens")
 
-    def cut(counts: DataFrame, name: str) -> DataFrame:
-        return counts.withColumn(name, F.greatest(F.lit(1), F.round(F.col("count") / shard_docs).cast("long"))).drop("count")
 
-    def small(rows: DataFrame) -> DataFrame:
-        # A row for hundreds of documents; from the driver it is joined without a shuffle of the tokens.
-        return rows.sparkSession.createDataFrame(rows.toPandas(), rows.schema)
+def dealt(tokens: DataFrame, corpus: Corpus, dtype: np.dtype, shard_docs: int = SHARD_DOCS) -> DataFrame:
+    """``doc_id`` and ``tokens`` with the number of their ``shard``, whose documents are alike."""
+    shared = tokens.sparkSession.sparkContext.broadcast(corpus)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() << 32
+        for n, rows in enumerate(_shards(batches, shard_docs)):
+            arrays = [pa.array([base + n] * len(rows)), pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["shard", "doc_id", "tokens"])
 
-    parts = small(cut(rows.groupBy("leaf").count(), "parts"))
-    rows = rows.join(parts, "leaf").withColumn("part", F.pmod("least", "parts")).drop("least", "parts")
-    pieces = cut(rows.groupBy("leaf", "part").count(), "pieces")
-    row = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.col("pieces"))
-    # A number for each shard: the pieces of a part stand one after the other.
-    known = pieces.orderBy("leaf", "part").toPandas()
-    known["first"] = known["pieces"].cumsum() - known["pieces"]
-    numbered = tokens.sparkSession.createDataFrame(known, "leaf bigint, part bigint, pieces bigint, first bigint")
-    return rows.join(numbered, ["leaf", "part"]).select((F.col("first") + row).alias("shard"), "doc_id", "tokens")
+    return mapped(_sorted_parts(tokens, corpus, shared, dtype, shard_docs), number, "shard bigint, doc_id bigint, tokens binary")
 
 
 def pack(docs: DataFrame, path: str, window: int = WINDOW, shard_docs: int = SHARD_DOCS, end_id: int = END_ID) -> DataFrame:
     """The pieces of all documents (``doc_id``, ``text``): ``doc_id``, ``start``, ``length``, ``ids_crc32``,
     ``doc_tokens``, ``sequence_id``, ``offset`` and the piece's ``ids`` as little-endian 32-bit numbers.
 
-    A null or empty text is its end id alone. Repeated rows are packed as often as they are
+    A null or empty text is its end id alone, and an empty table has no pieces. Repeated rows are packed as often as they are
     there, and equal scores go to the document with the smaller id. Documents are dealt to shards by
     likeness, and large groups of copies by row, so none makes a shard large. A text longer than the window
     fills several.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dtype = vocabulary(path).dtype
-    folder = shared_folder(docs.sparkSession, "packing-tokens")
-    tokens = written_to(token_ids(rows, path, end_id), folder)
+    tokens = written(token_ids(rows, path, end_id), "packing-tokens")
     corpus = corpus_of(tokens, dtype)
     shared = docs.sparkSession.sparkContext.broadcast(corpus)
 
-    def pack_shard(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["doc_id", "tokens"], na_position="last")
-        ids = [np.frombuffer(t, dtype) for t in part["tokens"]]
-        doc_ids = part["doc_id"].tolist()
-        base = int(part["shard"].iloc[0]) << 32
-        made = []
-        for doc, start, size, sequence, offset in fill(ids, window, shared.value):
-            piece = ids[doc][start : start + size].astype("<u4").tobytes()
-            made.append((doc_ids[doc], start, size, zlib.crc32(piece), len(ids[doc]), base + sequence, offset, piece))
-        out = pd.DataFrame(made, columns=_PIECES)
-        return out.astype({"doc_id": "Int64"})
-
-    shards = dealt(tokens, corpus, dtype, shard_docs)
-    discard(docs.sparkSession, folder)
-    return shards.groupBy("shard").applyInPandas(pack_shard, _PIECE_SCHEMA)
+    def pack_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Sequences are numbered within a task, whose rows are the same when it runs again.
+        base = TaskContext.get().partitionId() << 40
+        for rows in _shards(batches, shard_docs):
+            rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+            ids, made, last = [np.frombuffer(t, dtype) for _, t in rows], [], -1
+            for doc, start, size, sequence, offset in fill(ids, window, shared.value):
+                piece = ids[doc][start : start + size].astype("<u4").tobytes()
+                made.append((rows[doc][0], start, size, zlib.crc32(piece), len(ids[doc]), base + sequence, offset, piece))
+                last = sequence
+            base += last + 1
+            arrays = [pa.array(c, k) for c, k in zip(zip(*made), [pa.int64()] * 7 + [pa.binary()])]
+            yield pa.RecordBatch.from_arrays(arrays, names=_PIECES)
+
+    return mapped(_sorted_parts(tokens, corpus, shared, dtype, shard_docs), pack_shards, _PIECE_SCHEMA)
 
 
 _PIECES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]

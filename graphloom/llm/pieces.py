@@ -26,6 +26,11 @@ class _Odd(dict):
 
 _ODD = _Odd()
 
+#: Pre-tokens whose ids a worker keeps at most, but for those of one text.
+MOST_KNOWN = 150_000
+#: Pre-tokens with more characters are not kept.
+_LONG = 100
+
 
 def odd(text: str) -> bool:
     """Whether a text has such a character."""
@@ -75,21 +80,31 @@ def _ranked(path: str):
 class Vocabulary:
     """A BPE file of the ``tokenizers`` library.
 
-    Texts with special strings, or with characters on whose class libraries differ, go through the library.
-    All others are encoded by the ranks of the file's merges, which gives the library's ids three times as
-    fast; a file without such ranks is read by the library throughout.
+    Texts with special strings, or with characters on whose class libraries differ, go through the library, which
+    is loaded with the first of them. All others are encoded by the ranks of the file's merges, which gives the library's
+    ids; a file without such ranks is read by the library throughout.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.path = path
+        with open(path, encoding="utf-8") as file:
+            whole = json.load(file)
+        added = whole.get("added_tokens") or []
+        special = [re.escape(t["content"]) for t in added]
         self.special = re.compile("|".join(special)) if special else None
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        size = max([*whole["model"]["vocab"].values(), *(t["id"] for t in added)]) + 1
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self._encoder = _ranked(path)
+        self._known: dict[str, bytes] = {}
+
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.path)
+        made.no_truncation()
+        made.no_padding()
+        return made
 
     def irregular(self, text: str) -> bool:
         """Whether the library has to read a text as a whole."""
@@ -110,7 +125,17 @@ class Vocabulary:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype)
 
     def ids(self, text: str) -> np.ndarray:
-        """Ids of a whole text, as the library gives them."""
+        """Ids of a whole text, as the library gives them. Those of its pre-tokens are kept for the next texts."""
         if self.irregular(text):
             return self.library_ids(text)
-        return self._encoder.encode_to_numpy(text, disallowed_special=()).astype(self.dtype)
+        known, pieces = self._known, _PIECE.findall(text)
+        new = set(pieces).difference(known)
+        for piece in new:
+            known[piece] = self._encoder.encode_to_numpy(piece, disallowed_special=()).astype(self.dtype).tobytes()
+        found = np.frombuffer(b"".join(map(known.__getitem__, pieces)), self.dtype)
+        if len(known) > MOST_KNOWN:
+            known.clear()
+        for piece in new:
+            if len(piece) > _LONG:
+                known.pop(piece, None)
+        return found

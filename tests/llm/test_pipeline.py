@@ -78,4 +78,4 @@ def test_query(spark, name):
 
 @there
 def test_every_number_is_there():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES.queries) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES.queries) == list(range(1, 14))
