@@ -107,6 +107,25 @@ def current(log: DataFrame) -> DataFrame:
     return latest.where(F.col("version") > 0)
 
 
+def as_of(log: DataFrame, until: int | None = None, after: int | None = None) -> DataFrame:
+    """Log rows as they were when ``until`` was the last version, without those whose last one is not above ``after``."""
+    rows = log
+    if until is not None:
+        then = F.filter("versions", lambda v: F.abs(v) <= until)
+        rows = rows.withColumn("versions", then).where(F.size("versions") > 0).withColumn("version", F.element_at("versions", -1))
+    return rows if after is None else rows.where(F.abs("version") > after)
+
+
+def patched(view: DataFrame, log: DataFrame) -> DataFrame:
+    """Values in force after the rows of a log: those of a ``view`` that the log doesn't touch, and the log's own.
+
+    The view is not grouped; its rows are on the left of a join with the touched values, which are few as a rule.
+    """
+    latest = log.groupBy(*VALUE_KEY, "value", "content").agg(F.max_by("version", F.abs("version")).alias("version"))
+    kept = view.join(log.select(*VALUE_KEY).distinct(), list(VALUE_KEY), "left_anti")
+    return kept.unionByName(latest.where(F.col("version") > 0))
+
+
 def update(
     state: DataFrame,
     values: DataFrame,

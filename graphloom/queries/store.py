@@ -309,12 +309,68 @@ def given_ids(spark, folder):
     return store.current().select("entity_set", "key_id", "property", "value")
 
 
-@QUERIES.add("snk_8_compaction", _REPLACED_SQL)
+@QUERIES.add("snk_8_compaction", f"SELECT * FROM ({_REPLACED_SQL}) UNION ALL SELECT 'k', 'status', 'NEW', 203, '203'")
 def compaction(spark, folder):
     store = _store(spark, "compacted-store")
     store.write(100, _first(spark, folder))
     store.compact()
     store.write(200, _second(spark, folder), update_types={"orders": "Replace"})
     store.compact()
+    store.compact()
+    # A batch after two compactions: nothing of those before is lost.
+    store.write(202, spark.createDataFrame([("orders", "k", "status", "NEW", None)], _VALUES))
     store.remove_dead()
     return _shown(store.state())
+
+
+_VALUES = "entity_set string, key_id string, property string, value string, content binary"
+_URGENT = "o_orderpriority = '1-URGENT'"
+
+
+@QUERIES.add(
+    "upd_2_replace_pruned",
+    f"""SELECT key_id, property, value, string_split(versions, ',')[-1]::bigint AS version, versions FROM (
+      SELECT {_K} AS key_id, unnest(['status', 'priority']) AS property, unnest([o_orderstatus, o_orderpriority]) AS value,
+             (CASE o_orderstatus WHEN 'F' THEN 101 WHEN 'O' THEN 201 ELSE 301 END)::varchar || CASE WHEN {_URGENT} THEN ',-400' ELSE '' END AS versions
+      FROM orders
+      UNION ALL SELECT {_K}, 'status', 'HELD', '401' FROM orders WHERE {_URGENT})""",
+)
+def replace_pruned(spark, folder):
+    # Three batches, and a replace of some of their keys that opens the files which may hold these.
+    store, first = _store(spark, "pruned-store"), table(spark, folder, "orders")
+    for version, status in ((100, "F"), (200, "O"), (300, "P")):
+        own = first.where(F.col("o_orderstatus") == status)
+        store.write(version, _long(own, F.col("o_orderstatus"), F.col("o_orderpriority")))
+    held = _long(first.where(_URGENT), F.lit("HELD"), F.lit(None).cast("string"))
+    store.write(400, held, update_types={"orders": "Replace"})
+    return _shown(store.state())
+
+
+@QUERIES.add(
+    "upd_6_as_of",
+    f"""SELECT 100 AS as_of, {_K} AS key_id, unnest(['status', 'priority']) AS property, unnest([o_orderstatus, o_orderpriority]) AS value, 101::bigint AS version FROM orders
+        UNION ALL SELECT 200, key_id, property, value, version FROM ({_REPLACED_SQL}) WHERE version > 0
+        UNION ALL SELECT 300, {_K}, unnest(['status', 'priority']), unnest([o_orderstatus, o_orderpriority]), 301 FROM orders
+        UNION ALL SELECT 300, {_K}, 'status', 'CLOSED', 201 FROM orders WHERE o_orderstatus = 'F'""",
+)
+def current_as_of(spark, folder):
+    # The first view is a snapshot, the second one is patched by a batch, and the third by two that were merged.
+    store = _store(spark, "views-store")
+    store.write(100, _first(spark, folder))
+    store.snapshot()
+    store.write(200, _second(spark, folder), update_types={"orders": "Replace"})
+    store.write(300, _first(spark, folder))
+    store.compact()
+    views = [store.current(as_of=v).select(F.lit(v).alias("as_of"), "key_id", "property", "value", "version") for v in (100, 200, 300)]
+    return views[0].unionByName(views[1]).unionByName(views[2])
+
+
+@QUERIES.add("str_1_tiers", f"SELECT *, true AS few_batches FROM ({_USERS_SQL})")
+def tiers(spark, folder):
+    events = table(spark, folder, "events").select(F.col("user_id").cast("string").alias("user_id"), "event_type", "props")
+    path = shared_folder(spark, "forty-files")
+    events.repartition(40).write.parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    store = _store(spark, "tiers-store")
+    stream_into(stream, _USERS, _USERS_CATALOG, store, shared_folder(spark, "tiers-progress")).awaitTermination()
+    return store.current().select("key_id", "property", "value", F.lit(len(store.live()) <= 8).alias("few_batches"))

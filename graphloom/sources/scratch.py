@@ -47,3 +47,44 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a table that nothing reads any more."""
     there, fs = _file_system(spark, path)
     fs.delete(there, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    there, fs = _file_system(spark, path)
+    stream = fs.open(there)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small text file as a whole, or leave things as they are where there is one; whether it was made.
+
+    The text is written aside and renamed, and a rename does not replace a file. Two writers can't both succeed
+    where the file system renames in one step, as HDFS does.
+    """
+    there, fs = _file_system(spark, path)
+    jvm = spark.sparkContext._jvm
+    if fs.exists(there):
+        return False
+    aside = jvm.org.apache.hadoop.fs.Path(there.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(aside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    plain = spark.sparkContext._gateway.new_array(kind, 1)
+    plain[0] = kind.NONE
+    try:
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(there.toUri(), fs.getConf())
+        files.rename(aside, there, plain)
+    except Exception:
+        if fs.exists(aside):
+            fs.delete(aside, False)
+        if fs.exists(there):
+            return False
+        raise
+    return True

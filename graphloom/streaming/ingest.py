@@ -151,17 +151,21 @@ def stream_into(
     available_now: bool = True,
     stage: bool = False,
     on_bad_value: str = FAIL,
+    tidy: bool = True,
 ) -> StreamingQuery:
     """Start a query that integrates each batch of a streaming source.
 
     The version of a batch follows from its number, so a batch that is run again after a
     failure writes the same rows in the same place. How large a batch gets is set at
     the source, as with ``maxFilesPerTrigger``. ``stage`` and ``on_bad_value`` are those of
-    :func:`integrate`.
+    :func:`integrate`. With ``tidy`` the stream merges batches of like size as it goes, so few are live however
+    long it runs, and keeps the view of current values up.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         integrate(batch, mapping, catalog, store, first_version + 2 * number, registry, stage, on_bad_value)
+        if tidy:
+            store.tidy()
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:

@@ -10,9 +10,10 @@ from graphloom.operators import ids, update
 from graphloom.plans.catalog import Catalog, EntitySet, EntityType, PropertyType
 from graphloom.plans.mapping import Association, Entity, Mapping, prop
 from graphloom.sinks.binaries import binary_rows, read_binaries, write_binaries
+from graphloom.sinks.commits import as_runs, in_runs
 from graphloom.sinks.store import Store
 from graphloom.sinks.targets import append_log, read_log, target_options, write_nothing, write_target
-from graphloom.sources.scratch import discard, shared_folder
+from graphloom.sources.scratch import create_text, discard, read_text, shared_folder
 from graphloom.streaming.ingest import integrate, run_all, stream_into
 
 VALUES = "entity_set string, key_id string, property string, value string, content binary"
@@ -128,19 +129,18 @@ def test_integrate_and_replay(spark, tmp_path):
     versions = {r.version for r in store.entities().where("entity_set = 'users'").collect()}
     assert versions == {11, 21}
     # A batch without a commit is not seen.
-    lost = update.incoming_rows(frame(spark, [("users", "k", "u.did", "lost")]), 30).withColumn("bucket", F.lit(1))
-    store._write(lost, "values", 30, "cut-short")
+    store._write(update.incoming_rows(frame(spark, [("users", "k", "u.did", "lost")]), 30), "values", "cut-short")
     assert not store.state().where("value = 'lost'").count()
     for bad in (0, 19, 21):
         with pytest.raises(ValueError):
             store.write(bad, frame(spark, []))
     before = shown(store.state()), store.edges().count(), sorted(map(str, store.entities().collect()))
-    assert store.compact() == 21 and store.remove_dead() > 0
+    assert store.compact() and store.remove_dead() > 0
     again = Store(spark, str(tmp_path / "store"))
     assert (shown(again.state()), again.edges().count(), sorted(map(str, again.entities().collect()))) == before
     # What a compaction has taken up is in already; older batches can't come any more.
     assert store.write(10, frame(spark, [])) == {} and shown(store.state()) == before[0]
-    with pytest.raises(ValueError, match="compaction"):
+    with pytest.raises(ValueError, match="merger"):
         store.write(15, frame(spark, []))
     integrate(second.withColumn("did", F.lit("d")), MAPPING, CATALOG, store, 22)
     assert {r.value for r in store.current().where("entity_set = 'users'").collect()} == {"1", "d", "2", "a"}
@@ -160,23 +160,121 @@ def test_a_replay_that_fails_leaves_the_first_try(spark, tmp_path):
     assert set(shown(store.state())) == {("users", "k", "u.did", "new")} and store.edges().count() == 0
 
 
-def test_replacing_reads_the_touched_buckets(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "store"))
-    store.write(10, frame(spark, [("users", f"k{i}", "u.did", "1") for i in range(50)]))
-    plans = []
-    endings = update.endings
-
-    def watched(log, *rest):
-        plans.append(log._jdf.queryExecution().executedPlan().toString())
-        return endings(log, *rest)
-
-    update.endings = watched
+def test_a_replace_opens_only_files_that_may_hold_its_keys(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "a store"))
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "256"}
+    before = {k: spark.conf.get(k) for k in conf}
+    batches = [[("users of", f"{b}-{i}", "u.did", str(i)) for i in range(1000)] for b in range(4)]
     try:
-        store.write(20, frame(spark, [("users", "k7", "u.did", "2")]), update_types={"users": "Replace"})
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for number, batch in enumerate(batches):
+            store.write(10 * (number + 1), frame(spark, batch).repartition(4))
     finally:
-        update.endings = endings
-    assert len(plans) == 1 and "PartitionFilters" in plans[0] and "bucket" in plans[0].split("PartitionFilters")[1].split("]")[0]
-    assert shown(store.state())[("users", "k7", "u.did", "1")] == [11, -20]
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = list((tmp_path / "a store" / "values").rglob("*.parquet"))
+    assert len(files) > 900
+    touched = [("users of", f"{i % 4}-{i * 7}", "u.did", "new") for i in range(100)]
+    opened = []
+    holding = store.holding
+    store.holding = lambda *a: opened.append(holding(*a)) or opened[-1]
+    store.write(100, frame(spark, touched), update_types={"users of": "Replace"})
+    assert len(opened) == 1 and 50 < len(opened[0]) <= 102 + len(files) // 100
+    found = shown(store.state())
+    for _, key, _, _ in touched:
+        old = key.split("-")
+        assert found["users of", key, "u.did", old[1]] == [10 * (int(old[0]) + 1) + 1, -100]
+    assert sum(v[-1] < 0 for v in found.values()) == 100 and len(found) == 4100
+
+
+@pytest.mark.parametrize("after", [2, 4, 5, 6])
+def test_no_batch_is_lost_after_compactions(spark, tmp_path, after):
+    store = Store(spark, str(tmp_path / "store"))
+    for version in (1, 3):
+        store.write(version, frame(spark, [("users", f"k{version}", "u.did", "x")]))
+    store.compact()
+    store.compact()
+    more = frame(spark, [("users", "k5", "u.did", "x")])
+    if after < 5:
+        with pytest.raises(ValueError, match="older|overlaps"):
+            store.write(after, more)
+    else:
+        store.write(after, more)
+    store.remove_dead()
+    assert {r.key_id for r in store.current().collect()} == {"k1", "k3"} | ({"k5"} if after >= 5 else set())
+
+
+def test_two_writers(spark, tmp_path):
+    """The slower of two stores on one path sees what the faster one wrote, or is refused."""
+    path = str(tmp_path / "store")
+    slow, fast = Store(spark, path), Store(spark, path)
+    slow.write(1, frame(spark, [("users", "k", "u.did", "first")]))
+    change = slow._commits.change
+
+    def late(made, version, rows, kinds):
+        slow._commits.change = change
+        fast.write(version, frame(spark, rows), update_types=kinds)
+        return change(made)
+
+    # The faster one adds an older batch: the values that it wrote are ended by the replace as well.
+    slow._commits.change = lambda made: late(made, 3, [("users", "k", "u.did", "second")], {})
+    slow.write(5, frame(spark, [("users", "k", "u.did", "third")]), update_types={"users": "Replace"})
+    expected = {("users", "k", "u.did", "first"): [2, -5], ("users", "k", "u.did", "second"): [4, -5], ("users", "k", "u.did", "third"): [6]}
+    assert shown(slow.state()) == shown(fast.state()) == expected
+    # The faster one replaces under a later version: the slower one came too late.
+    slow._commits.change = lambda made: late(made, 9, [("users", "k", "u.did", "fifth")], {"users": "Replace"})
+    with pytest.raises(ValueError, match="has replaced"):
+        slow.write(7, frame(spark, [("users", "k", "u.did", "fourth")]))
+    assert {r.value for r in Store(spark, path).current().collect()} == {"fifth"}
+    # Merging and writing at once: the merger is given up, nothing is lost.
+    slow._commits.change = lambda made: late(made, 9, [("users", "k", "u.did", "fifth"), ("users", "l", "u.did", "x")], {"users": "Replace"})
+    assert slow.compact() is None
+    assert {r.value for r in slow.current().collect()} == {"fifth", "x"} and slow.compact()
+    assert {r.value for r in fast.current().collect()} == {"fifth", "x"}
+
+
+def test_a_commit_is_made_once(spark, tmp_path):
+    path = f"{tmp_path}/commits/1.json"
+    assert create_text(spark, path, "one") and not create_text(spark, path, "two")
+    assert read_text(spark, path) == "one" and [p.name for p in (tmp_path / "commits").glob("[!.]*")] == ["1.json"]
+    assert as_runs([1, 3, 5, 7, 20, 21, 22, 40]) == [(1, 7, 2), (20, 22, 1), (40, 40, 1)] and as_runs([]) == []
+    for versions in ([1], [1, 3, 5], [1, 2, 9, 11, 13]):
+        assert [v for v in range(20) if in_runs(v, as_runs(versions))] == versions
+
+
+def test_many_batches_stay_few(spark, tmp_path):
+    rng, store, expected = random.Random(5), Store(spark, str(tmp_path / "store")), {}
+    kinds = {"m": "Merge", "r": "Replace", "p": "PartialReplace"}
+    views = {}
+    for number in range(16):
+        version = 1 + 2 * number
+        batch = [(rng.choice("mrp"), rng.choice("ab"), rng.choice("xy"), str(rng.randint(1, 3))) for _ in range(rng.randint(1, 5))]
+        store.write(version, frame(spark, batch), update_types=kinds)
+        expected = model(expected, batch, version, kinds)
+        views[version] = {k for k, v in expected.items() if v[-1] > 0}
+        if number % 2:
+            store.tidy()
+        assert len(store.live()) <= 8
+    assert shown(store.state()) == expected
+    store.remove_dead()
+    for version in (*random.Random(1).sample(sorted(views), 3), 31):
+        rows = store.current(as_of=version).collect()
+        assert {(r.entity_set, r.key_id, r.property, r.value) for r in rows} == views[version], version
+        assert len(rows) == len(views[version])
+    assert len(store.current().collect()) == len(views[31])
+    # A snapshot and what came later are all that is read.
+    store.snapshot()
+    store.write(101, frame(spark, [("m", "c", "x", "9")]))
+    read = store.current().inputFiles()
+    folders = {f.split("/")[-4 if "entity_set=" in f else -3] for f in read}
+    assert folders == {"current", "values"} and len({f.split("attempt=")[1].split("/")[0] for f in read}) == 2
+    assert store.write(5, frame(spark, [])) == {}
+    # A batch that is written again, or late, is not hidden by a snapshot.
+    store.snapshot()
+    store.write(101, frame(spark, [("m", "c", "x", "10")]))
+    store.write(99, frame(spark, [("m", "c", "x", "late")]))
+    assert {r.value for r in store.current().where("key_id = 'c'").collect()} == {"10", "late"}
 
 
 def test_bad_values_end_the_run_or_are_listed(spark, tmp_path):
