@@ -8,6 +8,7 @@ Columns named in ``keep`` are carried from the source row into the result.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from copy import copy
 from dataclasses import dataclass
 from functools import partial
 
@@ -20,6 +21,7 @@ from graphloom.functions.text import base64_text, is_blank, not_blank
 from graphloom.functions.types import normal_text
 from graphloom.plans.catalog import Catalog
 from graphloom.plans.mapping import BINARIES, NO_OP, TABLES, Association, Entity, Mapping, Property
+from graphloom.sources.scratch import written_to
 
 EDGE_COLUMNS = ("edge_set", "edge_id", "src_set", "src_id", "dst_set", "dst_id")
 
@@ -105,7 +107,7 @@ def _default_id(keys: Sequence[tuple[str, bool] | None]) -> Column:
     return F.when(present, F.concat_ws("|", *parts))
 
 
-class _FanOut:
+class FanOut:
     """Source rows with one column per property and, per definition ``i``, its id in ``i_id``.
 
     The id is null where the entity or association is not created. Each step is a
@@ -128,6 +130,12 @@ class _FanOut:
         entities = with_keys.select("*", *map(self._id, mapping.entities))
         self.df = entities.select("*", *map(self._id, mapping.associations))
 
+    def written_to(self, path: str) -> FanOut:
+        """The same, with the mapped rows as a table: whatever is taken from it maps no source row again."""
+        made = copy(self)
+        made.df = written_to(self.df, path)
+        return made
+
     def _chains(self, row: Row) -> dict[str, Column]:
         made: dict[str, Column] = {}
         for i, d in enumerate(self.mapping.definitions):
@@ -228,7 +236,12 @@ def entity_values(
     that are not of their property's datatype are left to :func:`rejects`, or end
     the query with ``fail_on_bad_value``.
     """
-    fan = _FanOut(df, mapping, catalog, keep)
+    return values_of(FanOut(df, mapping, catalog, keep), fail_on_bad_value)
+
+
+def values_of(fan: FanOut, fail_on_bad_value: bool = False) -> DataFrame:
+    """:func:`entity_values` of mapped rows."""
+    mapping = fan.mapping
     slots = [s for d in mapping.definitions for s in fan.slots[d.alias]]
     # The exploded rows hold a slot number and a value. What is fixed for a slot is looked
     # up after the explode, and so are blanks and datatypes.
@@ -301,9 +314,14 @@ def edges(df: DataFrame, mapping: Mapping, catalog: Catalog, keep: Sequence[str]
 
     An edge is written wherever a property of its association is.
     """
+    return edges_of(FanOut(df, mapping, catalog, keep))
+
+
+def edges_of(fan: FanOut) -> DataFrame:
+    """:func:`edges` of mapped rows."""
+    mapping = fan.mapping
     if not mapping.associations:
         raise ValueError(f"mapping {mapping.name} has no associations")
-    fan = _FanOut(df, mapping, catalog, keep)
     sets = {e.alias: e.entity_set for e in mapping.entities}
 
     def struct(a: Association, destination: str) -> Column:
@@ -347,12 +365,27 @@ def rejects(
     Reported are values that are not of their datatype, and definitions whose
     condition holds and which have values but a blank id.
     """
-    printed = df.withColumn("printed row", print_row(Row(df.columns), shown))
-    fan = _FanOut(printed, mapping, catalog, [*keep, "printed row"])
+    return rejects_of(with_printed_rows(df, mapping, catalog, shown, keep))
+
+
+PRINTED = "__printed_row"
+
+
+def with_printed_rows(
+    df: DataFrame, mapping: Mapping, catalog: Catalog, shown: Sequence[str], keep: Sequence[str] = ()
+) -> FanOut:
+    """Mapped rows that also have what :func:`rejects_of` shows of a row."""
+    printed = df.withColumn(PRINTED, print_row(Row(df.columns), shown))
+    return FanOut(printed, mapping, catalog, [*keep, PRINTED])
+
+
+def rejects_of(fan: FanOut) -> DataFrame:
+    """:func:`rejects` of mapped rows with printed rows."""
+    mapping = fan.mapping
 
     def struct(d: Entity, name: str | None, value: Column, reason: str) -> Column:
         return F.struct(
-            F.col("printed row").alias("row"),
+            F.col(PRINTED).alias("row"),
             F.lit(d.alias).alias("alias"),
             F.lit(name).cast("string").alias("property"),
             value.alias("value"),
@@ -370,8 +403,9 @@ def rejects(
             is_bad = fan.id(d.alias).isNotNull() & is_bad
             found.append(F.when(is_bad, struct(d, slot.prop.type, bad, f"not a {slot.datatype}")))
         found.append(F.when(fan.has_no_id(d), struct(d, None, F.lit(None).cast("string"), "blank id")))
-    fan.keep = fan.keep[:-1]
-    return fan.explode(found)
+    rows = copy(fan)
+    rows.keep = fan.keep[:-1]
+    return rows.explode(found)
 
 
 def binary_envelope(c: Column) -> Column:

@@ -36,9 +36,10 @@ def integrate(
     ``on_bad_value="reject"`` it is left out and listed in the batch's ``rejects``, with the ``shown``
     columns of its row, all without any; so are rows whose id is blank.
 
-    Ids that came with the data stay those of their keys in all later batches. Values and edges are
-    mapped from the rows one after the other. ``stage`` writes the rows to a shared folder
-    first, for sources that are slow to read or may change in between, as a database does.
+    Ids that came with the data stay those of their keys in all later batches. Each row is read and mapped once: where
+    more than its values is taken from it, the mapped rows are written to a shared folder and all is taken from there, so
+    edges, ids and rejects fit the values also if the source changes meanwhile. ``stage`` writes the source rows
+    first, for those that are to be released early.
     """
     if on_bad_value not in (FAIL, REJECT):
         raise ValueError(f"on_bad_value is {FAIL!r} or {REJECT!r}")
@@ -62,9 +63,37 @@ def _integrate(
     shown: Sequence[str],
 ) -> dict[str, int]:
     properties = [p.type for d in mapping.definitions for p in d.properties]
-    values = graph.entity_values(rows, mapping, catalog, fail_on_bad_value=on_bad_value == FAIL)
+    has_ids, has_binaries = ID_PROPERTY in properties, any(catalog.datatype(p) == "Binary" for p in properties)
+    if on_bad_value == REJECT:
+        fan = graph.with_printed_rows(rows, mapping, catalog, list(shown) or rows.columns)
+    else:
+        fan = graph.FanOut(rows, mapping, catalog, ())
+    path = None
+    if mapping.associations or has_ids or has_binaries or on_bad_value == REJECT:
+        path = shared_folder(store.spark, "mapped-rows")
+    try:
+        fan = fan.written_to(path) if path else fan
+        return _written(fan, catalog, store, version, registry, on_bad_value, has_ids, has_binaries)
+    finally:
+        if path:
+            discard(store.spark, path)
+
+
+def _written(
+    fan: graph.FanOut,
+    catalog: Catalog,
+    store: Store,
+    version: int,
+    registry: DataFrame | None,
+    on_bad_value: str,
+    has_ids: bool,
+    has_binaries: bool,
+) -> dict[str, int]:
+    """Write all that mapped rows hold."""
+    mapping = fan.mapping
+    values = graph.values_of(fan, fail_on_bad_value=on_bad_value == FAIL).drop(graph.PRINTED)
     known, given = store.given_ids(before=version), None
-    if ID_PROPERTY in properties:
+    if has_ids:
         given = ids.explicit_ids(values)
         if known is not None:
             given = given.join(known, list(ids.KEY), "left_anti")
@@ -75,12 +104,12 @@ def _integrate(
     with_ids = ids.assign_ids(values, registry, explicit=False)
     edges = binaries = rejects = None
     if mapping.associations:
-        mapped = graph.edges(rows, mapping, catalog)
+        mapped = graph.edges_of(fan)
         edges = ids.edge_ids(mapped.where(mapped.destination != NO_OP), registry)
-    if any(catalog.datatype(p) == "Binary" for p in properties):
+    if has_binaries:
         binaries = graph.to_destination(with_ids, BINARIES)
     if on_bad_value == REJECT:
-        rejects = graph.rejects(rows, mapping, catalog, list(shown) or rows.columns)
+        rejects = graph.rejects_of(fan)
     to_tables = with_ids.where(~with_ids.destination.isin(NO_OP, BINARIES))
     return store.write(
         version, to_tables, edges, mapping.update_types(), binaries, mapping.property_update_types(), given, rejects

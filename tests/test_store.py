@@ -146,6 +146,25 @@ def test_integrate_and_replay(spark, tmp_path):
     assert {r.value for r in store.current().where("entity_set = 'users'").collect()} == {"1", "d", "2", "a"}
 
 
+def test_a_source_is_read_once(spark, tmp_path):
+    """Values, edges and rejects are of the same read, also of a source that gives other rows each time."""
+    catalog = Catalog.of(
+        [PropertyType("u.k"), PropertyType("u.day", "Date"), PropertyType("t.k"), PropertyType("d.k")],
+        [EntityType("user", ("u.k",), ("u.k", "u.day")), EntityType("thing", ("t.k",), ("t.k",)), EntityType("did", ("d.k",), ("d.k",))],
+        [EntitySet("users", "user"), EntitySet("things", "thing"), EntitySet("does", "did")])
+    mapping = Mapping("m", (Entity("user", "users", (prop("u.k", "user"), prop("u.day", "user"))), Entity("thing", "things", (prop("t.k", "did"),))),
+                      (Association("does", "does", (prop("d.k", "user"),), src="user", dst="thing"),))
+    changing = spark.range(40).select(F.expr("uuid()").alias("user"), F.expr("uuid()").alias("did"))
+    store = Store(spark, str(tmp_path / "store"))
+    integrate(changing, mapping, catalog, store, 1, on_bad_value="reject", shown=["user"])
+    keys = {(r.entity_set, r.key_id) for r in store.entities().collect()}
+    edges = store.edges().collect()
+    assert len(edges) == 40 and len(keys) == 120
+    assert {(r.src_set, r.src_key_id) for r in edges} | {(r.dst_set, r.dst_key_id) for r in edges} | {("does", r.edge_key_id) for r in edges} == keys
+    users = {r.value for r in store.current().where("property = 'u.k'").collect()}
+    assert {(r.row, r.value) for r in store.rejects().collect()} == {(u, u) for u in users}
+
+
 def test_a_replay_that_fails_leaves_the_first_try(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     rows = spark.createDataFrame([("1", "a")], EVENTS)
