@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from graphloom.functions import steps
 from graphloom.queries.shared import Registered, sql_iso, table, texts
 from graphloom.sources.choose import read_source
-from graphloom.sources.files import read_csv, read_local, read_object_store, read_xml
+from graphloom.sources.files import Ledger, read_csv, read_local, read_new_objects, read_object_store, read_xml
 from graphloom.sources.rows import flattened, kept, text_rows
 from graphloom.sources.scratch import shared_folder
 
@@ -124,6 +124,25 @@ def object_prefix(spark, folder):
     return read_object_store(spark, root, "order", "filled", schema)
 
 
+
+@QUERIES.add(
+    "src_6_new_objects",
+    "SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS reading, o_orderkey::varchar AS o_orderkey, o_orderpriority FROM orders",
+)
+def new_objects(spark, folder):
+    # The second reading gives only what has been added since the first.
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    root, ledger = shared_folder(spark, "growing-objects"), Ledger(spark, shared_folder(spark, "ledger"))
+    readings = []
+    for reading, done in ((1, True), (2, False)):
+        part = rows.where((F.col("o_orderstatus") == "F") == done).drop("o_orderstatus")
+        _xml_of(part, f"{root}/day/{reading}", "order")
+        found, objects = read_new_objects(spark, root, "order", ledger, "o_orderkey string, o_orderpriority string", "day")
+        readings.append(found.select(F.lit(reading).alias("reading"), "o_orderkey", "o_orderpriority"))
+        ledger.add(objects)
+    return readings[0].unionByName(readings[1])
+
+
 @QUERIES.add(
     "src_7_source_choice",
     _SUPPLIER_SQL,

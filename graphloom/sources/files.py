@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from graphloom.functions.steps import Condition
 from graphloom.sources.rows import flattened, kept
+from graphloom.sources.scratch import found_by, written
 
 
 def read_csv(
@@ -22,9 +23,11 @@ def read_csv(
     """CSV with a header row; every value is text, an empty field is the empty text.
 
     Rows with more or fewer fields than the header end the query, and so does a file whose
-    header differs from that of the first one. Spark splits large files between tasks; where a
+    header differs from that of the first one, or a data file with a name that Spark takes as hidden. Spark splits large files between tasks; where a
     quoted field holds line breaks, ``multi_line`` has to be set, and a file is one task.
     """
+    for one in [path] if isinstance(path, str) else path:
+        _refuse_hidden(spark, one, below=False)
     reader = spark.read.option("header", True).option("inferSchema", False)
     reader = reader.option("mode", "FAILFAST").option("enforceSchema", False)
     # Only a parser that looks at all fields sees that a row has too many.
@@ -48,32 +51,35 @@ def _xml_reader(spark: SparkSession, row_tag: str, schema: T.StructType | str |
 def _refuse_hidden(spark: SparkSession, pattern: str, below: bool, region: str | None = None) -> None:
     """Raise where Spark would pass over a file because a part of its name starts with a dot or underscore.
 
-    Markers and checksums that writers leave are no data and may be there.
+    Markers and checksums that writers leave are no data and may be there. The file system looks for such names
+    itself, level by level; only those that it finds come to the driver's Python.
     """
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     if region is not None:
         conf.set("fs.s3a.endpoint.region", region)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(conf)
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = make(pattern).getFileSystem(conf)
 
     def own(name: str) -> bool:
         return name[:1] in ("_", ".") and name != "_SUCCESS" and not (name[0] == "." and name.endswith(".crc"))
 
-    def refuse(found) -> None:
-        raise ValueError(f"{found.toString()}: names that start with a dot or an underscore are not read; rename it")
-
-    for status in fs.globStatus(path) or ():
-        there = status.getPath()
-        if own(there.getName()):
-            refuse(there)
-        if not status.isDirectory():
-            continue
-        depth = len(there.toUri().getPath().rstrip("/"))
-        files = fs.listFiles(there, below)
-        while files.hasNext():
-            name = files.next().getPath()
-            if any(own(part) for part in name.toUri().getPath()[depth:].split("/") if part):
-                refuse(name)
+    def refuse(statuses) -> None:
+        for status in statuses or ():
+            if own(status.getPath().getName()):
+                found = status.getPath().toString()
+                raise ValueError(f"{found}: names that start with a dot or an underscore are not read; rename it")
+
+    parent, _, last = pattern.rpartition("/")
+    if last[:1] in ("_", "."):
+        refuse(fs.globStatus(make(pattern)))
+    elif last[:1] in ("*", "?", "["):
+        refuse(fs.globStatus(make(f"{parent}/[._]*")))
+    level = pattern
+    while True:
+        refuse(fs.globStatus(make(f"{level}/[._]*")))
+        level += "/*"
+        if not below or not len(fs.globStatus(make(level)) or ()):
+            return
 
 
 def read_xml(
@@ -122,11 +128,81 @@ def read_object_store(
     Empty objects are left out. An empty prefix reads all of the bucket. An object that is no XML, or
     whose key has a part that Spark takes as hidden, ends the query.
     """
-    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", prefix)
-    path = f"{root.rstrip('/')}/{literal}*"
+    path = _prefixed(root, prefix)
     _refuse_hidden(spark, path, below=True, region=region)
     # Keys have no folders: everything that starts with the prefix counts, at any depth.
     reader = _xml_reader(spark, row_tag, schema).option("recursiveFileLookup", True)
     if region is not None:
         reader = reader.option("fs.s3a.endpoint.region", region)
     return flattened(reader.load(path).where(F.col("_metadata.file_size") > 0))
+
+
+def _prefixed(root: str, prefix: str) -> str:
+    """A pattern for all keys that start with a prefix, in which nothing but the end stands for more."""
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", prefix)
+    return f"{root.rstrip('/')}/{literal}*"
+
+
+def list_objects(spark: SparkSession, root: str, prefix: str = "", region: str | None = None) -> DataFrame:
+    """``key``, ``size`` and ``modified`` of the objects whose key starts with ``prefix``, without their content.
+
+    Spark lists them, in tasks where there are many folders, and leaves out empty ones.
+    """
+    path = _prefixed(root, prefix)
+    _refuse_hidden(spark, path, below=True, region=region)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if region is not None:
+        reader = reader.option("fs.s3a.endpoint.region", region)
+    return reader.load(path).select(F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
+class Ledger:
+    """Which objects have been read, as a table of their keys, sizes and times.
+
+    An object that has changed since counts as a new one. Objects are added when what was made of them is safe, so after a
+    failure they are read again.
+    """
+
+    _SCHEMA = "key string, size bigint, modified timestamp"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def objects(self) -> DataFrame:
+        if not found_by(self.spark, f"{self.path}/part-*"):
+            return self.spark.createDataFrame([], self._SCHEMA)
+        return self.spark.read.schema(self._SCHEMA).parquet(self.path)
+
+    def unread(self, listed: DataFrame) -> DataFrame:
+        """The listed objects that are not in the ledger as they are now."""
+        return listed.join(self.objects(), ["key", "size", "modified"], "left_anti")
+
+    def add(self, objects: DataFrame) -> None:
+        self.unread(objects).write.mode("append").parquet(self.path)
+
+
+def read_new_objects(
+    spark: SparkSession,
+    root: str,
+    row_tag: str,
+    ledger: Ledger,
+    schema: T.StructType | str,
+    prefix: str = "",
+    region: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of XML objects that the ledger does not have, and these objects, to be added to it in the end.
+
+    What is new is settled now: objects that come later are left to the next read.
+    """
+    listed = written(ledger.unread(list_objects(spark, root, prefix, region)), "new-objects")
+    keys = [r["key"] for r in listed.select("key").orderBy("key").toLocalIterator()]
+    if not keys:
+        rows = spark.createDataFrame([], T._parse_datatype_string(schema) if isinstance(schema, str) else schema)
+    else:
+        reader = _xml_reader(spark, row_tag, schema)
+        if region is not None:
+            reader = reader.option("fs.s3a.endpoint.region", region)
+        # A name is no pattern here.
+        rows = reader.load([re.sub(r"([\[\]{}*?\\])", r"\\\1", k) for k in keys])
+    return flattened(rows), listed

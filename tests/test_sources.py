@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import steps
 from graphloom.sources.choose import read_source
-from graphloom.sources.files import read_csv, read_local, read_object_store, read_xml
+from graphloom.sources.files import Ledger, read_csv, read_local, read_new_objects, read_object_store, read_xml
 from graphloom.sources.jdbc import jdbc_options
 from graphloom.sources.rows import flattened, text_rows
 
@@ -61,6 +61,41 @@ def test_broken_xml_ends_the_query(spark, tmp_path):
             read_xml(spark, str(tmp_path), "r", schema=schema).collect()
 
 
+def test_hidden_csv_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id\n1\n")
+    assert read_csv(spark, str(tmp_path)).count() == 1
+    (tmp_path / "_b.csv").write_text("id\n2\n")
+    with pytest.raises(ValueError, match="_b.csv"):
+        read_csv(spark, str(tmp_path))
+    assert read_csv(spark, str(tmp_path / "a.csv")).count() == 1
+
+
+def test_a_ledger_of_objects(spark, tmp_path):
+    ledger, root = Ledger(spark, str(tmp_path / "ledger")), tmp_path / "in"
+    def put(name, *ids):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("<rs>" + "".join(f"<r><id>{i}</id></r>" for i in ids) + "</rs>" if ids else "")
+
+    def read(keep=True, prefix=""):
+        rows, objects = read_new_objects(spark, str(root), "r", ledger, "id string", prefix)
+        found = sorted(r.id for r in rows.collect())
+        if keep:
+            ledger.add(objects)
+        return found
+
+    put("a/1.xml", 1, 2)
+    put("a/b [x].xml", 3)
+    put("empty")
+    assert read(keep=False) == ["1", "2", "3"] and read() == ["1", "2", "3"] and read() == []
+    assert ledger.objects().count() == 2
+    put("a/1.xml", 1, 2, 4)  # another size
+    put("c/2.xml", 5)
+    assert read(prefix="c") == ["5"] and read() == ["1", "2", "4"] and read() == []
+    put("c/_d/.x.xml", 6)
+    with pytest.raises(ValueError, match="hidden|_d"):
+        read()
+
+
 def test_hidden_names_are_refused(spark, tmp_path):
     (tmp_path / "k" / "part").mkdir(parents=True)
     (tmp_path / "k" / "a.xml").write_text("<r><id>1</id></r>")
