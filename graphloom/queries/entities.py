@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from graphloom.functions import steps
 from graphloom.functions.steps import Row
 from graphloom.functions.text import base64_text
-from graphloom.operators import counts, graph, ids
+from graphloom.operators import addresses, counts, graph, ids
 from graphloom.plans.catalog import ID_PROPERTY, Catalog, EntitySet, EntityType, PropertyType
 from graphloom.plans.mapping import Association, Entity, Mapping, prop
 from graphloom.queries.shared import Registered, sql_base64, sql_key_id, table, texts
@@ -432,6 +432,48 @@ def address(spark, folder):
     return ids.look_up_address(rows, "address", gazetteer, fields).drop("address")
 
 
+_NORMAL = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@QUERIES.add(
+    "join_4_parsed",
+    f"""SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN {_NORMAL.format('c_name')} || ' road' WHEN 'MACHINERY' THEN {_NORMAL.format('c_name')} || ' street'
+              WHEN 'FURNITURE' THEN {_NORMAL.format('n_name')} ELSE {_NORMAL.format('n_name')} || ' lane' END AS road,
+           CASE c_mktsegment WHEN 'BUILDING' THEN c_custkey::varchar WHEN 'MACHINERY' THEN c_custkey::varchar || 'b'
+              WHEN 'FURNITURE' THEN c_custkey::varchar || ';' || c_nationkey::varchar END AS house_number,
+           CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE') THEN 'house' ELSE 'road' END AS type,
+           CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN {_NORMAL.format('n_name')} END AS place
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+)
+def parsed_address(spark, folder):
+    rows = table(spark, folder, "customer").join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    number, kind = F.col("c_custkey").cast("string"), F.col("c_mktsegment")
+    made = (
+        F.when(kind == "BUILDING", F.concat(number, F.lit(" "), "c_name", F.lit(" Road, "), "n_name"))
+        .when(kind == "MACHINERY", F.concat("c_name", F.lit(" Street "), number, F.lit("b,"), "n_name"))
+        .when(kind == "FURNITURE", F.concat(number, F.lit(" ; "), F.col("c_nationkey").cast("string"), F.lit(" "), "n_name"))
+        .otherwise(F.concat("n_name", F.lit("-Lane"))))
+    return rows.select("c_custkey", addresses.parse_address(made).alias("a")).select("c_custkey", "a.*")
+
+
+@QUERIES.add(
+    "join_4_near",
+    """SELECT c_custkey, s_suppkey AS supplier, d AS distance FROM customer LEFT JOIN (
+         SELECT c_custkey AS k, s_suppkey, levenshtein(mine, theirs) AS d FROM (
+           SELECT c_custkey, c_nationkey, 'suplier ' || lpad(c_custkey::varchar, 9, '0') AS mine FROM customer)
+         JOIN (SELECT s_suppkey, s_nationkey, trim(regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g')) AS theirs FROM supplier) ON c_nationkey = s_nationkey
+         WHERE levenshtein(mine, theirs) <= 2
+         QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY levenshtein(mine, theirs), theirs, s_suppkey) = 1) ON c_custkey = k""",
+)
+def near_address(spark, folder):
+    # One letter is missing everywhere, and the number is at most one digit off.
+    rows = table(spark, folder, "customer").select("c_custkey", F.concat(
+        F.col("c_nationkey").cast("string"), F.lit(" Suplier "), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("address"))
+    known = table(spark, folder, "supplier").select(
+        F.concat(F.col("s_nationkey").cast("string"), F.lit(" "), "s_name").alias("address"), F.col("s_suppkey").alias("supplier"))
+    return addresses.look_up_near(rows, "address", known, ["supplier"]).select("c_custkey", "supplier", "distance")
+
+
 # Users and what they last did.
 _USERS_CATALOG = _catalog(
     {"user.key": "Int64", "user.did": "String", "user.note": "String"},
