@@ -62,6 +62,15 @@ def test_stages(spark, folder, tmp_path):
     assert {r[0] for r in corpus_pipeline.run(spark, folder).select("doc_id").collect()} == ids[5]
 
 
+def test_one_row_of_each_group_stays(spark, folder):
+    text, other = written_in(random.Random(1), "aa", 60), written_in(random.Random(2), "bb", 60)
+    rows = [(None, text), (None, text), (7, text), (7, text), (9, text + " mo"), (7, other), (None, other + " x"), (None, None), (None, ""), (3, None)]
+    docs = spark.createDataFrame([(i, t, "aa", "s", 1, 7) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, key int")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(3), folder)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(7, text), (7, other), (None, None), (None, ""), (3, None)], key=str)
+
+
 def test_stages_bear_awkward_rows(spark, folder, texts):
     awkward = spark.createDataFrame(wide(texts), SCHEMA)
     empty = awkward.limit(0)
