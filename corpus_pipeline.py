@@ -18,7 +18,7 @@ from graphloom.llm.line_dedup import dedup_lines
 from graphloom.llm.packing import pack
 from graphloom.llm.pieces import vocabulary_path
 from graphloom.llm.shingle_join import near_duplicates
-from graphloom.sources.scratch import shared_folder
+from graphloom.sources.scratch import shared_folder, written
 
 #: Documents whose language the network is less sure of are rejected.
 MIN_SCORE = 0.4
@@ -51,10 +51,16 @@ def _after_dedup(name: str) -> Column:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; texts without words stay."""
-    groups = near_duplicates(docs, SHINGLE_WORDS, PERCENT)
-    first = groups.where((F.col("doc_id") == F.col("component_id")) | F.col("doc_id").isNull()).select("doc_id").distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    """One row of each group of near duplicates, that with the smallest id; texts without words stay.
+
+    Rows are numbered, so a group whose ids are null or repeat keeps one row as well: null ids come last, and of equal
+    ids the first row stays.
+    """
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    groups = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), SHINGLE_WORDS, PERCENT)
+    named = groups.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", "doc_id"), "__row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"].alias("__row"))
+    return rows.join(first.select("__row"), "__row", "left_semi").drop("__row")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
