@@ -18,7 +18,6 @@ differ in no fewer members than their outlines do; the rest is verified exactly,
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +39,8 @@ DELETION_SEGMENTS = 2
 CELL_MEMBERS = 8
 #: Classes of a block when candidates are compared.
 BLOCK = 1024
+#: The same for their outlines, which are small: larger blocks are copied to fewer others.
+OUTLINE_BLOCK = 4096
 #: Candidate classes up to which a filter of them is sent to all tasks, at up to 12 bytes each.
 MOST_FILTERED = 10_000_000
 
@@ -380,19 +381,6 @@ def link_block(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
     return links
 
 
-def by_size(grouped: DataFrame, sizes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The groups cut by the size of sets: ``leader`` and ``handle``, where ``leader`` is now that of a group and a size.
-
-    Linked sets have sizes that differ by a factor of 100 / ``percent`` at most, so on a scale of such steps they are in
-    one step or in two neighbouring ones. Each pair of neighbouring steps is a group of its own.
-    """
-    step = max(math.log(100 / percent), 1e-3) * (1 + 1e-6)
-    at = F.floor(F.log(F.col("n_shingles").cast("double")) / step)
-    known = sizes.select("handle", at.alias("step")).distinct()
-    each = grouped.join(known, "handle").select("leader", "handle", F.explode(F.array(F.col("step") - 1, F.col("step"))).alias("step"))
-    return each.select(F.xxhash64("leader", "step").alias("leader"), "handle").distinct()
-
-
 def in_blocks(grouped: DataFrame, classes: DataFrame, block: int) -> DataFrame:
     """The members of each group with the columns of their classes, by ``leader`` and a pair of blocks ``x`` and ``y``.
 
@@ -411,7 +399,7 @@ def in_blocks(grouped: DataFrame, classes: DataFrame, block: int) -> DataFrame:
     return pairs.join(classes, "handle").select("leader", "pair.x", "pair.y", "own", *classes.columns)
 
 
-def possible(grouped: DataFrame, outlines: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+def possible(grouped: DataFrame, outlines: DataFrame, percent: int = PERCENT, block: int = OUTLINE_BLOCK) -> DataFrame:
     """``leader`` and ``handle`` of the members that may be linked within their group by sizes and outlines."""
     on_workers(grouped.sparkSession)
 
@@ -487,8 +475,7 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     outlines = rows.where(F.col("key").isNotNull()).groupBy("handle", "key").agg(
         F.any_value("n_shingles").alias("n_shingles"), F.any_value("outline").alias("outline")
     )
-    candidates = by_size(candidate_groups(shared), outlines, percent)
-    grouped = written(possible(candidates, outlines, percent), "candidate-groups")
+    grouped = written(possible(candidate_groups(shared), outlines, percent), "candidate-groups")
     sets = written(_sets(docs, grouped.select("handle").distinct(), size), "candidate-sets")
     roots = components(verified_links(grouped, sets, percent))
     first = rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("first"))
