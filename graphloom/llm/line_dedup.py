@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import ASCII_LOWER, QUERIES, groups, mapped, on_workers, table
 from graphloom.llm.cuckoo import CuckooFilter
-from graphloom.sources.scratch import shared_folder, written
+from graphloom.sources.scratch import found_by, shared_folder, written
 
 _SPACE = " \t\n\v\f\r"
 #: Shortest line, in code points of its key, that is looked at, and documents that make a key repeated.
@@ -212,7 +212,9 @@ class LineIndex:
 
     ``log`` has one row per change, document and key; ``insert`` and ``delete`` append to it under a
     batch number that the caller gives, and a batch that is written again replaces itself.
-    ``filters`` are brought up to date by the keys that became repeated or ceased to be.
+    ``filters`` are brought up to date by the keys that became repeated or ceased to be, and built anew
+    when keys outgrow them. The log is all that lasts: an index that is opened on a folder with
+    one derives the rest from it, and one without any batch finds nothing repeated.
     """
 
     LOG = "key_high bigint, key_low bigint, doc_id bigint, change bigint, batch bigint"
@@ -227,15 +229,22 @@ class LineIndex:
     def _append(self, docs: DataFrame, change: int, batch: int) -> None:
         changes = line_keys(docs, self.min_chars).distinct().withColumn("change", F.lit(change).cast("long"))
         changes.write.mode("overwrite").parquet(f"{self.path}/log/batch={batch}")
-        old, self.repeated = self.repeated, written(self.counts().where(F.col("n_docs") >= self.min_docs), "repeated-lines")
-        n_keys = self.repeated.count()
-        if old is None or n_keys > self.room:
+        self._follow()
+
+    def _follow(self) -> None:
+        """Bring filters and repeated keys up to the log; both change together or not at all."""
+        repeated = written(self.counts().where(F.col("n_docs") >= self.min_docs), "repeated-lines")
+        n_keys = repeated.count()
+        filters = None
+        if self.repeated is not None and n_keys <= self.room:
+            filters = written(self._refreshed(self.repeated, repeated), "line-filters")
+            if not filters.where(F.col("filter").isNull()).isEmpty():
+                filters = None
+        if filters is None:
             # Room for a third more, beyond which the filters are built anew.
-            self.room = max(1000, n_keys * 4 // 3)
-            made = build_filters(self.repeated, n_keys)
-        else:
-            made = self._refreshed(old)
-        self.filters = written(made, "line-filters")
+            self.room = n_keys * 4 // 3
+            filters = written(build_filters(repeated, n_keys), "line-filters")
+        self.repeated, self.filters = repeated, filters
 
     def insert(self, docs: DataFrame, batch: int) -> None:
         """Add documents (``doc_id``, ``text``) that are not in yet."""
@@ -246,16 +255,17 @@ class LineIndex:
         self._append(docs, -1, batch)
 
     def counts(self) -> DataFrame:
-        log = self.spark.read.schema(self.LOG).parquet(f"{self.path}/log")
+        begun = found_by(self.spark, f"{self.path}/log/batch=*")
+        log = self.spark.read.schema(self.LOG).parquet(f"{self.path}/log") if begun else self.spark.createDataFrame([], self.LOG)
         held = log.groupBy("key_high", "key_low", "doc_id").agg(F.sum("change").alias("n")).where("n > 0")
         return held.groupBy("key_high", "key_low").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
 
-    def _refreshed(self, old: DataFrame) -> DataFrame:
-        """The filters with the keys that became repeated and without those that no longer are."""
+    def _refreshed(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        """The filters with the keys that became repeated and without those that no longer are; null where one is full."""
         key = ["key_high", "key_low"]
         shards = self.filters.agg(F.max("shards")).first()[0] or 1
-        added = self.repeated.join(old, key, "left_anti").select(*key, F.lit(1).alias("change"))
-        gone = old.join(self.repeated, key, "left_anti").select(*key, F.lit(-1).alias("change"))
+        added = new.join(old, key, "left_anti").select(*key, F.lit(1).alias("change"))
+        gone = old.join(new, key, "left_anti").select(*key, F.lit(-1).alias("change"))
         changes = added.union(gone).withColumn("shard", _shard(shards))
 
         def apply(group: tuple, filters: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
@@ -263,16 +273,19 @@ class LineIndex:
             change = part["change"].to_numpy()
             cuckoo = CuckooFilter.from_bytes(filters["filter"].iloc[0]) if len(filters) else CuckooFilter.of(words[:0])
             cuckoo.delete(words[change < 0])
-            if not cuckoo.insert(words[change > 0]):
-                raise ValueError(f"filter {group[0]} is full")
-            return pd.DataFrame({"shard": [group[0]], "shards": [shards], "filter": [cuckoo.to_bytes()]})
+            made = cuckoo.to_bytes() if cuckoo.insert(words[change > 0]) else None
+            return pd.DataFrame({"shard": [group[0]], "shards": [shards], "filter": [made]})
 
         both = self.filters.groupBy("shard").cogroup(changes.groupBy("shard"))
         return both.applyInPandas(apply, "shard int, shards int, filter binary")
 
     def dedup(self, docs: DataFrame) -> DataFrame:
-        """As :func:`dedup_lines`, by the counts of this index."""
-        return drop_lines(docs, repeated_lines(docs, self.repeated, self.filters, self.min_chars), self.min_chars)
+        """As :func:`dedup_lines`, by the counts of this index, also where another session wrote it."""
+        if self.repeated is None:
+            self._follow()
+        size = self.filters.agg(F.sum(F.length("filter"))).first()[0] or 0
+        filters = self.filters if size <= MOST_FILTER_BYTES else None
+        return drop_lines(docs, repeated_lines(docs, self.repeated, filters, self.min_chars), self.min_chars)
 
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -71,6 +71,42 @@ def test_index_takes_documents_back(spark, tmp_path):
     assert dropped(made + other) == set()
 
 
+def test_index_outgrows_its_filters_and_is_opened_again(spark, tmp_path):
+    def docs(first, lines):
+        rows = [(first + i, "\n".join(f"repeated line {n} that is long enough to be looked at" for n in lines)) for i in range(5)]
+        return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    path = str(tmp_path / "index")
+    index = line_dedup.LineIndex(spark, path)
+    few, many = docs(0, range(10)), docs(10, range(10, 2_000))
+    assert not index.dedup(few).where("n_dropped > 0").count()  # nothing is in yet
+    index.insert(few, 1)
+    index.insert(many, 2)
+    both = few.union(many)
+
+    def dropped(of):
+        return {r[0]: r[1] for r in of.dedup(both).select("row.doc_id", "n_dropped").collect()}
+
+    all_in = {**{i: 10 for i in range(4)}, 4: 0, **{10 + i: 1_990 for i in range(4)}, 14: 0}
+    assert dropped(index) == all_in == dropped(line_dedup.LineIndex(spark, path))
+    again = line_dedup.LineIndex(spark, path)
+    again.delete(many, 3)
+    assert dropped(again) == {**all_in, **{10 + i: 0 for i in range(4)}} == dropped(line_dedup.LineIndex(spark, path))
+
+
+def test_index_with_full_filters_builds_them_anew(spark, tmp_path):
+    index = line_dedup.LineIndex(spark, str(tmp_path / "index"))
+    docs = spark.createDataFrame(
+        [(i, "\n".join(f"line {n} of these is long enough to be looked at" for n in range(300))) for i in range(5)],
+        "doc_id bigint, text string",
+    )
+    index.insert(docs.limit(0), 1)
+    index.room = 1_000  # more than the filters hold
+    index.insert(docs, 2)
+    assert {r[0] for r in index.dedup(docs).select("n_dropped").collect()} == {0, 300}
+    assert sum(r[0] for r in index.dedup(docs).select("n_dropped").collect()) == 4 * 300
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, (20_000, 2)).astype(np.uint64)
