@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.hashes import key_id
 from graphloom.functions.numbers import parse_uuid
+from graphloom.operators.key_filters import filter_of, kept_by, marked
 from graphloom.plans.catalog import ID_PROPERTY
 
 KEY = ("entity_set", "entity_id")
@@ -73,6 +75,50 @@ def assign_ids(values: DataFrame, registry: DataFrame | None = None, explicit: b
     return with_ids(values, registry)
 
 
+# Ids that a batch does not make from hashes: where they are from, the first of them winning.
+KNOWN, GIVEN, REGISTERED = 0, 1, 2
+
+
+def ids_of_keys(asked: DataFrame, sources: Iterable[tuple[int, DataFrame]]) -> DataFrame:
+    """Rows (entity_set, entity_id, key_id, origin), one for each key that a source has an id for.
+
+    ``asked`` is a filter of the keys that ids are wanted for; it goes to the sources first, so what is grouped is as
+    much as the keys asked for and not as all ids ever given.
+    """
+    found = [
+        kept_by(rows.select(*KEY, "key_id"), KEY, asked).withColumn("origin", F.lit(origin)) for origin, rows in sources
+    ]
+    first = F.min(F.struct("origin", "key_id")).alias("first")
+    return reduce(DataFrame.unionByName, found).groupBy(*KEY).agg(first).select(*KEY, "first.key_id", "first.origin")
+
+
+def with_few_ids(values: DataFrame, few: DataFrame) -> DataFrame:
+    """Values with ``key_id``, where few keys have an id of their own; ``few`` has one row for each of these.
+
+    Only values that a filter of these keys lets through are joined. All others get the hash of their key
+    where they are, without a shuffle.
+    """
+    seen = marked(values, KEY, filter_of(few, KEY), "__few")
+    met = with_ids(seen.where("__few").drop("__few"), few)
+    return met.unionByName(with_ids(seen.where("not __few").drop("__few")).select(*met.columns))
+
+
+def edges_with_few_ids(edges: DataFrame, few: DataFrame) -> DataFrame:
+    """Edges with the ids of edge, source and destination; only those with an end among the keys of ``few`` are joined."""
+    filters, ends = filter_of(few, KEY), ("edge", "src", "dst")
+    for end in ends:
+        edges = marked(edges, (f"{end}_set", f"{end}_id"), filters, f"__{end}")
+    any_end = " or ".join(f"__{end}" for end in ends)
+    flags = [f"__{end}" for end in ends]
+    met = edge_ids(edges.where(any_end).drop(*flags), few)
+    return met.unionByName(edge_ids(edges.where(f"not ({any_end})").drop(*flags)).select(*met.columns))
+
+
+def end_keys(edges: DataFrame) -> DataFrame:
+    """The keys (entity_set, entity_id) of all three ends of edges."""
+    return edges.select(_ends("edge", "src", "dst").alias("e")).select("e.entity_set", "e.entity_id")
+
+
 def edge_ids(edges: DataFrame, registry: DataFrame | None = None) -> DataFrame:
     """Edges with the ids of edge, source and destination; distinct when a registry is joined.
 

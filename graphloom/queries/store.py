@@ -309,6 +309,19 @@ def given_ids(spark, folder):
     return store.current().select("entity_set", "key_id", "property", "value")
 
 
+@QUERIES.add("str_3_given_ids_streamed", GIVEN_IDS_SQL)
+def given_ids_streamed(spark, folder):
+    # The filled orders, which bring ids, come first. The rest come when the stream is started again.
+    rows, store = given_id_rows(spark, folder), _store(spark, "given-stream-store")
+    path, progress = shared_folder(spark, "given-files"), shared_folder(spark, "given-progress")
+    for filled in (True, False):
+        part = rows.where((F.col("o_orderstatus") == "F") == filled)
+        part.repartition(2, "o_custkey").write.mode("append").parquet(path)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        stream_into(stream, GIVEN_IDS, GIVEN_IDS_CATALOG, store, progress).awaitTermination()
+    return store.current().select("entity_set", "key_id", "property", "value")
+
+
 @QUERIES.add("snk_8_compaction", f"SELECT * FROM ({_REPLACED_SQL}) UNION ALL SELECT 'k', 'status', 'NEW', 203, '203'")
 def compaction(spark, folder):
     store = _store(spark, "compacted-store")

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from graphloom.operators import update
 from graphloom.operators.counts import observed
-from graphloom.operators.ids import EDGE_KEY
+from graphloom.operators.ids import EDGE_KEY, KEY
+from graphloom.operators.key_filters import filter_of, key_slice, kept_by, met
 from graphloom.plans.mapping import REPLACING
 from graphloom.sinks.binaries import binary_rows
 from graphloom.sinks.commits import Batch, Commits, Snapshot, State, as_runs
@@ -46,6 +47,7 @@ _SCHEMAS = {
     "edges": ", ".join(f"{c} string" for c in EDGE_KEY) + ", version bigint",
     "entities": "entity_set string, key_id string, version bigint",
     "given_ids": "entity_set string, entity_id string, key_id string",
+    "ids_index": "slice int, bits binary, file string",
     "rejects": "row string, alias string, property string, value string, reason string, batch bigint",
 }
 #: Tables of which a batch is merged with others, and how they lie.
@@ -129,6 +131,19 @@ class Store:
             return None
         return self._read("given_ids", batches).groupBy("entity_set", "entity_id").agg(F.min("key_id").alias("key_id"))
 
+    def has_given_ids(self, before: int) -> bool:
+        return any("given_ids" in b.counts and b.last < before for b in self._commits.last().batches)
+
+    def given_ids_of(self, asked: DataFrame, before: int) -> DataFrame:
+        """Ids that came with earlier batches, of the keys that the filter ``asked`` may hold.
+
+        Only the files that may hold one of these keys are opened, and nothing is grouped. A key is there more than
+        once if batches came out of order.
+        """
+        batches = [b for b in self._commits.last().batches if "given_ids" in b.counts and b.last < before]
+        files = self._named("given_ids", met(self._read("ids_index", batches), asked, "file"))
+        return kept_by(self._files("given_ids", files), KEY, asked)
+
     def rejects(self, version: int | None = None) -> DataFrame:
         """What could not be integrated, of one batch or of all."""
         found = self._read("rejects")
@@ -148,6 +163,8 @@ class Store:
         if table == "values":
             dealt = rows.withColumn("slice", _slice()).hint("rebalance", "entity_set", "slice")
             laid = dealt.sortWithinPartitions("entity_set", "key_id").drop("slice")
+        elif table == "given_ids":
+            laid = rows.withColumn("slice", key_slice(KEY)).hint("rebalance", "slice").sortWithinPartitions("slice").drop("slice")
         else:
             laid = rows.hint("rebalance", *partitions)
         counted, counter = observed(laid, f"{table}-{uuid.uuid4().hex}")
@@ -201,6 +218,9 @@ class Store:
         for table, rows in written.items():
             if rows is not None:
                 counts[table] = self._write(rows, table, attempt)
+        if given_ids is not None:
+            self._index_ids(attempt)
+            counts["ids_index"] = 0
         kinds = property_update_types or {}
         sets = self._sets(attempt)
 
@@ -228,7 +248,7 @@ class Store:
                 self._index(attempt)
             return made
 
-        return {t: n for t, n in counts.items() if t != "index"} if self._commits.change(with_index) else {}
+        return {t: n for t, n in counts.items() if t not in ("index", "ids_index")} if self._commits.change(with_index) else {}
 
     # Files that may hold keys
 
@@ -256,15 +276,19 @@ class Store:
 
     def holding(self, asked: DataFrame, batches: Iterable[Batch]) -> list[str]:
         """Value files of batches that may hold one of the keys in the bitmaps ``asked``."""
-        index = self._read("index", batches)
-        # Two bitmaps meet where their union has fewer bits than both together.
-        both = index.join(asked.withColumnRenamed("bits", "asked"), ["entity_set", "slice"])
-        each = both.select("file", "slice", F.explode(F.array("bits", "asked")).alias("bits"))
-        met = each.groupBy("file", "slice").agg(
-            F.bitmap_count(F.bitmap_or_agg("bits")).alias("together"), F.sum(F.bitmap_count("bits")).alias("apart")
-        )
-        files = met.where(F.col("together") < F.col("apart")).select("file").distinct().collect()
-        return sorted(f"{self.path}/values/{urllib.parse.unquote(r[0])}" for r in files)
+        return self._named("values", met(self._read("index", batches), asked, "file", "entity_set"))
+
+    def _named(self, table: str, files: DataFrame) -> list[str]:
+        """Paths of the files of a table that an index names."""
+        return sorted(f"{self.path}/{table}/{urllib.parse.unquote(r[0])}" for r in files.collect())
+
+    def _index_ids(self, attempt: str) -> None:
+        """Write which keys the files of given ids of an attempt may hold."""
+        folder = self._folder("given_ids", attempt)
+        read = self.spark.read.schema(_SCHEMAS["given_ids"]).parquet(folder)
+        file = F.regexp_extract("_metadata.file_path", r"/given_ids/(attempt=[^/]*/.*)$", 1).alias("file")
+        rows = filter_of(read.select(*KEY, file), KEY, "file").select(*_columns("ids_index"))
+        rows.hint("rebalance").write.mode("overwrite").parquet(self._folder("ids_index", attempt))
 
     # Keeping in order
 
@@ -314,11 +338,15 @@ class Store:
             if any(table in b.counts for b in batches):
                 counts[table] = self._write(merged(table), table, attempt)
         self._index(attempt)
+        counts["index"] = 0
+        if "given_ids" in counts:
+            self._index_ids(attempt)
+            counts["ids_index"] = 0
         kinds: dict[str, str] = {}
         for b in batches:
             kinds.update(dict.fromkeys(b.versioned, "versioned") | dict.fromkeys(b.unversioned, "unversioned"))
         batch = Batch(
-            attempt, as_runs(v for b in batches for v in b.versions()), counts | {"index": 0}, [s for s, k in kinds.items() if k == "unversioned"],
+            attempt, as_runs(v for b in batches for v in b.versions()), counts, [s for s, k in kinds.items() if k == "unversioned"],
             [s for s, k in kinds.items() if k == "versioned"], sorted({s for b in batches for s in b.replacing}), merged=True,
         )
         old = {b.attempt for b in batches}

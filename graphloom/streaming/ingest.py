@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from graphloom.operators import graph, ids
 from graphloom.operators.counts import earliest_reject
+from graphloom.operators.key_filters import filter_of
 from graphloom.plans.catalog import ID_PROPERTY, Catalog
 from graphloom.plans.mapping import BINARIES, NO_OP, TABLES, Mapping
 from graphloom.sinks.store import Store
@@ -36,7 +37,8 @@ def integrate(
     ``on_bad_value="reject"`` it is left out and listed in the batch's ``rejects``, with the ``shown``
     columns of its row, all without any; so are rows whose id is blank.
 
-    Ids that came with the data stay those of their keys in all later batches. Each row is read and mapped once: where
+    Ids that came with the data stay those of their keys in all later batches; they are looked up for the keys of this
+    batch only. Each row is read and mapped once: where
     more than its values is taken from it, the mapped rows are written to a shared folder and all is taken from there, so
     edges, ids and rejects fit the values also if the source changes meanwhile. ``stage`` writes the source rows
     first, for those that are to be released early.
@@ -68,12 +70,14 @@ def _integrate(
         fan = graph.with_printed_rows(rows, mapping, catalog, list(shown) or rows.columns)
     else:
         fan = graph.FanOut(rows, mapping, catalog, ())
+    has_few = has_ids or registry is not None or store.has_given_ids(version)
     path = None
-    if mapping.associations or has_ids or has_binaries or on_bad_value == REJECT:
+    if mapping.associations or has_few or has_binaries or on_bad_value == REJECT:
         path = shared_folder(store.spark, "mapped-rows")
     try:
-        fan = fan.written_to(path) if path else fan
-        return _written(fan, catalog, store, version, registry, on_bad_value, has_ids, has_binaries)
+        fan = fan.written_to(f"{path}/rows") if path else fan
+        few_at = f"{path}/few-ids" if has_few else None
+        return _written(fan, catalog, store, version, registry, on_bad_value, has_ids, has_binaries, few_at)
     finally:
         if path:
             discard(store.spark, path)
@@ -88,24 +92,22 @@ def _written(
     on_bad_value: str,
     has_ids: bool,
     has_binaries: bool,
+    few_at: str | None,
 ) -> dict[str, int]:
-    """Write all that mapped rows hold."""
+    """Write all that mapped rows hold. ``few_at`` is a folder for the ids that are no hashes, where there may be any."""
     mapping = fan.mapping
     values = graph.values_of(fan, fail_on_bad_value=on_bad_value == FAIL).drop(graph.PRINTED)
-    known, given = store.given_ids(before=version), None
+    edges = graph.edges_of(fan) if mapping.associations else None
+    edges = None if edges is None else edges.where(edges.destination != NO_OP)
+    few = given = binaries = rejects = None
+    if few_at is not None:
+        few = _few_ids(values, edges, store, version, registry, has_ids, few_at)
     if has_ids:
-        given = ids.explicit_ids(values)
-        if known is not None:
-            given = given.join(known, list(ids.KEY), "left_anti")
+        given = few.where(few.origin == ids.GIVEN)
         values = values.where(values.property != ID_PROPERTY)
-    for more in (given, known):
-        if more is not None:
-            registry = more if registry is None else ids.registry_with(registry, more)
-    with_ids = ids.assign_ids(values, registry, explicit=False)
-    edges = binaries = rejects = None
-    if mapping.associations:
-        mapped = graph.edges_of(fan)
-        edges = ids.edge_ids(mapped.where(mapped.destination != NO_OP), registry)
+    with_ids = ids.with_ids(values) if few is None else ids.with_few_ids(values, few.drop("origin"))
+    if edges is not None:
+        edges = ids.edge_ids(edges) if few is None else ids.edges_with_few_ids(edges, few.drop("origin"))
     if has_binaries:
         binaries = graph.to_destination(with_ids, BINARIES)
     if on_bad_value == REJECT:
@@ -116,6 +118,29 @@ def _written(
     )
 
 
+def _few_ids(
+    values: DataFrame,
+    edges: DataFrame | None,
+    store: Store,
+    version: int,
+    registry: DataFrame | None,
+    has_ids: bool,
+    path: str,
+) -> DataFrame:
+    """Ids of the batch's keys that are no hashes, written once: those of earlier batches, of its own data, and registered."""
+    keys = values.select(*ids.KEY)
+    keys = keys if edges is None else keys.unionByName(ids.end_keys(edges))
+    asked = written_to(filter_of(keys, ids.KEY), f"{path}/asked")
+    sources = []
+    if store.has_given_ids(version):
+        sources.append((ids.KNOWN, store.given_ids_of(asked, version)))
+    if has_ids:
+        sources.append((ids.GIVEN, ids.explicit_ids(values)))
+    if registry is not None:
+        sources.append((ids.REGISTERED, registry))
+    return written_to(ids.ids_of_keys(asked, sources), f"{path}/ids")
+
+
 def run_all(
     plan: Sequence[tuple[Mapping, DataFrame]],
     catalog: Catalog,
