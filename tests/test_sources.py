@@ -1,12 +1,16 @@
 """Sources on files that the tests write, and the rules for choosing one."""
 
+import datetime
+import decimal
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from graphloom.functions import steps
 from graphloom.sources.choose import read_source
 from graphloom.sources.files import Ledger, read_csv, read_local, read_new_objects, read_object_store, read_xml
-from graphloom.sources.jdbc import jdbc_options
+from graphloom.sources.jdbc import jdbc_options, quantile_query, range_predicates
 from graphloom.sources.rows import flattened, text_rows
 
 LOANS = """tool,days,note,no
@@ -175,6 +179,34 @@ def test_jdbc_options():
         jdbc_options(connection, "SELECT 1", split_on="id")
 
 
+@pytest.mark.parametrize("values", [
+    [1, 1, 1, 1, 1, 1, 2, 3, None, None], list(range(100)) + [None], [5] * 9, [None, None], [],
+    ["a", "it's", "b", "b", "zz", None, ""],
+    [datetime.date(2020, 1, d) for d in range(1, 30)], [datetime.datetime(2020, 1, 1, h, 30, 0, 5) for h in range(24)],
+    [decimal.Decimal("-1.50"), decimal.Decimal("2.25"), decimal.Decimal("99.00")],
+])
+def test_each_row_is_in_one_range(values):
+    # The SQL runs in the database that checks the queries, within this process.
+    con = duckdb.connect()
+    kind = next((v for v in values if v is not None), 0)
+    name = {str: "varchar", datetime.date: "date", datetime.datetime: "timestamp", decimal.Decimal: "decimal(9, 2)"}.get(type(kind), "bigint")
+    con.execute(f"CREATE TABLE t (n bigint, k {name})")
+    if values:
+        con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    bounds = [b for _, b in con.execute(quantile_query("SELECT n, k FROM t", "k", 4)).fetchall()]
+    ranges = range_predicates("k", bounds)
+    read = [con.execute(f"SELECT n FROM (SELECT n, k FROM t) source_rows WHERE {r}").fetchall() for r in ranges]
+    assert sorted(n for part in read for (n,) in part) == list(range(len(values)))
+    assert len(ranges) <= 5
+    if len(set(values)) == len(values) > 20:
+        assert max(len(part) for part in read) <= -(-len(values) // 4)
+
+
+def test_bounds_that_are_no_literals():
+    with pytest.raises(ValueError):
+        range_predicates("k", [b"a", b"b"])
+
+
 def test_splits_reach_the_reader(spark, monkeypatch):
     from graphloom.sources import choose
 
