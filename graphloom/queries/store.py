@@ -378,6 +378,27 @@ def current_as_of(spark, folder):
     return views[0].unionByName(views[1]).unionByName(views[2])
 
 
+@QUERIES.add(
+    "agg_3_totals",
+    """SELECT counted, name, exact, true AS near FROM (
+         SELECT 'entities' AS counted, 'customers' AS name, count(DISTINCT c_custkey) AS exact FROM customer JOIN nation ON c_nationkey = n_nationkey
+         UNION ALL SELECT 'entities', 'nations', count(DISTINCT n_nationkey) FROM customer JOIN nation ON c_nationkey = n_nationkey
+         UNION ALL SELECT unnest(['entities', 'edges']), 'lives_in', count(DISTINCT (c_custkey, n_nationkey)) FROM customer JOIN nation ON c_nationkey = n_nationkey)
+       WHERE exact > 0""",
+)
+def totals(spark, folder):
+    # Two batches, of which the second brings rows of the first again, merged into one: sketches against exact counts.
+    store, rows = _store(spark, "totals-store"), residence_rows(spark, folder)
+    integrate(rows, RESIDENCE, RESIDENCE_CATALOG, store, 10)
+    integrate(rows.where("c_mktsegment = 'BUILDING'"), RESIDENCE, RESIDENCE_CATALOG, store, 20)
+    store.compact()
+    exact = store.entities().groupBy(F.lit("entities").alias("counted"), F.col("entity_set").alias("name")).agg(F.count("*").alias("exact"))
+    exact = exact.unionByName(
+        store.edges().groupBy(F.lit("edges").alias("counted"), F.col("edge_set").alias("name")).agg(F.count("*").alias("exact")))
+    near = F.abs(F.col("distinct") - F.col("exact")) <= 0.02 * F.col("exact")
+    return store.totals().join(exact, ["counted", "name"], "full").select("counted", "name", "exact", F.coalesce(near, F.lit(False)).alias("near"))
+
+
 @QUERIES.add("str_1_tiers", f"SELECT *, true AS few_batches FROM ({_USERS_SQL})")
 def tiers(spark, folder):
     events = table(spark, folder, "events").select(F.col("user_id").cast("string").alias("user_id"), "event_type", "props")
