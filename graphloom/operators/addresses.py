@@ -13,6 +13,8 @@ from graphloom.operators.ids import normal_address
 _NUMBER = r"[0-9]+\p{L}?(?:\s*[;/-]\s*[0-9]+\p{L}?)*"
 _FIRST = rf"^\s*({_NUMBER})\s+(\S.*)$"
 _LAST = rf"^(.*\S)\s+({_NUMBER})\s*$"
+#: Entries that share a piece, beyond which they are looked up by what is left of them without some characters.
+COMMON = 16
 
 
 def parse_address(c: Column) -> Column:
@@ -39,22 +41,25 @@ def _cuts(length: Column, number: int, pieces: int) -> tuple[Column, Column]:
     return (start + 1).cast("int"), (F.floor(length * (number + 1) / pieces) - start).cast("int")
 
 
-def near_pairs(left: DataFrame, right: DataFrame, most: int = 2) -> DataFrame:
-    """``house_number``, ``text``, ``entry`` and ``distance`` of texts of either side that differ by ``most`` edits or less.
+def _shortened(text: Column, most: int) -> list[Column]:
+    """The distinct texts that are left when so many characters are taken out, for each number up to ``most``."""
 
-    Both sides have ``house_number``, which must be equal, and ``text``. A text is cut into one piece more than there may be
-    edits, so one piece at least is whole in each text near it, moved by as many places at most. Pieces are
-    joined by equality, and what meets is verified: no near pair is missed, and no pair is made for nothing but a piece.
-    """
+    def without_one(one: Column) -> Column:
+        # Taking out any character of a run leaves the same text, so the last one stands for all.
+        places = F.filter(F.sequence(F.lit(1), F.length(one)), lambda i: F.substring(one, i, F.lit(1)) != F.substring(one, i + 1, F.lit(1)))
+        left = F.transform(places, lambda i: F.concat(F.substring(one, F.lit(1), i - 1), F.substring(one, i + 1, F.length(one))))
+        return F.when(F.length(one) > 0, left).otherwise(F.array(F.lit("")))
+
+    made = [F.array(text)]
+    for _ in range(most):
+        made.append(F.array_distinct(F.flatten(F.transform(made[-1], without_one))))
+    return made
+
+
+def _met_by_pieces(texts: DataFrame, entries: DataFrame, most: int) -> DataFrame:
+    """``house_number``, ``text`` and ``entry`` where a piece of the entry is in the text, moved by as many places at most."""
     pieces = most + 1
-    entries = right.select("house_number", F.col("text").alias("entry")).distinct()
-    own = F.length("entry")
-    cut = [F.struct(F.lit(i).alias("piece"), F.substring("entry", *_cuts(own, i, pieces)).alias("part")) for i in range(pieces)]
-    indexed = entries.select("house_number", "entry", own.alias("size"), F.explode(F.array(*cut)).alias("c")).select(
-        "house_number", "entry", "size", "c.*"
-    )
-    texts = left.select("house_number", "text").distinct()
-    sizes = texts.select("*", F.explode(F.sequence(F.greatest(F.lit(0), F.length("text") - most), F.length("text") + most)).alias("size"))
+    at_sizes = texts.join(entries.select("house_number", "size").distinct(), "house_number").where(F.abs(F.col("size") - F.length("text")) <= most)
     asked = []
     for i in range(pieces):
         start, length = _cuts(F.col("size"), i, pieces)
@@ -63,10 +68,58 @@ def near_pairs(left: DataFrame, right: DataFrame, most: int = 2) -> DataFrame:
             # A piece without characters is in every text; it stands at its own place only.
             there = (at >= 1) & (at + length - 1 <= F.length("text")) & ((length > 0) | F.lit(moved == 0))
             asked.append(F.when(there, F.struct(F.lit(i).alias("piece"), F.substring("text", at, length).alias("part"))))
-    probes = sizes.select("house_number", "text", "size", F.explode(F.array_compact(F.array_distinct(F.array(*asked)))).alias("c"))
-    met = probes.select("house_number", "text", "size", "c.*").join(indexed, ["house_number", "size", "piece", "part"])
-    pairs = met.select("house_number", "text", "entry").distinct()
-    return pairs.withColumn("distance", F.levenshtein("text", "entry", most)).where(F.col("distance") >= 0)
+    probes = at_sizes.select("house_number", "text", "size", F.explode(F.array_compact(F.array_distinct(F.array(*asked)))).alias("c"))
+    return probes.select("house_number", "text", "size", "c.*").join(_pieces(entries, pieces), ["house_number", "size", "piece", "part"])
+
+
+def _pieces(entries: DataFrame, pieces: int) -> DataFrame:
+    cut = [F.struct(F.lit(i).alias("piece"), F.substring("entry", *_cuts(F.col("size"), i, pieces)).alias("part")) for i in range(pieces)]
+    return entries.select("house_number", "entry", "size", F.explode(F.array(*cut)).alias("c")).select("house_number", "entry", "size", "c.*")
+
+
+def _met_by_shortening(texts: DataFrame, entries: DataFrame, most: int) -> DataFrame:
+    """``house_number``, ``text`` and ``entry`` that are the same when some characters are taken out of either.
+
+    Of two texts that are near, ``most`` characters of the longer and as many fewer of the shorter as it is shorter can be
+    taken out so that the same is left. Texts are shortened only to lengths that entries of their house number need.
+    """
+    lengths = texts.select("house_number", F.length("text").alias("length")).distinct()
+    pairs = entries.select("house_number", "size").distinct().join(lengths, "house_number").where(F.abs(F.col("size") - F.col("length")) <= most)
+    pairs = pairs.withColumn("rest", F.greatest(F.lit(0), F.greatest("size", "length") - most))
+
+    def keys(rows: DataFrame, name: str, own: str) -> DataFrame:
+        wanted = pairs.select("house_number", own, *([] if own == "size" else ["size"]), "rest").distinct()
+        taken, left = F.col(own) - F.col("rest"), F.lit(None).cast("array<string>")
+        for number, shorter in reversed(list(enumerate(_shortened(F.col(name), most)))):
+            left = F.when(taken == number, shorter).otherwise(left)
+        dealt = rows.withColumn(own, F.length(name)).join(wanted, ["house_number", own])
+        # A hash of what is left: keys that clash give a pair more to verify and lose none.
+        return dealt.select("house_number", name, "size", "rest", F.explode(left).alias("left")).select(
+            "house_number", name, F.xxhash64("house_number", "size", "rest", "left").alias("key"))
+
+    return keys(texts, "text", "length").join(keys(entries.select("house_number", "entry"), "entry", "size"), ["house_number", "key"])
+
+
+def near_pairs(left: DataFrame, right: DataFrame, most: int = 2) -> DataFrame:
+    """``house_number``, ``text``, ``entry`` and ``distance`` of texts of either side that differ by ``most`` edits or less.
+
+    Both sides have ``house_number``, which must be equal, and ``text``. An entry is cut into one piece more than there may be
+    edits, so one piece at least is whole in each text near it, moved by as many places at most. Pieces are joined by
+    equality. Entries with a piece that more than ``COMMON`` entries share are met by what is left of them without some
+    characters instead, of which there are about size to the power of ``most``, and which few texts that are not near share. What
+    meets is verified: no near pair is missed, and neither way makes pairs of all texts that begin alike.
+    """
+    entries = right.select("house_number", F.col("text").alias("entry")).distinct().withColumn("size", F.length("entry"))
+    texts = left.select("house_number", "text").distinct()
+    place = ["house_number", "size", "piece", "part"]
+    cut = _pieces(entries, most + 1)
+    common = cut.groupBy(*place).agg(F.count("*").alias("n")).where(F.col("n") > COMMON)
+    hard = cut.join(common, place, "left_semi").select("house_number", "entry", "size").distinct()
+    easy = entries.join(hard, ["house_number", "entry", "size"], "left_anti")
+    columns = ["house_number", "text", "entry"]
+    met = _met_by_pieces(texts, easy, most).select(*columns).unionByName(_met_by_shortening(texts, hard, most).select(*columns))
+    near = met.withColumn("distance", F.levenshtein("text", "entry", most)).where(F.col("distance") >= 0)
+    return near.distinct()
 
 
 def look_up_near(

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from graphloom.operators import addresses
 from graphloom.operators.addresses import look_up_near, near_pairs, parse_address
 from tests.helpers import on_texts
 
@@ -40,6 +41,28 @@ def test_no_near_pair_is_missed(spark, most):
     assert {tuple(r) for r in found} == expected and len(found) == len(expected)
 
 
+@pytest.mark.parametrize("most", [0, 1, 2, 3])
+def test_no_near_pair_is_missed_where_pieces_are_common(spark, most, monkeypatch):
+    rng = random.Random(most)
+    texts = [("1", "".join(rng.choice("ab c") for _ in range(rng.randint(1, 9)))) for _ in range(60)] + [("2", "ab"), ("1", ""), ("1", "aé😀")]
+    sides = [spark.createDataFrame(texts[k::2], "house_number string, text string") for k in (0, 1)]
+    expected = {(n, a, b, edits(a, b)) for n, a in texts[::2] for m, b in texts[1::2] if n == m and edits(a, b) <= most}
+    for common in (0, 2):
+        monkeypatch.setattr(addresses, "COMMON", common)
+        found = near_pairs(*sides, most).collect()
+        assert {tuple(r) for r in found} == expected and len(found) == len(expected)
+
+
+def test_texts_that_begin_alike_are_not_all_paired(spark):
+    # 400 numbers on either side that differ in their last digits, with one letter left out on one side.
+    rows = spark.range(400).selectExpr("'7' AS house_number", "'suplier ' || lpad(id * 7, 9, '0') AS text")
+    known = spark.range(400).selectExpr("'7' AS house_number", "'supplier ' || lpad(id * 7, 9, '0') AS text")
+    found = near_pairs(rows, known).where("distance < 2")
+    assert found.count() == 400
+    pairs = addresses._met_by_shortening(rows, known.selectExpr("house_number", "text AS entry", "length(text) AS size"), 2)
+    assert pairs.count() < 0.2 * 400 * 400
+
+
 def test_lookup_takes_the_nearest(spark):
     gazetteer = spark.createDataFrame(
         [("12 Scott Street", "b"), ("12 Scott Street", "a"), ("12 Skott Street", "c"), ("13 Scott Street", "d"), ("Scott Street", "e"), (" ", "f"), (None, "g")],
