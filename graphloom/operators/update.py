@@ -116,11 +116,15 @@ def as_of(log: DataFrame, until: int | None = None, after: int | None = None) ->
     return rows if after is None else rows.where(F.abs("version") > after)
 
 
-def patched(view: DataFrame, log: DataFrame) -> DataFrame:
+def patched(view: DataFrame, log: DataFrame, few: bool = False) -> DataFrame:
     """Values in force after the rows of a log: those of a ``view`` that the log doesn't touch, and the log's own.
 
-    The view is not grouped; its rows are on the left of a join with the touched values, which are few as a rule.
+    All versions of the log are younger than those of the view. Where the log is known to have ``few`` rows, the view is not
+    grouped and its rows are on the left of a join with the touched values, which Spark may broadcast. Otherwise both are
+    grouped at once: files of a log are so much smaller than its rows that Spark would take it for few and send it to the driver.
     """
+    if not few:
+        return current(view.unionByName(log.select(*view.columns)))
     latest = log.groupBy(*VALUE_KEY, "value", "content").agg(F.max_by("version", F.abs("version")).alias("version"))
     kept = view.join(log.select(*VALUE_KEY).distinct(), list(VALUE_KEY), "left_anti")
     return kept.unionByName(latest.where(F.col("version") > 0))

@@ -38,6 +38,8 @@ _BITS = 32768
 FAN = 4
 #: Sketches of distinct keys have 2 to this power of registers, for a standard error of 0.6 percent in at most 32 KB.
 SKETCH_POWER = 15
+#: Rows since a snapshot that may be broadcast to it.
+FEW_ROWS = 50_000
 #: A snapshot is made anew when this part of its rows has been written since, and so many are kept.
 STALE, KEPT_SNAPSHOTS = 0.25, 8
 
@@ -81,10 +83,15 @@ class Store:
         """Rows of folders or files of a table."""
         schema = _SCHEMAS[table]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return self._no_rows(table)
         found = self.spark.read.schema(schema).option("basePath", f"{self.path}/{table}").parquet(*paths)
         return found.select(*_columns(table))
 
+    def _no_rows(self, table: str) -> DataFrame:
+        """An empty table that no Python worker is started for."""
+        columns = (c.split(" ") for c in _SCHEMAS[table].split(", "))
+        return self.spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in columns])
+
     def _read(self, table: str, batches: Iterable[Batch] | None = None) -> DataFrame:
         """Rows of some batches, by default of all that are live."""
         chosen = self._commits.last().batches if batches is None else batches
@@ -116,7 +123,11 @@ class Store:
         since = None if base is None else base.version + 1
         later = [b for b in state.batches if (base is None or b.last > base.version) and (as_of is None or b.first <= as_of)]
         log = update.as_of(self._read("values", later), None if as_of is None else as_of + 1, since)
-        return update.current(log) if base is None else update.patched(self._files("current", [self._folder("current", base.attempt)]), log)
+        if base is None:
+            return update.current(log)
+        # What a batch ends is not among the rows that it counts.
+        few = sum(b.counts["values"] for b in later) <= FEW_ROWS and not any(b.replacing for b in later)
+        return update.patched(self._files("current", [self._folder("current", base.attempt)]), log, few)
 
     def edges(self) -> DataFrame:
         return update.edge_state(self._read("edges"))
@@ -299,7 +310,7 @@ class Store:
         """Write what keys the value files of an attempt may hold."""
         folder = self._folder("values", attempt)
         if not found_by(self.spark, f"{folder}/*/*"):
-            rows = self.spark.createDataFrame([], _SCHEMAS["index"])
+            rows = self._no_rows("index")
         else:
             read = self.spark.read.schema(_SCHEMAS["values"]).parquet(folder)
             file = F.regexp_extract("_metadata.file_path", r"/values/(attempt=[^/]*/.*)$", 1).alias("file")

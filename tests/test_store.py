@@ -494,3 +494,16 @@ def test_binaries_go_to_their_own_table(spark, tmp_path):
         integrate(rows, mapping, catalog, store, version)
     assert sorted(r.value for r in store.current().collect()) == ["1", "2"]
     assert [(r.entity_set, bytes(r.content)) for r in store.binaries().collect()] == [("ds", b"x")]
+
+
+def test_a_large_log_is_not_broadcast_to_a_view(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "s"))
+    store.write(10, frame(spark, [("a", "k", "p", "x"), ("a", "k", "p", "y")]))
+    store.snapshot()
+    store.write(20, frame(spark, [("a", "k", "p", "y"), ("a", "l", "p", "z")]))
+    expected = {("k", "x", 11), ("k", "y", 21), ("l", "z", 21)}
+    for most, joined in ((50, True), (1, False)):
+        monkeypatch.setattr("graphloom.sinks.store.FEW_ROWS", most)
+        view = store.current()
+        assert {(r.key_id, r.value, r.version) for r in view.collect()} == expected
+        assert ("Join" in view._jdf.queryExecution().executedPlan().toString()) == joined
