@@ -64,6 +64,8 @@ def _integrate(
     on_bad_value: str,
     shown: Sequence[str],
 ) -> dict[str, int]:
+    # A batch may come in few files: its rows are dealt out before they are mapped, which makes several of each.
+    rows = rows.hint("rebalance")
     properties = [p.type for d in mapping.definitions for p in d.properties]
     has_ids, has_binaries = ID_PROPERTY in properties, any(catalog.datatype(p) == "Binary" for p in properties)
     if on_bad_value == REJECT:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from graphloom.operators import ids, update
+from graphloom.operators import graph, ids, update
 from graphloom.plans.catalog import Catalog, EntitySet, EntityType, PropertyType
 from graphloom.plans.mapping import BINARIES, TABLES, Association, Entity, Mapping, prop
 from graphloom.sinks.binaries import binary_rows, read_binaries, write_binaries
@@ -507,3 +507,15 @@ def test_a_large_log_is_not_broadcast_to_a_view(spark, tmp_path, monkeypatch):
         view = store.current()
         assert {(r.key_id, r.value, r.version) for r in view.collect()} == expected
         assert ("Join" in view._jdf.queryExecution().executedPlan().toString()) == joined
+
+
+def test_rows_of_one_file_are_mapped_in_several_tasks(spark, tmp_path, monkeypatch):
+    given = []
+    made = graph.FanOut.__init__
+    monkeypatch.setattr(graph.FanOut, "__init__", lambda self, df, *a: given.append(df) or made(self, df, *a))
+    catalog = Catalog.of([PropertyType("p.key")], [EntityType("p", ("p.key",), ("p.key",))], [EntitySet("people", "p")])
+    rows = spark.range(50_000).selectExpr("sha2(cast(id AS string), 256) AS k").coalesce(1)
+    store = Store(spark, str(tmp_path / "s"))
+    integrate(rows, Mapping("people", (Entity("p", "people", (prop("p.key", "k"),)),)), catalog, store, 1)
+    assert store.current().count() == 50_000
+    assert given[0].rdd.getNumPartitions() > 1
