@@ -69,7 +69,8 @@ _VALUES_SQL = f"""SELECT 'customers' AS entity_set, {_C} AS entity_id, 'person.k
 
 @QUERIES.add("residence_values", f"SELECT DISTINCT * FROM ({_VALUES_SQL})")
 def residence_values(spark, folder):
-    values = graph.entity_values(residence_rows(spark, folder), RESIDENCE, RESIDENCE_CATALOG)
+    # Customers may be in one file: they are dealt out before they are mapped, so no task groups the values of all.
+    values = graph.entity_values(residence_rows(spark, folder).hint("rebalance"), RESIDENCE, RESIDENCE_CATALOG)
     return counts.distinct_values(values).select("entity_set", "entity_id", "property", "value")
 
 
