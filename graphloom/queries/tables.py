@@ -32,8 +32,12 @@ def _money(name):
     return F.col(name).cast("decimal(18, 2)").alias(name)
 
 
+#: Rows of an XML file at most: a file is read by one task, since Spark can't split it.
+ROWS_A_FILE = 100_000
+
+
 def _xml_of(df, path, row_tag):
-    df.write.format("xml").option("rowTag", row_tag).option("rootTag", f"{row_tag}s").save(path)
+    df.write.option("maxRecordsPerFile", ROWS_A_FILE).format("xml").option("rowTag", row_tag).option("rootTag", f"{row_tag}s").save(path)
     return path
 
 

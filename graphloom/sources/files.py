@@ -95,7 +95,7 @@ def read_xml(
     A folder gives its own files that match ``only``, not those in folders below. Nested
     elements become columns with dotted names. Without a schema the files are read
     twice, the first time for the names of their elements. A file that is no XML ends the query, and so
-    does a data file with a name that Spark takes as hidden.
+    does a data file with a name that Spark takes as hidden. Spark does not split XML: a file is one task.
     """
     for one in [path] if isinstance(path, str) else path:
         _refuse_hidden(spark, one, below=False)

@@ -6,7 +6,7 @@ import pytest
 
 import check
 from __spark_entry__ import entry
-from graphloom.queries import all_queries
+from graphloom.queries import all_queries, tables
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the tables are not here")
@@ -25,6 +25,18 @@ def test_query(spark, con, name):
     assert check.compare(spark, con, name, FOLDER, QUERIES, SQL) is None
 
 
+def test_customers_are_dealt_out_before_they_are_mapped(spark):
+    found = QUERIES["residence_values"](spark, FOLDER)
+    assert "RebalancePartitions" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_xml_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_A_FILE", 100)
+    path = tables._xml_of(spark.range(1050).selectExpr("id", "id AS n").coalesce(1), str(tmp_path / "x"), "row")
+    assert len(list((tmp_path / "x").glob("part-*"))) == 11
+    assert spark.read.format("xml").option("rowTag", "row").load(path).count() == 1050
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
