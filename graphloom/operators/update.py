@@ -77,13 +77,22 @@ def endings(
     return found
 
 
-def state_of(log: DataFrame, unversioned: Iterable[str] = ()) -> DataFrame:
+#: Versions that a bigint has bits for, and versions up to which they are gathered as bits.
+_BITS, MOST_BITS = 62, 248
+
+
+def state_of(log: DataFrame, unversioned: Iterable[str] = (), known: Iterable[int] | None = None) -> DataFrame:
     """One row per value with its version and all its versions, oldest first.
 
-    Entity sets in ``unversioned`` keep the last version only, and no list is gathered for them.
+    Entity sets in ``unversioned`` keep the last version only, and no list is gathered for them. Where all versions that may
+    occur are ``known`` and no more than ``MOST_BITS``, they are gathered as bits of numbers, which takes a hash aggregate and
+    no sort; a version that is not among them ends the query.
     """
     sets = list(unversioned)
     of_sets = F.col("entity_set").isin(sets) if sets else F.lit(False)
+    given = sorted(set(known or ()), key=lambda v: (abs(v), v))
+    if given and len(given) <= MOST_BITS:
+        return _state_by_bits(log, of_sets, given)
     # Equal hashes mean equal values, so grouping by these too costs no group and keeps them out of buffers.
     state = log.groupBy(*VALUE_KEY, "value", "content").agg(
         F.max_by("version", F.abs("version")).alias("version"),
@@ -93,6 +102,35 @@ def state_of(log: DataFrame, unversioned: Iterable[str] = ()) -> DataFrame:
     return state.withColumn("versions", ordered).select(*_COLUMNS)
 
 
+def _state_by_bits(log: DataFrame, of_sets: Column, known: list[int]) -> DataFrame:
+    """:func:`state_of` with a bit for each of the versions ``known``, which are in order of age."""
+    parts = [known[i : i + _BITS] for i in range(0, len(known), _BITS)]
+    number = F.create_map(*[F.lit(x) for i, v in enumerate(known) for x in (str(v), i)])
+
+    def place(version: Column) -> Column:
+        unknown = F.raise_error(F.concat(F.lit("a version that no batch has: "), version.cast("string"))).cast("int")
+        return F.coalesce(F.try_element_at(number, version.cast("string")), unknown)
+
+    places = log.withColumn("places", F.transform("versions", place)).drop("versions")
+
+    def bits_of(first: int) -> Column:
+        own = F.filter("places", lambda p: (p >= first) & (p < first + _BITS))
+        one = F.lit(1).cast("bigint")
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda found, p: found.bitwiseOR(F.call_function("shiftleft", one, p - first)))
+
+    def versions_of(i: int, part: list[int]) -> Column:
+        held = F.array(*[F.lit(v).cast("bigint") for v in part])
+        return F.filter(held, lambda _, at: F.getbit(F.col(f"bits{i}"), at) == 1)
+
+    bits = [bits_of(i * _BITS).alias(f"bits{i}") for i in range(len(parts))]
+    state = places.select(*VALUE_KEY, "value", "content", "version", *bits).groupBy(*VALUE_KEY, "value", "content").agg(
+        F.max_by("version", F.abs("version")).alias("version"), *[F.bit_or(f"bits{i}").alias(f"bits{i}") for i in range(len(parts))]
+    )
+    lists = [versions_of(i, part) for i, part in enumerate(parts)]
+    versions = F.when(of_sets, F.array("version")).otherwise(F.concat(*lists))
+    return state.withColumn("versions", versions).select(*_COLUMNS)
+
+
 def _by_age(versions: Column) -> Column:
     aged = F.transform(versions, lambda v: F.struct(F.abs(v).alias("age"), v.alias("version")))
     ordered = F.transform(F.array_sort(F.array_distinct(aged)), lambda a: a["version"])

@@ -59,6 +59,8 @@ _SCHEMAS = {
 _MERGED = ("values", "edges", "binaries", "entities", "given_ids", "rejects", "totals")
 #: Tables for the store itself, whose rows are no rows of a batch.
 _OWN = ("index", "ids_index", "totals")
+#: Tables whose rows come from a grouping, the shuffle of which has cut them to size.
+_GROUPED = ("edges", "entities")
 _PARTITIONS = {"values": ["entity_set"], "binaries": ["entity_set"], "current": ["entity_set"]}
 
 
@@ -110,7 +112,9 @@ class Store:
 
     def state(self, unversioned: Iterable[str] | None = None) -> DataFrame:
         """Each value with its versions; sets that were written as unversioned have the last one."""
-        return update.state_of(self.log(), self.unversioned_sets() if unversioned is None else unversioned)
+        batches = self._commits.last().batches
+        sets = _unversioned(batches) if unversioned is None else unversioned
+        return update.state_of(self._read("values", batches), sets, _stamps(batches))
 
     def current(self, as_of: int | None = None) -> DataFrame:
         """The values in force, now or after the batch ``as_of`` and those before it.
@@ -191,6 +195,8 @@ class Store:
             laid = dealt.sortWithinPartitions("entity_set", "key_id").drop("slice")
         elif table == "given_ids":
             laid = rows.withColumn("slice", key_slice(KEY)).hint("rebalance", "slice").sortWithinPartitions("slice").drop("slice")
+        elif table in _GROUPED:
+            laid = rows
         else:
             laid = rows.hint("rebalance", *partitions)
         counted, counter = observed(laid, f"{table}-{uuid.uuid4().hex}")
@@ -368,7 +374,7 @@ class Store:
         def merged(table: str) -> DataFrame:
             rows = self._read(table, batches)
             if table == "values":
-                return update.state_of(rows, unversioned)
+                return update.state_of(rows, unversioned, _stamps(batches))
             if table == "edges":
                 return update.edge_state(rows)
             if table == "entities":
@@ -459,6 +465,12 @@ def _united_totals(rows: DataFrame) -> DataFrame:
     return united.agg(F.sum("rows").alias("rows"), F.hll_union_agg("sketch", F.lit(False)).alias("sketch"))
 
 
+def _stamps(batches: Iterable[Batch]) -> list[int] | None:
+    """All versions that values of some batches may have, unless there are many."""
+    versions = {v for b in batches for v in b.versions()}
+    return [stamp for v in versions for stamp in (-v, v + 1)] if 2 * len(versions) <= update.MOST_BITS else None
+
+
 def _unversioned(batches: Iterable[Batch]) -> list[str]:
     kind: dict[str, bool] = {}
     for b in batches:

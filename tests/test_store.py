@@ -519,3 +519,21 @@ def test_rows_of_one_file_are_mapped_in_several_tasks(spark, tmp_path, monkeypat
     integrate(rows, Mapping("people", (Entity("p", "people", (prop("p.key", "k"),)),)), catalog, store, 1)
     assert store.current().count() == 50_000
     assert given[0].rdd.getNumPartitions() > 1
+
+
+def test_versions_as_bits_are_those_as_lists(spark):
+    rng = random.Random(3)
+    known = [s * v for v in (rng.sample(range(1, 10**12, 3), 100)) for s in (1, -1)]
+    rows = []
+    for n in range(60):
+        versions = sorted(rng.sample(known, rng.randint(1, 9)), key=lambda v: (abs(v), v))
+        latest = max(abs(v) for v in versions)
+        versions = [v for v in versions if abs(v) != latest or v == versions[-1]]
+        rows.append(("ab"[n % 2], f"k{n % 7}", "p", b"h", "v", None, versions[-1], versions))
+    log = spark.createDataFrame(rows, update.LOG_SCHEMA)
+    lists, bits = update.state_of(log, ["b"]), update.state_of(log, ["b"], known)
+    same = lambda df: sorted((r.entity_set, r.key_id, tuple(r.versions)) for r in df.collect())
+    assert same(lists) == same(bits)
+    assert "ObjectHashAggregate" not in bits._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="a version that no batch has"):
+        update.state_of(log, [], known[:2]).collect()
