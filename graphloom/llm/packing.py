@@ -13,6 +13,7 @@ lies in exactly one window and only a shard's last window has room left.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -34,6 +35,9 @@ WINDOW, END_ID = 2048, 1
 SHARD_DOCS, PART_SHARDS = 512, 16
 #: BM25's usual constants.
 _K1, _B = 1.2, 0.75
+#: A term that one in so many of a shard's documents has is common there. It bounds the memory of the rows of weights
+#: to so many numbers for each posting.
+COMMON_SHARE = 4
 #: Length of the vectors that documents are dealt by, about how many documents the tree is fitted on, and
 #: the least of them in a leaf.
 DIRECTIONS, FIT_DOCS, LEAF_DOCS = 64, 1 << 16, 8
@@ -44,6 +48,17 @@ def _idf(n: int, held: np.ndarray) -> np.ndarray:
     return np.maximum(0, np.log((n - held + 0.5) / (held + 0.5)))
 
 
+def _terms(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids of a document in order, and how often it has each."""
+    ordered = np.sort(doc, kind="stable" if doc.itemsize <= 2 else None)  # short ids are sorted by radix
+    last = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=last[:-1])
+    at = np.flatnonzero(last)
+    counts = at + 1
+    counts[1:] -= at[:-1] + 1
+    return ordered[at], counts
+
+
 class Corpus(NamedTuple):
     """What BM25 has to know of all documents: their number, their mean length, and the idf of each id."""
 
@@ -53,47 +68,66 @@ class Corpus(NamedTuple):
 
 
 class InvertedIndex:
-    """BM25 over the token ids of a shard's documents, which are all there are unless ``corpus`` tells of more."""
+    """BM25 over the token ids of a shard's documents, which are all there are unless ``corpus`` tells of more.
+
+    Terms that many of the documents hold have a row of weights for all of them, the others a list of postings.
+    """
 
     def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
-        terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs)) if docs else ((), ())
+        terms, counts = zip(*map(_terms, docs)) if docs else ((), ())
         sizes = np.fromiter(map(len, terms), np.int64, len(terms))
         term = np.concatenate([*terms, np.empty(0, np.int64)]).astype(np.int64)
         count = np.concatenate([*counts, np.empty(0, np.int64)]).astype(np.float64)
         doc = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
         length = np.fromiter(map(len, docs), np.float64, len(docs))
-        known, number = np.unique(term, return_inverse=True)
+        held = np.bincount(term)
         if corpus is None:
-            idf = _idf(len(docs), np.bincount(number, minlength=len(known)))
+            idf = _idf(len(docs), held)
             mean = length.mean() if len(docs) else 1
         else:
-            idf, mean = corpus.idf[known], corpus.mean
+            idf, mean = corpus.idf, corpus.mean
         norm = _K1 * (1 - _B + _B * length / max(mean, 1))
-        weight = idf[number] * count * (_K1 + 1) / (count + norm[doc])
-        useful = np.flatnonzero(weight > 0)
-        order = useful[np.argsort(number[useful], kind="stable")]
+        weight = idf[term] * count * (_K1 + 1) / (count + norm[doc])
+        useful = weight > 0
+        term, doc, weight = term[useful], doc[useful], weight[useful]
+        self.n = len(docs)
+
+        common = np.bincount(term, minlength=len(held)) * COMMON_SHARE >= max(self.n, 1)
+        number = np.empty(len(held), np.int64)
+        number[common], number[~common] = np.arange(common.sum()), np.arange((~common).sum())
+        number, common = number[term], common[term]
+        self.rows = np.zeros((int(number[common].max(initial=-1)) + 1, self.n))
+        self.rows[number[common], doc[common]] = weight[common]
+        self.common = self._by_doc(number[common], doc[common])
+
+        number, doc, weight = number[~common], doc[~common], weight[~common]
+        order = np.argsort(number.astype(np.uint16) if len(held) <= 1 << 16 else number, kind="stable")
         self.postings, self.weights = doc[order], weight[order]
-        sizes = np.bincount(number[useful], minlength=len(known))
+        sizes = np.bincount(number)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        self.n = len(docs)
-        # The terms of each document, by number, for its use as a query.
-        by_doc = np.bincount(doc[useful], minlength=len(docs)).cumsum()
-        self.queries = np.split(number[useful], by_doc[:-1]) if len(docs) else []
+        self.rare = self._by_doc(number, doc)
+
+    def _by_doc(self, number: np.ndarray, doc: np.ndarray) -> list[np.ndarray]:
+        """The terms of each document, by number, for its use as a query."""
+        ends = np.bincount(doc, minlength=self.n).cumsum().tolist()
+        return [number[start:end] for start, end in zip([0, *ends], ends)]
 
     def scores(self, doc: int) -> np.ndarray:
         """The score of every document for the terms of one."""
-        query = self.queries[doc]
-        sizes = self.ends[query] - self.starts[query]
-        total = int(sizes.sum())
+        found = self.rows.take(self.common[doc], axis=0).sum(axis=0)
+        query = self.rare[doc]
+        if not len(query):
+            return found
+        starts, ends = self.starts[query], self.ends[query]
+        sizes = ends - starts
         # All posting lists of the query as one list of places.
-        step = np.ones(total, np.int64)
-        if total:
-            first = np.cumsum(sizes) - sizes
-            step[first] = self.starts[query]
-            step[first[1:]] -= self.ends[query][:-1] - 1
+        step = np.ones(int(sizes.sum()), np.int64)
+        first = np.cumsum(sizes) - sizes
+        step[first] = starts
+        step[first[1:]] -= ends[:-1] - 1
         places = np.cumsum(step)
-        return np.bincount(self.postings[places], weights=self.weights[places], minlength=self.n)
+        return found + np.bincount(self.postings[places], weights=self.weights[places], minlength=self.n)
 
 
 def fill(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:
@@ -103,6 +137,7 @@ def fill(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = N
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence = offset = 0
     next_free = 0
+    scores = np.empty(0)
     while True:
         while next_free < len(docs) and not free[next_free]:
             next_free += 1
@@ -110,8 +145,7 @@ def fill(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = N
             return pieces
         current, start = next_free, 0
         free[current] = False
-        ranked: Iterator[int] = iter(())
-        asked = -1
+        asked = False
         while True:
             size = min(len(docs[current]) - start, window - offset)
             if size:
@@ -121,19 +155,15 @@ def fill(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = N
                 sequence, offset = sequence + 1, 0
                 if start == len(docs[current]):
                     break
-                asked = -1  # the rest is the next window's seed
+                asked = False  # the rest is the next window's seed
                 continue
-            if asked < 0:
-                asked = current
-                scores = index.scores(current)
+            if not asked:
+                asked, scores = True, index.scores(current)
                 scores[~free] = -1
-                order = np.argsort(-scores, kind="stable")
-                ranked = iter(order[: int(free.sum())].tolist())
-            found = next((d for d in ranked if free[d]), None)
-            if found is None:
+            current, start = int(scores.argmax()), 0
+            if not free[current]:
                 return pieces
-            current, start = found, 0
-            free[current] = False
+            free[current], scores[current] = False, -1
 
 
 def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
@@ -160,7 +190,7 @@ def corpus_of(tokens: DataFrame, dtype: np.dtype) -> Corpus:
         for batch in batches:
             for cell in batch.column(0):
                 doc = np.frombuffer(cell.as_py(), dtype)
-                known = np.unique(doc)
+                known, _ = _terms(doc)
                 if len(known) and known[-1] >= len(held):
                     held = np.concatenate([held, np.zeros(int(known[-1]) + 1 - len(held), np.int64)])
                 held[known] += 1
@@ -197,11 +227,11 @@ class Sketches:
         self.hashes[corpus.idf == 0] = np.iinfo(np.uint64).max
 
     def of(self, doc: np.ndarray) -> tuple[np.ndarray, int]:
-        terms, counts = np.unique(doc, return_counts=True)
+        terms, counts = _terms(doc)
         norm = _K1 * (1 - _B + _B * len(doc) / max(self.corpus.mean, 1))
-        vector = (counts / (counts + norm)).astype(np.float32) @ self.weights[terms]
+        vector = (counts / (counts + norm)).astype(np.float32) @ self.weights.take(terms, axis=0)
         least = int(self.hashes[terms].min()) >> 1 if len(terms) else 0
-        return vector / max(float(np.linalg.norm(vector)), 1e-9), least
+        return vector / max(math.sqrt(vector @ vector), 1e-9), least
 
 
 class Cuts:

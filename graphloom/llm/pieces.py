@@ -11,6 +11,8 @@ import numpy as np
 
 # Fixed value: how the byte-level pre-tokenizer cuts a text.
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts in which no two spaces meet, where looking ahead finds nothing else.
+_CUT_ALONE = _CUT.replace(r"|\s+(?!\S)", "")
 #: The same for ``re``, whose classes agree but for ``odd`` characters.
 _PIECE = re.compile(r" ?[^\W\d_]++|'(?:[stmd]|re|ve|ll)| ?\d++| ?(?:[^\s\w]|_)++|\s+(?!\S)|\s+")
 
@@ -25,13 +27,27 @@ class _Odd(dict):
 
 
 _ODD = _Odd()
+#: Those of ASCII.
+_ODD_ASCII = "\x1c\x1d\x1e\x1f"
 
 
 def odd(text: str) -> bool:
     """Whether a text has such a character."""
+    if text.isascii():
+        return any(c in text for c in _ODD_ASCII)
     return any(map(_ODD.__getitem__, set(text)))
 
 
+#: What both ``re`` and the library take for space.
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def spaced(text: str) -> bool:
+    """Whether two spaces of any kind follow each other in a text."""
+    here = [c for c in _SPACE if c in text]
+    return any(a + b in text for a in here for b in here)
+
+
 @functools.cache
 def vocabulary(path: str) -> Vocabulary:
     """One for each path in a worker, which lives from task to task."""
@@ -52,11 +68,9 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def _ranked(path: str):
-    """An encoder by ranks for the file's vocabulary, or None where it is not byte-level or its merges
-    don't rank as their ids do."""
-    import tiktoken
-
+def _ranked(path: str) -> dict[bytes, int] | None:
+    """The ranks of the file's vocabulary, or None where it is not byte-level or its merges don't rank as their
+    ids do."""
     with open(path, encoding="utf-8") as file:
         whole = json.load(file)
     model, cut, byte = whole["model"], whole.get("pre_tokenizer") or {}, _byte_of()
@@ -68,8 +82,7 @@ def _ranked(path: str):
     if ids != sorted(ids) or model.get("unk_token") or not all(c in vocab for c in byte):
         return None
     made = {*byte, *(a + b for a, b in merges)}
-    ranks = {bytes(byte[c] for c in token): vocab[token] for token in made}
-    return tiktoken.Encoding("ranks", pat_str=_CUT, mergeable_ranks=ranks, special_tokens={})
+    return {bytes(byte[c] for c in token): vocab[token] for token in made}
 
 
 class Vocabulary:
@@ -89,7 +102,22 @@ class Vocabulary:
         self.special = re.compile("|".join(special)) if special else None
         size = max([*whole["model"]["vocab"].values(), *(t["id"] for t in added)]) + 1
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self._encoder = _ranked(path)
+        self._size, self._ranks = size, _ranked(path)
+
+    def _encoder_of(self, cut: str):
+        import tiktoken
+
+        # Without any special string, an empty one is looked for at each character; no regular text holds this one.
+        special = {_ODD_ASCII[0]: self._size}
+        return tiktoken.Encoding("ranks", pat_str=cut, mergeable_ranks=self._ranks, special_tokens=special)
+
+    @functools.cached_property
+    def _encoder(self):
+        return self._encoder_of(_CUT)
+
+    @functools.cached_property
+    def _encoder_alone(self):
+        return self._encoder_of(_CUT_ALONE)
 
     @functools.cached_property
     def library(self):
@@ -102,7 +130,7 @@ class Vocabulary:
 
     def irregular(self, text: str) -> bool:
         """Whether the library has to read a text as a whole."""
-        if self._encoder is None or (self.special is not None and self.special.search(text)):
+        if self._ranks is None or (self.special is not None and self.special.search(text)):
             return True
         return odd(text)
 
@@ -122,4 +150,5 @@ class Vocabulary:
         """Ids of a whole text, as the library gives them."""
         if self.irregular(text):
             return self.library_ids(text)
-        return self._encoder.encode_to_numpy(text, disallowed_special=()).astype(self.dtype)
+        encoder = self._encoder if spaced(text) else self._encoder_alone
+        return encoder.encode_to_numpy(text, disallowed_special=()).astype(self.dtype)

@@ -1,5 +1,6 @@
 """Token counts and packing against the library, id by id."""
 
+import time
 import zlib
 from collections import defaultdict
 
@@ -51,6 +52,30 @@ def test_every_character_is_classed_as_the_library_does(path, library):
                 assert vocab.ids(text).tolist() == ids_of(library, text), hex(start)
 
 
+def test_spaces_of_all_kinds_and_in_pairs(path, library):
+    vocab = pieces.Vocabulary(path)
+    spaces = [c for c in map(chr, range(0x110000)) if c.isspace() and not pieces.odd(c)]
+    assert sorted(pieces._SPACE) == spaces
+    for a in spaces:
+        for b in ["", *spaces]:
+            text = f"x{a}{b}y {a}1'{b}s é{a}'ll{b}"
+            assert pieces.spaced(a + b) == bool(b) and vocab.ids(text).tolist() == ids_of(library, text), repr(text)
+
+
+def test_ids_cost_no_more_than_plain_encoding(path):
+    # An empty special string was looked for at each character, and what follows each space was looked at.
+    vocab, texts = pieces.Vocabulary(path), [passage(k, 2000) for k in range(30)]
+    took = {vocab.ids: [], vocab._encoder.encode_ordinary: []}
+    for _ in range(7):
+        for encode, seconds in took.items():
+            start = time.process_time()
+            for text in texts:
+                encode(text)
+            seconds.append(time.process_time() - start)
+    ours, plain = map(min, took.values())
+    assert ours < plain
+
+
 def test_without_ranks_the_library_reads(path, library, monkeypatch):
     monkeypatch.setattr(pieces, "_ranked", lambda path: None)
     vocab = pieces.Vocabulary(path)
@@ -127,6 +152,36 @@ def test_packing_takes_the_likest(path):
     assert np.mean([len(set(w)) for w in windows.values()]) < 1.5
 
 
+@pytest.mark.parametrize("share", [1, 4, 1000])
+@pytest.mark.parametrize("kind", [np.uint16, np.uint32])
+def test_filling_takes_the_best_free_document(share, kind, monkeypatch):
+    # Common and rare terms are scored by different ways, and copies are ties.
+    monkeypatch.setattr(packing, "COMMON_SHARE", share)
+    rng = np.random.default_rng(3)
+    docs = [rng.zipf(1.3, rng.integers(1, 90)).clip(0, 300).astype(kind) for _ in range(60)]
+    docs += [docs[i].copy() for i in rng.integers(0, 60, 20)]
+    for doc in docs:
+        for made, expected in zip(packing._terms(doc), np.unique(doc, return_counts=True)):
+            assert made.tolist() == expected.tolist()
+    index, free, taken, at = packing.InvertedIndex(docs), [True] * len(docs), [], 0
+
+    def take(doc):
+        nonlocal at
+        free[doc], at = False, at + len(docs[doc])
+        taken.append(doc)
+
+    while any(free):
+        seed = free.index(True)
+        take(seed)
+        while at % 100 and any(free):
+            window = at // 100
+            order = np.argsort(-index.scores(seed), kind="stable").tolist()
+            while at // 100 == window and any(free):
+                seed = next(d for d in order if free[d])
+                take(seed)
+    assert [d for d, start, *_ in packing.fill(docs, 100) if start == 0] == taken
+
+
 def test_scores_are_bm25():
     docs = [np.array(d) for d in ([1, 2, 2, 3], [2, 5], [7, 7, 7, 8, 9], [3, 8], [1], [])]
     index = packing.InvertedIndex(docs)
