@@ -6,11 +6,14 @@ differ. More generally each segment i of a probing set may be allocated 0 (not a
 an equal subset) or 2 (asked for a subset that differs by one member, through the subsets with one
 member deleted); as long as the allocations sum up to more than H, no linked pair is missed. Costs
 decide: small subsets, above all empty ones, are what unrelated sets share, so they get 0 first, and what is
-missing from the sum then is made up by 2 on segments whose deletion neighbourhoods are indexed.
+missing from the sum then is made up by 2 on segments whose deletion neighbourhoods are indexed. A share of
+all sets has the same segment empty, so one set that asks for an empty one meets a share of the corpus; so many
+neighbourhoods are indexed that this is rare.
 
 Sets come in bands of sizes; a set is indexed in its own band, and probes there and, where its size
 allows, in the band below. Equal sets are one class from the start. Classes that share a
-signature are candidates; they are brought together by the class that shares most with the others.
+signature are candidates if one of them asks for it; they are brought together by the class that shares most
+with the others, and those that ask are compared with all, the rest not with each other.
 Outlines, which hold how many members fall in each of a few cells, rule out most of them, since two sets
 differ in no fewer members than their outlines do; the rest is verified exactly, block by block.
 """
@@ -33,8 +36,10 @@ from graphloom.sources.scratch import written
 
 #: Words of a shingle; shared members in percent of the union from which on sets are linked.
 WORDS, PERCENT = 4, 85
-#: The first segments of a band, whose one-deletion neighbourhoods are indexed.
+#: The least number of first segments of a band whose one-deletion neighbourhoods are indexed.
 DELETION_SEGMENTS = 2
+#: As many more than the mean of empty segments are indexed this way as make this many standard deviations.
+DELETION_SPREAD = 4
 #: Members for each cell of an outline, about: so few that unlike sets of any size show.
 CELL_MEMBERS = 8
 #: Classes of a block when candidates are compared.
@@ -58,7 +63,15 @@ class Bands:
             # So wide that linked sets never lie more than one band apart.
             tops.append(max(tops[-1] + 1, -(-tops[-1] * max(150, -(-10_000 // percent)) // 100)))
         self.tops = np.array(tops, np.int64)
-        self.segments = self.differ(self.tops, self.tops * 100 // percent) + 1
+        largest = self.tops * 100 // percent
+        self.segments = self.differ(self.tops, largest) + 1
+        # The largest sets that ask in a band ask for all of its segments. Of these some are empty, and some
+        # hold a single member, which allows no deletion.
+        held = largest / self.segments
+        empty = self.segments * np.exp(-held)
+        wanted = 1 + (empty + DELETION_SPREAD * np.sqrt(empty)) / (1 - np.exp(-held) * (1 + held))
+        #: The first segments of each band, whose one-deletion neighbourhoods are indexed.
+        self.deletions = np.minimum(np.maximum(np.ceil(wanted).astype(np.int64), DELETION_SEGMENTS), self.segments)
 
     def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Most members that are in only one of two linked sets of these sizes."""
@@ -78,15 +91,19 @@ class Shingles:
         firsts, hashes = words.windows(size)
         text = words.text[firsts]
         found = [(text, hashes)]
-        for short in range(1, size):
+        for short in np.intersect1d(n_words, np.arange(1, size)).tolist():
             # A text with fewer words is one shingle as a whole.
             firsts, hashes = words.windows(short)
             text = words.text[firsts]
             own = n_words[text] == short
             found.append((text[own], hashes[own]))
         text, members = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((members, text))
-        text, members = text[order], members[order]
+        if len(found) > 1:
+            order = np.argsort(text, kind="stable")
+            text, members = text[order], members[order]
+        ends = np.searchsorted(text, np.arange(len(column)), side="right").tolist()
+        for start, end in zip([0, *ends], ends):
+            members[start:end].sort()
         new = np.ones(len(members), bool)
         new[1:] = (members[1:] != members[:-1]) | (text[1:] != text[:-1])
         text, self.members = text[new], members[new]
@@ -158,7 +175,9 @@ def signatures(shingles: Shingles, chosen: np.ndarray, bands: Bands) -> tuple[np
     # Empty ones that would still be asked for are made up by 2 on indexed neighbourhoods.
     empty = one & (held == 0)
     wanting = np.bincount(of[empty], minlength=len(m))
-    able = one & (number < DELETION_SEGMENTS) & (held > 0) & (wanting[of] > 0)
+    # A subset of one member less its member is an empty one again.
+    near_by = (number < bands.deletions[band][of]) & (held > 1)
+    able = one & near_by & (wanting[of] > 0)
     nth = np.cumsum(able) - 1
     nth -= np.concatenate([[0], np.cumsum(np.bincount(of[able], minlength=len(m)))[:-1]])[of]
     two = able & (nth < wanting[of])
@@ -173,7 +192,7 @@ def signatures(shingles: Shingles, chosen: np.ndarray, bands: Bands) -> tuple[np
     plain = _signature(subset, band[of], number, False)
     found.append((owner[of[kept]], plain[kept], flag[kept]))
     # Deletions: indexed where a set could be asked for this way, probing where 2 is allocated.
-    indexed = ~guest[of] & (number < DELETION_SEGMENTS) & (held > 0)
+    indexed = ~guest[of] & near_by
     near = _signature(subset, band[of], number, True)
     found.append((owner[of[two]], near[two], np.full(int(two.sum()), _PROBE)))
     for cells, flag_value, deleted in ((indexed, _INDEX, True), (two, _PROBE, False)):
@@ -240,7 +259,7 @@ def signature_rows(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -
 
 
 def shared_signatures(rows: DataFrame) -> DataFrame:
-    """The rows of signatures by which some class probes another, once for each class.
+    """The rows of signatures by which some class probes another, once for each class, and whether it ``probes``.
 
     Rows come by signature; a task looks at one batch after the other and hands the last,
     perhaps unfinished, signature on to the next.
@@ -250,9 +269,14 @@ def shared_signatures(rows: DataFrame) -> DataFrame:
         rest = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int8)]
 
         def shared(signature: np.ndarray, handle: np.ndarray, flag: np.ndarray) -> pa.RecordBatch:
-            order = np.lexsort((handle, signature))
-            signature, handle, flag = signature[order], handle[order], flag[order]
+            # Most signatures have one row, which is shared by none.
+            twin = np.zeros(len(signature) + 1, bool)
+            twin[1:-1] = signature[1:] == signature[:-1]
+            twin = twin[1:] | twin[:-1]
+            signature, handle, flag = signature[twin], handle[twin], flag[twin]
             if len(signature):
+                order = np.lexsort((handle, signature))
+                signature, handle, flag = signature[order], handle[order], flag[order]
                 first = np.ones(len(signature), bool)
                 first[1:] = (signature[1:] != signature[:-1]) | (handle[1:] != handle[:-1])
                 flag = np.bitwise_or.reduceat(flag, np.flatnonzero(first))
@@ -263,12 +287,13 @@ def shared_signatures(rows: DataFrame) -> DataFrame:
                 size = np.bincount(bucket)
                 useful = (size > 1) & (np.bitwise_or.reduceat(flag, np.flatnonzero(start)) == (_INDEX | _PROBE))
                 kept = useful[bucket]
-                signature, handle = signature[kept], handle[kept]
+                signature, handle, flag = signature[kept], handle[kept], flag[kept]
                 size = size[bucket[kept]]
             else:
                 size = signature
             return pa.RecordBatch.from_arrays(
-                [pa.array(signature), pa.array(handle), pa.array(size.astype(np.int64))], names=["signature", "handle", "size"]
+                [pa.array(signature), pa.array(handle), pa.array(size.astype(np.int64)), pa.array((flag & _PROBE) > 0)],
+                names=["signature", "handle", "size", "probes"],
             )
 
         for batch in batches:
@@ -279,19 +304,22 @@ def shared_signatures(rows: DataFrame) -> DataFrame:
         yield shared(*rest)
 
     dealt = rows.repartition("signature").sortWithinPartitions("signature")
-    return mapped(dealt, share, "signature bigint, handle bigint, size bigint")
+    return mapped(dealt, share, "signature bigint, handle bigint, size bigint, probes boolean")
 
 
 def candidate_groups(shared: DataFrame) -> DataFrame:
-    """``leader`` and ``handle``: the classes of each signature under the one that shares most.
+    """``leader`` and ``handle``: the classes of each signature under the one that shares most; and ``probes``.
 
-    Classes that are candidates of each other share a signature, and so lie in one group at least.
+    Classes that are candidates of each other share a signature, and so lie in one group at least, where
+    one of them probes.
     """
     known = shared.groupBy("handle").agg(F.sum("size").alias("weight"))
     weighed = shared.join(known, "handle")
     leaders = weighed.groupBy("signature").agg(F.max(F.struct("weight", "handle")).alias("top"))
     led = leaders.select("signature", F.col("top.handle").alias("leader"))
-    return shared.select("signature", "handle").join(led, "signature").select("leader", "handle").distinct()
+    return shared.select("signature", "handle", "probes").join(led, "signature").groupBy("leader", "handle").agg(
+        F.bool_or("probes").alias("probes")
+    )
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -385,22 +413,34 @@ def in_blocks(grouped: DataFrame, classes: DataFrame, block: int) -> DataFrame:
     """The members of each group with the columns of their classes, by ``leader`` and a pair of blocks ``x`` and ``y``.
 
     A group of many classes is cut into blocks by hash (``own``), and each pair of blocks is a group of
-    its own, so no task holds more than two blocks at once.
+    its own, so no task holds more than two blocks at once. The classes that probe have the first blocks,
+    and the others meet these blocks only.
     """
-    size = grouped.groupBy("leader").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    number = F.pmod(F.xxhash64("handle"), F.col("blocks")).cast("int")
-    placed = grouped.join(size, "leader").withColumn("own", number)
+    size = grouped.groupBy("leader").agg(F.count("*").alias("n"), F.count_if("probes").alias("n_probing"))
+    many = F.col("n") > block
+    cut = lambda n: F.when(many, F.ceil(n / block)).cast("int")
+    size = size.select(
+        "leader",
+        F.coalesce(cut(F.col("n_probing")), F.lit(1)).alias("probing"),
+        F.coalesce(cut(F.col("n") - F.col("n_probing")), F.lit(0)).alias("asked"),
+    )
+    in_first = F.col("probes") | (F.col("asked") == 0)
+    hashed = F.xxhash64("handle")
+    number = F.when(in_first, F.pmod(hashed, "probing")).otherwise(F.col("probing") + F.pmod(hashed, F.greatest("asked", F.lit(1))))
+    others = F.col("probing") + F.when(in_first, F.col("asked")).otherwise(0)
+    placed = grouped.join(size.where("probing > 0"), "leader").withColumns({"own": number.cast("int"), "others": others})
     # With itself and with every other block; the smaller number comes first.
     with_each = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
+        F.sequence(F.lit(0), F.col("others") - 1),
         lambda i: F.struct(F.least("own", i).alias("x"), F.greatest("own", i).alias("y")),
     )
-    pairs = placed.select("leader", "handle", "own", F.explode(with_each).alias("pair"))
-    return pairs.join(classes, "handle").select("leader", "pair.x", "pair.y", "own", *classes.columns)
+    pairs = placed.select("leader", "handle", "probes", "own", F.explode(with_each).alias("pair"))
+    return pairs.join(classes, "handle").select("leader", "pair.x", "pair.y", "own", "probes", *classes.columns)
 
 
 def possible(grouped: DataFrame, outlines: DataFrame, percent: int = PERCENT, block: int = OUTLINE_BLOCK) -> DataFrame:
-    """``leader`` and ``handle`` of the members that may be linked within their group by sizes and outlines."""
+    """The members that may be linked within their group, by sizes and outlines, with one that probes or, if they probe
+    themselves, with any."""
     on_workers(grouped.sparkSession)
 
     def narrow(group: tuple, part: pa.Table) -> pa.Table:
@@ -408,7 +448,8 @@ def possible(grouped: DataFrame, outlines: DataFrame, percent: int = PERCENT, bl
         outlines = [np.frombuffer(o, np.uint8).astype(np.int16) for o in part.column("outline").to_pylist()]
         cells = np.fromiter(map(len, outlines), np.int64, len(outlines))
         leader, x, y = (g.as_py() for g in group)
-        first, second = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        probes = np.asarray(part.column("probes").combine_chunks())
+        first, second = np.flatnonzero((own == x) & probes), np.flatnonzero(own == y)
         bands, kept = Bands(percent), np.zeros(len(own), bool)
         for many in np.unique(cells[second]).tolist():
             against = second[cells[second] == many]
@@ -430,10 +471,11 @@ def possible(grouped: DataFrame, outlines: DataFrame, percent: int = PERCENT, bl
                 kept[near] = True
                 kept[i] |= len(near) > 0
         handles = np.asarray(part.column("handle"))[kept]
-        return pa.table({"leader": pa.array(np.full(len(handles), leader, np.int64)), "handle": pa.array(handles)})
+        leaders = np.full(len(handles), leader, np.int64)
+        return pa.table({"leader": pa.array(leaders), "handle": pa.array(handles), "probes": pa.array(probes[kept])})
 
     rows = in_blocks(grouped, outlines, block)
-    return rows.groupBy("leader", "x", "y").applyInArrow(narrow, "leader bigint, handle bigint").distinct()
+    return rows.groupBy("leader", "x", "y").applyInArrow(narrow, "leader bigint, handle bigint, probes boolean").distinct()
 
 
 def verified_links(grouped: DataFrame, sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:

@@ -110,6 +110,64 @@ def test_every_linked_pair_shares_a_signature(percent):
     assert linked > 50 and missed == 0
 
 
+def unlike_sets(sizes, seed=8):
+    """Random sets of these sizes, as those of texts."""
+    rng, sets = np.random.default_rng(seed), shingle_join.Shingles(pa.array([], pa.string()))
+    sets.sizes = np.array(sizes, np.int64)
+    sets.bounds = np.concatenate([[0], np.cumsum(sets.sizes)])
+    sets.members = rng.integers(0, 1 << 64, int(sets.bounds[-1]), np.uint64, endpoint=False)
+    return sets
+
+
+def test_few_unlike_sets_meet_by_what_they_do_not_hold():
+    bands = shingle_join.Bands(80)
+    # Sets of one band, and the largest of those that ask in it too.
+    sets = unlike_sets([316 + i % 158 for i in range(2000)] + [570 + i % 22 for i in range(1000)])
+    owner, signature, flag = shingle_join.signatures(sets, np.arange(3000), bands)
+    _, at = np.unique(signature, return_inverse=True)
+    asking = np.bincount(at, flag & 2 > 0)
+    compared = (asking * (np.bincount(at) - 1)).sum()
+    assert compared < 1000  # of 4.5 million pairs
+    assert len(signature) < 1.35 * (bands.segments[14] * 2000 + bands.segments[15] * 1000 + bands.segments[14] * 1000)
+
+
+def test_those_that_ask_meet_all_others_and_these_only_them(spark):
+    asking = {1: {3, 7, 8, 11}, 2: {5}, 3: set(range(6)), 4: {2}}
+    members = {1: range(20), 2: range(9), 3: range(6), 4: range(4)}
+    made = [(group, i, i in asking[group]) for group in members for i in members[group]]
+    grouped = spark.createDataFrame(made, "leader bigint, handle bigint, probes boolean").repartition(3)
+    classes = spark.createDataFrame([(i,) for i in range(20)], "handle bigint")
+    met, rows = defaultdict(int), shingle_join.in_blocks(grouped, classes, 5).collect()
+    parts = defaultdict(list)
+    for r in rows:
+        parts[r.leader, r.x, r.y].append(r)
+    for (group, x, y), part in parts.items():
+        for a in part:
+            for b in part:
+                if a.own == x and a.probes and b.own == y and (x != y or not b.probes or a.handle < b.handle):
+                    met[group, *sorted((a.handle, b.handle))] += a.handle != b.handle
+    expected = {(g, a, b) for g in members for a in members[g] for b in members[g] if a < b and asking[g] & {a, b}}
+    assert {k for k, n in met.items() if n} == expected and set(met.values()) <= {0, 1}
+    # One of nine asks: a block of its own, and those of the others are not copied.
+    assert sum(r.leader == 2 and not r.probes for r in rows) == 8
+
+
+def test_sorted_members_of_texts_of_all_lengths():
+    made = [t for _, t in family_rows()] + [None, "", "a", "b a", "c b a", "a", "a a a a a a"]
+    for size in (1, 4, 5):
+        shingles = shingle_join.Shingles(pa.array(made, pa.string()), size)
+        assert shingles.sizes.tolist() == [len(s) for s in sets_of(enumerate(made), size)]
+        assert all((np.diff(shingles.of(i)) > 0).all() for i in range(len(made)))
+        assert shingles.bounds.tolist() == [0, *np.cumsum(shingles.sizes).tolist()]
+
+
+def test_signatures_of_one_row_are_shared_by_none(spark):
+    made = [(1, 10, 3), (2, 10, 3), (2, 11, 1), (3, 10, 1), (3, 12, 1), (4, 10, 2), (4, 10, 1), (5, 13, 2), (5, 14, 3), (5, 14, 3)]
+    rows = spark.createDataFrame(made, "signature bigint, handle bigint, flag tinyint").repartition(3)
+    found = sorted(tuple(r) for r in shingle_join.shared_signatures(rows).collect())
+    assert found == [(2, 10, 2, True), (2, 11, 2, False), (5, 13, 2, True), (5, 14, 2, True)]
+
+
 def test_blocks_link_what_is_linked():
     rng = np.random.default_rng(2)
     sets = [np.unique(np.concatenate([np.arange(k * 100, k * 100 + 40), rng.integers(0, 10**6, 3)])).astype(np.uint64) for k in range(6) for _ in range(8)]
